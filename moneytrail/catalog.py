@@ -172,3 +172,134 @@ def queries() -> dict[str, Query]:
 
 
 _ = views  # re-exported for users of the catalog
+
+
+# ------------------------------------------------------------------ profile (M)
+from moneytrail.operators import profile, rank  # noqa: E402
+
+
+def _facts(s: Store) -> DataFrame:
+    return profile.candidate_facts(s.money, s.candidates)
+
+
+def search_terms(candidates: DataFrame) -> DataFrame:
+    """Search terms derived from the candidate table: every CAND_ID (the id
+    form), the lower-cased last four characters of every name, and the
+    lower-cased first three characters of every name (broad, ambiguous)."""
+    ids = candidates.select(F.col("CAND_ID").alias("term"))
+    tails = candidates.select(F.lower(F.right(F.col("CAND_NAME"), F.lit(4))).alias("term"))
+    heads = candidates.select(F.lower(F.left(F.col("CAND_NAME"), F.lit(3))).alias("term"))
+    return ids.unionByName(tails).unionByName(heads).filter(F.col("term").isNotNull()).distinct()
+
+
+@register("resolve_candidates")
+def _m1(spark, sf):
+    s = S(spark, sf)
+    return profile.resolve_candidates(s.candidates, search_terms(s.candidates))
+
+
+@register("committee_count")
+def _m2(spark, sf):
+    s = S(spark, sf)
+    return profile.committee_count(s.links, s.candidates)
+
+
+@register("in_state_amount")
+def _m3(spark, sf):
+    return profile.in_state_amount(_facts(S(spark, sf)))
+
+
+def _share(col):
+    def q(spark, sf):
+        return profile.profile_shares(_facts(S(spark, sf))).select("cand_id", col)
+    return q
+
+
+for _k in ["out_of_state_share", "small_dollar_share", "low_small_share", "maxplus_share",
+           "pac_share", "outside_share"]:
+    register(_k)(_share(_k))
+
+
+@register("interest_share")
+def _m10(spark, sf):
+    s = S(spark, sf)
+    return profile.interest_share(reports.candidate_interest_blocs(s.money), _facts(s))
+
+
+def _oos(s: Store) -> DataFrame:
+    return profile.oos_pool(reports.candidate_oos_states(s.money, s.candidates))
+
+
+@register("oos_pool")
+def _m11(spark, sf):
+    return _oos(S(spark, sf)).select("cand_id", "oos_total", "n_states", "top_state",
+                                     "top_amount", "top_share")
+
+
+@register("oos_hhi")
+def _m12(spark, sf):
+    return _oos(S(spark, sf)).select("cand_id", "hhi", "hhi_label")
+
+
+@register("channel_composition")
+def _m13(spark, sf):
+    return profile.channel_composition(_facts(S(spark, sf)))
+
+
+@register("bucket_shares")
+def _m14(spark, sf):
+    s = S(spark, sf)
+    return profile.bucket_shares(reports.candidate_buckets(s.money), _facts(s))
+
+
+@register("state_shares")
+def _m15(spark, sf):
+    s = S(spark, sf)
+    return profile.state_shares(reports.candidate_top_states(s.money), _facts(s))
+
+
+@register("candidate_profile")
+def _m16(spark, sf):
+    s = S(spark, sf)
+    return profile.candidate_profile(_facts(s), s.links, _oos(s))
+
+
+# ------------------------------------------------------------------ ranking (R)
+def _ranking(s: Store) -> rank.CohortRanking:
+    return rank.CohortRanking(reports.rank_base(s.money, s.candidates),
+                               reports.rank_interest_categories(s.money))
+
+
+@register("rank_signals")
+def _r1(spark, sf):
+    return _ranking(S(spark, sf)).signals
+
+
+@register("rank_category_shares")
+def _r2(spark, sf):
+    return _ranking(S(spark, sf)).category_shares
+
+
+@register("rank_percentiles")
+def _r3(spark, sf):
+    return _ranking(S(spark, sf)).percentiles
+
+
+@register("rank_floors")
+def _r4(spark, sf):
+    return _ranking(S(spark, sf)).eligible
+
+
+@register("rank_headline")
+def _r5(spark, sf):
+    return _ranking(S(spark, sf)).headline
+
+
+@register("funding_headline_ranking")
+def _r6(spark, sf):
+    return _ranking(S(spark, sf)).ranking
+
+
+@register("rank_display_fields")
+def _r7(spark, sf):
+    return rank.rank_display_fields(_ranking(S(spark, sf)).ranking)

@@ -12,23 +12,28 @@ def q(name: str, body: str) -> None:
     ORACLE[name] = PREFIX + "\n" + body
 
 
-D = "AS DOUBLE)"
+
+
+def d(x: str) -> str:
+    """A decimal amount as DOUBLE, via DECIMAL(18,2) (exact conversion)."""
+    return f"CAST(CAST({x} AS DECIMAL(18,2)) AS DOUBLE)"
+
 
 # ------------------------------------------------------------------ curated (P)
 q("dim_candidates", "SELECT * FROM dim_candidates")
 q("dim_committees", "SELECT * FROM dim_committees")
 q("bridge_candidate_committee", "SELECT * FROM bridge_candidate_committee")
 q("fact_contributions", """
-SELECT SUB_ID, SOURCE_CMTE_ID, TARGET_CAND_ID, CAST(AMOUNT AS DOUBLE) AS AMOUNT, TRANSACTION_DT,
+SELECT SUB_ID, SOURCE_CMTE_ID, TARGET_CAND_ID, CAST(CAST(AMOUNT AS DECIMAL(18,2)) AS DOUBLE) AS AMOUNT, TRANSACTION_DT,
        TRANSACTION_TP, ENTITY_TP, OTHER_ID, IMAGE_NUM, FILE_NUM, TRAN_ID
 FROM fact_contributions""")
 q("fact_individual_contributions", """
 SELECT SUB_ID, TARGET_CMTE_ID, CONTRIBUTOR_NAME, CITY, STATE, ZIP_CODE, EMPLOYER, OCCUPATION,
-       CAST(AMOUNT AS DOUBLE) AS AMOUNT, TRANSACTION_DT, TRANSACTION_TP, ENTITY_TP, OTHER_ID,
+       CAST(CAST(AMOUNT AS DECIMAL(18,2)) AS DOUBLE) AS AMOUNT, TRANSACTION_DT, TRANSACTION_TP, ENTITY_TP, OTHER_ID,
        IMAGE_NUM, FILE_NUM, TRAN_ID, MEMO_CD
 FROM fact_individual_contributions""")
-IE_COLS = """IE_ID, SPENDER_CMTE_ID, TARGET_CAND_ID, SUPPORT_OPPOSE, CAST(AMOUNT AS DOUBLE) AS AMOUNT,
-       EXPENDITURE_DT, CAST(AGGREGATE_AMOUNT AS DOUBLE) AS AGGREGATE_AMOUNT, PURPOSE, PAYEE,
+IE_COLS = """IE_ID, SPENDER_CMTE_ID, TARGET_CAND_ID, SUPPORT_OPPOSE, CAST(CAST(AMOUNT AS DECIMAL(18,2)) AS DOUBLE) AS AMOUNT,
+       EXPENDITURE_DT, CAST(CAST(AGGREGATE_AMOUNT AS DECIMAL(18,2)) AS DOUBLE) AS AGGREGATE_AMOUNT, PURPOSE, PAYEE,
        SPENDER_NAME, TARGET_CAND_NAME, ELECTION_TYPE, DISSEMINATION_DT, IMAGE_NUM, FILE_NUM,
        TRAN_ID, AMNDT_IND, PREV_FILE_NUM"""
 q("fact_independent_expenditures", f"SELECT {IE_COLS} FROM fact_independent_expenditures")
@@ -37,11 +42,11 @@ q("fact_independent_expenditures", f"SELECT {IE_COLS} FROM fact_independent_expe
 q("candidate_committees", "SELECT * FROM candidate_committees")
 q("clean_individual", """
 SELECT SUB_ID, TARGET_CMTE_ID, CONTRIBUTOR_NAME, CITY, STATE, ZIP_CODE, EMPLOYER, OCCUPATION,
-       CAST(AMOUNT AS DOUBLE) AS AMOUNT, TRANSACTION_DT, TRANSACTION_TP, ENTITY_TP, OTHER_ID,
+       CAST(CAST(AMOUNT AS DECIMAL(18,2)) AS DOUBLE) AS AMOUNT, TRANSACTION_DT, TRANSACTION_TP, ENTITY_TP, OTHER_ID,
        IMAGE_NUM, FILE_NUM, TRAN_ID, MEMO_CD, MEMO_TEXT
 FROM clean_individual_contributions""")
 q("clean_ie", f"SELECT {IE_COLS} FROM clean_independent_expenditures")
-MONEY_SEL = """SELECT cand_id, channel, CAST(amount AS DOUBLE) AS amount, donor_state,
+MONEY_SEL = """SELECT cand_id, channel, CAST(CAST(amount AS DECIMAL(18,2)) AS DOUBLE) AS amount, donor_state,
        contributor_name, employer, interest_category FROM """
 q("candidate_money", MONEY_SEL + "candidate_money")
 q("money_individual", MONEY_SEL + "money_individual")
@@ -67,11 +72,11 @@ TOTALS = """
 )
 """
 q("candidate_totals", TOTALS + """
-SELECT cand_id, CAST(individual_amount AS DOUBLE) AS individual_amount, individual_count,
-       CAST(direct_pac_amount AS DOUBLE) AS direct_pac_amount, direct_pac_count,
-       CAST(ie_support_amount AS DOUBLE) AS ie_support_amount,
-       CAST(ie_oppose_amount AS DOUBLE) AS ie_oppose_amount,
-       CAST(raised AS DOUBLE) AS raised, CAST(total_backing AS DOUBLE) AS total_backing
+SELECT cand_id, CAST(CAST(individual_amount AS DECIMAL(18,2)) AS DOUBLE) AS individual_amount, individual_count,
+       CAST(CAST(direct_pac_amount AS DECIMAL(18,2)) AS DOUBLE) AS direct_pac_amount, direct_pac_count,
+       CAST(CAST(ie_support_amount AS DECIMAL(18,2)) AS DOUBLE) AS ie_support_amount,
+       CAST(CAST(ie_oppose_amount AS DECIMAL(18,2)) AS DOUBLE) AS ie_oppose_amount,
+       CAST(CAST(raised AS DECIMAL(18,2)) AS DOUBLE) AS raised, CAST(CAST(total_backing AS DECIMAL(18,2)) AS DOUBLE) AS total_backing
 FROM totals""")
 
 BUCKETS = """
@@ -91,7 +96,7 @@ BUCKETS = """
     GROUP BY 1, 2
 )
 """
-q("candidate_buckets", BUCKETS + "SELECT cand_id, bucket, n, CAST(amount AS DOUBLE) AS amount FROM buckets")
+q("candidate_buckets", BUCKETS + "SELECT cand_id, bucket, n, CAST(CAST(amount AS DECIMAL(18,2)) AS DOUBLE) AS amount FROM buckets")
 
 TOP_STATES = """
 , state_sums AS (
@@ -107,7 +112,7 @@ top_states AS (
 )
 """
 q("candidate_top_states", TOP_STATES + """
-SELECT cand_id, donor_state, CAST(amount AS DOUBLE) AS amount, n, rank FROM top_states""")
+SELECT cand_id, donor_state, CAST(CAST(amount AS DECIMAL(18,2)) AS DOUBLE) AS amount, n, rank FROM top_states""")
 
 OOS = """
 , oos AS (
@@ -117,7 +122,7 @@ OOS = """
     GROUP BY 1, 2
 )
 """
-q("candidate_oos_states", OOS + "SELECT cand_id, donor_state, CAST(amount AS DOUBLE) AS amount FROM oos")
+q("candidate_oos_states", OOS + "SELECT cand_id, donor_state, CAST(CAST(amount AS DECIMAL(18,2)) AS DOUBLE) AS amount FROM oos")
 
 BLOCS = """
 , blocs AS (
@@ -131,8 +136,8 @@ BLOCS = """
 )
 """
 q("candidate_interest_blocs", BLOCS + """
-SELECT cand_id, interest_category, CAST(direct_pac_amount AS DOUBLE) AS direct_pac_amount,
-       CAST(ie_support_amount AS DOUBLE) AS ie_support_amount FROM blocs""")
+SELECT cand_id, interest_category, CAST(CAST(direct_pac_amount AS DECIMAL(18,2)) AS DOUBLE) AS direct_pac_amount,
+       CAST(CAST(ie_support_amount AS DECIMAL(18,2)) AS DOUBLE) AS ie_support_amount FROM blocs""")
 
 TOP_PAC = """
 , pac_sums AS (
@@ -149,7 +154,7 @@ top_pac AS (
 )
 """
 q("candidate_top_direct_pac", TOP_PAC + """
-SELECT cand_id, CMTE_NM, CMTE_TP, CAST(amount AS DOUBLE) AS amount, n, rank FROM top_pac""")
+SELECT cand_id, CMTE_NM, CMTE_TP, CAST(CAST(amount AS DECIMAL(18,2)) AS DOUBLE) AS amount, n, rank FROM top_pac""")
 
 TOP_IE = """
 , ie_sums AS (
@@ -164,7 +169,7 @@ top_ie AS (
 )
 """
 q("candidate_top_ie_spenders", TOP_IE + """
-SELECT cand_id, SPENDER_NAME, SUPPORT_OPPOSE, CAST(amount AS DOUBLE) AS amount, rank FROM top_ie""")
+SELECT cand_id, SPENDER_NAME, SUPPORT_OPPOSE, CAST(CAST(amount AS DECIMAL(18,2)) AS DOUBLE) AS amount, rank FROM top_ie""")
 
 RANK_BASE = """
 , cand AS (
@@ -193,9 +198,9 @@ rank_base AS (
 """
 q("rank_base", RANK_BASE + """
 SELECT CAND_ID, CAND_NAME, CAND_OFFICE, CAND_OFFICE_ST, CAND_OFFICE_DISTRICT, CAND_PTY_AFFILIATION,
-       CAST(indiv_total AS DOUBLE) AS indiv_total, CAST(in_state AS DOUBLE) AS in_state,
-       CAST(small AS DOUBLE) AS small, CAST(pac_total AS DOUBLE) AS pac_total,
-       CAST(ie_support AS DOUBLE) AS ie_support
+       CAST(CAST(indiv_total AS DECIMAL(18,2)) AS DOUBLE) AS indiv_total, CAST(CAST(in_state AS DECIMAL(18,2)) AS DOUBLE) AS in_state,
+       CAST(CAST(small AS DECIMAL(18,2)) AS DOUBLE) AS small, CAST(CAST(pac_total AS DECIMAL(18,2)) AS DOUBLE) AS pac_total,
+       CAST(CAST(ie_support AS DECIMAL(18,2)) AS DOUBLE) AS ie_support
 FROM rank_base""")
 
 RANK_CATS = """
@@ -207,4 +212,236 @@ RANK_CATS = """
 )
 """
 q("rank_interest_categories", RANK_CATS + """
-SELECT cand_id, interest_category, CAST(amount AS DOUBLE) AS amount FROM rank_cats""")
+SELECT cand_id, interest_category, CAST(CAST(amount AS DECIMAL(18,2)) AS DOUBLE) AS amount FROM rank_cats""")
+
+# ------------------------------------------------------------------ profile (M)
+FACTS = """
+, facts AS (
+    SELECT c.CAND_ID AS cand_id, c.CAND_NAME, c.CAND_OFFICE, c.CAND_OFFICE_ST,
+        c.CAND_OFFICE_DISTRICT, c.CAND_PTY_AFFILIATION, c.CAND_ICI, c.CAND_ELECTION_YR,
+        coalesce(sum(m.amount) FILTER (WHERE m.channel = 'individual'), 0) AS ind,
+        count(m.channel) FILTER (WHERE m.channel = 'individual') AS ind_count,
+        coalesce(sum(m.amount) FILTER (WHERE m.channel = 'direct_pac'), 0) AS dpac_amt,
+        count(m.channel) FILTER (WHERE m.channel = 'direct_pac') AS dpac_count,
+        coalesce(sum(m.amount) FILTER (WHERE m.channel = 'ie_support'), 0) AS ie_s,
+        coalesce(sum(m.amount) FILTER (WHERE m.channel = 'ie_oppose'), 0) AS ie_o,
+        coalesce(sum(m.amount) FILTER (WHERE m.channel IN ('individual', 'direct_pac')), 0) AS raised,
+        coalesce(sum(m.amount) FILTER (WHERE m.channel <> 'ie_oppose'), 0) AS backing,
+        coalesce(sum(m.amount) FILTER (WHERE m.channel = 'individual'
+                                       AND m.donor_state = c.CAND_OFFICE_ST), 0) AS instate,
+        coalesce(sum(m.amount) FILTER (WHERE m.channel = 'individual' AND m.amount > 0
+                                       AND m.amount <= 200), 0) AS small_amt,
+        coalesce(sum(m.amount) FILTER (WHERE m.channel = 'individual' AND m.amount >= 3500), 0)
+            AS maxplus_amt
+    FROM dim_candidates c LEFT JOIN candidate_money m ON m.cand_id = c.CAND_ID
+    GROUP BY c.CAND_ID, c.CAND_NAME, c.CAND_OFFICE, c.CAND_OFFICE_ST, c.CAND_OFFICE_DISTRICT,
+             c.CAND_PTY_AFFILIATION, c.CAND_ICI, c.CAND_ELECTION_YR
+),
+fd AS (
+    SELECT *, {ind} AS f_ind, {instate} AS f_instate, {small} AS f_small, {maxp} AS f_maxplus,
+           {raised} AS f_raised, {backing} AS f_backing, {dpac} AS f_dpac, {ies} AS f_ies
+    FROM facts
+),
+shares AS (
+    SELECT cand_id,
+        CASE WHEN f_ind <> 0 THEN (f_ind - f_instate) / f_ind ELSE 0.0 END AS out_of_state_share,
+        CASE WHEN f_ind <> 0 THEN f_small / f_ind ELSE 0.0 END AS small_dollar_share,
+        CASE WHEN f_ind <> 0 THEN CAST(1 AS DOUBLE) - f_small / f_ind ELSE 0.0 END AS low_small_share,
+        CASE WHEN f_ind <> 0 THEN f_maxplus / f_ind ELSE 0.0 END AS maxplus_share,
+        CASE WHEN f_raised <> 0 THEN f_dpac / f_raised ELSE 0.0 END AS pac_share,
+        CASE WHEN f_backing <> 0 THEN f_ies / f_backing ELSE 0.0 END AS outside_share,
+        CASE WHEN f_raised <> 0 THEN f_ind / f_raised END AS individual_of_raised,
+        CASE WHEN f_raised <> 0 THEN f_dpac / f_raised END AS direct_pac_of_raised,
+        CASE WHEN f_backing <> 0 THEN f_raised / f_backing END AS raised_of_backing,
+        CASE WHEN f_backing <> 0 THEN f_ies / f_backing END AS ie_support_of_backing
+    FROM fd
+)
+""".format(ind=d("ind"), instate=d("instate"), small=d("small_amt"), maxp=d("maxplus_amt"),
+           raised=d("raised"), backing=d("backing"), dpac=d("dpac_amt"), ies=d("ie_s"))
+
+TERMS = """
+, terms AS (
+    SELECT DISTINCT term FROM (
+        SELECT CAND_ID AS term FROM dim_candidates
+        UNION ALL SELECT lower(right(CAND_NAME, 4)) FROM dim_candidates
+        UNION ALL SELECT lower(left(CAND_NAME, 3)) FROM dim_candidates
+    ) WHERE term IS NOT NULL
+),
+matches AS (
+    SELECT t.term, c.CAND_ID AS cand_id, c.CAND_NAME
+    FROM terms t JOIN (SELECT DISTINCT ON (CAND_ID) CAND_ID, CAND_NAME FROM dim_candidates) c
+      ON CASE WHEN substr(t.term, 1, 1) IN ('H', 'S', 'P')
+                   AND regexp_full_match(substr(t.term, 2, 1), '[0-9]') AND length(t.term) >= 8
+              THEN c.CAND_ID = upper(t.term)
+              ELSE c.CAND_NAME ILIKE '%' || t.term || '%' END
+)
+"""
+q("resolve_candidates", TERMS + """
+SELECT term, cand_id, CAND_NAME, count(*) OVER (PARTITION BY term) AS n_matches FROM matches""")
+
+q("committee_count", """
+SELECT c.cand_id, coalesce(n.n_committees, 0) AS n_committees
+FROM (SELECT DISTINCT CAND_ID AS cand_id FROM dim_candidates) c
+LEFT JOIN (SELECT CAND_ID, count(*) AS n_committees FROM candidate_committees GROUP BY 1) n
+  ON n.CAND_ID = c.cand_id""")
+
+q("in_state_amount", FACTS + f"SELECT cand_id, {d('instate')} AS in_state_amount FROM facts")
+for _k in ["out_of_state_share", "small_dollar_share", "low_small_share", "maxplus_share",
+           "pac_share", "outside_share"]:
+    q(_k, FACTS + f"SELECT cand_id, {_k} FROM shares")
+q("channel_composition", FACTS + """
+SELECT cand_id, individual_of_raised, direct_pac_of_raised, raised_of_backing, ie_support_of_backing
+FROM shares""")
+
+q("interest_share", FACTS + BLOCS + f"""
+SELECT b.cand_id, b.interest_category, {d('b.direct_pac_amount')} AS direct_pac_amount,
+       {d('b.ie_support_amount')} AS ie_support_amount,
+       {d('b.direct_pac_amount')} + {d('b.ie_support_amount')} AS total,
+       CASE WHEN fd.f_backing <> 0
+            THEN ({d('b.direct_pac_amount')} + {d('b.ie_support_amount')}) / fd.f_backing END
+            AS share_of_backing
+FROM blocs b JOIN fd ON fd.cand_id = b.cand_id""")
+
+OOS_POOL = OOS + f"""
+, pool AS (
+    SELECT cand_id, sum(amount) AS oos_total, count(*) AS n_states,
+           sum(CAST(amount AS DECIMAL(18,2)) * CAST(amount AS DECIMAL(18,2))) AS sq
+    FROM oos GROUP BY 1
+),
+pool_top AS (
+    SELECT * FROM (
+        SELECT cand_id, donor_state AS top_state, amount AS top_amount,
+               row_number() OVER (PARTITION BY cand_id ORDER BY amount DESC NULLS LAST,
+                                  donor_state ASC NULLS LAST) AS r
+        FROM oos) WHERE r = 1
+),
+pool_all AS (
+    SELECT p.cand_id, p.oos_total, p.n_states, t.top_state, t.top_amount,
+           CASE WHEN {d('p.oos_total')} <> 0 THEN {d('t.top_amount')} / {d('p.oos_total')} END
+               AS top_share,
+           CASE WHEN {d('p.oos_total')} <> 0
+                THEN round(CAST(p.sq AS DOUBLE) / ({d('p.oos_total')} * {d('p.oos_total')}), 12)
+                ELSE 0.0 END AS hhi
+    FROM pool p JOIN pool_top t ON t.cand_id = p.cand_id
+),
+pool_lbl AS (
+    SELECT *, CASE WHEN hhi > 0.25 THEN 'concentrated' WHEN hhi > 0.15 THEN 'moderate'
+                   ELSE 'diffuse' END AS hhi_label
+    FROM pool_all
+)
+"""
+q("oos_pool", OOS_POOL + f"""
+SELECT cand_id, {d('oos_total')} AS oos_total, n_states, top_state, {d('top_amount')} AS top_amount,
+       top_share FROM pool_lbl""")
+q("oos_hhi", OOS_POOL + "SELECT cand_id, hhi, hhi_label FROM pool_lbl")
+
+q("bucket_shares", FACTS + BUCKETS + f"""
+SELECT b.cand_id, b.bucket, b.n, {d('b.amount')} AS amount,
+       CASE WHEN fd.f_ind <> 0 THEN {d('b.amount')} / fd.f_ind END AS share
+FROM buckets b JOIN fd ON fd.cand_id = b.cand_id""")
+
+q("state_shares", FACTS + TOP_STATES + f"""
+SELECT s.cand_id, s.donor_state, {d('s.amount')} AS amount, s.n, s.rank,
+       CASE WHEN fd.f_ind <> 0 THEN {d('s.amount')} / fd.f_ind END AS share,
+       coalesce(s.donor_state = fd.CAND_OFFICE_ST, false) AS is_home
+FROM top_states s JOIN fd ON fd.cand_id = s.cand_id""")
+
+q("candidate_profile", FACTS + OOS_POOL + f"""
+, ncm AS (SELECT CAND_ID, count(*) AS n_committees FROM candidate_committees GROUP BY 1)
+SELECT fd.cand_id, fd.CAND_NAME, fd.CAND_OFFICE, fd.CAND_OFFICE_ST, fd.CAND_OFFICE_DISTRICT,
+       fd.CAND_PTY_AFFILIATION, ncm.n_committees,
+       fd.f_ind AS ind, fd.ind_count, fd.f_dpac AS dpac_amt, fd.dpac_count, fd.f_ies AS ie_s,
+       {d('fd.ie_o')} AS ie_o, fd.f_raised AS raised, fd.f_backing AS backing,
+       fd.f_instate AS instate, fd.f_small AS small_amt, fd.f_maxplus AS maxplus_amt,
+       s.out_of_state_share, s.small_dollar_share, s.low_small_share, s.maxplus_share,
+       s.pac_share, s.outside_share,
+       coalesce({d('p.oos_total')}, 0.0) AS oos_total, coalesce(p.n_states, 0) AS n_oos_states,
+       p.top_state, p.top_share, coalesce(p.hhi, 0.0) AS hhi,
+       coalesce(p.hhi_label, 'diffuse') AS hhi_label
+FROM fd JOIN ncm ON ncm.CAND_ID = fd.cand_id
+JOIN shares s ON s.cand_id = fd.cand_id
+LEFT JOIN pool_lbl p ON p.cand_id = fd.cand_id""")
+
+# ------------------------------------------------------------------ ranking (R)
+RANK = RANK_BASE + RANK_CATS + f"""
+, sig AS (
+    SELECT CAND_ID AS cand_id, CAND_NAME AS name,
+        CAND_OFFICE || '-' || coalesce(nullif(CAND_OFFICE_DISTRICT, ''), '00') || ' ' || CAND_OFFICE_ST
+            AS seat,
+        CAND_PTY_AFFILIATION AS party,
+        {d('indiv_total')} AS indiv,
+        {d('indiv_total')} + {d('pac_total')} AS raised,
+        {d('indiv_total')} + {d('pac_total')} + {d('ie_support')} AS backing,
+        ({d('indiv_total')} - {d('in_state')}) / {d('indiv_total')} AS out_of_state,
+        CAST(1 AS DOUBLE) - {d('small')} / {d('indiv_total')} AS concentration,
+        CASE WHEN {d('indiv_total')} + {d('pac_total')} <> 0
+             THEN {d('pac_total')} / ({d('indiv_total')} + {d('pac_total')}) ELSE 0.0 END AS pac,
+        CASE WHEN {d('indiv_total')} + {d('pac_total')} + {d('ie_support')} <> 0
+             THEN {d('ie_support')} / ({d('indiv_total')} + {d('pac_total')} + {d('ie_support')})
+             ELSE 0.0 END AS outside
+    FROM rank_base WHERE indiv_total > 0
+),
+cat_share AS (
+    SELECT c.cand_id, c.interest_category AS tag,
+           CASE WHEN s.backing <> 0 THEN {d('c.amount')} / s.backing ELSE 0.0 END AS share
+    FROM rank_cats c JOIN sig s ON s.cand_id = c.cand_id
+),
+all_tags AS (SELECT DISTINCT interest_category AS tag FROM rank_cats),
+tag_matrix AS (
+    -- the reference's dense form: every cohort member x every tag, 0 when absent
+    SELECT s.cand_id, t.tag, coalesce(cs.share, 0.0) AS share, cs.share IS NOT NULL AS present
+    FROM sig s CROSS JOIN all_tags t
+    LEFT JOIN cat_share cs ON cs.cand_id = s.cand_id AND cs.tag = t.tag
+),
+long_dense AS (
+    SELECT cand_id, 'out_of_state' AS signal, 'out-of-state donors' AS label, 1 AS signal_order,
+           CAST(0.40 AS DOUBLE) AS floor, out_of_state AS value, true AS present FROM sig
+    UNION ALL SELECT cand_id, 'pac', 'PAC-funded', 2, CAST(0.30 AS DOUBLE), pac, true FROM sig
+    UNION ALL SELECT cand_id, 'outside', 'outside-funded (IE)', 3, CAST(0.30 AS DOUBLE), outside, true
+              FROM sig
+    UNION ALL SELECT cand_id, 'concentration', 'few small-$ donors', 4, CAST(0.90 AS DOUBLE),
+              concentration, true FROM sig
+    UNION ALL SELECT cand_id, 'tag:' || tag, tag, 5, CAST(0.08 AS DOUBLE), share, present
+              FROM tag_matrix
+),
+pct AS (
+    SELECT cand_id, signal, label, signal_order, floor, value, present,
+           CAST(rank() OVER (PARTITION BY signal ORDER BY value) - 1 AS DOUBLE)
+             / CAST(count(*) OVER (PARTITION BY signal) AS DOUBLE) AS pctile
+    FROM long_dense
+),
+eligible AS (SELECT * FROM pct WHERE present AND value >= floor),
+best AS (
+    SELECT * FROM (
+        SELECT *, row_number() OVER (PARTITION BY cand_id
+                                     ORDER BY pctile DESC, signal_order, label) AS r
+        FROM eligible) WHERE r = 1
+),
+headline AS (
+    SELECT s.cand_id, s.name, s.seat, s.party, s.indiv, s.raised, s.backing,
+           coalesce(b.label, '(balanced / no standout)') AS headline,
+           coalesce(b.value, 0.0) AS headline_value,
+           coalesce(b.pctile, 0.0) AS headline_pctile
+    FROM sig s LEFT JOIN best b ON b.cand_id = s.cand_id
+),
+ranking AS (
+    SELECT *, row_number() OVER (ORDER BY headline_pctile DESC, cand_id ASC) AS rank FROM headline
+)
+"""
+q("rank_signals", RANK + """
+SELECT cand_id, name, seat, party, indiv, raised, backing, out_of_state, concentration, pac, outside
+FROM sig""")
+q("rank_category_shares", RANK + "SELECT cand_id, tag, share FROM cat_share")
+q("rank_percentiles", RANK + """
+SELECT cand_id, signal, label, signal_order, floor, value, pctile FROM pct WHERE present""")
+q("rank_floors", RANK + """
+SELECT cand_id, signal, label, signal_order, floor, value, pctile FROM eligible""")
+q("rank_headline", RANK + "SELECT * FROM headline")
+q("funding_headline_ranking", RANK + "SELECT * FROM ranking")
+q("rank_display_fields", RANK + """
+SELECT rank, cand_id, name, seat, party, backing, headline,
+       CASE WHEN headline_value <> 0
+            THEN CAST(CAST(round_even(headline_value * 100, 0) AS BIGINT) AS VARCHAR) || '%'
+            ELSE '—' END AS value_display,
+       CAST(round_even(headline_pctile * 100, 0) AS BIGINT) AS pctile_display
+FROM ranking""")
