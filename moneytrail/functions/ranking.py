@@ -15,6 +15,10 @@ the same numbers with a range-partitioned prefix sum:
 
 Hot values never form a large window group: percentiles first collapse equal
 values (``groupBy(group, value).count()``, map-side combined).
+
+When the input is proven small (``max_rows_single_task``, checked with a
+bounded count), a plain window over a single group is cheaper than the
+sampling + checkpoint of the distributed path and gives the same numbers.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from moneytrail.plans.joins import small
+from moneytrail.plans.joins import fits_broadcast, small
 from moneytrail.plans.session import checkpoint_dir
 
 
@@ -55,18 +59,34 @@ def exclusive_prefix_sum(df: DataFrame, part_cols: list[str], order: list,
     return j.withColumn(out, F.col("_off") + F.col("_loc")).drop("_pid", "_off", "_loc")
 
 
+# Above this many rows a window group is not allowed to land in one task.
+SINGLE_TASK_MAX_ROWS = 1_000_000
+
+
+def _single_task_ok(df: DataFrame, max_rows: int | None) -> bool:
+    m = SINGLE_TASK_MAX_ROWS if max_rows is None else max_rows
+    return m > 0 and fits_broadcast(df, m)
+
+
 def count_strictly_below(df: DataFrame, part_cols: list[str], value: str,
-                         out: str = "below") -> DataFrame:
+                         out: str = "below", max_rows_single_task: int | None = None
+                         ) -> DataFrame:
     """Add ``out`` = number of rows of the same group with a strictly smaller
     ``value`` (equal values share the count, like ``rank() - 1``)."""
+    if _single_task_ok(df, max_rows_single_task):
+        w = Window.partitionBy(*part_cols).orderBy(F.col(value))
+        return df.withColumn(out, F.rank().over(w) - 1)
     vc = df.groupBy(*part_cols, value).agg(F.count(F.lit(1)).alias("_m"))
     ranked = exclusive_prefix_sum(vc, part_cols, [value], "_m", out).drop("_m")
     return df.join(ranked, [*part_cols, value])
 
 
-def global_row_number(df: DataFrame, order: list, out: str = "rank") -> DataFrame:
+def global_row_number(df: DataFrame, order: list, out: str = "rank",
+                      max_rows_single_task: int | None = None) -> DataFrame:
     """Add ``out`` = 1-based position in ``order`` (a total order), computed
-    without collecting the rows into one partition."""
+    without collecting the rows into one partition unless they are proven few."""
+    if _single_task_ok(df, max_rows_single_task):
+        return df.withColumn(out, F.row_number().over(Window.orderBy(*_cols(order))))
     ones = df.withColumn("_one", F.lit(1)).withColumn("_all", F.lit(0))
     r = exclusive_prefix_sum(ones, ["_all"], order, "_one", "_before")
     return r.withColumn(out, F.col("_before") + 1).drop("_one", "_all", "_before")

@@ -143,7 +143,7 @@ def channel_composition(facts: DataFrame) -> DataFrame:
 def interest_share(blocs: DataFrame, facts: DataFrame) -> DataFrame:
     """Per (candidate, tag): (direct PAC + IE support) / total backing."""
     f = facts.select(F.col("cand_id").alias("_cid"), "backing")
-    j = join_small(blocs, f, F.col("cand_id") == F.col("_cid")).drop("_cid")
+    j = blocs.join(f, F.col("cand_id") == F.col("_cid")).drop("_cid")
     total = dbl("direct_pac_amount") + dbl("ie_support_amount")
     return j.select("cand_id", "interest_category", "direct_pac_amount", "ie_support_amount",
                     total.alias("total"),
@@ -153,7 +153,7 @@ def interest_share(blocs: DataFrame, facts: DataFrame) -> DataFrame:
 def bucket_shares(buckets: DataFrame, facts: DataFrame) -> DataFrame:
     """Bucket amount / net individual money (n/a when it is zero)."""
     f = facts.select(F.col("cand_id").alias("_cid"), "ind")
-    j = join_small(buckets, f, F.col("cand_id") == F.col("_cid")).drop("_cid")
+    j = buckets.join(f, F.col("cand_id") == F.col("_cid")).drop("_cid")
     return j.select("cand_id", "bucket", "n", "amount",
                     ratio(dbl("amount"), dbl("ind"), None).alias("share"))
 
@@ -161,7 +161,7 @@ def bucket_shares(buckets: DataFrame, facts: DataFrame) -> DataFrame:
 def state_shares(top_states: DataFrame, facts: DataFrame) -> DataFrame:
     """Top-state amount / individual money, with the home-state flag."""
     f = facts.select(F.col("cand_id").alias("_cid"), "ind", F.col("CAND_OFFICE_ST").alias("_home"))
-    j = join_small(top_states, f, F.col("cand_id") == F.col("_cid"))
+    j = top_states.join(f, F.col("cand_id") == F.col("_cid"))
     return j.select("cand_id", "donor_state", "amount", "n", "rank",
                     ratio(dbl("amount"), dbl("ind"), None).alias("share"),
                     F.coalesce(F.col("donor_state") == F.col("_home"), F.lit(False)).alias("is_home"))

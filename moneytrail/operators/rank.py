@@ -21,7 +21,8 @@ from pyspark.sql import types as T
 from moneytrail.functions.constants import (FLOOR_BLOC, NO_STANDOUT, SIGNALS,
                                             TAG_SIGNAL_ORDER)
 from moneytrail.functions.ranking import count_strictly_below, global_row_number
-from moneytrail.plans.joins import join_small, small
+from moneytrail.plans.joins import small
+from moneytrail.plans.session import checkpoint_dir
 
 DBL = T.DoubleType()
 
@@ -59,7 +60,7 @@ def rank_category_shares(signals: DataFrame, categories: DataFrame) -> DataFrame
     """R2 (sparse): share of backing per (member, tag) for every tag the member
     has money in. Members absent for a tag have share 0 for it (implicit)."""
     s = signals.select(F.col("cand_id").alias("_cid"), "backing")
-    j = join_small(categories, s, F.col("cand_id") == F.col("_cid"))
+    j = categories.join(s, F.col("cand_id") == F.col("_cid"))
     share = F.when(F.col("backing") != 0, _d("amount") / F.col("backing")).otherwise(F.lit(0.0))
     return j.select("cand_id", F.col("interest_category").alias("tag"), share.alias("share"))
 
@@ -90,7 +91,7 @@ def rank_percentiles(signals: DataFrame, cat_shares: DataFrame) -> DataFrame:
     stats = present.withColumn("_n", F.max(F.when(F.col("signal") == SIGNALS[0][0],
                                                   F.col("_present"))).over(Window.partitionBy()))
     below = count_strictly_below(long, ["signal"], "value", "_below")
-    j = join_small(below, stats, "signal")
+    j = below.join(stats, "signal")
     zeros_below = F.when(F.col("value") > 0, F.col("_n") - F.col("_present")).otherwise(F.lit(0))
     pct = (F.col("_below") + zeros_below).cast(DBL) / F.col("_n").cast(DBL)
     return j.select("cand_id", "signal", "label", "signal_order", "floor", "value",
@@ -145,8 +146,16 @@ def rank_display_fields(ranking: DataFrame) -> DataFrame:
 class CohortRanking:
     """R1-R6 over one cohort, each stage built on first use."""
 
-    def __init__(self, base: DataFrame, categories: DataFrame, limit: int = 0):
+    def __init__(self, base: DataFrame, categories: DataFrame, limit: int = 0,
+                 materialize: bool = True):
+        # The cohort table (one row per member, bounded by the candidate
+        # dimension) feeds every stage; checkpointing it (to the shared
+        # checkpoint folder) keeps later stages from re-reading the money fact.
+        if materialize:
+            checkpoint_dir(base.sparkSession)
+            base = base.checkpoint(eager=True)
         self.base, self.categories, self.limit = base, categories, limit
+        self.materialize = materialize
         self._memo: dict[str, DataFrame] = {}
 
     def _get(self, name, make):
@@ -160,7 +169,10 @@ class CohortRanking:
 
     @property
     def category_shares(self) -> DataFrame:
-        return self._get("cats", lambda: rank_category_shares(self.signals, self.categories))
+        def make():
+            c = rank_category_shares(self.signals, self.categories)
+            return c.checkpoint(eager=True) if self.materialize else c
+        return self._get("cats", make)
 
     @property
     def percentiles(self) -> DataFrame:

@@ -31,12 +31,26 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) ->
     return hit
 
 
-def small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its size is proven small, else ``df`` unchanged."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+def small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+          bound: DataFrame | int | None = None) -> DataFrame:
+    """``broadcast(df)`` when its size is proven small, else ``df`` unchanged.
+
+    ``bound`` lets a caller prove the size through a cheaper frame: a
+    DataFrame that has at least as many rows as ``df`` by construction (e.g.
+    the candidate table for a one-row-per-candidate aggregate), or a known
+    row bound. Without it ``df`` itself is counted (up to ``max_rows + 1``).
+    """
+    if isinstance(bound, int):
+        ok = bound <= max_rows
+    elif bound is not None:
+        ok = fits_broadcast(bound, max_rows)
+    else:
+        ok = fits_broadcast(df, max_rows)
+    return F.broadcast(df) if ok else df
 
 
 def join_small(big: DataFrame, dim: DataFrame, on, how: str = "inner",
-               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+               bound: DataFrame | int | None = None) -> DataFrame:
     """Join a large frame to a dimension, broadcasting the dimension if small."""
-    return big.join(small(dim, max_rows), on, how)
+    return big.join(small(dim, max_rows, bound), on, how)
