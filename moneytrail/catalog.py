@@ -303,3 +303,87 @@ def _r6(spark, sf):
 @register("rank_display_fields")
 def _r7(spark, sf):
     return rank.rank_display_fields(_ranking(S(spark, sf)).ranking)
+
+
+# ------------------------------------------------------------------ angles (X)
+from moneytrail.operators import angles  # noqa: E402
+from moneytrail.sources import files  # noqa: E402
+from moneytrail.plans.session import scratch_path  # noqa: E402
+
+
+def _angle_inputs(s: Store):
+    return (reports.candidate_buckets(s.money), _facts(s),
+            reports.candidate_top_states(s.money), angles.candidate_card(s.candidates))
+
+
+def _with_committees(df: DataFrame, s: Store) -> DataFrame:
+    """Exports exist only for candidates with an attributable committee."""
+    n = s.links.select(F.col("CAND_ID").alias("_lc")).distinct()
+    return df.join(n, F.col("cand_id") == F.col("_lc"), "left_semi")
+
+
+@register("angle_donor_size")
+def _x1(spark, sf):
+    s = S(spark, sf)
+    return _with_committees(angles.angle_donor_size(reports.candidate_buckets(s.money)), s)
+
+
+@register("angle_geography")
+def _x2(spark, sf):
+    s = S(spark, sf)
+    return _with_committees(angles.angle_geography(_facts(s), reports.candidate_top_states(s.money)), s)
+
+
+@register("angles_skipped")
+def _x3(spark, sf):
+    s = S(spark, sf)
+    return _with_committees(angles.angles_skipped(reports.candidate_buckets(s.money), _facts(s)), s)
+
+
+@register("angle_documents")
+def _x4(spark, sf):
+    s = S(spark, sf)
+    return _with_committees(angles.angle_documents(*_angle_inputs(s)), s)
+
+
+@register("candidate_card")
+def _x5(spark, sf):
+    return angles.candidate_card(S(spark, sf).candidates)
+
+
+@register("canonical_dirname")
+def _x6(spark, sf):
+    return angles.canonical_dirname(S(spark, sf).candidates)
+
+
+@register("chart_reconciliation")
+def _x7(spark, sf):
+    s = S(spark, sf)
+    return _with_committees(angles.chart_reconciliation(
+        angles.angle_donor_size(reports.candidate_buckets(s.money)),
+        angles.angle_geography(_facts(s), reports.candidate_top_states(s.money))), s)
+
+
+@register("donor_inversion")
+def _x8(spark, sf):
+    s = S(spark, sf)
+    return _with_committees(angles.donor_inversion(
+        angles.angle_donor_size(reports.candidate_buckets(s.money))), s)
+
+
+@register("write_angles")
+def _s12(spark, sf):
+    """Write every document as JSON under <dirname>/<angle_id>, then read
+    the written files back (key fields)."""
+    s = S(spark, sf)
+    docs = _with_committees(angles.angle_documents_nested(*_angle_inputs(s)), s)
+    dirs = angles.canonical_dirname(s.candidates).withColumnRenamed("cand_id", "_dc")
+    docs = docs.join(dirs, F.col("cand_id") == F.col("_dc")).drop("_dc")
+    out = scratch_path(spark, "angles", unique=True)
+    files.write_angles(docs, out)
+    back = spark.read.json(out)
+    return back.select("dirname", "angle_id", F.col("candidate.cand_id").alias("cand_id"),
+                       F.col("angle.metric_value").alias("metric_value"),
+                       F.col("angle.featured").alias("featured"),
+                       F.size("chart.rows").alias("n_rows"),
+                       F.size("footnotes").alias("n_footnotes"))

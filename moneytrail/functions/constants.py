@@ -79,3 +79,54 @@ STATE_NAMES = {
 
 # --- fixed values: chart tiers of the donor-size graphic -------------------------
 DONOR_TIERS = ["Small (≤$200)", "Mid ($201–$999)", "Large ($1k–$3.4k)", "Maxed out (≥$3,500)"]
+
+# --- fixed values: chart-angle texts (printf templates; %s = preformatted value) ---
+ANGLE_DONOR_SIZE = "donor-size"
+ANGLE_GEOGRAPHY = "geography"
+DONOR_SIZE_TITLE = "Big checks vs. grassroots"
+DONOR_SIZE_METRIC = "small_gift_share"
+DONOR_SIZE_REASON_FEATURED = (
+    "The largest gifts (≥$3,500) account for %s (%s) of itemized money, while small-dollar "
+    "gifts (≤$200) are only %s — clears the concentration flag (small-dollar under %s).")
+DONOR_SIZE_REASON_CONTEXT = (
+    "Small-dollar gifts (≤$200) are %s of itemized money; below the concentration flag, "
+    "shown as the gift-size distribution.")
+DONOR_SIZE_THRESHOLD = (
+    "Flagged as concentrated when the small-gift share (≤$200) is < %s; "
+    "this candidate is at %s.")
+DONOR_SIZE_HEADLINE_FEATURED = "%s small-dollar, %s from the largest gifts"
+DONOR_SIZE_HEADLINE_CONTEXT = "Where the itemized money came from, by gift size"
+DONOR_SIZE_SUBHEAD = "How %s's %s in itemized gifts breaks down by gift size"
+DONOR_SIZE_DENOMINATOR = "Total itemized gifts"
+DONOR_SIZE_NOTES = [
+    "Counts are itemized contributions (gifts), not unique donors — FEC bulk data has no "
+    "donor identity. Gifts under $200 are not itemized, so the true small-dollar share is "
+    "higher than shown.",
+    "Shares are of positive itemized gifts; PAC money is excluded.",
+]
+DONOR_SIZE_REFUND_NOTE = ("Excludes %s in refunds/negative adjustments (%s rows), "
+                          "not part of the gift universe.")
+DONOR_SIZE_SOURCE = "FEC 2026 cycle; candidate_buckets report over candidate_money"
+DONOR_SIZE_SKIP = "itemized gifts %s / %s below viability floor ($25,000 / 50)"
+
+GEOGRAPHY_TITLE = "In-state vs. out-of-state"
+GEOGRAPHY_METRIC = "out_of_state_share"
+GEOGRAPHY_REASON_FEATURED = ("%s of individual money comes from outside %s — clears the "
+                             "%s out-of-state flag.")
+GEOGRAPHY_REASON_CONTEXT = ("%s of individual money is from %s; out-of-state is %s, below "
+                            "the %s flag — a locally-rooted base.")
+GEOGRAPHY_THRESHOLD = ("Flagged as out-of-state funded when share ≥ %s; "
+                       "this candidate is at %s.")
+GEOGRAPHY_HEADLINE_FEATURED = "%s out-of-state money"
+GEOGRAPHY_HEADLINE_CONTEXT = "%s %s money"
+GEOGRAPHY_SUBHEAD = "Where %s's %s in individual donations came from, by donor state"
+GEOGRAPHY_DENOMINATOR = "Total individual donations"
+GEOGRAPHY_OTHER = "Other states"
+GEOGRAPHY_HOME_SUFFIX = " (home)"
+GEOGRAPHY_NOTES = [
+    "Geography is available for individual donors only; PAC/IE money has no donor state "
+    "and is excluded.",
+    "Donor state is a proxy for locality — FEC gives state, not district.",
+]
+GEOGRAPHY_SOURCE = "FEC 2026 cycle; candidate_top_states report over candidate_money"
+GEOGRAPHY_SKIP = "individual %s below $25,000 floor"

@@ -445,3 +445,235 @@ SELECT rank, cand_id, name, seat, party, backing, headline,
             ELSE '—' END AS value_display,
        CAST(round_even(headline_pctile * 100, 0) AS BIGINT) AS pctile_display
 FROM ranking""")
+
+# ------------------------------------------------------------------ angles (X)
+from moneytrail.functions import constants as K  # noqa: E402
+
+
+def lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def money(x: str) -> str:
+    return f"('$' || format('{{:,.0f}}', CAST({x} AS DOUBLE)))"
+
+
+def pct1(x: str) -> str:
+    return f"(format('{{:.1f}}', CAST(100 AS DOUBLE) * ({x})) || '%')"
+
+
+def r4(x: str) -> str:
+    return f"round_even({x}, 4)"
+
+
+def mapping(m: dict, key: str) -> str:
+    whens = " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in m.items())
+    return f"(CASE {key} {whens} END)"
+
+
+def display_name(n: str) -> str:
+    swapped = (f"trim(trim(substr({n}, position(',' IN {n}) + 1)) || ' ' || "
+               f"trim(substr({n}, 1, position(',' IN {n}) - 1)))")
+    s = f"(CASE WHEN position(',' IN {n}) > 0 THEN {swapped} ELSE {n} END)"
+    words = f"string_split_regex(trim({s}), '\\s+')"
+    fixed = (f"list_transform({words}, lambda w: CASE WHEN w = upper(w) AND w <> lower(w) "
+             f"THEN upper(substr(w, 1, 1)) || lower(substr(w, 2)) ELSE w END)")
+    return (f"(CASE WHEN {n} IS NULL OR {n} = '' THEN {n} "
+            f"ELSE array_to_string(list_filter({fixed}, lambda w: w <> ''), ' ') END)")
+
+
+ONE_MINUS_FLOOR_SMALL = f"(CAST(1 AS DOUBLE) - CAST({K.FLOOR_LOW_SMALL} AS DOUBLE))"
+FLOOR_OOS = f"CAST({K.FLOOR_OUT_OF_STATE} AS DOUBLE)"
+
+CARDS = f"""
+, cards AS (
+    SELECT CAND_ID AS cand_id, {display_name('CAND_NAME')} AS name, CAND_NAME AS name_fec,
+        CAND_PTY_AFFILIATION AS party,
+        coalesce({mapping(K.OFFICE_LABEL, 'CAND_OFFICE')}, CAND_OFFICE) AS office,
+        CAND_OFFICE_ST AS state, CAND_OFFICE_DISTRICT AS district,
+        coalesce({mapping(K.ICI_LABEL, 'CAND_ICI')}, CAND_ICI) AS incumbency,
+        coalesce(CAND_ELECTION_YR, 0) AS election_year,
+        CASE WHEN CAND_OFFICE = 'H'
+             THEN coalesce({mapping(K.OFFICE_LABEL, 'CAND_OFFICE')}, CAND_OFFICE) || ' '
+                  || CAND_OFFICE_ST || '-' || CAND_OFFICE_DISTRICT
+             ELSE coalesce({mapping(K.OFFICE_LABEL, 'CAND_OFFICE')}, CAND_OFFICE) || ', '
+                  || CAND_OFFICE_ST END AS region_note
+    FROM dim_candidates
+)
+"""
+q("candidate_card", CARDS + "SELECT * FROM cards")
+
+DIRS = f"""
+, dirs AS (
+    SELECT CAND_ID AS cand_id,
+        concat_ws('-', lower(CAND_OFFICE_ST),
+                  coalesce({mapping(K.OFFICE_SLUG, 'CAND_OFFICE')}, lower(CAND_OFFICE)),
+                  CASE WHEN CAND_OFFICE = 'H' THEN
+                      CASE WHEN length(coalesce(CAND_OFFICE_DISTRICT, 'None')) < 2
+                           THEN lpad(coalesce(CAND_OFFICE_DISTRICT, 'None'), 2, '0')
+                           ELSE coalesce(CAND_OFFICE_DISTRICT, 'None') END END,
+                  regexp_replace(regexp_replace(lower(CAND_NAME), '[^a-z0-9]+', '-', 'g'),
+                                 '^-+|-+$', '', 'g')) AS dirname
+    FROM dim_candidates
+)
+"""
+q("canonical_dirname", DIRS + "SELECT * FROM dirs")
+
+LINKED = """
+, linked AS (SELECT DISTINCT CAND_ID AS lc FROM candidate_committees)
+"""
+
+DS = f"""
+, ds AS (
+    SELECT cand_id,
+        coalesce(sum(amount) FILTER (WHERE substr(bucket, 1, 1) <> '5' AND amount > 0), 0) AS pos_amt,
+        coalesce(sum(n) FILTER (WHERE substr(bucket, 1, 1) <> '5' AND amount > 0), 0) AS pos_n,
+        coalesce(sum(amount) FILTER (WHERE substr(bucket, 1, 1) = '1'), 0) AS small_amt,
+        coalesce(sum(amount) FILTER (WHERE substr(bucket, 1, 1) = '4'), 0) AS mp_amt,
+        coalesce(sum(amount) FILTER (WHERE substr(bucket, 1, 1) = '5'), 0) AS refund_amt,
+        coalesce(sum(n) FILTER (WHERE substr(bucket, 1, 1) = '5'), 0) AS refund_n
+    FROM buckets GROUP BY cand_id
+),
+ds_emit AS (
+    SELECT *, {d('small_amt')} / {d('pos_amt')} AS ss, {d('mp_amt')} / {d('pos_amt')} AS mp_share,
+           CAST(1 AS DOUBLE) - {d('small_amt')} / {d('pos_amt')} >= {K.FLOOR_LOW_SMALL} AS featured
+    FROM ds WHERE pos_amt >= {K.MIN_INDIVIDUAL} AND pos_n >= {K.MIN_DONORS}
+),
+ds_rows AS (
+    SELECT b.cand_id, {lit(K.ANGLE_DONOR_SIZE)} AS angle_id, {lit(K.DONOR_SIZE_METRIC)} AS metric,
+        {r4('e.ss')} AS metric_value, e.featured,
+        coalesce({mapping(K.BUCKET_LABEL, 'substr(b.bucket, 1, 1)')}, b.bucket) AS bucket,
+        {d('b.amount')} AS amount, b.n AS count,
+        {r4(d('b.amount') + ' / ' + d('e.pos_amt'))} AS share_of_individual,
+        {d('e.pos_amt')} AS denominator_amount, CAST(e.pos_n AS BIGINT) AS denominator_count,
+        {d('e.refund_amt')} AS refund_amount, CAST(e.refund_n AS BIGINT) AS refund_count
+    FROM buckets b JOIN ds_emit e ON e.cand_id = b.cand_id
+    WHERE substr(b.bucket, 1, 1) <> '5' AND b.amount > 0
+)
+"""
+q("angle_donor_size", BUCKETS + DS + LINKED + """
+SELECT * FROM ds_rows WHERE cand_id IN (SELECT lc FROM linked)""")
+
+GEO = FACTS + TOP_STATES + f"""
+, geo AS (
+    SELECT f.cand_id, f.CAND_NAME, f.CAND_OFFICE_ST AS home, f.ind, f.ind_count, f.instate,
+        ({d('f.ind')} - {d('f.instate')}) / {d('f.ind')} AS oos,
+        f.ind - coalesce(t.top_amt, 0) AS rem,
+        f.ind_count - coalesce(t.top_n, 0) AS rem_n
+    FROM facts f
+    LEFT JOIN (SELECT cand_id, sum(amount) AS top_amt, sum(n) AS top_n FROM top_states GROUP BY 1) t
+      ON t.cand_id = f.cand_id
+    WHERE f.ind >= {K.MIN_INDIVIDUAL}
+),
+geo_rows AS (
+    SELECT s.cand_id, CAST(s.rank AS INTEGER) AS row_order, s.donor_state AS state,
+        CASE WHEN coalesce(s.donor_state = g.home, false)
+             THEN coalesce({mapping(K.STATE_NAMES, 's.donor_state')}, s.donor_state, '?')
+                  || {lit(K.GEOGRAPHY_HOME_SUFFIX)}
+             ELSE coalesce({mapping(K.STATE_NAMES, 's.donor_state')}, s.donor_state, '?') END AS label,
+        {d('s.amount')} AS amount, s.n AS count,
+        {r4(d('s.amount') + ' / ' + d('g.ind'))} AS share_of_individual,
+        coalesce(s.donor_state = g.home, false) AS in_state, g.oos, g.ind, g.instate
+    FROM top_states s JOIN geo g ON g.cand_id = s.cand_id
+    UNION ALL
+    SELECT cand_id, 99, CAST(NULL AS VARCHAR), {lit(K.GEOGRAPHY_OTHER)}, {d('rem')}, rem_n,
+        {r4(d('rem') + ' / ' + d('ind'))}, false, oos, ind, instate
+    FROM geo WHERE {d('rem')} > 0.5
+),
+geo_flat AS (
+    SELECT cand_id, {lit(K.ANGLE_GEOGRAPHY)} AS angle_id, {lit(K.GEOGRAPHY_METRIC)} AS metric,
+        {r4('oos')} AS metric_value, oos >= {FLOOR_OOS} AS featured, row_order, state, label,
+        amount, count, share_of_individual, in_state, {d('ind')} AS denominator_amount,
+        {d('instate')} AS in_state_amount, {r4('CAST(1 AS DOUBLE) - oos')} AS in_state_share,
+        {d('ind')} - {d('instate')} AS out_of_state_amount, {r4('oos')} AS out_of_state_share
+    FROM geo_rows
+)
+"""
+q("angle_geography", GEO + LINKED + """
+SELECT * FROM geo_flat WHERE cand_id IN (SELECT lc FROM linked)""")
+
+q("angles_skipped", FACTS + BUCKETS + DS + LINKED + f"""
+SELECT * FROM (
+    SELECT cand_id, {lit(K.ANGLE_DONOR_SIZE)} AS angle_id,
+        printf({lit(K.DONOR_SIZE_SKIP)}, {money('pos_amt')}, CAST(pos_n AS VARCHAR)) AS reason
+    FROM ds WHERE NOT (pos_amt >= {K.MIN_INDIVIDUAL} AND pos_n >= {K.MIN_DONORS}) AND pos_amt > 0
+    UNION ALL
+    SELECT cand_id, {lit(K.ANGLE_GEOGRAPHY)}, printf({lit(K.GEOGRAPHY_SKIP)}, {money('ind')})
+    FROM facts WHERE ind > 0 AND ind < {K.MIN_INDIVIDUAL}
+) WHERE cand_id IN (SELECT lc FROM linked)""")
+
+q("angle_documents", GEO + BUCKETS + DS + CARDS + LINKED + f"""
+, docs AS (
+    SELECT e.cand_id, {lit(K.ANGLE_DONOR_SIZE)} AS angle_id, {lit(K.DONOR_SIZE_TITLE)} AS title,
+        CASE WHEN e.featured
+             THEN printf({lit(K.DONOR_SIZE_REASON_FEATURED)}, {money('e.mp_amt')}, {pct1('e.mp_share')},
+                         {pct1('e.ss')}, {pct1(ONE_MINUS_FLOOR_SMALL)})
+             ELSE printf({lit(K.DONOR_SIZE_REASON_CONTEXT)}, {pct1('e.ss')}) END AS reason,
+        {lit(K.DONOR_SIZE_METRIC)} AS metric, {r4('e.ss')} AS metric_value,
+        printf({lit(K.DONOR_SIZE_THRESHOLD)}, {pct1(ONE_MINUS_FLOOR_SMALL)}, {pct1('e.ss')}) AS threshold,
+        e.featured,
+        CASE WHEN e.featured
+             THEN printf({lit(K.DONOR_SIZE_HEADLINE_FEATURED)}, {pct1('e.ss')}, {pct1('e.mp_share')})
+             ELSE {lit(K.DONOR_SIZE_HEADLINE_CONTEXT)} END AS headline,
+        printf({lit(K.DONOR_SIZE_SUBHEAD)}, c.name, {money('e.pos_amt')}) AS subhead,
+        {lit(K.DONOR_SIZE_DENOMINATOR)} AS denominator_label,
+        {d('e.pos_amt')} AS denominator_amount, CAST(e.pos_n AS BIGINT) AS denominator_count,
+        (SELECT count(*) FROM buckets b WHERE b.cand_id = e.cand_id
+            AND substr(b.bucket, 1, 1) <> '5' AND b.amount > 0) AS n_rows,
+        {len(K.DONOR_SIZE_NOTES)} + CASE WHEN e.refund_amt <> 0 THEN 1 ELSE 0 END AS n_footnotes,
+        {lit(K.DONOR_SIZE_SOURCE)} AS source
+    FROM ds_emit e LEFT JOIN cards c ON c.cand_id = e.cand_id
+    UNION ALL
+    SELECT g.cand_id, {lit(K.ANGLE_GEOGRAPHY)}, {lit(K.GEOGRAPHY_TITLE)},
+        CASE WHEN g.oos >= {FLOOR_OOS}
+             THEN printf({lit(K.GEOGRAPHY_REASON_FEATURED)}, {pct1('g.oos')}, g.home, {pct1(FLOOR_OOS)})
+             ELSE printf({lit(K.GEOGRAPHY_REASON_CONTEXT)}, {pct1('CAST(1 AS DOUBLE) - g.oos')}, g.home,
+                         {pct1('g.oos')}, {pct1(FLOOR_OOS)}) END,
+        {lit(K.GEOGRAPHY_METRIC)}, {r4('g.oos')},
+        printf({lit(K.GEOGRAPHY_THRESHOLD)}, {pct1(FLOOR_OOS)}, {pct1('g.oos')}),
+        g.oos >= {FLOOR_OOS},
+        CASE WHEN g.oos >= {FLOOR_OOS}
+             THEN printf({lit(K.GEOGRAPHY_HEADLINE_FEATURED)}, {pct1('g.oos')})
+             ELSE printf({lit(K.GEOGRAPHY_HEADLINE_CONTEXT)}, {pct1('CAST(1 AS DOUBLE) - g.oos')},
+                         coalesce({mapping(K.STATE_NAMES, 'g.home')}, g.home)) END,
+        printf({lit(K.GEOGRAPHY_SUBHEAD)}, c.name, {money('g.ind')}),
+        {lit(K.GEOGRAPHY_DENOMINATOR)}, {d('g.ind')}, g.ind_count,
+        (SELECT count(*) FROM top_states s WHERE s.cand_id = g.cand_id)
+            + CASE WHEN {d('g.rem')} > 0.5 THEN 1 ELSE 0 END,
+        {len(K.GEOGRAPHY_NOTES)}, {lit(K.GEOGRAPHY_SOURCE)}
+    FROM geo g LEFT JOIN cards c ON c.cand_id = g.cand_id
+)
+SELECT * FROM docs WHERE cand_id IN (SELECT lc FROM linked)""")
+
+q("chart_reconciliation", GEO + BUCKETS + DS + LINKED + """
+, rec AS (
+    SELECT cand_id, angle_id, CAST(sum(CAST(amount AS DECIMAL(24,2))) AS DOUBLE) AS rows_total,
+           first(denominator_amount) AS denominator
+    FROM (SELECT cand_id, angle_id, amount, denominator_amount FROM ds_rows
+          UNION ALL SELECT cand_id, angle_id, amount, denominator_amount FROM geo_flat)
+    GROUP BY 1, 2
+)
+SELECT cand_id, angle_id, rows_total, denominator, round_even(rows_total - denominator, 2) AS diff,
+       abs(rows_total - denominator) <= 1 AS ok
+FROM rec WHERE cand_id IN (SELECT lc FROM linked)""")
+
+_TIERS = " UNION ALL ".join(f"SELECT {i} AS tier_order, {lit(t)} AS tier"
+                            for i, t in enumerate(K.DONOR_TIERS, 1))
+q("donor_inversion", BUCKETS + DS + LINKED + f"""
+, tiers AS ({_TIERS}),
+docs AS (
+    SELECT cand_id, first(denominator_amount) AS den_amt, first(denominator_count) AS den_n,
+        sum(amount) FILTER (WHERE bucket = {lit(K.DONOR_TIERS[0])}) AS small,
+        sum(amount) FILTER (WHERE bucket = {lit(K.DONOR_TIERS[3])}) AS mx
+    FROM ds_rows GROUP BY 1
+)
+SELECT d.cand_id, t.tier_order, t.tier, CAST(coalesce(r.count, 0) AS BIGINT) AS count,
+    coalesce(r.amount, 0.0) AS amount,
+    CASE WHEN d.den_n <> 0 THEN CAST(coalesce(r.count, 0) AS DOUBLE) / CAST(d.den_n AS DOUBLE)
+         ELSE 0.0 END AS gift_share,
+    CASE WHEN d.den_amt <> 0 THEN coalesce(r.amount, 0.0) / d.den_amt ELSE 0.0 END AS money_share,
+    CASE WHEN coalesce(d.small, 0.0) <> 0 THEN coalesce(d.mx, 0.0) / coalesce(d.small, 0.0)
+         ELSE 0.0 END AS maxout_to_small_ratio
+FROM docs d JOIN tiers t ON true
+LEFT JOIN ds_rows r ON r.cand_id = d.cand_id AND r.bucket = t.tier
+WHERE d.cand_id IN (SELECT lc FROM linked)""")
