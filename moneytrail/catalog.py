@@ -387,3 +387,262 @@ def _s12(spark, sf):
                        F.col("angle.featured").alias("featured"),
                        F.size("chart.rows").alias("n_rows"),
                        F.size("footnotes").alias("n_footnotes"))
+
+
+# ------------------------------------------------------------------ semantic (L)
+from moneytrail.operators import semantic  # noqa: E402
+
+
+@register("sem_candidate_count")
+def _l1(spark, sf):
+    return semantic.sem_candidate_count(S(spark, sf).candidates)
+
+
+@register("sem_committee_interest")
+def _l2(spark, sf):
+    s = S(spark, sf)
+    return semantic.sem_committee_interest(s.committees, s.tags)
+
+
+@register("sem_contributions")
+def _l3(spark, sf):
+    s = S(spark, sf)
+    return semantic.sem_contributions(s.contributions, s.committees, s.candidates)
+
+
+@register("sem_individual")
+def _l4(spark, sf):
+    s = S(spark, sf)
+    return semantic.sem_individual(s.individual, s.committees)
+
+
+@register("sem_ie")
+def _l5(spark, sf):
+    s = S(spark, sf)
+    return semantic.sem_ie(s.ie, s.committees, s.candidates)
+
+
+@register("sem_money_measures")
+def _l6(spark, sf):
+    s = S(spark, sf)
+    return semantic.sem_money_measures(s.money, s.candidates)
+
+
+@register("interest_backing")
+def _l7(spark, sf):
+    s = S(spark, sf)
+    return semantic.interest_backing(s.money, s.candidates)
+
+
+@register("individual_by_state")
+def _l8(spark, sf):
+    s = S(spark, sf)
+    return semantic.individual_by_state(s.money, s.candidates)
+
+
+# ------------------------------------------------------------------ quality (D)
+from moneytrail.operators import quality  # noqa: E402
+from moneytrail.sources.schemas import TABLE_OF_DATASET  # noqa: E402
+
+
+@register("table_profile")
+def _d1(spark, sf):
+    return quality.table_profile(S(spark, sf).curated_tables())
+
+
+@register("column_dictionary")
+def _d2(spark, sf):
+    return quality.column_dictionary(spark, S(spark, sf).curated_tables())
+
+
+@register("dictionary_drift")
+def _d3(spark, sf):
+    return quality.dictionary_drift(spark, S(spark, sf).curated_tables())
+
+
+@register("raw_profile")
+def _d4(spark, sf):
+    return quality.raw_profile(S(spark, sf).raws())
+
+
+@register("profile_staleness")
+def _d5(spark, sf):
+    """The profile stored at landing time against a fresh one."""
+    s = S(spark, sf)
+    path = s.path("profile")
+    import os
+    if not os.path.exists(path):
+        quality.table_profile(s.curated_tables()).write.mode("overwrite").parquet(path)
+    return quality.profile_staleness(spark.read.parquet(path),
+                                     quality.table_profile(s.curated_tables()))
+
+
+@register("raw_vs_curated_counts")
+def _d6(spark, sf):
+    s = S(spark, sf)
+    return quality.raw_vs_curated_counts(s.raws(), s.curated_tables(), TABLE_OF_DATASET)
+
+
+@register("dictionary_tag_report")
+def _d7(spark, sf):
+    s = S(spark, sf)
+    return quality.dictionary_tag_report(s.interest_entries(), s.committees)
+
+
+@register("tag_conflicts")
+def _d8(spark, sf):
+    return quality.tag_conflicts(S(spark, sf).interest_entries())
+
+
+@register("channel_counts")
+def _d9(spark, sf):
+    return quality.channel_counts(S(spark, sf).money)
+
+
+@register("null_checks")
+def _d10(spark, sf):
+    return quality.null_checks(S(spark, sf).money)
+
+
+@register("link_checks")
+def _d11(spark, sf):
+    return quality.link_checks(S(spark, sf).links)
+
+
+@register("derived_total_identity")
+def _d12(spark, sf):
+    s = S(spark, sf)
+    return quality.derived_total_identity(reports.candidate_totals(s.money, s.candidates))
+
+
+@register("pac_types_by_category")
+def _d13(spark, sf):
+    s = S(spark, sf)
+    return quality.pac_types_by_category(s.contributions, s.tags)
+
+
+@register("ie_raw_vs_clean")
+def _d14(spark, sf):
+    s = S(spark, sf)
+    return quality.ie_raw_vs_clean(s.ie, s.clean_ie)
+
+
+@register("category_ie_support")
+def _d15(spark, sf):
+    s = S(spark, sf)
+    return quality.category_ie_support(s.clean_ie, s.tags)
+
+
+@register("key_uniqueness")
+def _d16(spark, sf):
+    s = S(spark, sf)
+    return quality.key_uniqueness({
+        "fact_individual_contributions": (s.individual, "SUB_ID"),
+        "fact_contributions": (s.contributions, "SUB_ID"),
+        "fact_independent_expenditures": (s.ie, "IE_ID"),
+        "dim_candidates": (s.candidates, "CAND_ID"),
+        "dim_committees": (s.committees, "CMTE_ID"),
+    })
+
+
+@register("orphan_references")
+def _d17(spark, sf):
+    s = S(spark, sf)
+    return quality.orphan_references([
+        ("fact_independent_expenditures", s.ie, "TARGET_CAND_ID", "dim_candidates",
+         s.candidates, "CAND_ID"),
+        ("fact_independent_expenditures", s.ie, "SPENDER_CMTE_ID", "dim_committees",
+         s.committees, "CMTE_ID"),
+        ("fact_contributions", s.contributions, "TARGET_CAND_ID", "dim_candidates",
+         s.candidates, "CAND_ID"),
+        ("fact_contributions", s.contributions, "SOURCE_CMTE_ID", "dim_committees",
+         s.committees, "CMTE_ID"),
+        ("fact_individual_contributions", s.individual, "TARGET_CMTE_ID", "dim_committees",
+         s.committees, "CMTE_ID"),
+    ])
+
+
+@register("unparsed_values")
+def _d18(spark, sf):
+    return quality.unparsed_values(S(spark, sf).raws())
+
+
+# ------------------------------------------------------------------ sources (S)
+from moneytrail.sources import interests  # noqa: E402
+from moneytrail.streaming import refresh  # noqa: E402
+from moneytrail.sources.fixture import CYCLE  # noqa: E402
+
+
+@register("scan_pipe_raw")
+def _s1(spark, sf):
+    """Write the landed individual dataset in the bulk pipe form, read it back."""
+    s = S(spark, sf)
+    path = scratch_path(spark, "pipe", unique=True)
+    files.write_pipe_text(s.raw("indiv"), path)
+    return files.scan_pipe_raw(spark, path, "indiv")
+
+
+@register("scan_ie_csv")
+def _s2(spark, sf):
+    """Write the landed IE dataset as quoted CSV with a header, read it back."""
+    s = S(spark, sf)
+    path = scratch_path(spark, "iecsv", unique=True)
+    files.write_ie_csv(s.raw("ie"), path)
+    return files.scan_ie_csv(spark, path)
+
+
+@register("land_raw_parquet")
+def _s4(spark, sf):
+    s = S(spark, sf)
+    return files.landed_counts(spark, {ds: s.raw_path(ds) for ds in DATASETS_ORDER})
+
+
+@register("scan_raw_parquet")
+def _s5(spark, sf):
+    s = S(spark, sf)
+    return files.scan_raw_parquet(spark, s.raw_path("pas2"), "pas2")
+
+
+@register("replace_curated")
+def _s6(spark, sf):
+    """Full replace, twice: the second write leaves the same table."""
+    s = S(spark, sf)
+    path = scratch_path(spark, "replace", unique=True)
+    files.replace_curated(s.candidates, path)
+    return files.replace_curated(s.candidates, path)
+
+
+@register("scan_interest_dictionary")
+def _s7(spark, sf):
+    return S(spark, sf).interest_entries()
+
+
+@register("load_group_mappings")
+def _s8(spark, sf):
+    s = S(spark, sf)
+    return interests.load_group_mappings(s.interest_entries(), s.committees)
+
+
+@register("snapshot_changes")
+def _s9(spark, sf):
+    s = S(spark, sf)
+    return refresh.snapshot_changes(refresh.manifest(s.raws(), CYCLE), s.manifest())
+
+
+@register("rebuild_set")
+def _s10(spark, sf):
+    s = S(spark, sf)
+    import os
+    existing = spark.createDataFrame(
+        [(t,) for t in TABLE_OF_DATASET.values() if os.path.exists(s.table_path(t))],
+        "table string")
+    changes = refresh.snapshot_changes(refresh.manifest(s.raws(), CYCLE), s.manifest())
+    return refresh.rebuild_set(changes, existing, TABLE_OF_DATASET)
+
+
+@register("single_cycle_guard")
+def _s11(spark, sf):
+    return refresh.single_cycle_guard(S(spark, sf).manifest(), CYCLE)
+
+
+from moneytrail.sources.schemas import DATASETS as DATASETS_ORDER  # noqa: E402

@@ -677,3 +677,237 @@ SELECT d.cand_id, t.tier_order, t.tier, CAST(coalesce(r.count, 0) AS BIGINT) AS
 FROM docs d JOIN tiers t ON true
 LEFT JOIN ds_rows r ON r.cand_id = d.cand_id AND r.bucket = t.tier
 WHERE d.cand_id IN (SELECT lc FROM linked)""")
+
+# ------------------------------------------------------------------ semantic (L)
+q("sem_candidate_count", """
+SELECT CAND_OFFICE AS office, CAND_PTY_AFFILIATION AS party, CAND_OFFICE_ST AS home_state,
+       CAND_ICI = 'I' AS is_incumbent, count(*) AS candidate_count
+FROM dim_candidates GROUP BY 1, 2, 3, 4""")
+
+q("sem_committee_interest", """
+SELECT c.CMTE_ID, c.CMTE_NM, c.CMTE_TP AS committee_type, g.custom_category AS interest_category
+FROM dim_committees c LEFT JOIN dim_group_mappings g ON g.CMTE_ID = c.CMTE_ID""")
+
+q("sem_contributions", f"""
+, j AS (
+    SELECT f.*, cm.CMTE_TP AS committee_type, cd.CAND_OFFICE AS office,
+           NOT (f.TRANSACTION_TP = '24E' OR f.TRANSACTION_TP = '24A' OR f.TRANSACTION_TP = '24C'
+                OR f.TRANSACTION_TP = '24N') AS is_direct
+    FROM fact_contributions f
+    LEFT JOIN dim_committees cm ON cm.CMTE_ID = f.SOURCE_CMTE_ID
+    LEFT JOIN dim_candidates cd ON cd.CAND_ID = f.TARGET_CAND_ID
+)
+SELECT office, committee_type,
+    {d("coalesce(sum(AMOUNT) FILTER (WHERE is_direct), 0)")} AS direct_amount,
+    {d("coalesce(sum(AMOUNT), 0)")} AS total_amount,
+    {d("coalesce(sum(AMOUNT) FILTER (WHERE TRANSACTION_TP = '24E'), 0)")} AS ie_for_amount,
+    {d("coalesce(sum(AMOUNT) FILTER (WHERE TRANSACTION_TP = '24A'), 0)")} AS ie_against_amount,
+    count(*) AS n
+FROM j GROUP BY 1, 2""")
+
+q("sem_individual", f"""
+SELECT cm.CMTE_TP AS committee_type, i.STATE AS donor_state,
+       (i.AMOUNT <= 200 AND i.AMOUNT > 0) AS is_small_dollar,
+       {d("coalesce(sum(i.AMOUNT), 0)")} AS total_amount, count(*) AS n
+FROM fact_individual_contributions i
+LEFT JOIN dim_committees cm ON cm.CMTE_ID = i.TARGET_CMTE_ID
+GROUP BY 1, 2, 3""")
+
+q("sem_ie", f"""
+, j AS (
+    SELECT i.*, sp.CMTE_ID AS spender, cd.CAND_OFFICE AS office, cd.CAND_PTY_AFFILIATION AS party
+    FROM fact_independent_expenditures i
+    LEFT JOIN (SELECT DISTINCT CMTE_ID FROM dim_committees) sp ON sp.CMTE_ID = i.SPENDER_CMTE_ID
+    LEFT JOIN dim_candidates cd ON cd.CAND_ID = i.TARGET_CAND_ID
+)
+SELECT office, party,
+    {d("coalesce(sum(AMOUNT) FILTER (WHERE AMNDT_IND = 'N' AND spender IS NOT NULL AND SUPPORT_OPPOSE = 'S'), 0)")} AS support_amount,
+    {d("coalesce(sum(AMOUNT) FILTER (WHERE AMNDT_IND = 'N' AND spender IS NOT NULL AND SUPPORT_OPPOSE = 'O'), 0)")} AS oppose_amount,
+    {d("coalesce(sum(AMOUNT), 0)")} AS raw_amount
+FROM j GROUP BY 1, 2""")
+
+MC = """
+, mc AS (
+    SELECT m.*, c.CAND_NAME, c.CAND_OFFICE, c.CAND_OFFICE_ST, c.CAND_OFFICE_DISTRICT,
+           c.CAND_PTY_AFFILIATION
+    FROM candidate_money m LEFT JOIN dim_candidates c ON c.CAND_ID = m.cand_id
+)
+"""
+q("sem_money_measures", MC + f"""
+, meas AS (
+    SELECT CAND_OFFICE, CAND_PTY_AFFILIATION,
+        coalesce(sum(amount) FILTER (WHERE channel = 'individual'), 0) AS ind,
+        coalesce(sum(amount) FILTER (WHERE channel = 'direct_pac'), 0) AS dpac,
+        coalesce(sum(amount) FILTER (WHERE channel = 'ie_support'), 0) AS sup,
+        coalesce(sum(amount) FILTER (WHERE channel = 'ie_oppose'), 0) AS opp,
+        coalesce(sum(amount) FILTER (WHERE channel = 'individual' AND donor_state = CAND_OFFICE_ST), 0) AS ins,
+        coalesce(sum(amount) FILTER (WHERE channel = 'individual' AND amount > 0 AND amount <= 200), 0) AS sml,
+        coalesce(sum(amount) FILTER (WHERE channel = 'individual' OR channel = 'direct_pac'), 0) AS raised,
+        coalesce(sum(amount) FILTER (WHERE NOT (channel = 'ie_oppose')), 0) AS backing
+    FROM mc GROUP BY 1, 2
+)
+SELECT CAND_OFFICE, CAND_PTY_AFFILIATION,
+    {d('ind')} AS individual_amount, {d('dpac')} AS direct_pac_amount,
+    {d('sup')} AS ie_support_amount, {d('opp')} AS ie_oppose_amount,
+    {d('ins')} AS in_state_amount, {d('sml')} AS small_dollar_amount,
+    {d('raised')} AS raised, {d('backing')} AS total_backing,
+    CASE WHEN {d('raised')} <> 0 THEN {d('dpac')} / {d('raised')} END AS pac_share,
+    CAST(1 AS DOUBLE) - CASE WHEN {d('ind')} <> 0 THEN {d('ins')} / {d('ind')} END AS out_of_state_share,
+    CASE WHEN {d('ind')} <> 0 THEN {d('sml')} / {d('ind')} END AS small_dollar_share,
+    CASE WHEN {d('backing')} <> 0 THEN {d('sup')} / {d('backing')} END AS outside_share
+FROM meas""")
+
+q("interest_backing", MC + f"""
+SELECT cand_id, CAND_NAME, CAND_OFFICE, CAND_OFFICE_ST, CAND_OFFICE_DISTRICT, interest_category,
+       {d('sum(amount)')} AS backing_in_category
+FROM mc WHERE channel <> 'ie_oppose' AND interest_category IS NOT NULL
+GROUP BY 1, 2, 3, 4, 5, 6""")
+
+q("individual_by_state", MC + f"""
+SELECT cand_id, CAND_NAME, CAND_OFFICE, CAND_OFFICE_ST, CAND_OFFICE_DISTRICT, donor_state,
+       {d('sum(amount)')} AS state_amount
+FROM mc WHERE channel = 'individual' AND amount > 0 AND donor_state <> CAND_OFFICE_ST
+GROUP BY 1, 2, 3, 4, 5, 6""")
+
+# ------------------------------------------------------------------ quality (D)
+from moneytrail.operators.quality import TABLE_DOCS  # noqa: E402
+
+CURATED = [("dim_candidates", 10), ("dim_committees", 8), ("bridge_candidate_committee", 6),
+           ("fact_contributions", 11), ("fact_individual_contributions", 17),
+           ("fact_independent_expenditures", 18), ("dim_group_mappings", 3)]
+q("table_profile", "\n" + " UNION ALL ".join(
+    f"SELECT {lit(t)} AS \"table\", count(*) AS rows, CAST({n} AS BIGINT) AS cols, "
+    f"{lit(TABLE_DOCS[t]['grain'])} AS grain FROM {t}" for t, n in CURATED))
+
+RAWS = [("cn", 15), ("cm", 15), ("ccl", 7), ("pas2", 22), ("indiv", 21), ("ie", 23)]
+q("raw_profile", "\n" + " UNION ALL ".join(
+    f"SELECT 'raw_{ds}.parquet' AS file, count(*) AS rows, CAST({n} AS BIGINT) AS cols "
+    f"FROM raw_{ds}" for ds, n in RAWS))
+
+q("profile_staleness", """
+SELECT CAST(NULL AS VARCHAR) AS "table", CAST(NULL AS BIGINT) AS rows, CAST(NULL AS BIGINT) AS cols,
+       CAST(NULL AS VARCHAR) AS grain, CAST(NULL AS VARCHAR) AS side
+FROM dim_candidates WHERE false""")
+
+_TABLE_OF = {"cn": "dim_candidates", "cm": "dim_committees", "ccl": "bridge_candidate_committee",
+             "pas2": "fact_contributions", "indiv": "fact_individual_contributions",
+             "ie": "fact_independent_expenditures"}
+q("raw_vs_curated_counts", "\n" + " UNION ALL ".join(
+    f"SELECT '{ds}' AS dataset, '{t}' AS \"table\", (SELECT count(*) FROM raw_{ds}) AS raw_rows, "
+    f"(SELECT count(*) FROM {t}) AS table_rows, "
+    f"(SELECT count(*) FROM raw_{ds}) = (SELECT count(*) FROM {t}) AS equal"
+    for ds, t in _TABLE_OF.items()))
+
+q("dictionary_tag_report", """
+SELECT e.category, count(*) AS entries, count(*) FILTER (WHERE k.CMTE_ID IS NOT NULL) AS valid,
+       count(*) FILTER (WHERE k.CMTE_ID IS NULL) AS unknown
+FROM dict_entries e LEFT JOIN (SELECT DISTINCT CMTE_ID FROM dim_committees) k ON k.CMTE_ID = e.cmte_id
+GROUP BY 1""")
+
+q("tag_conflicts", """
+SELECT cmte_id, count(DISTINCT category) AS n_categories,
+       array_to_string(list_sort(list_distinct(list(category))), '|') AS categories
+FROM dict_entries GROUP BY 1 HAVING count(DISTINCT category) > 1""")
+
+q("channel_counts", f"""
+SELECT channel, count(*) AS n, {d('sum(amount)')} AS amount FROM candidate_money GROUP BY 1""")
+
+q("null_checks", """
+SELECT count(*) FILTER (WHERE amount IS NULL) AS null_amount,
+       count(*) FILTER (WHERE contributor_name IS NULL) AS null_name
+FROM candidate_money WHERE channel = 'individual'""")
+
+q("link_checks", """
+SELECT count(*) FILTER (WHERE NOT CMTE_DSGN IN ('P', 'A')) AS bad_designation,
+       count(*) FILTER (WHERE NOT CMTE_TP IN ('H', 'S', 'P')) AS bad_type
+FROM candidate_committees""")
+
+q("derived_total_identity", TOTALS + f"""
+SELECT cand_id, {d('raised')} AS raised, {d('individual_amount + direct_pac_amount')} AS individual_plus_pac,
+       {d('total_backing')} AS total_backing,
+       {d('raised + ie_support_amount')} AS raised_plus_ie_support,
+       round(raised, 0) = round(individual_amount + direct_pac_amount, 0) AS raised_ok,
+       round(total_backing, 0) = round(raised + ie_support_amount, 0) AS backing_ok
+FROM totals""")
+
+q("pac_types_by_category", f"""
+SELECT g.custom_category AS category, f.TRANSACTION_TP, count(*) AS n,
+       {d('sum(f.AMOUNT)')} AS amount,
+       coalesce(f.TRANSACTION_TP IN ('24E', '24A', '24C', '24N'), true) AS excluded
+FROM fact_contributions f JOIN dim_group_mappings g ON g.CMTE_ID = f.SOURCE_CMTE_ID
+GROUP BY 1, 2""")
+
+q("ie_raw_vs_clean", f"""
+, sums AS (
+    SELECT (SELECT sum(AMOUNT) FROM fact_independent_expenditures) AS raw_amount,
+           (SELECT sum(AMOUNT) FROM clean_independent_expenditures) AS clean_amount
+)
+SELECT {d('raw_amount')} AS raw_amount, {d('clean_amount')} AS clean_amount,
+       CASE WHEN clean_amount <> 0 THEN {d('raw_amount')} / {d('clean_amount')} END AS raw_to_clean
+FROM sums""")
+
+q("category_ie_support", f"""
+SELECT i.TARGET_CAND_ID AS cand_id, g.custom_category AS category, {d('sum(i.AMOUNT)')} AS amount
+FROM clean_independent_expenditures i JOIN dim_group_mappings g ON g.CMTE_ID = i.SPENDER_CMTE_ID
+WHERE i.SUPPORT_OPPOSE = 'S' GROUP BY 1, 2""")
+
+_KEYS = [("fact_individual_contributions", "SUB_ID"), ("fact_contributions", "SUB_ID"),
+         ("fact_independent_expenditures", "IE_ID"), ("dim_candidates", "CAND_ID"),
+         ("dim_committees", "CMTE_ID")]
+q("key_uniqueness", "\n" + " UNION ALL ".join(f"""
+SELECT '{t}' AS "table", '{k}' AS key, sum(c) AS rows,
+       count(*) FILTER (WHERE kk IS NOT NULL) AS distinct_keys,
+       count(*) FILTER (WHERE kk IS NOT NULL AND c > 1) AS dup_keys,
+       coalesce(sum(c) FILTER (WHERE kk IS NOT NULL AND c > 1), 0) AS dup_rows,
+       coalesce(sum(c) FILTER (WHERE kk IS NULL), 0) AS null_keys
+FROM (SELECT {k} AS kk, count(*) AS c FROM {t} GROUP BY 1)""" for t, k in _KEYS))
+
+_REFS = [("fact_independent_expenditures", "TARGET_CAND_ID", "dim_candidates", "CAND_ID"),
+         ("fact_independent_expenditures", "SPENDER_CMTE_ID", "dim_committees", "CMTE_ID"),
+         ("fact_contributions", "TARGET_CAND_ID", "dim_candidates", "CAND_ID"),
+         ("fact_contributions", "SOURCE_CMTE_ID", "dim_committees", "CMTE_ID"),
+         ("fact_individual_contributions", "TARGET_CMTE_ID", "dim_committees", "CMTE_ID")]
+q("orphan_references", "\n" + " UNION ALL ".join(f"""
+SELECT '{f}' AS fact, '{k}' AS key, '{dm}' AS dimension, count(*) AS rows,
+       count(*) FILTER (WHERE dd.x IS NOT NULL) AS matched,
+       CASE WHEN count(*) > 0 THEN CAST(count(*) FILTER (WHERE dd.x IS NOT NULL) AS DOUBLE)
+            / CAST(count(*) AS DOUBLE) END AS matched_share
+FROM {f} ff LEFT JOIN (SELECT DISTINCT {dk} AS x FROM {dm}) dd ON dd.x = ff.{k}"""
+    for f, k, dm, dk in _REFS))
+
+_TYPED = [("cn", "CAND_ELECTION_YR", "int"), ("ccl", "FEC_ELECTION_YR", "int"),
+          ("pas2", "SUB_ID", "bigint"), ("pas2", "TRANSACTION_AMT", "money"),
+          ("pas2", "TRANSACTION_DT", "mdy"),
+          ("indiv", "SUB_ID", "bigint"), ("indiv", "TRANSACTION_AMT", "money"),
+          ("indiv", "TRANSACTION_DT", "mdy"),
+          ("ie", "exp_amo", "money"), ("ie", "exp_date", "dmy"),
+          ("ie", "agg_amo", "money"), ("ie", "dissem_dt", "dmy")]
+
+
+def _typed(kind: str, c: str) -> str:
+    return {"int": f"TRY_CAST(round(TRY_CAST({c} AS DECIMAL(38,10))) AS INTEGER)",
+            "bigint": f"TRY_CAST(round(TRY_CAST({c} AS DECIMAL(38,10))) AS BIGINT)",
+            "money": f"TRY_CAST({c} AS DECIMAL(14,2))",
+            "mdy": f"TRY_STRPTIME({c}, '%m%d%Y')",
+            "dmy": f"TRY_STRPTIME({c}, '%d-%b-%y')"}[kind]
+
+
+q("unparsed_values", "\n" + " UNION ALL ".join(f"""
+SELECT '{ds}' AS dataset, '{c}' AS "column",
+       count(*) FILTER (WHERE {c} IS NULL OR trim({c}) = '') AS blank,
+       count(*) FILTER (WHERE NOT ({c} IS NULL OR trim({c}) = '') AND {_typed(k, c)} IS NULL) AS unparsed
+FROM raw_{ds}""" for ds, c, k in _TYPED))
+
+# ------------------------------------------------------------------ sources (S)
+q("scan_pipe_raw", "SELECT * FROM raw_indiv")
+q("scan_ie_csv", "SELECT * FROM raw_ie")
+q("land_raw_parquet", "\n" + " UNION ALL ".join(
+    f"SELECT '{ds}' AS dataset, count(*) AS rows, CAST({n} AS BIGINT) AS cols FROM raw_{ds}"
+    for ds, n in RAWS))
+q("scan_raw_parquet", "SELECT * FROM raw_pas2")
+q("replace_curated", "SELECT * FROM dim_candidates")
+q("scan_interest_dictionary", "SELECT cmte_id, category, notes FROM dict_entries")
+q("load_group_mappings", "SELECT * FROM dim_group_mappings")
+q("single_cycle_guard", "\n" + "SELECT '2026' AS cycle, CAST(6 AS BIGINT) AS datasets, ("
+  + " + ".join(f"(SELECT count(*) FROM raw_{ds})" for ds, _ in RAWS)
+  + ") AS rows, true AS ok")

@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from moneytrail.operators import curate, views
 from moneytrail.plans.session import prepare, scratch_path
 from moneytrail.sources import files, interests
-from moneytrail.sources.fixture import Fixture
+from moneytrail.sources.fixture import CYCLE, Fixture
+from moneytrail.streaming import refresh
 from moneytrail.sources.schemas import DATASETS, TABLE_OF_DATASET, raw_schema
 
 INPUT_TABLES = ["nation", "supplier", "customer", "part", "orders", "lineitem", "events"]
@@ -32,8 +33,18 @@ _lock = threading.Lock()
 _stores: dict[tuple[str, str], "Store"] = {}
 
 
+# Code that decides what is landed: a change to it lands a new store.
+_LANDING_MODULES = ["sources/fixture.py", "sources/schemas.py", "sources/interests.py",
+                    "sources/files.py", "operators/curate.py", "functions/parse.py",
+                    "plans/store.py", "streaming/refresh.py"]
+
+
 def input_fingerprint(sf_dir: str) -> str:
     h = hashlib.sha256(os.path.abspath(sf_dir).encode())
+    pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for m in _LANDING_MODULES:
+        with open(os.path.join(pkg, m), "rb") as fh:
+            h.update(hashlib.sha256(fh.read()).digest())
     for t in INPUT_TABLES:
         p = os.path.join(sf_dir, f"{t}.parquet")
         try:
@@ -75,6 +86,19 @@ class Store:
     def table_path(self, name: str) -> str:
         return self.path("curated", name)
 
+    def manifest_path(self) -> str:
+        return self.path("manifest")
+
+    def manifest(self) -> DataFrame:
+        return self.spark.read.parquet(self.manifest_path())
+
+    def curated_tables(self) -> dict[str, DataFrame]:
+        names = [TABLE_OF_DATASET[ds] for ds in DATASETS] + ["dim_group_mappings"]
+        return {n: self.table(n) for n in names}
+
+    def raws(self) -> dict[str, DataFrame]:
+        return {ds: self.raw(ds) for ds in DATASETS}
+
     def dictionary_path(self) -> str:
         return self.path("dictionary", "committee_interests.csv")
 
@@ -91,6 +115,8 @@ class Store:
         committees = self.spark.read.parquet(self.table_path("dim_committees"))
         files.replace_curated(interests.load_group_mappings(entries, committees),
                               self.table_path("dim_group_mappings"))
+        raws = {ds: self.raw(ds) for ds in DATASETS}
+        refresh.manifest(raws, CYCLE).write.mode("overwrite").parquet(self.manifest_path())
         os.makedirs(self.root, exist_ok=True)
         with open(os.path.join(self.root, "_LANDED"), "w") as fh:
             fh.write(self.sf_dir + "\n")
