@@ -93,7 +93,7 @@ def _v3(spark, sf):
 
 @register("candidate_money")
 def _v4(spark, sf):
-    return S(spark, sf).money
+    return S(spark, sf).money_view
 
 
 @register("money_individual")
