@@ -120,28 +120,28 @@ def _v4d(spark, sf):
 @register("candidate_totals")
 def _q1(spark, sf):
     s = S(spark, sf)
-    return reports.candidate_totals(s.money, s.candidates)
+    return reports.candidate_totals(s.rollup, s.candidates)
 
 
 @register("candidate_buckets")
 def _q2(spark, sf):
-    return reports.candidate_buckets(S(spark, sf).money)
+    return reports.candidate_buckets(S(spark, sf).rollup)
 
 
 @register("candidate_top_states")
 def _q3(spark, sf):
-    return reports.candidate_top_states(S(spark, sf).money)
+    return reports.candidate_top_states(S(spark, sf).rollup)
 
 
 @register("candidate_oos_states")
 def _q4(spark, sf):
     s = S(spark, sf)
-    return reports.candidate_oos_states(s.money, s.candidates)
+    return reports.candidate_oos_states(s.rollup, s.candidates)
 
 
 @register("candidate_interest_blocs")
 def _q5(spark, sf):
-    return reports.candidate_interest_blocs(S(spark, sf).money)
+    return reports.candidate_interest_blocs(S(spark, sf).rollup)
 
 
 @register("candidate_top_direct_pac")
@@ -158,12 +158,12 @@ def _q7(spark, sf):
 @register("rank_base")
 def _q8(spark, sf):
     s = S(spark, sf)
-    return reports.rank_base(s.money, s.candidates)
+    return reports.rank_base(s.rollup, s.candidates)
 
 
 @register("rank_interest_categories")
 def _q9(spark, sf):
-    return reports.rank_interest_categories(S(spark, sf).money)
+    return reports.rank_interest_categories(S(spark, sf).rollup)
 
 
 def queries() -> dict[str, Query]:
@@ -179,7 +179,7 @@ from moneytrail.operators import profile, rank  # noqa: E402
 
 
 def _facts(s: Store) -> DataFrame:
-    return profile.candidate_facts(s.money, s.candidates)
+    return profile.candidate_facts(s.rollup, s.candidates)
 
 
 def search_terms(candidates: DataFrame) -> DataFrame:
@@ -223,11 +223,11 @@ for _k in ["out_of_state_share", "small_dollar_share", "low_small_share", "maxpl
 @register("interest_share")
 def _m10(spark, sf):
     s = S(spark, sf)
-    return profile.interest_share(reports.candidate_interest_blocs(s.money), _facts(s))
+    return profile.interest_share(reports.candidate_interest_blocs(s.rollup), _facts(s))
 
 
 def _oos(s: Store) -> DataFrame:
-    return profile.oos_pool(reports.candidate_oos_states(s.money, s.candidates))
+    return profile.oos_pool(reports.candidate_oos_states(s.rollup, s.candidates))
 
 
 @register("oos_pool")
@@ -249,13 +249,13 @@ def _m13(spark, sf):
 @register("bucket_shares")
 def _m14(spark, sf):
     s = S(spark, sf)
-    return profile.bucket_shares(reports.candidate_buckets(s.money), _facts(s))
+    return profile.bucket_shares(reports.candidate_buckets(s.rollup), _facts(s))
 
 
 @register("state_shares")
 def _m15(spark, sf):
     s = S(spark, sf)
-    return profile.state_shares(reports.candidate_top_states(s.money), _facts(s))
+    return profile.state_shares(reports.candidate_top_states(s.rollup), _facts(s))
 
 
 @register("candidate_profile")
@@ -266,8 +266,8 @@ def _m16(spark, sf):
 
 # ------------------------------------------------------------------ ranking (R)
 def _ranking(s: Store) -> rank.CohortRanking:
-    return rank.CohortRanking(reports.rank_base(s.money, s.candidates),
-                               reports.rank_interest_categories(s.money))
+    return rank.CohortRanking(reports.rank_base(s.rollup, s.candidates),
+                               reports.rank_interest_categories(s.rollup))
 
 
 @register("rank_signals")
@@ -312,8 +312,8 @@ from moneytrail.plans.session import scratch_path  # noqa: E402
 
 
 def _angle_inputs(s: Store):
-    return (reports.candidate_buckets(s.money), _facts(s),
-            reports.candidate_top_states(s.money), angles.candidate_card(s.candidates))
+    return (reports.candidate_buckets(s.rollup), _facts(s),
+            reports.candidate_top_states(s.rollup), angles.candidate_card(s.candidates))
 
 
 def _with_committees(df: DataFrame, s: Store) -> DataFrame:
@@ -325,19 +325,19 @@ def _with_committees(df: DataFrame, s: Store) -> DataFrame:
 @register("angle_donor_size")
 def _x1(spark, sf):
     s = S(spark, sf)
-    return _with_committees(angles.angle_donor_size(reports.candidate_buckets(s.money)), s)
+    return _with_committees(angles.angle_donor_size(reports.candidate_buckets(s.rollup)), s)
 
 
 @register("angle_geography")
 def _x2(spark, sf):
     s = S(spark, sf)
-    return _with_committees(angles.angle_geography(_facts(s), reports.candidate_top_states(s.money)), s)
+    return _with_committees(angles.angle_geography(_facts(s), reports.candidate_top_states(s.rollup)), s)
 
 
 @register("angles_skipped")
 def _x3(spark, sf):
     s = S(spark, sf)
-    return _with_committees(angles.angles_skipped(reports.candidate_buckets(s.money), _facts(s)), s)
+    return _with_committees(angles.angles_skipped(reports.candidate_buckets(s.rollup), _facts(s)), s)
 
 
 @register("angle_documents")
@@ -360,15 +360,15 @@ def _x6(spark, sf):
 def _x7(spark, sf):
     s = S(spark, sf)
     return _with_committees(angles.chart_reconciliation(
-        angles.angle_donor_size(reports.candidate_buckets(s.money)),
-        angles.angle_geography(_facts(s), reports.candidate_top_states(s.money))), s)
+        angles.angle_donor_size(reports.candidate_buckets(s.rollup)),
+        angles.angle_geography(_facts(s), reports.candidate_top_states(s.rollup))), s)
 
 
 @register("donor_inversion")
 def _x8(spark, sf):
     s = S(spark, sf)
     return _with_committees(angles.donor_inversion(
-        angles.angle_donor_size(reports.candidate_buckets(s.money))), s)
+        angles.angle_donor_size(reports.candidate_buckets(s.rollup))), s)
 
 
 @register("write_angles")
@@ -425,19 +425,19 @@ def _l5(spark, sf):
 @register("sem_money_measures")
 def _l6(spark, sf):
     s = S(spark, sf)
-    return semantic.sem_money_measures(s.money, s.candidates)
+    return semantic.sem_money_measures(s.rollup, s.candidates)
 
 
 @register("interest_backing")
 def _l7(spark, sf):
     s = S(spark, sf)
-    return semantic.interest_backing(s.money, s.candidates)
+    return semantic.interest_backing(s.rollup, s.candidates)
 
 
 @register("individual_by_state")
 def _l8(spark, sf):
     s = S(spark, sf)
-    return semantic.individual_by_state(s.money, s.candidates)
+    return semantic.individual_by_state(s.rollup, s.candidates)
 
 
 # ------------------------------------------------------------------ quality (D)
@@ -496,7 +496,7 @@ def _d8(spark, sf):
 
 @register("channel_counts")
 def _d9(spark, sf):
-    return quality.channel_counts(S(spark, sf).money)
+    return quality.channel_counts(S(spark, sf).rollup)
 
 
 @register("null_checks")
@@ -512,7 +512,7 @@ def _d11(spark, sf):
 @register("derived_total_identity")
 def _d12(spark, sf):
     s = S(spark, sf)
-    return quality.derived_total_identity(reports.candidate_totals(s.money, s.candidates))
+    return quality.derived_total_identity(reports.candidate_totals(s.rollup, s.candidates))
 
 
 @register("pac_types_by_category")

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from moneytrail.functions.constants import (HHI_CONCENTRATED, HHI_MODERATE, NEAR_MAX,
                                             SMALL_MAX)
 from moneytrail.operators import reports
+from moneytrail.operators.views import as_rollup
 from moneytrail.plans.joins import join_small, small
 
 DBL = T.DoubleType()
@@ -45,20 +46,22 @@ def candidate_facts(money: DataFrame, candidates: DataFrame) -> DataFrame:
     ch = F.col("channel")
     amt = F.col("amount")
     ind = ch == "individual"
-    agg = join_small(money, home, F.col("cand_id") == F.col("_cid"), "left").groupBy(
+    bucket = F.col("size_bucket")
+    rows = F.col("n_rows")
+    agg = join_small(as_rollup(money), home, F.col("cand_id") == F.col("_cid"), "left").groupBy(
         F.col("cand_id").alias("_fid")).agg(
         _sum_if(ind).alias("ind"),
-        F.count(F.when(ind, 1)).alias("ind_count"),
+        F.sum(F.when(ind, rows)).alias("ind_count"),
         _sum_if(ch == "direct_pac").alias("dpac_amt"),
-        F.count(F.when(ch == "direct_pac", 1)).alias("dpac_count"),
+        F.sum(F.when(ch == "direct_pac", rows)).alias("dpac_count"),
         _sum_if(ch == "ie_support").alias("ie_s"),
         _sum_if(ch == "ie_oppose").alias("ie_o"),
         _sum_if(ch.isin("individual", "direct_pac")).alias("raised"),
         _sum_if(ch != "ie_oppose").alias("backing"),
         _sum_if(ind & (F.col("donor_state") == F.col("_home"))).alias("instate"),
-        _sum_if(ind & (amt > 0) & (amt <= SMALL_MAX)).alias("small_amt"),
-        _sum_if(ind & (amt >= NEAR_MAX)).alias("maxplus_amt"),
-        F.count(F.when(ind & (amt >= NEAR_MAX), 1)).alias("maxplus_count"),
+        _sum_if(ind & (bucket == "1")).alias("small_amt"),
+        _sum_if(ind & (bucket == "4")).alias("maxplus_amt"),
+        F.sum(F.when(ind & (bucket == "4"), rows)).alias("maxplus_count"),
     )
     c = candidates.select("CAND_ID", "CAND_NAME", "CAND_OFFICE", "CAND_OFFICE_ST",
                           "CAND_OFFICE_DISTRICT", "CAND_PTY_AFFILIATION", "CAND_ICI",

@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 
 from moneytrail.functions.parse import (try_bigint, try_date_dmy, try_date_mdy, try_int,
                                         try_money)
-from moneytrail.operators.views import LINK_COMMITTEE_TYPES, LINK_DESIGNATIONS, NON_DIRECT_TYPES
+from moneytrail.operators.views import (LINK_COMMITTEE_TYPES, LINK_DESIGNATIONS,
+                                        NON_DIRECT_TYPES, as_rollup)
 from moneytrail.plans.joins import join_small
 
 DBL = T.DoubleType()
@@ -212,8 +213,8 @@ def tag_conflicts(entries: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ D9-D12
 def channel_counts(money: DataFrame) -> DataFrame:
     """Rows and money per channel."""
-    return money.groupBy("channel").agg(F.count(F.lit(1)).alias("n"),
-                                        F.sum("amount").alias("amount"))
+    return as_rollup(money).groupBy("channel").agg(F.sum("n_rows").alias("n"),
+                                                   F.sum("amount").alias("amount"))
 
 
 def null_checks(money: DataFrame) -> DataFrame:

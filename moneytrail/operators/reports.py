@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from moneytrail.functions.constants import (BUCKET_CODES, NEAR_MAX, SMALL_MAX,
                                             TOP_DIRECT_PAC, TOP_IE_SPENDERS, TOP_STATES)
-from moneytrail.operators.views import NON_DIRECT_TYPES
+from moneytrail.operators.views import (NON_DIRECT_TYPES, POSITIVE_BUCKETS, REPORT_BUCKETS,
+                                        as_rollup)
 from moneytrail.plans.joins import join_small
 
 
@@ -24,7 +25,16 @@ def _sum_if(cond: Column, value: str = "amount") -> Column:
 
 
 def _count_if(cond: Column) -> Column:
-    return F.count(F.when(cond, F.lit(1)))
+    """Rows meeting ``cond`` (the rollup carries a row weight ``n_rows``)."""
+    return F.coalesce(F.sum(F.when(cond, F.col("n_rows"))), F.lit(0).cast("long"))
+
+
+def _rows() -> Column:
+    return F.coalesce(F.sum("n_rows"), F.lit(0).cast("long"))
+
+
+def _bucket(codes) -> Column:
+    return F.col("size_bucket").isin(codes)
 
 
 def _zero(c: Column) -> Column:
@@ -39,7 +49,7 @@ def candidate_totals(money: DataFrame, candidates: DataFrame) -> DataFrame:
     """Q1: per candidate, channel sums (0 when none), gift and PAC counts,
     ``raised`` = individual + direct_pac, ``total_backing`` = all but ie_oppose.
     Every candidate gets a row, like the one-candidate query always does."""
-    agg = money.groupBy("cand_id").agg(
+    agg = as_rollup(money).groupBy("cand_id").agg(
         _sum_if(CH_() == "individual").alias("individual_amount"),
         _count_if(CH_() == "individual").alias("individual_count"),
         _sum_if(CH_() == "direct_pac").alias("direct_pac_amount"),
@@ -74,13 +84,15 @@ def bucket_label(amount: Column, small_max=SMALL_MAX, near_max=NEAR_MAX) -> Colu
              .otherwise(BUCKET_CODES["4"]))
 
 
-def candidate_buckets(money: DataFrame, small_max=SMALL_MAX, near_max=NEAR_MAX) -> DataFrame:
+def candidate_buckets(money: DataFrame, small_max=None, near_max=None) -> DataFrame:
     """Q2: count and sum of individual gifts per size bucket; zero and NULL
     amounts excluded."""
-    ind = money.filter((CH_() == "individual") & (F.col("amount") != 0))
-    return (ind.groupBy("cand_id", bucket_label(F.col("amount"), small_max, near_max)
-                        .alias("bucket"))
-            .agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount")))
+    ind = as_rollup(money, small_max, near_max).filter(
+        (CH_() == "individual") & _bucket(REPORT_BUCKETS))
+    label = F.element_at(F.create_map(*[F.lit(x) for kv in BUCKET_CODES.items() for x in kv]),
+                         F.col("size_bucket"))
+    return (ind.groupBy("cand_id", label.alias("bucket"))
+            .agg(_rows().alias("n"), F.sum("amount").alias("amount")))
 
 
 def _top_n(df: DataFrame, part: str, order: list[Column], n: int) -> DataFrame:
@@ -91,9 +103,9 @@ def _top_n(df: DataFrame, part: str, order: list[Column], n: int) -> DataFrame:
 def candidate_top_states(money: DataFrame, limit: int = TOP_STATES) -> DataFrame:
     """Q3: individual money by donor state (NULL state and net-negative sums
     included), top ``limit`` per candidate by amount desc, then state."""
-    agg = (money.filter(CH_() == "individual")
+    agg = (as_rollup(money).filter(CH_() == "individual")
            .groupBy("cand_id", "donor_state")
-           .agg(F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("n")))
+           .agg(F.sum("amount").alias("amount"), _rows().alias("n")))
     return _top_n(agg, "cand_id", [F.col("amount").desc_nulls_last(),
                                    F.col("donor_state").asc_nulls_last()], limit)
 
@@ -106,7 +118,7 @@ def _home(candidates: DataFrame) -> DataFrame:
 def candidate_oos_states(money: DataFrame, candidates: DataFrame) -> DataFrame:
     """Q4: positive individual money per donor state other than the home state
     (a NULL state is dropped by ``<>``)."""
-    ind = money.filter((CH_() == "individual") & (F.col("amount") > 0))
+    ind = as_rollup(money).filter((CH_() == "individual") & _bucket(POSITIVE_BUCKETS))
     j = join_small(ind, _home(candidates), F.col("cand_id") == F.col("_cid"))
     return (j.filter(F.col("donor_state") != F.col("home_state"))
             .groupBy("cand_id", "donor_state").agg(F.sum("amount").alias("amount")))
@@ -115,7 +127,8 @@ def candidate_oos_states(money: DataFrame, candidates: DataFrame) -> DataFrame:
 def candidate_interest_blocs(money: DataFrame) -> DataFrame:
     """Q5: per interest tag, direct PAC and IE-support sums (0 when none);
     only tags whose combined total is not zero."""
-    m = money.filter(CH_().isin("direct_pac", "ie_support") & F.col("interest_category").isNotNull())
+    m = as_rollup(money).filter(CH_().isin("direct_pac", "ie_support")
+                                & F.col("interest_category").isNotNull())
     agg = m.groupBy("cand_id", "interest_category").agg(
         _zero(_sum_if(CH_() == "direct_pac")).alias("direct_pac_amount"),
         _zero(_sum_if(CH_() == "ie_support")).alias("ie_support_amount"),
@@ -170,14 +183,14 @@ def rank_base(money: DataFrame, candidates: DataFrame, office: str | None = None
     (0 < amount <= 200), direct PAC and IE support; members below
     ``min_individual`` individual money are dropped."""
     c = cohort(candidates, office, state, incumbents)
-    j = join_small(money, c.select(F.col("CAND_ID").alias("_cid"),
+    j = join_small(as_rollup(money), c.select(F.col("CAND_ID").alias("_cid"),
                                    F.col("CAND_OFFICE_ST").alias("_home")),
                    F.col("cand_id") == F.col("_cid"))
     ind = CH_() == "individual"
     agg = j.groupBy("cand_id").agg(
         _sum_if(ind).alias("indiv_total"),
         _sum_if(ind & (F.col("donor_state") == F.col("_home"))).alias("in_state"),
-        _sum_if(ind & (F.col("amount") > 0) & (F.col("amount") <= SMALL_MAX)).alias("small"),
+        _sum_if(ind & _bucket(["1"])).alias("small"),
         _sum_if(CH_() == "direct_pac").alias("pac_total"),
         _sum_if(CH_() == "ie_support").alias("ie_support"))
     agg = agg.withColumnRenamed("cand_id", "_agg_cid")
@@ -191,6 +204,6 @@ def rank_base(money: DataFrame, candidates: DataFrame, office: str | None = None
 
 def rank_interest_categories(money: DataFrame) -> DataFrame:
     """Q9: per (candidate, tag) direct PAC + IE support; not cohort-filtered."""
-    return (money.filter(CH_().isin("direct_pac", "ie_support")
-                         & F.col("interest_category").isNotNull())
+    return (as_rollup(money).filter(CH_().isin("direct_pac", "ie_support")
+                                    & F.col("interest_category").isNotNull())
             .groupBy("cand_id", "interest_category").agg(F.sum("amount").alias("amount")))

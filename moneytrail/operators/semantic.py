@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moneytrail.functions.constants import SMALL_MAX
+from moneytrail.operators.views import POSITIVE_BUCKETS, as_rollup
 from moneytrail.plans.joins import join_small
 
 DBL = T.DoubleType()
@@ -115,7 +116,7 @@ def money_measures(home_state: Column) -> list[Column]:
     sup = _sum(amt, ch == "ie_support")
     opp = _sum(amt, ch == "ie_oppose")
     in_state = _sum(amt, ind & (F.col("donor_state") == home_state))
-    small = _sum(amt, ind & (amt > 0) & (amt <= SMALL_MAX))
+    small = _sum(amt, ind & (F.col("size_bucket") == "1"))
     raised = _sum(amt, ind | (ch == "direct_pac"))
     backing = _sum(amt, ~(ch == "ie_oppose"))
     return [
@@ -133,7 +134,7 @@ def money_measures(home_state: Column) -> list[Column]:
 def _money_with_candidate(money: DataFrame, candidates: DataFrame) -> DataFrame:
     cd = candidates.select(F.col("CAND_ID").alias("_cid"), "CAND_NAME", "CAND_OFFICE",
                            "CAND_OFFICE_ST", "CAND_OFFICE_DISTRICT", "CAND_PTY_AFFILIATION")
-    return join_small(money, cd, F.col("cand_id") == F.col("_cid"), "left")
+    return join_small(as_rollup(money), cd, F.col("cand_id") == F.col("_cid"), "left")
 
 
 def sem_money_measures(money: DataFrame, candidates: DataFrame,
@@ -157,7 +158,8 @@ def interest_backing(money: DataFrame, candidates: DataFrame) -> DataFrame:
 def individual_by_state(money: DataFrame, candidates: DataFrame) -> DataFrame:
     """Per candidate and donor state other than home, positive individual
     money (feeds the out-of-state concentration)."""
-    m = money.filter((F.col("channel") == "individual") & (F.col("amount") > 0))
+    m = as_rollup(money).filter((F.col("channel") == "individual")
+                                & F.col("size_bucket").isin(POSITIVE_BUCKETS))
     j = _money_with_candidate(m, candidates).filter(F.col("donor_state") != F.col("CAND_OFFICE_ST"))
     return (j.groupBy("cand_id", "CAND_NAME", "CAND_OFFICE", "CAND_OFFICE_ST",
                       "CAND_OFFICE_DISTRICT", "donor_state")

@@ -122,3 +122,46 @@ def candidate_money(ind: DataFrame, pac: DataFrame, sup: DataFrame, opp: DataFra
     """V4: UNION ALL of the four arms (no dedup)."""
     return (ind.select(*MONEY_COLUMNS).unionByName(pac.select(*MONEY_COLUMNS))
             .unionByName(sup.select(*MONEY_COLUMNS)).unionByName(opp.select(*MONEY_COLUMNS)))
+
+
+# ------------------------------------------------------------------ money rollup
+# Size-bucket codes of the rollup: 1-5 are the report buckets (1 small .. 4
+# max+, 5 negative); 0 = a zero amount, N = a NULL amount.
+ROLLUP_KEYS = ["cand_id", "channel", "donor_state", "interest_category", "size_bucket"]
+POSITIVE_BUCKETS = ["1", "2", "3", "4"]
+REPORT_BUCKETS = ["1", "2", "3", "4", "5"]
+
+
+def size_bucket(amount: Column, small_max=None, near_max=None) -> Column:
+    from moneytrail.functions.constants import NEAR_MAX, SMALL_MAX
+    small_max = SMALL_MAX if small_max is None else small_max
+    near_max = NEAR_MAX if near_max is None else near_max
+    return (F.when(amount.isNull(), "N").when(amount == 0, "0").when(amount < 0, "5")
+             .when(amount <= small_max, "1").when(amount <= 999, "2")
+             .when(amount < near_max, "3").otherwise("4"))
+
+
+def money_rollup(money: DataFrame) -> DataFrame:
+    """candidate_money pre-aggregated to (candidate, channel, donor state,
+    interest tag, size bucket) with the exact sum and the row count. Every
+    report except those that need donor names reads this instead of the
+    row-level fact; the aggregation is partial on every map task, so hot
+    candidates collapse before the shuffle."""
+    return (money.groupBy("cand_id", "channel", "donor_state", "interest_category",
+                          size_bucket(F.col("amount")).alias("size_bucket"))
+            .agg(F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("n_rows")))
+
+
+def as_rollup(money: DataFrame, small_max=None, near_max=None) -> DataFrame:
+    """The rollup shape of a money frame: a rollup passes through (only with
+    the default bucket bounds), a row-level frame gets its bucket and a row
+    weight of 1 (a projection, no aggregation)."""
+    if "n_rows" in money.columns:
+        if small_max is not None or near_max is not None:
+            from moneytrail.functions.constants import NEAR_MAX, SMALL_MAX
+            if (small_max or SMALL_MAX) != SMALL_MAX or (near_max or NEAR_MAX) != NEAR_MAX:
+                raise ValueError("non-default bucket bounds need the row-level money fact")
+        return money
+    return money.select("cand_id", "channel", "donor_state", "interest_category",
+                        size_bucket(F.col("amount"), small_max, near_max).alias("size_bucket"),
+                        "amount", F.lit(1).cast("long").alias("n_rows"))

@@ -123,6 +123,9 @@ class Store:
         with open(os.path.join(self.root, "_LANDED"), "w") as fh:
             fh.write(self.sf_dir + "\n")
 
+    def rollup_path(self) -> str:
+        return self.path("derived", "money_rollup")
+
     def money_path(self) -> str:
         return self.path("derived", "candidate_money")
 
@@ -137,6 +140,11 @@ class Store:
          .sortWithinPartitions("cand_id")
          .write.mode("overwrite").option("compression", "zstd")
          .partitionBy("channel").parquet(self.money_path()))
+        # The rollup by (candidate, channel, state, tag, size bucket) that the
+        # reports read: bounded by candidates x states x tags x 7 buckets, not
+        # by the number of gifts.
+        (views.money_rollup(self.money)
+         .write.mode("overwrite").option("compression", "zstd").parquet(self.rollup_path()))
 
     # ---------------------------------------------------------------- frames
     def _memo(self, name, make) -> DataFrame:
@@ -229,6 +237,11 @@ class Store:
         return self._memo("m_money", lambda: self.spark.read.parquet(self.money_path())
                           .select(*views.MONEY_COLUMNS))
 
+    @property
+    def rollup(self) -> DataFrame:
+        """candidate_money pre-aggregated (see ``views.money_rollup``)."""
+        return self._memo("m_rollup", lambda: self.spark.read.parquet(self.rollup_path()))
+
     def register_views(self) -> None:
         """Expose tables and views to ``spark.sql`` under their canonical names."""
         for ds in DATASETS:
