@@ -66,6 +66,8 @@ def candidate_facts(money: DataFrame, candidates: DataFrame) -> DataFrame:
     c = candidates.select("CAND_ID", "CAND_NAME", "CAND_OFFICE", "CAND_OFFICE_ST",
                           "CAND_OFFICE_DISTRICT", "CAND_PTY_AFFILIATION", "CAND_ICI",
                           "CAND_ELECTION_YR")
+    # the aggregate is one row per candidate id: AQE measures it after the
+    # shuffle and switches to a broadcast join when it is small
     j = c.join(agg, F.col("CAND_ID") == F.col("_fid"), "left").drop("_fid")
     zero = ["ind", "ind_count", "dpac_amt", "dpac_count", "ie_s", "ie_o", "raised",
             "backing", "instate", "small_amt", "maxplus_amt", "maxplus_count"]
@@ -107,12 +109,16 @@ def committee_count(links: DataFrame, candidates: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ M3-M9, M13
 def profile_shares(facts: DataFrame) -> DataFrame:
     """M3-M9 and M13 as columns of one row per candidate."""
+    return facts.select("cand_id", *share_columns())
+
+
+def share_columns() -> list[Column]:
+    """The share columns of M3-M9 and M13 over a facts row."""
     ind, instate = dbl("ind"), dbl("instate")
     small_amt, maxplus = dbl("small_amt"), dbl("maxplus_amt")
     raised, backing = dbl("raised"), dbl("backing")
     dpac, ie_s = dbl("dpac_amt"), dbl("ie_s")
-    return facts.select(
-        "cand_id",
+    return [
         F.col("instate").alias("in_state_amount"),
         ratio(ind - instate, ind).alias("out_of_state_share"),
         ratio(small_amt, ind).alias("small_dollar_share"),
@@ -126,7 +132,7 @@ def profile_shares(facts: DataFrame) -> DataFrame:
         ratio(dpac, raised, None).alias("direct_pac_of_raised"),
         ratio(raised, backing, None).alias("raised_of_backing"),
         ratio(ie_s, backing, None).alias("ie_support_of_backing"),
-    )
+    ]
 
 
 def in_state_amount(facts: DataFrame) -> DataFrame:
@@ -178,16 +184,16 @@ def oos_pool(oos_states: DataFrame) -> DataFrame:
     The HHI is sum(a^2) / (sum a)^2 with the squares summed exactly in decimal
     and divided once in double (rounded to 12 decimals)."""
     x = F.col("amount").cast(T.DecimalType(18, 2))
-    agg = oos_states.groupBy("cand_id").agg(
+    # the largest state (amount desc, then state asc) in the same pass: the
+    # struct (-amount, state) is smallest for it
+    top = F.min_by(F.struct(F.col("donor_state"), F.col("amount")),
+                   F.struct(-F.col("amount"), F.col("donor_state")))
+    j = oos_states.groupBy("cand_id").agg(
         F.sum("amount").alias("oos_total"),
         F.count(F.lit(1)).alias("n_states"),
-        F.sum(x * x).alias("_sq"))
-    w = Window.partitionBy("cand_id").orderBy(F.col("amount").desc_nulls_last(),
-                                              F.col("donor_state").asc_nulls_last())
-    top = (oos_states.withColumn("_r", F.row_number().over(w)).filter("_r = 1")
-           .select(F.col("cand_id").alias("_tid"), F.col("donor_state").alias("top_state"),
-                   F.col("amount").alias("top_amount")))
-    j = agg.join(top, F.col("cand_id") == F.col("_tid")).drop("_tid")
+        F.sum(x * x).alias("_sq"),
+        top.alias("_top")).select("*", F.col("_top.donor_state").alias("top_state"),
+                                  F.col("_top.amount").alias("top_amount")).drop("_top")
     total = dbl("oos_total")
     hhi = F.when(total != 0, F.round(dbl("_sq") / (total * total), 12)).otherwise(F.lit(0.0))
     return j.select(
@@ -204,11 +210,10 @@ def candidate_profile(facts: DataFrame, links: DataFrame, oos: DataFrame) -> Dat
     committee: totals, shares and the out-of-state pool summary."""
     n = committee_count(links, facts.select(F.col("cand_id").alias("CAND_ID")))
     n = n.filter(F.col("n_committees") > 0).withColumnRenamed("cand_id", "_nid")
-    shares = profile_shares(facts).withColumnRenamed("cand_id", "_sid")
     o = oos.select(F.col("cand_id").alias("_oid"), "oos_total", "n_states", "top_state",
                    "top_share", "hhi", "hhi_label")
-    p = (facts.join(n, F.col("cand_id") == F.col("_nid"))
-         .join(shares, F.col("cand_id") == F.col("_sid"))
+    p = (facts.select("*", *[c for c in share_columns()])
+         .join(n, F.col("cand_id") == F.col("_nid"))
          .join(o, F.col("cand_id") == F.col("_oid"), "left"))
     return p.select(
         "cand_id", "CAND_NAME", "CAND_OFFICE", "CAND_OFFICE_ST", "CAND_OFFICE_DISTRICT",
