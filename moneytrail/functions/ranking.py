@@ -63,17 +63,22 @@ def exclusive_prefix_sum(df: DataFrame, part_cols: list[str], order: list,
 SINGLE_TASK_MAX_ROWS = 1_000_000
 
 
-def _single_task_ok(df: DataFrame, max_rows: int | None) -> bool:
+def _single_task_ok(df: DataFrame, max_rows: int | None, proven_rows: int | None = None) -> bool:
     m = SINGLE_TASK_MAX_ROWS if max_rows is None else max_rows
-    return m > 0 and fits_broadcast(df, m)
+    if m <= 0:
+        return False
+    if proven_rows is not None:
+        return proven_rows <= m
+    return fits_broadcast(df, m)
 
 
 def count_strictly_below(df: DataFrame, part_cols: list[str], value: str,
-                         out: str = "below", max_rows_single_task: int | None = None
-                         ) -> DataFrame:
+                         out: str = "below", max_rows_single_task: int | None = None,
+                         proven_rows: int | None = None) -> DataFrame:
     """Add ``out`` = number of rows of the same group with a strictly smaller
-    ``value`` (equal values share the count, like ``rank() - 1``)."""
-    if _single_task_ok(df, max_rows_single_task):
+    ``value`` (equal values share the count, like ``rank() - 1``).
+    ``proven_rows`` is an upper bound of ``df``'s rows known to the caller."""
+    if _single_task_ok(df, max_rows_single_task, proven_rows):
         w = Window.partitionBy(*part_cols).orderBy(F.col(value))
         return df.withColumn(out, F.rank().over(w) - 1)
     vc = df.groupBy(*part_cols, value).agg(F.count(F.lit(1)).alias("_m"))
@@ -82,10 +87,11 @@ def count_strictly_below(df: DataFrame, part_cols: list[str], value: str,
 
 
 def global_row_number(df: DataFrame, order: list, out: str = "rank",
-                      max_rows_single_task: int | None = None) -> DataFrame:
+                      max_rows_single_task: int | None = None,
+                      proven_rows: int | None = None) -> DataFrame:
     """Add ``out`` = 1-based position in ``order`` (a total order), computed
     without collecting the rows into one partition unless they are proven few."""
-    if _single_task_ok(df, max_rows_single_task):
+    if _single_task_ok(df, max_rows_single_task, proven_rows):
         return df.withColumn(out, F.row_number().over(Window.orderBy(*_cols(order))))
     ones = df.withColumn("_one", F.lit(1)).withColumn("_all", F.lit(0))
     r = exclusive_prefix_sum(ones, ["_all"], order, "_one", "_before")

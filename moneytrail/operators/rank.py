@@ -80,7 +80,8 @@ def _signals_long(signals: DataFrame, cat_shares: DataFrame) -> DataFrame:
     return out
 
 
-def rank_percentiles(signals: DataFrame, cat_shares: DataFrame) -> DataFrame:
+def rank_percentiles(signals: DataFrame, cat_shares: DataFrame,
+                     proven_rows: int | None = None) -> DataFrame:
     """Percentile of each (member, signal) value within the cohort:
     (#members whose value is strictly below) / cohort size. For tag signals the
     absent members count as zeros."""
@@ -90,7 +91,7 @@ def rank_percentiles(signals: DataFrame, cat_shares: DataFrame) -> DataFrame:
     present = long.groupBy("signal").agg(F.count(F.lit(1)).alias("_present"))
     stats = present.withColumn("_n", F.max(F.when(F.col("signal") == SIGNALS[0][0],
                                                   F.col("_present"))).over(Window.partitionBy()))
-    below = count_strictly_below(long, ["signal"], "value", "_below")
+    below = count_strictly_below(long, ["signal"], "value", "_below", proven_rows=proven_rows)
     j = below.join(stats, "signal")
     zeros_below = F.when(F.col("value") > 0, F.col("_n") - F.col("_present")).otherwise(F.lit(0))
     pct = (F.col("_below") + zeros_below).cast(DBL) / F.col("_n").cast(DBL)
@@ -122,11 +123,13 @@ def rank_headline(eligible: DataFrame, signals: DataFrame) -> DataFrame:
         F.coalesce(F.col("headline_pctile"), F.lit(0.0)).alias("headline_pctile"))
 
 
-def funding_headline_ranking(headlines: DataFrame, limit: int = 0) -> DataFrame:
+def funding_headline_ranking(headlines: DataFrame, limit: int = 0,
+                             proven_rows: int | None = None) -> DataFrame:
     """Members by headline percentile (desc; ties by cand_id), numbered
     from 1; ``limit`` > 0 keeps the top N (a top-k report)."""
     ranked = global_row_number(headlines, [F.col("headline_pctile").desc(),
-                                           F.col("cand_id").asc()], "rank")
+                                           F.col("cand_id").asc()], "rank",
+                               proven_rows=proven_rows)
     if limit:
         ranked = ranked.filter(F.col("rank") <= limit)
     return ranked
@@ -156,6 +159,9 @@ class CohortRanking:
             base = base.checkpoint(eager=True)
         self.base, self.categories, self.limit = base, categories, limit
         self.materialize = materialize
+        # cohort size, counted once on the checkpointed cohort (cheap); with
+        # the (checkpointed) tag shares it bounds every later stage's rows
+        self.n_members = base.count() if materialize else None
         self._memo: dict[str, DataFrame] = {}
 
     def _get(self, name, make):
@@ -176,7 +182,11 @@ class CohortRanking:
 
     @property
     def percentiles(self) -> DataFrame:
-        return self._get("pct", lambda: rank_percentiles(self.signals, self.category_shares))
+        def make():
+            cats = self.category_shares
+            bound = (4 * self.n_members + cats.count()) if self.n_members is not None else None
+            return rank_percentiles(self.signals, cats, bound)
+        return self._get("pct", make)
 
     @property
     def eligible(self) -> DataFrame:
@@ -188,7 +198,8 @@ class CohortRanking:
 
     @property
     def ranking(self) -> DataFrame:
-        return self._get("rank", lambda: funding_headline_ranking(self.headline, self.limit))
+        return self._get("rank", lambda: funding_headline_ranking(self.headline, self.limit,
+                                                                  self.n_members))
 
 
 _ = small
