@@ -100,3 +100,23 @@ def test_oos_states_drop_null_and_nonpositive(spark):
     cands = spark.createDataFrame([("H1", "NM")], "CAND_ID string, CAND_OFFICE_ST string")
     got = [(r.donor_state, float(r.amount)) for r in reports.candidate_oos_states(m, cands).collect()]
     assert got == [("TX", 20.0)]
+
+
+def test_resolve_candidates_paths(spark):
+    from moneytrail.operators import profile
+    c = spark.createDataFrame(
+        [("H0000001", "LUJAN, BEN RAY"), ("S0000002", "SMITH, JOHN Q."),
+         ("P0000003", "SMITHERS, WAYLON"), ("H0000004", "O_NEIL, ANN")],
+        "CAND_ID string, CAND_NAME string")
+    terms = spark.createDataFrame([("h0000001",), ("smith",), ("jo",), ("o_n",), ("zzz",),
+                                   ("S0000002",)], "term string")
+    got = {(r.term, r.cand_id): r.n_matches
+           for r in profile.resolve_candidates(c, terms).collect()}
+    assert got == {
+        # 'h0000001' is not id-like (the office letter test is case-sensitive)
+        # and no name contains it
+        ("S0000002", "S0000002"): 1,          # id form
+        ("smith", "S0000002"): 2, ("smith", "P0000003"): 2,   # 3-gram index path
+        ("jo", "S0000002"): 1,                                 # short term: scan path
+        ("o_n", "H0000004"): 2, ("o_n", "S0000002"): 2,        # '_' is a wildcard (JOHN)
+    }
