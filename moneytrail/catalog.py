@@ -385,8 +385,8 @@ def _s12(spark, sf):
     return back.select("dirname", "angle_id", F.col("candidate.cand_id").alias("cand_id"),
                        F.col("angle.metric_value").alias("metric_value"),
                        F.col("angle.featured").alias("featured"),
-                       F.size("chart.rows").alias("n_rows"),
-                       F.size("footnotes").alias("n_footnotes"))
+                       F.size("chart.rows").cast("long").alias("n_rows"),
+                       F.size("footnotes").cast("long").alias("n_footnotes"))
 
 
 # ------------------------------------------------------------------ semantic (L)

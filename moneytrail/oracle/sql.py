@@ -911,3 +911,13 @@ q("load_group_mappings", "SELECT * FROM dim_group_mappings")
 q("single_cycle_guard", "\n" + "SELECT '2026' AS cycle, CAST(6 AS BIGINT) AS datasets, ("
   + " + ".join(f"(SELECT count(*) FROM raw_{ds})" for ds, _ in RAWS)
   + ") AS rows, true AS ok")
+
+
+# The written documents' key fields (same docs as angle_documents)
+_DOCS_SQL = ORACLE["angle_documents"].replace(
+    "SELECT * FROM docs WHERE cand_id IN (SELECT lc FROM linked)", "")
+q("write_angles", _DOCS_SQL.replace(PREFIX + "\n", "", 1) + DIRS + """
+SELECT dirs.dirname, docs.angle_id, docs.cand_id, docs.metric_value, docs.featured,
+       CAST(docs.n_rows AS BIGINT) AS n_rows, CAST(docs.n_footnotes AS BIGINT) AS n_footnotes
+FROM docs JOIN dirs ON dirs.cand_id = docs.cand_id
+WHERE docs.cand_id IN (SELECT lc FROM linked)""")
