@@ -308,7 +308,7 @@ def _r7(spark, sf):
 # ------------------------------------------------------------------ angles (X)
 from moneytrail.operators import angles  # noqa: E402
 from moneytrail.sources import files  # noqa: E402
-from moneytrail.plans.session import scratch_path  # noqa: E402
+from moneytrail.plans.session import fs_exists, scratch_path  # noqa: E402
 
 
 def _angle_inputs(s: Store):
@@ -470,8 +470,7 @@ def _d5(spark, sf):
     """The profile stored at landing time against a fresh one."""
     s = S(spark, sf)
     path = s.path("profile")
-    import os
-    if not os.path.exists(path):
+    if not fs_exists(spark, path):
         quality.table_profile(s.curated_tables()).write.mode("overwrite").parquet(path)
     return quality.profile_staleness(spark.read.parquet(path),
                                      quality.table_profile(s.curated_tables()))
@@ -632,9 +631,8 @@ def _s9(spark, sf):
 @register("rebuild_set")
 def _s10(spark, sf):
     s = S(spark, sf)
-    import os
     existing = spark.createDataFrame(
-        [(t,) for t in TABLE_OF_DATASET.values() if os.path.exists(s.table_path(t))],
+        [(t,) for t in TABLE_OF_DATASET.values() if fs_exists(spark, s.table_path(t))],
         "table string")
     changes = refresh.snapshot_changes(refresh.manifest(s.raws(), CYCLE), s.manifest())
     return refresh.rebuild_set(changes, existing, TABLE_OF_DATASET)

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from moneytrail.plans.session import app_id
+
 # Dimension tables (candidates, committees, links, tags, cohorts) are a few
 # thousand to a few hundred thousand rows in the real filings; two million rows
 # of a handful of short columns stays well under executor memory.
@@ -22,8 +24,7 @@ _checked: dict[tuple[str, int, int], bool] = {}
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (memoised per plan)."""
-    spark = df.sparkSession
-    key = (spark.sparkContext.applicationId, df.semanticHash(), max_rows)
+    key = (app_id(df.sparkSession), df.semanticHash(), max_rows)
     hit = _checked.get(key)
     if hit is None:
         hit = df.limit(max_rows + 1).count() <= max_rows

@@ -64,7 +64,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Read from ``spark.checkpoint.dir``; only when it is unset (tests, local
     runs) a fresh private folder is made and set for this session.
     """
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    conf = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
     try:
         conf = conf or spark.conf.get("spark.checkpoint.dir", None)
     except Exception:
@@ -72,18 +73,71 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if conf:
         root = conf
     else:
-        app = spark.sparkContext.applicationId
+        app = app_id(spark)
         if app not in _LOCAL_ROOT:
             _LOCAL_ROOT[app] = tempfile.mkdtemp(prefix="moneytrail-")
         root = _LOCAL_ROOT[app]
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(os.path.join(root, "checkpoints"))
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(os.path.join(root, "checkpoints"))
     return root
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session (None for a remote session)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
+def app_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    try:
+        return spark.conf.get("spark.app.id", "session")
+    except Exception:
+        return "session"
+
+
 def scratch_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """A path under the shared folder; ``unique`` adds a fresh component."""
     p = os.path.join(checkpoint_dir(spark), "moneytrail", *parts)
     if unique:
         p = os.path.join(p, uuid.uuid4().hex[:12])
     return p
+
+
+# --------------------------------------------------------------- shared folder
+# Paths may live on any Hadoop-compatible file system (the cluster's shared
+# folder); these helpers ask the file system through the session and fall back
+# to the local OS only for a remote session.
+def _fs(spark: SparkSession, path: str):
+    jvm = spark._jvm  # noqa: SLF001 - classic sessions only
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+
+
+def fs_exists(spark: SparkSession, path: str) -> bool:
+    try:
+        p, fs = _fs(spark, path)
+        return bool(fs.exists(p))
+    except Exception:
+        return os.path.exists(path)
+
+
+def fs_status(spark: SparkSession, path: str) -> tuple[int, int] | None:
+    """(total length, latest modification time) of a file or directory tree."""
+    try:
+        p, fs = _fs(spark, path)
+        if not fs.exists(p):
+            return None
+        cs = fs.getContentSummary(p)
+        mtime = max(int(st.getModificationTime()) for st in fs.listStatus(p))
+        return int(cs.getLength()), mtime
+    except Exception:
+        try:
+            st = os.stat(path)
+            return st.st_size, int(st.st_mtime)
+        except OSError:
+            return None

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moneytrail.operators import curate, views
-from moneytrail.plans.session import prepare, scratch_path
+from moneytrail.plans.session import app_id, fs_exists, fs_status, prepare, scratch_path
 from moneytrail.sources import files, interests
 from moneytrail.sources.fixture import CYCLE, Fixture
 from moneytrail.streaming import refresh
@@ -40,19 +40,15 @@ _LANDING_MODULES = ["sources/fixture.py", "sources/schemas.py", "sources/interes
                     "plans/joins.py"]
 
 
-def input_fingerprint(sf_dir: str) -> str:
-    h = hashlib.sha256(os.path.abspath(sf_dir).encode())
+def input_fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    h = hashlib.sha256(sf_dir.rstrip("/").encode())
     pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     for m in _LANDING_MODULES:
         with open(os.path.join(pkg, m), "rb") as fh:
             h.update(hashlib.sha256(fh.read()).digest())
     for t in INPUT_TABLES:
-        p = os.path.join(sf_dir, f"{t}.parquet")
-        try:
-            st = os.stat(p)
-            h.update(f"{t}:{st.st_size}:{int(st.st_mtime)}".encode())
-        except OSError:
-            h.update(f"{t}:missing".encode())
+        st = fs_status(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")
+        h.update(f"{t}:{st}".encode())
     return h.hexdigest()[:16]
 
 
@@ -67,13 +63,13 @@ class Store:
     @classmethod
     def open(cls, spark: SparkSession, sf_dir: str) -> "Store":
         prepare(spark)
-        key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+        key = (app_id(spark), sf_dir.rstrip("/"))
         with _lock:
             st = _stores.get(key)
             if st is None:
-                root = scratch_path(spark, "store", input_fingerprint(sf_dir))
+                root = scratch_path(spark, "store", input_fingerprint(spark, sf_dir))
                 st = cls(spark, sf_dir, root)
-                if not os.path.exists(os.path.join(root, "_LANDED")):
+                if not fs_exists(spark, st.path("_landed")):
                     st.land()
                 _stores[key] = st
         return st
@@ -119,9 +115,9 @@ class Store:
         raws = {ds: self.raw(ds) for ds in DATASETS}
         refresh.manifest(raws, CYCLE).write.mode("overwrite").parquet(self.manifest_path())
         self.materialize_money()
-        os.makedirs(self.root, exist_ok=True)
-        with open(os.path.join(self.root, "_LANDED"), "w") as fh:
-            fh.write(self.sf_dir + "\n")
+        # completion marker, written last through Spark (any shared file system)
+        (self.spark.createDataFrame([(self.sf_dir,)], "sf_dir string").coalesce(1)
+         .write.mode("overwrite").json(self.path("_landed")))
 
     def rollup_path(self) -> str:
         return self.path("derived", "money_rollup")
