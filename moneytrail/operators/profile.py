@@ -9,15 +9,13 @@ arithmetic so the numbers are identical.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moneytrail.functions.constants import (HHI_CONCENTRATED, HHI_MODERATE, NEAR_MAX,
-                                            SMALL_MAX)
-from moneytrail.operators import reports
+from moneytrail.functions.constants import HHI_CONCENTRATED, HHI_MODERATE
 from moneytrail.operators.views import as_rollup
-from moneytrail.plans.joins import fits_broadcast, join_small, small
+from moneytrail.plans.joins import fits_broadcast, join_small
 
 DBL = T.DoubleType()
 
@@ -296,5 +294,3 @@ def candidate_profile_nested(facts: DataFrame, top_states: DataFrame, buckets: D
         out = out.join(p, F.col("cand_id") == F.col("_k"), "left").drop("_k")
     return out
 
-
-_ = reports

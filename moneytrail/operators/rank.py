@@ -21,7 +21,6 @@ from pyspark.sql import types as T
 from moneytrail.functions.constants import (FLOOR_BLOC, NO_STANDOUT, SIGNALS,
                                             TAG_SIGNAL_ORDER)
 from moneytrail.functions.ranking import count_strictly_below, global_row_number
-from moneytrail.plans.joins import small
 from moneytrail.plans.session import checkpoint_dir
 
 DBL = T.DoubleType()
@@ -201,5 +200,3 @@ class CohortRanking:
         return self._get("rank", lambda: funding_headline_ranking(self.headline, self.limit,
                                                                   self.n_members))
 
-
-_ = small

@@ -13,11 +13,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from moneytrail.functions.constants import (BUCKET_CODES, NEAR_MAX, SMALL_MAX,
-                                            TOP_DIRECT_PAC, TOP_IE_SPENDERS, TOP_STATES)
+from moneytrail.functions.constants import (BUCKET_CODES, TOP_DIRECT_PAC, TOP_IE_SPENDERS,
+                                            TOP_STATES)
 from moneytrail.operators.views import (NON_DIRECT_TYPES, POSITIVE_BUCKETS, REPORT_BUCKETS,
                                         as_rollup)
-from moneytrail.plans.joins import join_small, small
+from moneytrail.plans.joins import join_small
 
 
 def _sum_if(cond: Column, value: str = "amount") -> Column:
@@ -74,16 +74,6 @@ def candidate_totals(money: DataFrame, candidates: DataFrame) -> DataFrame:
     )
 
 
-def bucket_label(amount: Column, small_max=SMALL_MAX, near_max=NEAR_MAX) -> Column:
-    """Gift-size bucket of an individual amount (text boundaries of the
-    reference: 200.50 is mid, 999.50 is large, 3500.00 is max)."""
-    return (F.when(amount < 0, BUCKET_CODES["5"])
-             .when(amount <= small_max, BUCKET_CODES["1"])
-             .when(amount <= 999, BUCKET_CODES["2"])
-             .when(amount < near_max, BUCKET_CODES["3"])
-             .otherwise(BUCKET_CODES["4"]))
-
-
 def candidate_buckets(money: DataFrame, small_max=None, near_max=None) -> DataFrame:
     """Q2: count and sum of individual gifts per size bucket; zero and NULL
     amounts excluded."""

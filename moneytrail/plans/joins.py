@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from moneytrail.plans.session import app_id
 
 # Dimension tables (candidates, committees, links, tags, cohorts) are a few
-# thousand to a few hundred thousand rows in the real filings; two million rows
-# of a handful of short columns stays well under executor memory.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# thousand to a few hundred thousand rows in the real filings. Callers project
+# a dimension to the 1-3 short columns the join needs before broadcasting, so a
+# million rows is a few tens of MB per executor.
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 _checked: dict[tuple[str, int, int], bool] = {}
 

@@ -119,3 +119,8 @@ def test_no_standout(spark):
                             cats_frame(spark, []), materialize=False)
     heads = {r.cand_id: r.headline for r in cr.headline.collect()}
     assert heads == {"H1": "(balanced / no standout)", "H2": "(balanced / no standout)"}
+
+
+def test_empty_cohort(spark):
+    cr = rank.CohortRanking(base_frame(spark, []), cats_frame(spark, []), materialize=False)
+    assert cr.ranking.count() == 0 and cr.percentiles.count() == 0
