@@ -331,7 +331,8 @@ TYPED_COLUMNS = [
 
 def unparsed_values(raws: dict[str, DataFrame]) -> DataFrame:
     """Per typed column, blank texts and non-blank texts that typed to
-    NULL (lenient typing hides them otherwise). One pass per dataset."""
+    NULL (lenient typing hides them otherwise). One aggregation pass per
+    dataset; its one-row result is unpivoted with ``explode``."""
     frames = []
     for ds in dict.fromkeys(d for d, _, _ in TYPED_COLUMNS):
         cols = [(c, fn) for d, c, fn in TYPED_COLUMNS if d == ds]
@@ -340,9 +341,9 @@ def unparsed_values(raws: dict[str, DataFrame]) -> DataFrame:
             blank = F.col(c).isNull() | (F.trim(F.col(c)) == "")
             aggs += [F.count(F.when(blank, 1)).alias(f"{c}__blank"),
                      F.count(F.when(~blank & fn(F.col(c)).isNull(), 1)).alias(f"{c}__bad")]
-        a = raws[ds].agg(*aggs)
-        for c, _ in cols:
-            frames.append(a.select(F.lit(ds).alias("dataset"), F.lit(c).alias("column"),
-                                   F.col(f"{c}__blank").alias("blank"),
-                                   F.col(f"{c}__bad").alias("unparsed")))
+        rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}__blank").alias("blank"),
+                                  F.col(f"{c}__bad").alias("unparsed")) for c, _ in cols])
+        frames.append(raws[ds].agg(*aggs).select(F.lit(ds).alias("dataset"),
+                                                 F.explode(rows).alias("r"))
+                      .select("dataset", "r.column", "r.blank", "r.unparsed"))
     return _union(frames)
