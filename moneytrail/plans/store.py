@@ -119,6 +119,58 @@ class Store:
         (self.spark.createDataFrame([(self.sf_dir,)], "sf_dir string").coalesce(1)
          .write.mode("overwrite").json(self.path("_landed")))
 
+    def refresh(self, snapshots: dict[str, DataFrame], cycle: str = CYCLE,
+                force: bool = False) -> DataFrame:
+        """Refresh from new full snapshots of some datasets (S9-S11 end to end).
+
+        The cycle must match the store's (one cycle per store). Each given
+        snapshot is fingerprinted and compared with the stored manifest; only
+        new or changed datasets are re-landed and their curated tables rebuilt
+        (all given ones with ``force``). A failing dataset is reported and does
+        not stop the others. The manifest, the tag load (when committees
+        changed) and the materialised money fact are redone once at the end.
+        Returns one row per given dataset: status, action, error.
+        """
+        refresh.check_cycle(cycle)
+        stored = self.manifest()
+        refresh.assert_one_cycle(stored, cycle)
+        current = refresh.manifest(snapshots, cycle)
+        changes = refresh.snapshot_changes(
+            current, stored.filter(F.col("dataset").isin(list(snapshots))))
+        status = {r.dataset: r.status for r in changes.collect()}  # one row per dataset
+        results, rebuilt = [], []
+        for ds in snapshots:
+            st = status.get(ds, "new")
+            if not (force or st in ("new", "changed")):
+                results.append((ds, st, "skipped", None))
+                continue
+            try:
+                files.land_raw_parquet(snapshots[ds], self.raw_path(ds))
+                raw = files.scan_raw_parquet(self.spark, self.raw_path(ds), ds)
+                files.replace_curated(curate.CURATE[ds](raw),
+                                      self.table_path(TABLE_OF_DATASET[ds]))
+                results.append((ds, st, "rebuilt", None))
+                rebuilt.append(ds)
+            except Exception as e:  # noqa: BLE001 - report and go on with the others
+                results.append((ds, st, "failed", f"{type(e).__name__}: {str(e)[:300]}"))
+        if rebuilt:
+            self._frames.clear()
+            if "cm" in rebuilt:
+                entries = interests.scan_interest_dictionary(self.spark, self.dictionary_path())
+                tags = interests.load_group_mappings(entries, self.committees)
+                tmp = self.path("staging", "dim_group_mappings")
+                files.replace_curated(tags, tmp)
+                files.replace_curated(self.spark.read.parquet(tmp),
+                                      self.table_path("dim_group_mappings"))
+            tmp = self.path("staging", "manifest")
+            refresh.manifest(self.raws(), cycle).write.mode("overwrite").parquet(tmp)
+            self.spark.read.parquet(tmp).write.mode("overwrite").parquet(self.manifest_path())
+            self._frames.clear()
+            self.materialize_money()
+            self._frames.clear()
+        return self.spark.createDataFrame(
+            results, "dataset string, status string, action string, error string")
+
     def rollup_path(self) -> str:
         return self.path("derived", "money_rollup")
 

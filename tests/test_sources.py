@@ -113,3 +113,28 @@ def test_write_pipe_roundtrip(spark):
     files.write_pipe_text(df, d)
     back = files.scan_pipe_raw(spark, d, "ccl")
     assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+
+
+def test_store_refresh_rebuilds_only_changed(spark):
+    from moneytrail.plans.store import Store
+    sf = "/root/testdata/sf0.001"
+    st = Store(spark, sf, os.path.join(tmpdir(), "store"))
+    st.land()
+    n_cands = st.candidates.count()
+    # a new cn snapshot with one candidate less, arriving as files
+    snap = os.path.join(tmpdir(), "cn_snapshot")
+    drop = st.raw("cn").orderBy("CAND_ID").first().CAND_ID
+    st.raw("cn").filter(F.col("CAND_ID") != drop).write.parquet(snap)
+    new_cn = spark.read.parquet(snap)
+    same_ccl = spark.read.parquet(st.raw_path("ccl"))
+    snap2 = os.path.join(tmpdir(), "ccl_snapshot")
+    same_ccl.write.parquet(snap2)
+    res = {r.dataset: (r.status, r.action) for r in
+           st.refresh({"cn": new_cn, "ccl": spark.read.parquet(snap2)}).collect()}
+    assert res == {"cn": ("changed", "rebuilt"), "ccl": ("unchanged", "skipped")}
+    assert st.candidates.count() == n_cands - 1
+    again = {r.action for r in st.refresh({"cn": spark.read.parquet(snap)}).collect()}
+    assert again == {"skipped"}
+    import pytest
+    with pytest.raises(ValueError):
+        st.refresh({"cn": new_cn}, cycle="2024")
