@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,10 +68,19 @@ class Store:
         with _lock:
             st = _stores.get(key)
             if st is None:
-                root = scratch_path(spark, "store", input_fingerprint(spark, sf_dir))
-                st = cls(spark, sf_dir, root)
-                if not fs_exists(spark, st.path("_landed")):
+                # Each landing goes to its own folder; a small marker next to
+                # them names the completed one. Two jobs landing the same inputs
+                # at once both finish into separate folders and readers always
+                # see a complete store (the marker is written last).
+                base = scratch_path(spark, "store", input_fingerprint(spark, sf_dir))
+                marker = os.path.join(base, "_landed")
+                if fs_exists(spark, marker):
+                    st = cls(spark, sf_dir, spark.read.json(marker).first()["root"])
+                else:
+                    st = cls(spark, sf_dir, os.path.join(base, uuid.uuid4().hex[:12]))
                     st.land()
+                    (spark.createDataFrame([(st.root, sf_dir)], "root string, sf_dir string")
+                     .coalesce(1).write.mode("overwrite").json(marker))
                 _stores[key] = st
         return st
 
@@ -115,9 +125,6 @@ class Store:
         raws = {ds: self.raw(ds) for ds in DATASETS}
         refresh.manifest(raws, CYCLE).write.mode("overwrite").parquet(self.manifest_path())
         self.materialize_money()
-        # completion marker, written last through Spark (any shared file system)
-        (self.spark.createDataFrame([(self.sf_dir,)], "sf_dir string").coalesce(1)
-         .write.mode("overwrite").json(self.path("_landed")))
 
     def refresh(self, snapshots: dict[str, DataFrame], cycle: str = CYCLE,
                 force: bool = False) -> DataFrame:
