@@ -77,8 +77,9 @@ def donor_size_summary(buckets: DataFrame) -> DataFrame:
         F.sum(F.when(code == "1", F.col("amount"))).alias("small_amt"),
         F.sum(F.when(code == "4", F.col("amount"))).alias("mp_amt"),
         F.sum(F.when(code == "5", F.col("amount"))).alias("refund_amt"),
-        F.sum(F.when(code == "5", F.col("n"))).alias("refund_n"))
-    w = w.select("cand_id",
+        F.sum(F.when(code == "5", F.col("n"))).alias("refund_n"),
+        F.count(F.when(pos, 1)).alias("n_rows"))
+    w = w.select("cand_id", "n_rows",
                  F.coalesce("pos_amt", F.lit(0).cast(DEC)).alias("pos_amt"),
                  F.coalesce("pos_n", F.lit(0).cast("long")).alias("pos_n"),
                  F.coalesce("small_amt", F.lit(0).cast(DEC)).alias("small_amt"),
@@ -119,7 +120,8 @@ def geography_summary(facts: DataFrame, top_states: DataFrame) -> DataFrame:
     """Per candidate with individual money >= the floor: out-of-state share,
     featured flag, and the remainder outside the top states."""
     t = top_states.groupBy(F.col("cand_id").alias("_tid")).agg(
-        F.sum("amount").alias("top_amt"), F.sum("n").alias("top_n"))
+        F.sum("amount").alias("top_amt"), F.sum("n").alias("top_n"),
+        F.count(F.lit(1)).alias("n_top"))
     f = facts.filter(F.col("ind") >= K.MIN_INDIVIDUAL)
     j = f.join(t, F.col("cand_id") == F.col("_tid"), "left")
     ind = _d("ind")
@@ -129,7 +131,8 @@ def geography_summary(facts: DataFrame, top_states: DataFrame) -> DataFrame:
         "cand_id", "CAND_NAME", F.col("CAND_OFFICE_ST").alias("home"), "ind", "ind_count",
         "instate", oos.alias("oos"), (oos >= K.FLOOR_OUT_OF_STATE).alias("featured"),
         rem.alias("rem"),
-        (F.col("ind_count") - F.coalesce(F.col("top_n"), F.lit(0))).alias("rem_n"))
+        (F.col("ind_count") - F.coalesce(F.col("top_n"), F.lit(0))).alias("rem_n"),
+        F.coalesce(F.col("n_top"), F.lit(0)).alias("n_top"))
 
 
 def angle_geography(facts: DataFrame, top_states: DataFrame) -> DataFrame:
@@ -191,9 +194,6 @@ def angle_documents(buckets: DataFrame, facts: DataFrame, top_states: DataFrame,
     ds = donor_size_summary(buckets).filter("emitted").join(
         names, F.col("cand_id") == F.col("_cid"), "left")
     ss, mp = F.col("ss"), F.col("mp_share")
-    n_rows_ds = buckets.filter((_bucket_code() != "5") & (F.col("amount") > 0)).groupBy(
-        F.col("cand_id").alias("_rid")).agg(F.count(F.lit(1)).alias("n_rows"))
-    ds = ds.join(n_rows_ds, F.col("cand_id") == F.col("_rid"), "left")
     d1 = ds.select(
         "cand_id", F.lit(K.ANGLE_DONOR_SIZE).alias("angle_id"),
         F.lit(K.DONOR_SIZE_TITLE).alias("title"),
@@ -215,9 +215,6 @@ def angle_documents(buckets: DataFrame, facts: DataFrame, top_states: DataFrame,
 
     g = geography_summary(facts, top_states).join(names, F.col("cand_id") == F.col("_cid"),
                                                   "left")
-    n_states = top_states.groupBy(F.col("cand_id").alias("_rid")).agg(
-        F.count(F.lit(1)).alias("n_top"))
-    g = g.join(n_states, F.col("cand_id") == F.col("_rid"), "left")
     oos = F.col("oos")
     home_name = F.coalesce(lookup(K.STATE_NAMES, F.col("home")), F.col("home"))
     d2 = g.select(
@@ -236,8 +233,7 @@ def angle_documents(buckets: DataFrame, facts: DataFrame, top_states: DataFrame,
         _fmt(K.GEOGRAPHY_SUBHEAD, F.col("_name"), money("ind")).alias("subhead"),
         F.lit(K.GEOGRAPHY_DENOMINATOR).alias("denominator_label"),
         _d("ind").alias("denominator_amount"), F.col("ind_count").alias("denominator_count"),
-        (F.coalesce(F.col("n_top"), F.lit(0)) + F.when(_d("rem") > 0.5, 1).otherwise(0))
-         .cast("long").alias("n_rows"),
+        (F.col("n_top") + F.when(_d("rem") > 0.5, 1).otherwise(0)).cast("long").alias("n_rows"),
         F.lit(len(K.GEOGRAPHY_NOTES)).alias("n_footnotes"),
         F.lit(K.GEOGRAPHY_SOURCE).alias("source"))
     return d1.unionByName(d2)
