@@ -60,7 +60,8 @@ def rank_category_shares(signals: DataFrame, categories: DataFrame) -> DataFrame
     has money in. Members absent for a tag have share 0 for it (implicit)."""
     s = signals.select(F.col("cand_id").alias("_cid"), "backing")
     j = categories.join(s, F.col("cand_id") == F.col("_cid"))
-    share = F.when(F.col("backing") != 0, _d("amount") / F.col("backing")).otherwise(F.lit(0.0))
+    amount = F.coalesce(F.col("amount"), F.lit(0)).cast(DBL)  # float(amt or 0)
+    share = F.when(F.col("backing") != 0, amount / F.col("backing")).otherwise(F.lit(0.0))
     return j.select("cand_id", F.col("interest_category").alias("tag"), share.alias("share"))
 
 

@@ -383,7 +383,7 @@ RANK = RANK_BASE + RANK_CATS + f"""
 ),
 cat_share AS (
     SELECT c.cand_id, c.interest_category AS tag,
-           CASE WHEN s.backing <> 0 THEN {d('c.amount')} / s.backing ELSE 0.0 END AS share
+           CASE WHEN s.backing <> 0 THEN coalesce({d('c.amount')}, 0.0) / s.backing ELSE 0.0 END AS share
     FROM rank_cats c JOIN sig s ON s.cand_id = c.cand_id
 ),
 all_tags AS (SELECT DISTINCT interest_category AS tag FROM rank_cats),
