@@ -92,7 +92,7 @@ def global_row_number(df: DataFrame, order: list, out: str = "rank",
     """Add ``out`` = 1-based position in ``order`` (a total order), computed
     without collecting the rows into one partition unless they are proven few."""
     if _single_task_ok(df, max_rows_single_task, proven_rows):
-        return df.withColumn(out, F.row_number().over(Window.orderBy(*_cols(order))))
+        return df.withColumn(out, F.row_number().over(Window.orderBy(*_cols(order))).cast("long"))
     ones = df.withColumn("_one", F.lit(1)).withColumn("_all", F.lit(0))
     r = exclusive_prefix_sum(ones, ["_all"], order, "_one", "_before")
     return r.withColumn(out, F.col("_before") + 1).drop("_one", "_all", "_before")

@@ -152,7 +152,7 @@ def angle_geography(facts: DataFrame, top_states: DataFrame) -> DataFrame:
         is_home.alias("in_state"),
         "oos", "featured", "ind", "instate")
     other = g.filter(_d("rem") > 0.5).select(
-        "cand_id", F.lit(99).cast("int").alias("row_order"),
+        "cand_id", F.lit(99).cast("long").alias("row_order"),
         F.lit(None).cast("string").alias("state"), F.lit(K.GEOGRAPHY_OTHER).alias("label"),
         _d("rem").alias("amount"), F.col("rem_n").alias("count"),
         r4(_d("rem") / _d("ind")).alias("share_of_individual"),

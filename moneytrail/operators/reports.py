@@ -87,7 +87,8 @@ def candidate_buckets(money: DataFrame, small_max=None, near_max=None) -> DataFr
 
 def _top_n(df: DataFrame, part: str, order: list[Column], n: int) -> DataFrame:
     w = Window.partitionBy(part).orderBy(*order)
-    return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    return (df.withColumn("rank", F.row_number().over(w).cast("long"))
+            .filter(F.col("rank") <= n))
 
 
 def candidate_top_states(money: DataFrame, limit: int = TOP_STATES) -> DataFrame:

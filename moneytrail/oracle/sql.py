@@ -559,14 +559,14 @@ GEO = FACTS + TOP_STATES + f"""
     SELECT f.cand_id, f.CAND_NAME, f.CAND_OFFICE_ST AS home, f.ind, f.ind_count, f.instate,
         ({d('f.ind')} - {d('f.instate')}) / {d('f.ind')} AS oos,
         f.ind - coalesce(t.top_amt, 0) AS rem,
-        f.ind_count - coalesce(t.top_n, 0) AS rem_n
+        CAST(f.ind_count - coalesce(t.top_n, 0) AS BIGINT) AS rem_n
     FROM facts f
     LEFT JOIN (SELECT cand_id, sum(amount) AS top_amt, sum(n) AS top_n FROM top_states GROUP BY 1) t
       ON t.cand_id = f.cand_id
     WHERE f.ind >= {K.MIN_INDIVIDUAL}
 ),
 geo_rows AS (
-    SELECT s.cand_id, CAST(s.rank AS INTEGER) AS row_order, s.donor_state AS state,
+    SELECT s.cand_id, CAST(s.rank AS BIGINT) AS row_order, s.donor_state AS state,
         CASE WHEN coalesce(s.donor_state = g.home, false)
              THEN coalesce({mapping(K.STATE_NAMES, 's.donor_state')}, s.donor_state, '?')
                   || {lit(K.GEOGRAPHY_HOME_SUFFIX)}
@@ -855,11 +855,11 @@ _KEYS = [("fact_individual_contributions", "SUB_ID"), ("fact_contributions", "SU
          ("fact_independent_expenditures", "IE_ID"), ("dim_candidates", "CAND_ID"),
          ("dim_committees", "CMTE_ID")]
 q("key_uniqueness", "\n" + " UNION ALL ".join(f"""
-SELECT '{t}' AS "table", '{k}' AS key, sum(c) AS rows,
+SELECT '{t}' AS "table", '{k}' AS key, CAST(sum(c) AS BIGINT) AS rows,
        count(*) FILTER (WHERE kk IS NOT NULL) AS distinct_keys,
        count(*) FILTER (WHERE kk IS NOT NULL AND c > 1) AS dup_keys,
-       coalesce(sum(c) FILTER (WHERE kk IS NOT NULL AND c > 1), 0) AS dup_rows,
-       coalesce(sum(c) FILTER (WHERE kk IS NULL), 0) AS null_keys
+       CAST(coalesce(sum(c) FILTER (WHERE kk IS NOT NULL AND c > 1), 0) AS BIGINT) AS dup_rows,
+       CAST(coalesce(sum(c) FILTER (WHERE kk IS NULL), 0) AS BIGINT) AS null_keys
 FROM (SELECT {k} AS kk, count(*) AS c FROM {t} GROUP BY 1)""" for t, k in _KEYS))
 
 _REFS = [("fact_independent_expenditures", "TARGET_CAND_ID", "dim_candidates", "CAND_ID"),

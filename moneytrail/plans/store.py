@@ -41,12 +41,22 @@ _LANDING_MODULES = ["sources/fixture.py", "sources/schemas.py", "sources/interes
                     "plans/joins.py"]
 
 
-def input_fingerprint(spark: SparkSession, sf_dir: str) -> str:
-    h = hashlib.sha256(sf_dir.rstrip("/").encode())
+def _code_fingerprint() -> bytes:
+    h = hashlib.sha256()
     pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     for m in _LANDING_MODULES:
         with open(os.path.join(pkg, m), "rb") as fh:
             h.update(hashlib.sha256(fh.read()).digest())
+    return h.digest()
+
+
+# taken once, at import: the landing code this process actually runs
+_CODE = _code_fingerprint()
+
+
+def input_fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    h = hashlib.sha256(sf_dir.rstrip("/").encode())
+    h.update(_CODE)
     for t in INPUT_TABLES:
         st = fs_status(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")
         h.update(f"{t}:{st}".encode())
@@ -74,8 +84,9 @@ class Store:
                 # see a complete store (the marker is written last).
                 base = scratch_path(spark, "store", input_fingerprint(spark, sf_dir))
                 marker = os.path.join(base, "_landed")
-                if fs_exists(spark, marker):
-                    st = cls(spark, sf_dir, spark.read.json(marker).first()["root"])
+                landed = spark.read.json(marker) if fs_exists(spark, marker) else None
+                if landed is not None and "root" in landed.columns:
+                    st = cls(spark, sf_dir, landed.first()["root"])
                 else:
                     st = cls(spark, sf_dir, os.path.join(base, uuid.uuid4().hex[:12]))
                     st.land()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moneytrail.sources.schemas import RAW_COLUMNS, raw_schema
+from moneytrail.sources.schemas import raw_schema
 
 
 # --------------------------------------------------------------------- S1 / S2
@@ -86,7 +86,7 @@ def landed_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     for ds, p in paths.items():
         df = spark.read.parquet(p)
         one = df.agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(ds).alias("dataset"), "rows", F.lit(len(df.columns)).alias("cols"))
+            F.lit(ds).alias("dataset"), "rows", F.lit(len(df.columns)).cast("long").alias("cols"))
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -100,5 +100,3 @@ def write_angles(docs: DataFrame, path: str) -> str:
          .write.mode("overwrite").partitionBy("dirname", "angle_id").json(path))
     return path
 
-
-RAW_COLUMNS = RAW_COLUMNS

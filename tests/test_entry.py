@@ -29,6 +29,10 @@ def con():
     return c
 
 
+SPARK2DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+              "boolean": "BOOLEAN", "date": "DATE"}
+
+
 def norm(v):
     if isinstance(v, float):
         return f"{v:.9g}"
@@ -47,7 +51,10 @@ def test_oracle(spark, con, key):
     if not os.path.isdir(SF):
         pytest.skip("no test data")
     df = E.queries()[key](spark, SF)
-    res = con.execute(E.oracle_sql()[key])
-    ocols = [d[0] for d in res.description]
+    rel = con.sql(E.oracle_sql()[key])
+    ocols = list(rel.columns)
     assert sorted(df.columns) == sorted(ocols)
-    assert canon(df.columns, [tuple(r) for r in df.collect()]) == canon(ocols, res.fetchall())
+    spark_types = {f.name: SPARK2DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    assert canon(df.columns, [tuple(r) for r in df.collect()]) == canon(ocols, rel.fetchall())
