@@ -13,8 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moneytrail.operators import reports
+from moneytrail.operators import angles, profile, quality, rank, reports, semantic
+from moneytrail.plans.session import fs_exists, scratch_path
 from moneytrail.plans.store import Store
+from moneytrail.sources import files, interests
+from moneytrail.sources.fixture import CYCLE
+from moneytrail.sources.schemas import DATASETS as DATASETS_ORDER
+from moneytrail.sources.schemas import TABLE_OF_DATASET
+from moneytrail.streaming import refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -171,9 +177,7 @@ def queries() -> dict[str, Query]:
             for k, v in REGISTRY.items()}
 
 
-
 # ------------------------------------------------------------------ profile (M)
-from moneytrail.operators import profile, rank  # noqa: E402
 
 
 def _facts(s: Store) -> DataFrame:
@@ -304,9 +308,6 @@ def _r7(spark, sf):
 
 
 # ------------------------------------------------------------------ angles (X)
-from moneytrail.operators import angles  # noqa: E402
-from moneytrail.sources import files  # noqa: E402
-from moneytrail.plans.session import fs_exists, scratch_path  # noqa: E402
 
 
 def _angle_inputs(s: Store):
@@ -388,7 +389,6 @@ def _s12(spark, sf):
 
 
 # ------------------------------------------------------------------ semantic (L)
-from moneytrail.operators import semantic  # noqa: E402
 
 
 @register("sem_candidate_count")
@@ -439,8 +439,6 @@ def _l8(spark, sf):
 
 
 # ------------------------------------------------------------------ quality (D)
-from moneytrail.operators import quality  # noqa: E402
-from moneytrail.sources.schemas import TABLE_OF_DATASET  # noqa: E402
 
 
 @register("table_profile")
@@ -565,9 +563,6 @@ def _d18(spark, sf):
 
 
 # ------------------------------------------------------------------ sources (S)
-from moneytrail.sources import interests  # noqa: E402
-from moneytrail.streaming import refresh  # noqa: E402
-from moneytrail.sources.fixture import CYCLE  # noqa: E402
 
 
 @register("scan_pipe_raw")
@@ -641,4 +636,3 @@ def _s11(spark, sf):
     return refresh.single_cycle_guard(S(spark, sf).manifest(), CYCLE)
 
 
-from moneytrail.sources.schemas import DATASETS as DATASETS_ORDER  # noqa: E402

@@ -3,6 +3,8 @@ leave as DOUBLE, like :func:`moneytrail.catalog.comparable`)."""
 
 from __future__ import annotations
 
+from moneytrail.functions import constants as K
+from moneytrail.operators.quality import TABLE_DOCS
 from moneytrail.oracle.prefix import PREFIX
 
 ORACLE: dict[str, str] = {}
@@ -12,8 +14,6 @@ def q(name: str, body: str) -> None:
     ORACLE[name] = PREFIX + "\n" + body
 
 
-
-
 def d(x: str) -> str:
     """A decimal amount as DOUBLE, via DECIMAL(18,2) (exact conversion)."""
     return f"CAST(CAST({x} AS DECIMAL(18,2)) AS DOUBLE)"
@@ -447,7 +447,6 @@ SELECT rank, cand_id, name, seat, party, backing, headline,
 FROM ranking""")
 
 # ------------------------------------------------------------------ angles (X)
-from moneytrail.functions import constants as K  # noqa: E402
 
 
 def lit(s: str) -> str:
@@ -770,7 +769,6 @@ FROM mc WHERE channel = 'individual' AND amount > 0 AND donor_state <> CAND_OFFI
 GROUP BY 1, 2, 3, 4, 5, 6""")
 
 # ------------------------------------------------------------------ quality (D)
-from moneytrail.operators.quality import TABLE_DOCS  # noqa: E402
 
 CURATED = [("dim_candidates", 10), ("dim_committees", 8), ("bridge_candidate_committee", 6),
            ("fact_contributions", 11), ("fact_individual_contributions", 17),

@@ -108,6 +108,12 @@ class Store:
         return self.path("manifest")
 
     def manifest(self) -> DataFrame:
+        """The stored fingerprints of the landed raw datasets. They describe
+        the landed files, so they are computed on first use (one scan) rather
+        than during landing, and kept until a refresh replaces the data."""
+        if not fs_exists(self.spark, self.manifest_path()):
+            refresh.manifest(self.raws(), CYCLE).write.mode("overwrite").parquet(
+                self.manifest_path())
         return self.spark.read.parquet(self.manifest_path())
 
     def curated_tables(self) -> dict[str, DataFrame]:
@@ -133,8 +139,6 @@ class Store:
         committees = self.spark.read.parquet(self.table_path("dim_committees"))
         files.replace_curated(interests.load_group_mappings(entries, committees),
                               self.table_path("dim_group_mappings"))
-        raws = {ds: self.raw(ds) for ds in DATASETS}
-        refresh.manifest(raws, CYCLE).write.mode("overwrite").parquet(self.manifest_path())
         self.materialize_money()
 
     def refresh(self, snapshots: dict[str, DataFrame], cycle: str = CYCLE,
