@@ -919,3 +919,43 @@ SELECT dirs.dirname, docs.angle_id, docs.cand_id, docs.metric_value, docs.featur
        CAST(docs.n_rows AS BIGINT) AS n_rows, CAST(docs.n_footnotes AS BIGINT) AS n_footnotes
 FROM docs JOIN dirs ON dirs.cand_id = docs.cand_id
 WHERE docs.cand_id IN (SELECT lc FROM linked)""")
+
+
+# The live schemas come from DuckDB's DESCRIBE of each curated table,
+# with DuckDB type names spelled the way Spark prints them.
+def _live_columns() -> str:
+    parts = []
+    for t, _ in CURATED:
+        parts.append(f"""
+SELECT '{t}' AS "table", CAST(row_number() OVER () AS INTEGER) AS ordinal,
+       column_name AS "column",
+       CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int'
+            WHEN 'BIGINT' THEN 'bigint' WHEN 'DATE' THEN 'date'
+            ELSE lower(column_type) END AS type
+FROM (DESCRIBE {PREFIX} SELECT * FROM {t})""")
+    return " UNION ALL ".join(parts)
+
+
+def _docs_values() -> str:
+    rows = [f"({lit(t)}, {lit(c)}, {lit(d)})" for t, m in TABLE_DOCS.items()
+            for c, d in m["columns"].items()]
+    return "SELECT * FROM (VALUES " + ", ".join(rows) + ') AS v("table", "column", description)'
+
+
+ORACLE["column_dictionary"] = f"""
+WITH live AS ({_live_columns()}),
+docs AS ({_docs_values()})
+SELECT l."table", l.ordinal, l."column", l.type,
+       coalesce(d.description, '(undocumented)') AS description
+FROM live l LEFT JOIN docs d ON d."table" = l."table" AND d."column" = l."column"
+"""
+
+ORACLE["dictionary_drift"] = f"""
+WITH live AS ({_live_columns()}),
+docs AS ({_docs_values()})
+SELECT l."table", l."column", 'undocumented' AS kind FROM live l
+WHERE NOT EXISTS (SELECT 1 FROM docs d WHERE d."table" = l."table" AND d."column" = l."column")
+UNION ALL
+SELECT d."table", d."column", 'stale' FROM docs d
+WHERE NOT EXISTS (SELECT 1 FROM live l WHERE l."table" = d."table" AND l."column" = d."column")
+"""
