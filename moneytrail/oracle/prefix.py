@@ -247,60 +247,62 @@ dim_group_mappings AS (
     FROM dict_entries d
     WHERE d.cmte_id IN (SELECT CMTE_ID FROM dim_committees)
 ),
-candidate_committees AS (
-    SELECT DISTINCT b.CAND_ID, b.CMTE_ID, b.CMTE_TP, b.CMTE_DSGN
-    FROM bridge_candidate_committee b
-    WHERE b.CMTE_DSGN IN ('P', 'A') AND b.CMTE_TP IN ('H', 'S', 'P')
+v_links AS (
+    -- attribution links: principal or authorized committees of H/S/P candidates
+    SELECT CAND_ID, CMTE_ID, CMTE_TP, CMTE_DSGN
+    FROM bridge_candidate_committee
+    WHERE CMTE_TP IN ('H', 'S', 'P') AND CMTE_DSGN IN ('P', 'A')
+    GROUP BY CAND_ID, CMTE_ID, CMTE_TP, CMTE_DSGN
 ),
-clean_individual_contributions AS (
+v_gifts AS (
+    -- people only, and not the memo copy of an earmarked gift
     SELECT TRY_CAST(SUB_ID AS BIGINT) AS SUB_ID, CMTE_ID AS TARGET_CMTE_ID,
            NAME AS CONTRIBUTOR_NAME, CITY, STATE, ZIP_CODE, EMPLOYER, OCCUPATION,
            TRY_CAST(TRANSACTION_AMT AS DECIMAL(14,2)) AS AMOUNT,
            TRY_STRPTIME(TRANSACTION_DT, '%m%d%Y')::DATE AS TRANSACTION_DT,
            TRANSACTION_TP, ENTITY_TP, OTHER_ID, IMAGE_NUM, FILE_NUM, TRAN_ID, MEMO_CD, MEMO_TEXT
     FROM raw_indiv
-    WHERE ENTITY_TP = 'IND' AND (MEMO_CD IS NULL OR MEMO_CD <> 'X')
+    WHERE coalesce(MEMO_CD, '') <> 'X' AND ENTITY_TP = 'IND'
 ),
-clean_independent_expenditures AS (
-    SELECT i.* FROM fact_independent_expenditures i
-    JOIN dim_committees cm ON cm.CMTE_ID = i.SPENDER_CMTE_ID
-    WHERE i.AMNDT_IND = 'N'
+v_ie AS (
+    -- original filings by a spender that is a known committee (inner join keeps
+    -- the fan-out of a duplicated committee row)
+    SELECT e.IE_ID, e.SPENDER_CMTE_ID, e.TARGET_CAND_ID, e.SUPPORT_OPPOSE, e.AMOUNT,
+           e.EXPENDITURE_DT, e.AGGREGATE_AMOUNT, e.PURPOSE, e.PAYEE, e.SPENDER_NAME,
+           e.TARGET_CAND_NAME, e.ELECTION_TYPE, e.DISSEMINATION_DT, e.IMAGE_NUM, e.FILE_NUM,
+           e.TRAN_ID, e.AMNDT_IND, e.PREV_FILE_NUM
+    FROM fact_independent_expenditures e
+    INNER JOIN (SELECT CMTE_ID AS known_id FROM dim_committees) k ON k.known_id = e.SPENDER_CMTE_ID
+    WHERE e.AMNDT_IND = 'N'
 ),
-money_individual AS (
-    SELECT cc.CAND_ID AS cand_id, 'individual' AS channel, i.AMOUNT AS amount,
-           i.STATE AS donor_state, i.CONTRIBUTOR_NAME AS contributor_name, i.EMPLOYER AS employer,
-           CAST(NULL AS VARCHAR) AS interest_category
-    FROM clean_individual_contributions i
-    JOIN candidate_committees cc ON cc.CMTE_ID = i.TARGET_CMTE_ID
+arm_ind AS (
+    SELECT l.CAND_ID AS cand_id, 'individual' AS channel, g.AMOUNT AS amount,
+           g.STATE AS donor_state, g.CONTRIBUTOR_NAME AS contributor_name,
+           g.EMPLOYER AS employer, NULL::VARCHAR AS interest_category
+    FROM v_links l INNER JOIN v_gifts g ON g.TARGET_CMTE_ID = l.CMTE_ID
 ),
-money_direct_pac AS (
-    SELECT f.TARGET_CAND_ID AS cand_id, 'direct_pac' AS channel, f.AMOUNT AS amount,
-           CAST(NULL AS VARCHAR) AS donor_state, CAST(NULL AS VARCHAR) AS contributor_name,
-           CAST(NULL AS VARCHAR) AS employer, g.custom_category AS interest_category
-    FROM fact_contributions f
-    LEFT JOIN dim_group_mappings g ON g.CMTE_ID = f.SOURCE_CMTE_ID
-    WHERE f.TRANSACTION_TP NOT IN ('24E', '24A', '24C', '24N')
+arm_pac AS (
+    -- IE and coordinated types leave; a NULL type fails NOT IN and leaves too
+    SELECT c.TARGET_CAND_ID AS cand_id, 'direct_pac' AS channel, c.AMOUNT AS amount,
+           NULL::VARCHAR AS donor_state, NULL::VARCHAR AS contributor_name,
+           NULL::VARCHAR AS employer, t.custom_category AS interest_category
+    FROM fact_contributions c
+    LEFT OUTER JOIN dim_group_mappings t ON t.CMTE_ID = c.SOURCE_CMTE_ID
+    WHERE NOT (c.TRANSACTION_TP IN ('24E', '24A', '24C', '24N'))
 ),
-money_ie_support AS (
-    SELECT i.TARGET_CAND_ID AS cand_id, 'ie_support' AS channel, i.AMOUNT AS amount,
-           CAST(NULL AS VARCHAR) AS donor_state, CAST(NULL AS VARCHAR) AS contributor_name,
-           CAST(NULL AS VARCHAR) AS employer, g.custom_category AS interest_category
-    FROM clean_independent_expenditures i
-    LEFT JOIN dim_group_mappings g ON g.CMTE_ID = i.SPENDER_CMTE_ID
-    WHERE i.SUPPORT_OPPOSE = 'S'
+ie_tagged AS (
+    SELECT e.TARGET_CAND_ID AS cand_id,
+           CASE e.SUPPORT_OPPOSE WHEN 'S' THEN 'ie_support' WHEN 'O' THEN 'ie_oppose' END
+               AS channel,
+           e.AMOUNT AS amount, NULL::VARCHAR AS donor_state, NULL::VARCHAR AS contributor_name,
+           NULL::VARCHAR AS employer, t.custom_category AS interest_category
+    FROM v_ie e
+    LEFT OUTER JOIN dim_group_mappings t ON t.CMTE_ID = e.SPENDER_CMTE_ID
 ),
-money_ie_oppose AS (
-    SELECT i.TARGET_CAND_ID AS cand_id, 'ie_oppose' AS channel, i.AMOUNT AS amount,
-           CAST(NULL AS VARCHAR) AS donor_state, CAST(NULL AS VARCHAR) AS contributor_name,
-           CAST(NULL AS VARCHAR) AS employer, g.custom_category AS interest_category
-    FROM clean_independent_expenditures i
-    LEFT JOIN dim_group_mappings g ON g.CMTE_ID = i.SPENDER_CMTE_ID
-    WHERE i.SUPPORT_OPPOSE = 'O'
-),
-candidate_money AS (
-    SELECT * FROM money_individual
-    UNION ALL SELECT * FROM money_direct_pac
-    UNION ALL SELECT * FROM money_ie_support
-    UNION ALL SELECT * FROM money_ie_oppose
+arm_sup AS (SELECT * FROM ie_tagged WHERE channel = 'ie_support'),
+arm_opp AS (SELECT * FROM ie_tagged WHERE channel = 'ie_oppose'),
+v_money AS (
+    SELECT * FROM arm_ind UNION ALL SELECT * FROM arm_pac
+    UNION ALL SELECT * FROM arm_sup UNION ALL SELECT * FROM arm_opp
 )
 """

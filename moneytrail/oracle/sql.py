@@ -39,180 +39,195 @@ IE_COLS = """IE_ID, SPENDER_CMTE_ID, TARGET_CAND_ID, SUPPORT_OPPOSE, CAST(CAST(A
 q("fact_independent_expenditures", f"SELECT {IE_COLS} FROM fact_independent_expenditures")
 
 # ------------------------------------------------------------------ views (V)
-q("candidate_committees", "SELECT * FROM candidate_committees")
+q("candidate_committees", "SELECT * FROM v_links")
 q("clean_individual", """
 SELECT SUB_ID, TARGET_CMTE_ID, CONTRIBUTOR_NAME, CITY, STATE, ZIP_CODE, EMPLOYER, OCCUPATION,
        CAST(CAST(AMOUNT AS DECIMAL(18,2)) AS DOUBLE) AS AMOUNT, TRANSACTION_DT, TRANSACTION_TP, ENTITY_TP, OTHER_ID,
        IMAGE_NUM, FILE_NUM, TRAN_ID, MEMO_CD, MEMO_TEXT
-FROM clean_individual_contributions""")
-q("clean_ie", f"SELECT {IE_COLS} FROM clean_independent_expenditures")
+FROM v_gifts""")
+q("clean_ie", f"SELECT {IE_COLS} FROM v_ie")
 MONEY_SEL = """SELECT cand_id, channel, CAST(CAST(amount AS DECIMAL(18,2)) AS DOUBLE) AS amount, donor_state,
        contributor_name, employer, interest_category FROM """
-q("candidate_money", MONEY_SEL + "candidate_money")
-q("money_individual", MONEY_SEL + "money_individual")
-q("money_direct_pac", MONEY_SEL + "money_direct_pac")
-q("money_ie_support", MONEY_SEL + "money_ie_support")
-q("money_ie_oppose", MONEY_SEL + "money_ie_oppose")
+q("candidate_money", MONEY_SEL + "v_money")
+q("money_individual", MONEY_SEL + "arm_ind")
+q("money_direct_pac", MONEY_SEL + "arm_pac")
+q("money_ie_support", MONEY_SEL + "arm_sup")
+q("money_ie_oppose", MONEY_SEL + "arm_opp")
 
 # ------------------------------------------------------------------ reports (Q)
 TOTALS = """
-, totals AS (
-    SELECT c.CAND_ID AS cand_id,
-        coalesce(sum(m.amount) FILTER (WHERE m.channel = 'individual'), 0) AS individual_amount,
-        count(m.channel) FILTER (WHERE m.channel = 'individual') AS individual_count,
-        coalesce(sum(m.amount) FILTER (WHERE m.channel = 'direct_pac'), 0) AS direct_pac_amount,
-        count(m.channel) FILTER (WHERE m.channel = 'direct_pac') AS direct_pac_count,
-        coalesce(sum(m.amount) FILTER (WHERE m.channel = 'ie_support'), 0) AS ie_support_amount,
-        coalesce(sum(m.amount) FILTER (WHERE m.channel = 'ie_oppose'), 0) AS ie_oppose_amount,
-        coalesce(sum(m.amount) FILTER (WHERE m.channel IN ('individual', 'direct_pac')), 0) AS raised,
-        coalesce(sum(m.amount) FILTER (WHERE m.channel <> 'ie_oppose'), 0) AS total_backing
-    FROM (SELECT DISTINCT CAND_ID FROM dim_candidates) c
-    LEFT JOIN candidate_money m ON m.cand_id = c.CAND_ID
-    GROUP BY c.CAND_ID
+, by_cand AS (
+    SELECT cand_id,
+        sum(CASE WHEN channel = 'individual' THEN amount END) AS s_ind,
+        count(CASE WHEN channel = 'individual' THEN 1 END) AS c_ind,
+        sum(CASE WHEN channel = 'direct_pac' THEN amount END) AS s_pac,
+        count(CASE WHEN channel = 'direct_pac' THEN 1 END) AS c_pac,
+        sum(CASE WHEN channel = 'ie_support' THEN amount END) AS s_sup,
+        sum(CASE WHEN channel = 'ie_oppose' THEN amount END) AS s_opp
+    FROM v_money GROUP BY cand_id
+),
+totals AS (
+    -- every candidate of the dimension, zero when it has no money
+    SELECT d.CAND_ID AS cand_id,
+        coalesce(b.s_ind, 0) AS individual_amount, coalesce(b.c_ind, 0) AS individual_count,
+        coalesce(b.s_pac, 0) AS direct_pac_amount, coalesce(b.c_pac, 0) AS direct_pac_count,
+        coalesce(b.s_sup, 0) AS ie_support_amount, coalesce(b.s_opp, 0) AS ie_oppose_amount,
+        coalesce(b.s_ind, 0) + coalesce(b.s_pac, 0) AS raised,
+        coalesce(b.s_ind, 0) + coalesce(b.s_pac, 0) + coalesce(b.s_sup, 0) AS total_backing
+    FROM (SELECT CAND_ID FROM dim_candidates GROUP BY CAND_ID) d
+    LEFT OUTER JOIN by_cand b ON b.cand_id = d.CAND_ID
 )
 """
-q("candidate_totals", TOTALS + """
-SELECT cand_id, CAST(CAST(individual_amount AS DECIMAL(18,2)) AS DOUBLE) AS individual_amount, individual_count,
-       CAST(CAST(direct_pac_amount AS DECIMAL(18,2)) AS DOUBLE) AS direct_pac_amount, direct_pac_count,
-       CAST(CAST(ie_support_amount AS DECIMAL(18,2)) AS DOUBLE) AS ie_support_amount,
-       CAST(CAST(ie_oppose_amount AS DECIMAL(18,2)) AS DOUBLE) AS ie_oppose_amount,
-       CAST(CAST(raised AS DECIMAL(18,2)) AS DOUBLE) AS raised, CAST(CAST(total_backing AS DECIMAL(18,2)) AS DOUBLE) AS total_backing
+q("candidate_totals", TOTALS + f"""
+SELECT cand_id, {d('individual_amount')} AS individual_amount, individual_count,
+       {d('direct_pac_amount')} AS direct_pac_amount, direct_pac_count,
+       {d('ie_support_amount')} AS ie_support_amount, {d('ie_oppose_amount')} AS ie_oppose_amount,
+       {d('raised')} AS raised, {d('total_backing')} AS total_backing
 FROM totals""")
 
 BUCKETS = """
-, buckets AS (
+, gifts_sized AS (
+    SELECT cand_id, amount,
+        CASE WHEN amount < 0 THEN 5 WHEN amount <= 200 THEN 1 WHEN amount <= 999 THEN 2
+             WHEN amount < 3500 THEN 3 ELSE 4 END AS code
+    FROM v_money
+    WHERE channel = 'individual' AND (amount > 0 OR amount < 0)
+),
+buckets AS (
     SELECT cand_id,
-        CASE
-            WHEN amount < 0 THEN '5 refund/negative'
-            WHEN amount <= 200 THEN '1 small  (<=$200)'
-            WHEN amount <= 999 THEN '2 mid    ($201-999)'
-            WHEN amount < 3500 THEN '3 large  ($1k-max)'
-            ELSE '4 max+   (>=$3500)'
-        END AS bucket,
-        count(*) AS n,
-        sum(amount) AS amount
-    FROM candidate_money
-    WHERE channel = 'individual' AND amount <> 0
-    GROUP BY 1, 2
+        CASE code WHEN 1 THEN '1 small  (<=$200)' WHEN 2 THEN '2 mid    ($201-999)'
+                  WHEN 3 THEN '3 large  ($1k-max)' WHEN 4 THEN '4 max+   (>=$3500)'
+                  ELSE '5 refund/negative' END AS bucket,
+        count(*) AS n, sum(amount) AS amount
+    FROM gifts_sized GROUP BY cand_id, code
 )
 """
-q("candidate_buckets", BUCKETS + "SELECT cand_id, bucket, n, CAST(CAST(amount AS DECIMAL(18,2)) AS DOUBLE) AS amount FROM buckets")
+q("candidate_buckets", BUCKETS + f"SELECT cand_id, bucket, n, {d('amount')} AS amount FROM buckets")
 
 TOP_STATES = """
 , state_sums AS (
     SELECT cand_id, donor_state, sum(amount) AS amount, count(*) AS n
-    FROM candidate_money WHERE channel = 'individual'
-    GROUP BY 1, 2
+    FROM v_money WHERE channel = 'individual'
+    GROUP BY cand_id, donor_state
 ),
 top_states AS (
-    SELECT * FROM (
-        SELECT *, row_number() OVER (PARTITION BY cand_id
-                                     ORDER BY amount DESC NULLS LAST, donor_state ASC NULLS LAST) AS rank
-        FROM state_sums) WHERE rank <= 8
+    SELECT *, row_number() OVER (PARTITION BY cand_id
+                                 ORDER BY amount DESC NULLS LAST, donor_state ASC NULLS LAST) AS rank
+    FROM state_sums
+    QUALIFY rank <= 8
 )
 """
-q("candidate_top_states", TOP_STATES + """
-SELECT cand_id, donor_state, CAST(CAST(amount AS DECIMAL(18,2)) AS DOUBLE) AS amount, n, rank FROM top_states""")
+q("candidate_top_states", TOP_STATES + f"""
+SELECT cand_id, donor_state, {d('amount')} AS amount, n, rank FROM top_states""")
 
 OOS = """
 , oos AS (
     SELECT m.cand_id, m.donor_state, sum(m.amount) AS amount
-    FROM candidate_money m JOIN dim_candidates c ON c.CAND_ID = m.cand_id
-    WHERE m.channel = 'individual' AND m.donor_state <> c.CAND_OFFICE_ST AND m.amount > 0
-    GROUP BY 1, 2
+    FROM v_money m, dim_candidates c
+    WHERE c.CAND_ID = m.cand_id AND m.channel = 'individual' AND m.amount > 0
+      AND m.donor_state <> c.CAND_OFFICE_ST
+    GROUP BY m.cand_id, m.donor_state
 )
 """
-q("candidate_oos_states", OOS + "SELECT cand_id, donor_state, CAST(CAST(amount AS DECIMAL(18,2)) AS DOUBLE) AS amount FROM oos")
+q("candidate_oos_states", OOS + f"SELECT cand_id, donor_state, {d('amount')} AS amount FROM oos")
 
 BLOCS = """
-, blocs AS (
+, tagged_sums AS (
     SELECT cand_id, interest_category,
-        coalesce(sum(amount) FILTER (WHERE channel = 'direct_pac'), 0) AS direct_pac_amount,
-        coalesce(sum(amount) FILTER (WHERE channel = 'ie_support'), 0) AS ie_support_amount
-    FROM candidate_money
-    WHERE channel IN ('direct_pac', 'ie_support') AND interest_category IS NOT NULL
-    GROUP BY 1, 2
-    HAVING coalesce(sum(amount), 0) <> 0
+        sum(CASE WHEN channel = 'direct_pac' THEN amount END) AS p,
+        sum(CASE WHEN channel = 'ie_support' THEN amount END) AS s,
+        sum(amount) AS t
+    FROM v_money
+    WHERE interest_category IS NOT NULL AND channel IN ('ie_support', 'direct_pac')
+    GROUP BY cand_id, interest_category
+),
+blocs AS (
+    SELECT cand_id, interest_category, coalesce(p, 0) AS direct_pac_amount,
+           coalesce(s, 0) AS ie_support_amount
+    FROM tagged_sums WHERE coalesce(t, 0) <> 0
 )
 """
-q("candidate_interest_blocs", BLOCS + """
-SELECT cand_id, interest_category, CAST(CAST(direct_pac_amount AS DECIMAL(18,2)) AS DOUBLE) AS direct_pac_amount,
-       CAST(CAST(ie_support_amount AS DECIMAL(18,2)) AS DOUBLE) AS ie_support_amount FROM blocs""")
+q("candidate_interest_blocs", BLOCS + f"""
+SELECT cand_id, interest_category, {d('direct_pac_amount')} AS direct_pac_amount,
+       {d('ie_support_amount')} AS ie_support_amount FROM blocs""")
 
 TOP_PAC = """
 , pac_sums AS (
-    SELECT f.TARGET_CAND_ID AS cand_id, cm.CMTE_NM, cm.CMTE_TP, sum(f.AMOUNT) AS amount, count(*) AS n
-    FROM fact_contributions f JOIN dim_committees cm ON cm.CMTE_ID = f.SOURCE_CMTE_ID
-    WHERE f.TRANSACTION_TP NOT IN ('24E', '24A', '24C', '24N')
-    GROUP BY 1, 2, 3
+    SELECT c.TARGET_CAND_ID AS cand_id, k.CMTE_NM, k.CMTE_TP, sum(c.AMOUNT) AS amount, count(*) AS n
+    FROM fact_contributions c, dim_committees k
+    WHERE k.CMTE_ID = c.SOURCE_CMTE_ID AND NOT (c.TRANSACTION_TP IN ('24E', '24A', '24C', '24N'))
+    GROUP BY c.TARGET_CAND_ID, k.CMTE_NM, k.CMTE_TP
 ),
 top_pac AS (
-    SELECT * FROM (
-        SELECT *, row_number() OVER (PARTITION BY cand_id ORDER BY amount DESC NULLS LAST,
-                                     CMTE_NM ASC NULLS LAST, CMTE_TP ASC NULLS LAST) AS rank
-        FROM pac_sums) WHERE rank <= 12
+    SELECT *, row_number() OVER (PARTITION BY cand_id ORDER BY amount DESC NULLS LAST,
+                                 CMTE_NM ASC NULLS LAST, CMTE_TP ASC NULLS LAST) AS rank
+    FROM pac_sums
+    QUALIFY rank <= 12
 )
 """
-q("candidate_top_direct_pac", TOP_PAC + """
-SELECT cand_id, CMTE_NM, CMTE_TP, CAST(CAST(amount AS DECIMAL(18,2)) AS DOUBLE) AS amount, n, rank FROM top_pac""")
+q("candidate_top_direct_pac", TOP_PAC + f"""
+SELECT cand_id, CMTE_NM, CMTE_TP, {d('amount')} AS amount, n, rank FROM top_pac""")
 
 TOP_IE = """
 , ie_sums AS (
     SELECT TARGET_CAND_ID AS cand_id, SPENDER_NAME, SUPPORT_OPPOSE, sum(AMOUNT) AS amount
-    FROM clean_independent_expenditures GROUP BY 1, 2, 3
+    FROM v_ie GROUP BY TARGET_CAND_ID, SPENDER_NAME, SUPPORT_OPPOSE
 ),
 top_ie AS (
-    SELECT * FROM (
-        SELECT *, row_number() OVER (PARTITION BY cand_id ORDER BY amount DESC NULLS LAST,
-                                     SPENDER_NAME ASC NULLS LAST, SUPPORT_OPPOSE ASC NULLS LAST) AS rank
-        FROM ie_sums) WHERE rank <= 8
+    SELECT *, row_number() OVER (PARTITION BY cand_id ORDER BY amount DESC NULLS LAST,
+                                 SPENDER_NAME ASC NULLS LAST, SUPPORT_OPPOSE ASC NULLS LAST) AS rank
+    FROM ie_sums
+    QUALIFY rank <= 8
 )
 """
-q("candidate_top_ie_spenders", TOP_IE + """
-SELECT cand_id, SPENDER_NAME, SUPPORT_OPPOSE, CAST(CAST(amount AS DECIMAL(18,2)) AS DOUBLE) AS amount, rank FROM top_ie""")
+q("candidate_top_ie_spenders", TOP_IE + f"""
+SELECT cand_id, SPENDER_NAME, SUPPORT_OPPOSE, {d('amount')} AS amount, rank FROM top_ie""")
 
 RANK_BASE = """
-, cand AS (
-    SELECT CAND_ID, CAND_NAME, CAND_OFFICE, CAND_OFFICE_ST, CAND_OFFICE_DISTRICT, CAND_PTY_AFFILIATION
+, members AS (
+    -- default cohort: no office / state / incumbency restriction
+    SELECT CAND_ID, CAND_NAME, CAND_OFFICE, CAND_OFFICE_ST, CAND_OFFICE_DISTRICT,
+           CAND_PTY_AFFILIATION
     FROM dim_candidates
 ),
-agg AS (
-    SELECT cm.cand_id,
-        sum(amount) FILTER (WHERE channel = 'individual') AS indiv_total,
-        sum(amount) FILTER (WHERE channel = 'individual' AND donor_state = cand.CAND_OFFICE_ST) AS in_state,
-        sum(amount) FILTER (WHERE channel = 'individual' AND amount > 0 AND amount <= 200) AS small,
-        sum(amount) FILTER (WHERE channel = 'direct_pac') AS pac_total,
-        sum(amount) FILTER (WHERE channel = 'ie_support') AS ie_support
-    FROM candidate_money cm JOIN cand ON cand.CAND_ID = cm.cand_id
-    GROUP BY 1
+member_money AS (
+    SELECT m.cand_id,
+        sum(CASE WHEN m.channel = 'individual' THEN m.amount END) AS s_ind,
+        sum(CASE WHEN m.channel = 'individual' AND m.donor_state = c.CAND_OFFICE_ST
+                 THEN m.amount END) AS s_home,
+        sum(CASE WHEN m.channel = 'individual' AND m.amount > 0 AND m.amount <= 200
+                 THEN m.amount END) AS s_small,
+        sum(CASE WHEN m.channel = 'direct_pac' THEN m.amount END) AS s_pac,
+        sum(CASE WHEN m.channel = 'ie_support' THEN m.amount END) AS s_sup
+    FROM v_money m INNER JOIN members c ON c.CAND_ID = m.cand_id
+    GROUP BY m.cand_id
 ),
 rank_base AS (
-    SELECT cand.CAND_ID, cand.CAND_NAME, cand.CAND_OFFICE, cand.CAND_OFFICE_ST,
-           cand.CAND_OFFICE_DISTRICT, cand.CAND_PTY_AFFILIATION,
-           coalesce(agg.indiv_total, 0) AS indiv_total, coalesce(agg.in_state, 0) AS in_state,
-           coalesce(agg.small, 0) AS small, coalesce(agg.pac_total, 0) AS pac_total,
-           coalesce(agg.ie_support, 0) AS ie_support
-    FROM agg JOIN cand ON cand.CAND_ID = agg.cand_id
-    WHERE coalesce(agg.indiv_total, 0) >= 50000
+    SELECT c.CAND_ID, c.CAND_NAME, c.CAND_OFFICE, c.CAND_OFFICE_ST, c.CAND_OFFICE_DISTRICT,
+           c.CAND_PTY_AFFILIATION,
+           coalesce(x.s_ind, 0) AS indiv_total, coalesce(x.s_home, 0) AS in_state,
+           coalesce(x.s_small, 0) AS small, coalesce(x.s_pac, 0) AS pac_total,
+           coalesce(x.s_sup, 0) AS ie_support
+    FROM member_money x INNER JOIN members c ON c.CAND_ID = x.cand_id
+    WHERE coalesce(x.s_ind, 0) >= 50000
 )
 """
-q("rank_base", RANK_BASE + """
+q("rank_base", RANK_BASE + f"""
 SELECT CAND_ID, CAND_NAME, CAND_OFFICE, CAND_OFFICE_ST, CAND_OFFICE_DISTRICT, CAND_PTY_AFFILIATION,
-       CAST(CAST(indiv_total AS DECIMAL(18,2)) AS DOUBLE) AS indiv_total, CAST(CAST(in_state AS DECIMAL(18,2)) AS DOUBLE) AS in_state,
-       CAST(CAST(small AS DECIMAL(18,2)) AS DOUBLE) AS small, CAST(CAST(pac_total AS DECIMAL(18,2)) AS DOUBLE) AS pac_total,
-       CAST(CAST(ie_support AS DECIMAL(18,2)) AS DOUBLE) AS ie_support
+       {d('indiv_total')} AS indiv_total, {d('in_state')} AS in_state, {d('small')} AS small,
+       {d('pac_total')} AS pac_total, {d('ie_support')} AS ie_support
 FROM rank_base""")
 
 RANK_CATS = """
 , rank_cats AS (
     SELECT cand_id, interest_category, sum(amount) AS amount
-    FROM candidate_money
-    WHERE channel IN ('direct_pac', 'ie_support') AND interest_category IS NOT NULL
-    GROUP BY 1, 2
+    FROM v_money
+    WHERE interest_category IS NOT NULL AND (channel = 'direct_pac' OR channel = 'ie_support')
+    GROUP BY cand_id, interest_category
 )
 """
-q("rank_interest_categories", RANK_CATS + """
-SELECT cand_id, interest_category, CAST(CAST(amount AS DECIMAL(18,2)) AS DOUBLE) AS amount FROM rank_cats""")
+q("rank_interest_categories", RANK_CATS + f"""
+SELECT cand_id, interest_category, {d('amount')} AS amount FROM rank_cats""")
 
 # ------------------------------------------------------------------ profile (M)
 FACTS = """
@@ -233,7 +248,7 @@ FACTS = """
                                        AND m.amount <= 200), 0) AS small_amt,
         coalesce(sum(m.amount) FILTER (WHERE m.channel = 'individual' AND m.amount >= 3500), 0)
             AS maxplus_amt
-    FROM dim_candidates c LEFT JOIN candidate_money m ON m.cand_id = c.CAND_ID
+    FROM dim_candidates c LEFT JOIN v_money m ON m.cand_id = c.CAND_ID
     GROUP BY c.CAND_ID, c.CAND_NAME, c.CAND_OFFICE, c.CAND_OFFICE_ST, c.CAND_OFFICE_DISTRICT,
              c.CAND_PTY_AFFILIATION, c.CAND_ICI, c.CAND_ELECTION_YR
 ),
@@ -282,7 +297,7 @@ SELECT term, cand_id, CAND_NAME, count(*) OVER (PARTITION BY term) AS n_matches
 q("committee_count", """
 SELECT c.cand_id, coalesce(n.n_committees, 0) AS n_committees
 FROM (SELECT DISTINCT CAND_ID AS cand_id FROM dim_candidates) c
-LEFT JOIN (SELECT CAND_ID, count(*) AS n_committees FROM candidate_committees GROUP BY 1) n
+LEFT JOIN (SELECT CAND_ID, count(*) AS n_committees FROM v_links GROUP BY 1) n
   ON n.CAND_ID = c.cand_id""")
 
 q("in_state_amount", FACTS + f"SELECT cand_id, {d('instate')} AS in_state_amount FROM facts")
@@ -347,7 +362,7 @@ SELECT s.cand_id, s.donor_state, {d('s.amount')} AS amount, s.n, s.rank,
 FROM top_states s JOIN fd ON fd.cand_id = s.cand_id""")
 
 q("candidate_profile", FACTS + OOS_POOL + f"""
-, ncm AS (SELECT CAND_ID, count(*) AS n_committees FROM candidate_committees GROUP BY 1)
+, ncm AS (SELECT CAND_ID, count(*) AS n_committees FROM v_links GROUP BY 1)
 SELECT fd.cand_id, fd.CAND_NAME, fd.CAND_OFFICE, fd.CAND_OFFICE_ST, fd.CAND_OFFICE_DISTRICT,
        fd.CAND_PTY_AFFILIATION, ncm.n_committees,
        fd.f_ind AS ind, fd.ind_count, fd.f_dpac AS dpac_amt, fd.dpac_count, fd.f_ies AS ie_s,
@@ -519,7 +534,7 @@ DIRS = f"""
 q("canonical_dirname", DIRS + "SELECT * FROM dirs")
 
 LINKED = """
-, linked AS (SELECT DISTINCT CAND_ID AS lc FROM candidate_committees)
+, linked AS (SELECT DISTINCT CAND_ID AS lc FROM v_links)
 """
 
 DS = f"""
@@ -729,7 +744,7 @@ MC = """
 , mc AS (
     SELECT m.*, c.CAND_NAME, c.CAND_OFFICE, c.CAND_OFFICE_ST, c.CAND_OFFICE_DISTRICT,
            c.CAND_PTY_AFFILIATION
-    FROM candidate_money m LEFT JOIN dim_candidates c ON c.CAND_ID = m.cand_id
+    FROM v_money m LEFT JOIN dim_candidates c ON c.CAND_ID = m.cand_id
 )
 """
 q("sem_money_measures", MC + f"""
@@ -808,17 +823,17 @@ SELECT cmte_id, count(DISTINCT category) AS n_categories,
 FROM dict_entries GROUP BY 1 HAVING count(DISTINCT category) > 1""")
 
 q("channel_counts", f"""
-SELECT channel, count(*) AS n, {d('sum(amount)')} AS amount FROM candidate_money GROUP BY 1""")
+SELECT channel, count(*) AS n, {d('sum(amount)')} AS amount FROM v_money GROUP BY 1""")
 
 q("null_checks", """
 SELECT count(*) FILTER (WHERE amount IS NULL) AS null_amount,
        count(*) FILTER (WHERE contributor_name IS NULL) AS null_name
-FROM candidate_money WHERE channel = 'individual'""")
+FROM v_money WHERE channel = 'individual'""")
 
 q("link_checks", """
 SELECT count(*) FILTER (WHERE NOT CMTE_DSGN IN ('P', 'A')) AS bad_designation,
        count(*) FILTER (WHERE NOT CMTE_TP IN ('H', 'S', 'P')) AS bad_type
-FROM candidate_committees""")
+FROM v_links""")
 
 q("derived_total_identity", TOTALS + f"""
 SELECT cand_id, {d('raised')} AS raised, {d('individual_amount + direct_pac_amount')} AS individual_plus_pac,
@@ -838,7 +853,7 @@ GROUP BY 1, 2""")
 q("ie_raw_vs_clean", f"""
 , sums AS (
     SELECT (SELECT sum(AMOUNT) FROM fact_independent_expenditures) AS raw_amount,
-           (SELECT sum(AMOUNT) FROM clean_independent_expenditures) AS clean_amount
+           (SELECT sum(AMOUNT) FROM v_ie) AS clean_amount
 )
 SELECT {d('raw_amount')} AS raw_amount, {d('clean_amount')} AS clean_amount,
        CASE WHEN clean_amount <> 0 THEN {d('raw_amount')} / {d('clean_amount')} END AS raw_to_clean
@@ -846,7 +861,7 @@ FROM sums""")
 
 q("category_ie_support", f"""
 SELECT i.TARGET_CAND_ID AS cand_id, g.custom_category AS category, {d('sum(i.AMOUNT)')} AS amount
-FROM clean_independent_expenditures i JOIN dim_group_mappings g ON g.CMTE_ID = i.SPENDER_CMTE_ID
+FROM v_ie i JOIN dim_group_mappings g ON g.CMTE_ID = i.SPENDER_CMTE_ID
 WHERE i.SUPPORT_OPPOSE = 'S' GROUP BY 1, 2""")
 
 _KEYS = [("fact_individual_contributions", "SUB_ID"), ("fact_contributions", "SUB_ID"),
