@@ -17,6 +17,7 @@ import hashlib
 import os
 import threading
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,11 +130,19 @@ class Store:
     def land(self) -> None:
         """Land raw datasets, build curated tables, load the tag dictionary."""
         fx = Fixture(self.spark, self.sf_dir)
-        for ds in DATASETS:
+        _ = fx.n  # the one driver-side scalar, before the threads start
+
+        def land_one(ds: str) -> None:
             files.land_raw_parquet(fx.raw(ds), self.raw_path(ds))
-        for ds in DATASETS:
             raw = files.scan_raw_parquet(self.spark, self.raw_path(ds), ds)
             files.replace_curated(curate.CURATE[ds](raw), self.table_path(TABLE_OF_DATASET[ds]))
+
+        # The six datasets are independent: their jobs are submitted
+        # concurrently so small datasets do not leave the cluster idle while a
+        # large one lands. Failures surface here (all must land).
+        with ThreadPoolExecutor(max_workers=len(DATASETS)) as pool:
+            for f in [pool.submit(land_one, ds) for ds in DATASETS]:
+                f.result()
         interests.write_interest_dictionary(fx.interest_entries(), self.dictionary_path())
         entries = interests.scan_interest_dictionary(self.spark, self.dictionary_path())
         committees = self.spark.read.parquet(self.table_path("dim_committees"))
