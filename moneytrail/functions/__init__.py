@@ -1,0 +1 @@
+"""Column-level helpers: lenient typing, display formatting, fixed constants, distributed ranks."""

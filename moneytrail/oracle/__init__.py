@@ -1,0 +1 @@
+"""DuckDB restatement of every registered query (correctness oracle)."""
