@@ -380,7 +380,8 @@ def _s12(spark, sf):
     docs = docs.join(dirs, F.col("cand_id") == F.col("_dc")).drop("_dc")
     out = scratch_path(spark, "angles", unique=True)
     files.write_angles(docs, out)
-    back = spark.read.json(out)
+    # the document schema is known: no inference pass over the written files
+    back = spark.read.schema(docs.drop("dirname", "angle_id").schema).json(out)
     return back.select("dirname", "angle_id", F.col("candidate.cand_id").alias("cand_id"),
                        F.col("angle.metric_value").alias("metric_value"),
                        F.col("angle.featured").alias("featured"),

@@ -92,11 +92,18 @@ def landed_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 
 
 # --------------------------------------------------------------------- S12
-def write_angles(docs: DataFrame, path: str) -> str:
+def write_angles(docs: DataFrame, path: str, tasks: int | None = None) -> str:
     """One JSON document per candidate x angle, in the canonical folder
-    layout ``<dirname>/<angle_id>``. Rows are written in parallel; each (dirname,
-    angle_id) folder holds exactly one document."""
-    (docs.repartition("dirname", "angle_id")
+    layout ``<dirname>/<angle_id>``; each (dirname, angle_id) folder holds
+    exactly one document. The explicit task count keeps AQE from coalescing
+    the small document set into one task that would create every file in turn."""
+    spark = docs.sparkSession
+    if tasks is None:
+        try:
+            tasks = spark.sparkContext.defaultParallelism
+        except Exception:
+            tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (docs.repartition(max(1, tasks), "dirname", "angle_id")
          .write.mode("overwrite").partitionBy("dirname", "angle_id").json(path))
     return path
 
