@@ -39,3 +39,22 @@ def test_refresh_with_nothing_new(spark):
 
 def test_profile_not_stale(spark):
     assert E.queries()["profile_staleness"](spark, SF).count() == 0
+
+
+def test_nested_profile_arrays_are_bounded(spark):
+    from moneytrail.operators import profile, reports
+    from moneytrail.plans.store import Store
+    s = Store.open(spark, SF)
+    facts = profile.candidate_facts(s.rollup, s.candidates)
+    oos = profile.oos_pool(reports.candidate_oos_states(s.rollup, s.candidates))
+    nested = profile.candidate_profile_nested(
+        facts, reports.candidate_top_states(s.rollup), reports.candidate_buckets(s.rollup),
+        reports.candidate_interest_blocs(s.rollup),
+        reports.candidate_top_direct_pac(s.contributions, s.committees),
+        reports.candidate_top_ie_spenders(s.clean_ie), s.links, oos)
+    flat = E.queries()["candidate_profile"](spark, SF)
+    assert nested.count() == flat.count() > 0
+    worst = nested.select(F.max(F.size("states")).alias("st"), F.max(F.size("buckets")).alias("b"),
+                          F.max(F.size("top_pacs")).alias("p"), F.max(F.size("top_ie")).alias("i")
+                          ).first()
+    assert worst.st <= 8 and worst.b <= 5 and worst.p <= 12 and worst.i <= 8
