@@ -221,8 +221,11 @@ class Store:
          .partitionBy("channel").parquet(self.money_path()))
         # The rollup by (candidate, channel, state, tag, size bucket) that the
         # reports read: bounded by candidates x states x tags x 7 buckets, not
-        # by the number of gifts.
-        (views.money_rollup(self.money)
+        # by the number of gifts. Range-partitioned and sorted by candidate, so
+        # files and row groups cover disjoint candidate ranges and a
+        # one-candidate filter reads one of them (a candidate has at most a few
+        # hundred rollup rows, so the range shuffle cannot be skewed).
+        (views.money_rollup(self.money).orderBy("cand_id")
          .write.mode("overwrite").option("compression", "zstd").parquet(self.rollup_path()))
 
     # ---------------------------------------------------------------- frames
