@@ -202,6 +202,22 @@ class Store:
         return self.spark.createDataFrame(
             results, "dataset string, status string, action string, error string")
 
+    def refresh_from_inbox(self, inbox: str, dataset: str, cycle: str = CYCLE) -> DataFrame:
+        """The scheduled refresh loop for one dataset: snapshot files dropped
+        into ``inbox`` are picked up by an availableNow file stream (only files
+        not seen before, tracked in the stream's checkpoint under the shared
+        folder), the newest one is staged as parquet, and ``refresh`` rebuilds
+        the dataset when its content changed. Nothing new: no batch, no work."""
+        from moneytrail.streaming import landing
+        staged = self.path("inbox", dataset, "staged")
+        batches = landing.land_new_snapshots(self.spark, inbox, dataset, staged,
+                                             self.path("inbox", dataset, "stream"))
+        if batches == 0:
+            return self.spark.createDataFrame(
+                [(dataset, None, "no new files", None)],
+                "dataset string, status string, action string, error string")
+        return self.refresh({dataset: self.spark.read.parquet(staged)}, cycle)
+
     def rollup_path(self) -> str:
         return self.path("derived", "money_rollup")
 

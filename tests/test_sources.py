@@ -138,3 +138,24 @@ def test_store_refresh_rebuilds_only_changed(spark):
     import pytest
     with pytest.raises(ValueError):
         st.refresh({"cn": new_cn}, cycle="2024")
+
+
+def test_refresh_from_inbox(spark):
+    from moneytrail.plans.store import Store
+    sf = "/root/testdata/sf0.001"
+    st = Store(spark, sf, os.path.join(tmpdir(), "store"))
+    st.land()
+    inbox = tmpdir()
+    rows = [r for r in st.raw("ccl").collect()]
+    lines = ["|".join("" if v is None else v for v in r) for r in rows]
+    with open(os.path.join(inbox, "ccl_a.txt"), "w") as fh:   # same content as landed
+        fh.write("\n".join(lines) + "\n")
+    r1 = {x.dataset: x.action for x in st.refresh_from_inbox(inbox, "ccl").collect()}
+    assert r1 == {"ccl": "skipped"}        # content unchanged: nothing rebuilt
+    r2 = {x.dataset: x.action for x in st.refresh_from_inbox(inbox, "ccl").collect()}
+    assert r2 == {"ccl": "no new files"}   # the stream saw no new file
+    with open(os.path.join(inbox, "ccl_b.txt"), "w") as fh:   # one link less
+        fh.write("\n".join(lines[1:]) + "\n")
+    r3 = {x.dataset: x.action for x in st.refresh_from_inbox(inbox, "ccl").collect()}
+    assert r3 == {"ccl": "rebuilt"}
+    assert st.bridge.count() == len(lines) - 1
