@@ -58,3 +58,18 @@ def test_nested_profile_arrays_are_bounded(spark):
                           F.max(F.size("top_pacs")).alias("p"), F.max(F.size("top_ie")).alias("i")
                           ).first()
     assert worst.st <= 8 and worst.b <= 5 and worst.p <= 12 and worst.i <= 8
+
+
+def test_cohort_filters_restrict_rank_base(spark):
+    from moneytrail.operators import reports
+    from moneytrail.plans.store import Store
+    s = Store.open(spark, SF)
+    everyone = reports.rank_base(s.rollup, s.candidates, min_individual=0)
+    for kw, cond in [({"office": "H"}, F.col("CAND_OFFICE") == "H"),
+                     ({"incumbents": True}, F.col("CAND_ID").isin(
+                         [r.CAND_ID for r in s.candidates.filter("CAND_ICI = 'I'").collect()]))]:
+        part = reports.rank_base(s.rollup, s.candidates, min_individual=0, **kw)
+        assert sorted(map(tuple, part.collect())) == sorted(map(tuple, everyone.filter(cond).collect()))
+    state = s.candidates.first().CAND_OFFICE_ST
+    st = reports.rank_base(s.rollup, s.candidates, state=state.lower(), min_individual=0)
+    assert {r.CAND_OFFICE_ST for r in st.collect()} <= {state}
