@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moneytrail.llm import decontaminate, simhash
+from moneytrail.llm import decontaminate, mixing, shuffle_shards, simhash, warc_zip
 from moneytrail.llm.common import table
 
 
@@ -22,5 +22,20 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_simhash_near_dedup, op4_benchmark_decontamination)}
-ORACLE: dict[str, str] = {}
+def op5_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc_zip.round_trip(spark, table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = shuffle_shards.shards_of(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32")
+    return shards.select("doc_id", shuffle_shards.record_size(F.col("text")).alias("size"), crc, F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_simhash_near_dedup, op4_benchmark_decontamination, op5_mixing_sources, op7_warc, op10_sharding)}
+ORACLE: dict[str, str] = {"op5_mixing_sources": mixing.SQL}
