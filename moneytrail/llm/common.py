@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -76,6 +77,18 @@ def crc_mod(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def offsets_before(counts: DataFrame, key: str, level: int = 1024) -> DataFrame:
+    """(key, offset): the sum of column n over all smaller keys (whole numbers, each once).
+
+    In two levels, so that no window holds all keys: first over runs of ``level`` keys, then inside each.
+    """
+    high = F.floor(F.col(key) / F.lit(level)).alias("high")
+    every = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    top = counts.groupBy(high).agg(F.sum("n").alias("n")).select("high", every(Window.orderBy("high")).alias("base"))
+    inner = counts.withColumn("high", high).withColumn("inner", every(Window.partitionBy("high").orderBy(key)))
+    return inner.join(top, "high").select(key, (F.col("base") + F.col("inner")).cast("bigint").alias("offset"))
+
+
 def row_ranges(texts: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of rows of at most ``limit`` bytes, one row at least.
 

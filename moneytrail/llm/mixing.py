@@ -43,8 +43,9 @@ def rates(docs: DataFrame, source: str, text: str, weights: Mapping[str | None,
     else:
         given = spark.createDataFrame([(k, float(v)) for k, v in weights.items()], "s string, weight double")
         weighted = sizes.join(given, sizes["source"].eqNullSafe(given["s"])).drop("s")
-    total = weighted.agg(F.sum("weight").alias("all_weight")).crossJoin(sizes.agg(F.sum("size").alias("all_size")))  # one row by one row
-    rated = weighted.crossJoin(F.broadcast(total)).select("source", (F.col("weight") / F.col("all_weight") * F.lit(target_ratio) * F.col("all_size") / F.col("size")).alias("rate"))
+    weighted = cut(weighted)
+    all_weight, all_size = weighted.agg(F.sum("weight")).first()[0] or 1.0, sizes.agg(F.sum("size")).first()[0] or 0
+    rated = weighted.select("source", (F.col("weight") / F.lit(all_weight) * F.lit(target_ratio * all_size) / F.col("size")).alias("rate"))
     last = F.ceil(F.col("rate") + 12 * F.sqrt("rate") + 30).cast("int")
     # log p(k) = log p(k - 1) + log(rate / k)
     step = lambda a, k: F.struct(

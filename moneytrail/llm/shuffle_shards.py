@@ -16,38 +16,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from moneytrail.llm.common import cut, fresh_path
+from moneytrail.llm.common import cut, fresh_path, offsets_before
 
 SHARDS, SEED = 24, 17
 #: Bytes of records in a bucket, on average.
 BUCKET_BYTES = 24 << 20
 #: Up to so many buckets their offsets are broadcast (24 bytes each), beyond it they are joined by a shuffle.
 BROADCAST_BUCKETS = 100_000
-_LEVEL = 1024
 
 
 def record_size(text):
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint") + 8
 
 
-def bucket_offsets(counts: DataFrame) -> DataFrame:
-    """(bucket, offset): rows of all buckets before; in two levels, so no window holds all buckets."""
-    high = F.floor(F.col("bucket") / _LEVEL).alias("high")
-    top = counts.groupBy(high).agg(F.sum("n").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy("high").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    inner = F.coalesce(F.sum("n").over(Window.partitionBy("high").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return counts.withColumn("high", high).withColumn("inner", inner).join(top.select("high", before.alias("base")), "high").select("bucket", (F.col("base") + F.col("inner")).alias("offset"))
-
-
 def shuffled(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shards: int = SHARDS, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """Every input row with ``shard`` and ``slot`` (gapless from 0 in each shard), in that order within each partition."""
     total, n_rows = docs.agg(F.sum(record_size(F.col(text))), F.count("*")).first()
     n_buckets = max(1, -(-(total or 0) // bucket_bytes))
     mark = F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text))
     keyed = docs.select(F.pmod(mark, F.lit(n_buckets)).alias("bucket"), F.struct(F.xxhash64(F.lit(seed + 1), F.col(doc_id), F.col(text)).alias("order"), F.struct("*").alias("row")).alias("record"))
-    offsets = cut(bucket_offsets(keyed.groupBy("bucket").agg(F.count("*").alias("n"))))
+    offsets = cut(offsets_before(keyed.groupBy("bucket").agg(F.count("*").alias("n")), "bucket"))
     dealt = keyed.repartition(n_buckets, "bucket").groupBy("bucket").agg(F.sort_array(F.collect_list("record")).alias("records"))
     dealt = dealt.sortWithinPartitions("bucket").select("bucket", F.shuffle("records", seed).alias("records"))
     placed = dealt.join(F.broadcast(offsets) if n_buckets <= BROADCAST_BUCKETS else offsets, "bucket").select("offset", F.posexplode("records").alias("pos", "record"))
