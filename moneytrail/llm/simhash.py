@@ -209,7 +209,7 @@ def groups(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shing
     named = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of = linked.join(named, "root").select(F.col("fp").alias("node"), "component_id")
     each = distinct.join(of, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
-    return rows.join(each, "fp").select("row_key", "doc_id", "fp", "component_id")
+    return rows.join(cut(each), "fp").select("row_key", "doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
