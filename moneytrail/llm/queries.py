@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moneytrail.llm import decontaminate, mixing, personal_data, shuffle_shards, simhash, token_file, warc_zip
-from moneytrail.llm.common import table
+from moneytrail.llm import decontaminate, mixing, personal_data, shuffle_shards, simhash, token_file, toxicity, warc_zip
+from moneytrail.llm.common import crc_mod, table
 
 
 def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +30,13 @@ def op5_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), usable=crc_mod(F.col("id"), 3) != 1)
+    found = toxicity.score(docs.select("doc_id", "text", "lang"), model)
+    return found.select("doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "threshold", "toxic")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc_zip.round_trip(spark, table(spark, sf_dir, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -49,5 +56,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.select("doc_id", shuffle_shards.record_size(F.col("text")).alias("size"), crc, F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_token_ids, op3_simhash_near_dedup, op4_benchmark_decontamination, op5_mixing_sources, op7_warc, op8_pii, op10_sharding)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_token_ids, op3_simhash_near_dedup, op4_benchmark_decontamination, op5_mixing_sources, op6_toxicity, op7_warc, op8_pii, op10_sharding)}
 ORACLE: dict[str, str] = {"op5_mixing_sources": mixing.SQL}

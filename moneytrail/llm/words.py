@@ -34,8 +34,10 @@ def mix(h: np.ndarray) -> np.ndarray:
 class Words:
     """Splits texts laid end to end into words; the power tables are kept between calls."""
 
-    def __init__(self, inside: np.ndarray):
+    def __init__(self, inside: np.ndarray, prefixes: tuple[int, ...] = ()):
+        """With ``prefixes`` (lengths in bytes) a word's hashes are a column: its own, then those of its first bytes (0 where it is shorter)."""
         self.inside = inside
+        self.prefixes = prefixes
         self.up = _powers(_MULTIPLIER, 1)
         self.down = _powers(_INVERSE, 1)
 
@@ -54,7 +56,12 @@ class Words:
         starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
         total = np.zeros(n + 1, np.uint64)
         np.cumsum((LOWER[data].astype(np.uint64) + np.uint64(1)) * self.up[:n], out=total[1:])
-        return starts, ends, mix((total[ends] - total[starts]) * self.down[starts])
+        scale = self.down[starts]
+        own = mix((total[ends] - total[starts]) * scale)
+        if not self.prefixes:
+            return starts, ends, own
+        heads = [np.where(ends - starts >= k, mix((total[np.minimum(starts + k, n)] - total[starts]) * scale + np.uint64(k)), 0) for k in self.prefixes]
+        return starts, ends, np.stack([own, *heads])
 
     def split(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(start, end, hash, text number) of each word; text i is ``data[offsets[i]:offsets[i + 1]]``.
@@ -74,6 +81,7 @@ class Words:
             parts.append((starts + at, ends + at, hashes))
             at = end
         if not parts:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        starts, ends, hashes = (np.concatenate(x) for x in zip(*parts, strict=True))
+            none = np.zeros(0, np.uint64) if not self.prefixes else np.zeros((1 + len(self.prefixes), 0), np.uint64)
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), none, np.zeros(0, np.int64)
+        starts, ends, hashes = (np.concatenate(x, -1) for x in zip(*parts, strict=True))
         return starts, ends, hashes, np.searchsorted(offsets, starts, "right") - 1
