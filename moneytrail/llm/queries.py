@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moneytrail.llm import decontaminate, mixing, personal_data, shuffle_shards, simhash, token_file, toxicity, warc_zip
+from moneytrail.llm import decontaminate, mixing, personal_data, ppm, shuffle_shards, simhash, token_file, toxicity, warc_zip
 from moneytrail.llm.common import crc_mod, table
 
 
@@ -50,11 +50,15 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(table(spark, sf_dir, "documents").select("doc_id", "text"), crc_mod(F.col("doc_id"), 7) == 2)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = shuffle_shards.shards_of(table(spark, sf_dir, "documents").select("doc_id", "text"))
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32")
     return shards.select("doc_id", shuffle_shards.record_size(F.col("text")).alias("size"), crc, F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_token_ids, op3_simhash_near_dedup, op4_benchmark_decontamination, op5_mixing_sources, op6_toxicity, op7_warc, op8_pii, op10_sharding)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_token_ids, op3_simhash_near_dedup, op4_benchmark_decontamination, op5_mixing_sources, op6_toxicity, op7_warc, op8_pii, op9_lm_scoring, op10_sharding)}
 ORACLE: dict[str, str] = {"op5_mixing_sources": mixing.SQL}
