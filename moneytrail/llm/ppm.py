@@ -32,9 +32,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moneytrail.llm.common import row_ranges, whole, written
+from moneytrail.llm.lookup import Table
 from moneytrail.llm.words import LOWER, NONSPACE, Words, mix
 
-ORDER = 4
+ORDER = 5
 #: Signs behind and before a text; UTF-8 has no such bytes.
 END, PAD = 0xFE, 0xFF
 #: Signs that can follow: all bytes but the pad.
@@ -83,36 +84,6 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], np.add.reduceat(counts, first)
 
 
-class Table:
-    """Finds numbers in a fixed set, many at once (open addressing)."""
-
-    def __init__(self, keys: np.ndarray):
-        self.bits = max(4, int(len(keys) * 3).bit_length())
-        self.index = np.full(1 << self.bits, -1, np.int32)
-        self.keys = np.append(keys, np.uint64(0))  # index -1 reads the last, which is no key's
-        left = np.arange(len(keys), dtype=np.int32)
-        slot = self._slot(keys)
-        while len(left):
-            free = self.index[slot] < 0
-            self.index[slot[free]] = left[free]  # of several for one slot the last stays
-            lost = self.index[slot] != left
-            left, slot = left[lost], (slot[lost] + 1) & ((1 << self.bits) - 1)
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def find(self, wanted: np.ndarray) -> np.ndarray:
-        """The index of each number, or -1."""
-        slot = self._slot(wanted)
-        found = self.index[slot]
-        open_ = np.flatnonzero((found >= 0) & (self.keys[found] != wanted))
-        while len(open_):
-            slot[open_] = (slot[open_] + 1) & ((1 << self.bits) - 1)
-            found[open_] = self.index[slot[open_]]
-            open_ = open_[(found[open_] >= 0) & (self.keys[found[open_]] != wanted[open_])]
-        return found
-
-
 class Trie:
     """Contexts of 0 to ORDER bytes with what follows them, for some of the last two bytes."""
 
@@ -137,7 +108,7 @@ class Trie:
             self.contexts.append(Table(contexts))
             self.stats.append(np.stack([total, distinct, below], 1))
             self.counts.append(n)
-        total, distinct = self.stats[ORDER][np.searchsorted(self.contexts[ORDER].keys[:-1], grams >> np.uint64(8)), :2].T if len(grams) else (np.zeros(0), np.zeros(0))
+        total, distinct = self.stats[ORDER][np.searchsorted(self.contexts[ORDER].keys[: self.contexts[ORDER].n], grams >> np.uint64(8)), :2].T if len(grams) else (np.zeros(0), np.zeros(0))
         self.direct = np.log10(self.counts[ORDER] / (total + distinct)) if len(grams) else np.zeros(0)
 
     def log10(self, grams: np.ndarray) -> np.ndarray:

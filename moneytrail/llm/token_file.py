@@ -10,10 +10,12 @@ A block is one row of a Parquet file: part, block (both count upwards with doc_i
 per document with its end id), ranks (the ids by rank, 32 bits each), control and data. Spark's
 committer writes the files, so lost or repeated tasks leave no halves, and each block decodes alone.
 
-Tokenising is exact and cached: the byte-level vocabulary's pattern never lets a token cross the place
-before a space that a visible character follows, so a text is cut there, each distinct unit is
-encoded once per worker by the tokenizers library and its ids are kept (up to ``CACHE_UNITS``). A text
-with white space other than space, tab and line ends is encoded as one piece.
+Tokenising gives what the tokenizers library gives for the whole text, at a fraction of its time: the
+byte-level vocabulary's pattern never lets a token cross the place before a space that a visible character
+follows, so texts are cut there (in numpy), and each distinct unit (known by 128 bits of hashes) is encoded
+by the library once per worker process and kept, up to ``CACHE_UNITS``. The pre-tokens of ASCII units and of
+letters with end signs go to the library's BPE model directly; all other units through its whole encoder,
+and so does, in one piece, a text with white space other than space, tab and line ends.
 
 Defined cases: a null or empty text is its end id alone; null doc_ids come first; rows of one doc_id are
 ordered by a hash of their texts; an empty table gives no files' rows; other columns are not written.
@@ -22,6 +24,8 @@ ordered by a hash of their texts; an empty table gives no files' rows; other col
 from __future__ import annotations
 
 import re
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -30,21 +34,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moneytrail.llm.common import fresh_path, offsets_before
+from moneytrail.llm.common import fresh_path, offsets_before, row_ranges, whole
+from moneytrail.llm.lookup import Table
+from moneytrail.llm.words import powers, mix
 
 END_ID = 0
 BLOCK_TOKENS = 1 << 20
 #: Bytes of text in one file, on average.
 FILE_BYTES = 24 << 20
-CACHE_UNITS, CACHE_CHARS = 300_000, 24_000_000
+CACHE_UNITS, CACHE_IDS, CACHE_WORDS = 1_200_000, 12_000_000, 150_000
 #: Up to so many blocks their offsets are broadcast (24 bytes each), beyond it they are joined by a shuffle.
 BROADCAST_BLOCKS = 100_000
 
 FILE = "part int, block int, doc_ids array<bigint>, sizes array<bigint>, ranks binary, control binary, data binary"
 
-_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‏ -  -⁤　﻿]")
-_GLUED = re.compile(r" (?!\S)")
-_CUT = re.compile(r" (?=\S)")
+#: Bytes that may follow a space at which a text is cut (white space may not).
+_VISIBLE = np.array([b > 32 and b != 127 for b in range(256)])
+# UTF-8 forms of white space (and of format signs that some classes count as such) beyond tab, line ends and space
+_ODD_SINGLE = np.arange(0x1C, 0x20)
+_ODD_PAIRS = np.array([0xC285, 0xC2A0])
+_ODD_TRIPLES = np.array([0xE19A80, 0xE1A08E, *range(0xE28080, 0xE28090), *range(0xE280A8, 0xE280B0), *range(0xE2819F, 0xE281A5), 0xE38080, 0xEFBBBF])
+_ODD_LEAD = np.array([0x1C <= b < 0x20 or b in (0xC2, 0xE1, 0xE2, 0xE3, 0xEF) for b in range(256)])
+#: The vocabulary's pre-token pattern, as far as ASCII goes.
+_ASCII_PATTERN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+#: Names of the 256 bytes in a byte-level vocabulary: visible Latin-1 characters are themselves, the others follow from 256 on.
+_PLAIN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+_BYTE_NAMES = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
 
 # --------------------------------------------------------------------------- codes
 
@@ -89,69 +105,145 @@ def decode_block(ranks: bytes, control: bytes, data: bytes, n: int) -> np.ndarra
 
 
 class Units:
-    """Ids of texts (little-endian unsigned 32 bits), one cached unit after another."""
+    """Ids of texts, unit by unit; what was learned is kept between calls."""
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True
-        self.kept: dict[str, bytes] = {}  # by what follows the space
-        self.chars = 0
-
-    def plain(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() if text else b""
-
-    def _learn(self, units: list[str]) -> None:
-        """Encode " a b c" at once and hand each token to the unit in which it starts."""
-        if len(self.kept) + len(units) > CACHE_UNITS or self.chars > CACHE_CHARS:
-            self.kept, self.chars = {}, 0
-        for i in range(0, len(units), 20_000):
-            some = units[i : i + 20_000]
-            found = self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False)
-            sizes = np.fromiter(map(len, some), np.int64, len(some)) + 1
-            begins = np.cumsum(sizes) - sizes
-            starts = np.fromiter((a for a, _ in found.offsets), np.int64, len(found))
-            # a token of the space alone may be given the place behind it: still inside its unit
-            edges = np.append(np.searchsorted(starts, begins), len(starts)) * 4
-            raw = np.array(found.ids, "<u4").tobytes()
-            self.kept.update((u, raw[a:b]) for u, a, b in zip(some, edges.tolist(), edges[1:].tolist(), strict=False))
-        self.chars += sum(map(len, units))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [None if _ODD_SPACE.search(t) else (t.split(" ") if not _GLUED.search(t) else _CUT.split(t)) for t in texts]
-        wanted = set()
-        for units in cut:
-            wanted.update(units[1:] if units else ())
-        if missing := wanted - self.kept.keys():
-            if len(self.kept) + len(missing) > CACHE_UNITS:
-                missing = wanted  # the cache begins anew
-            self._learn(sorted(missing))
-        get = self.kept.__getitem__
-        return [self.plain(t) if units is None else self.plain(units[0]) + b"".join(map(get, units[1:])) for t, units in zip(texts, cut, strict=True)]
+        self.up = [np.ones(1, np.uint64)] * 2
+        self.down = [np.ones(1, np.uint64)] * 2
+        self._forget()
+
+    def _forget(self) -> None:
+        self.table, self.check = Table(), np.zeros(0, np.uint64)
+        self.words: dict[str, tuple[int, ...]] = {}
+        self.starts, self.sizes, self.flat, self.n_flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1 << 16, np.uint32), 0
+
+    def _hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+        """Two independent 64-bit hashes of each stretch of bytes."""
+        n, out = len(data), []
+        for k, base in enumerate(_BASES):
+            if len(self.up[k]) <= n:
+                self.up[k], self.down[k] = (powers(np.uint64(x), 2 * n + 1) for x in (base, pow(base, -1, 1 << 64)))
+            total = np.zeros(n + 1, np.uint64)
+            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[k][:n], out=total[1:])
+            out.append(mix((total[ends] - total[starts]) * self.down[k][starts]))
+        return out
+
+    def _word(self, word: str) -> tuple[int, ...]:
+        """Ids of one pre-token (a space or none, then letters only or signs only)."""
+        ids = self.words.get(word)
+        if ids is None:
+            mapped = word.replace(" ", "Ġ") if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(_BYTE_NAMES)
+            ids = self.words[word] = tuple(t.id for t in self.tokenizer.model.tokenize(mapped))
+        return ids
+
+    def _unit(self, unit: str) -> tuple[int, ...] | list[int]:
+        body = unit[1:] if unit[0] == " " else unit
+        if body.isalpha():
+            return self._word(unit)
+        core = body.rstrip(".,;:!?")
+        if core.isalpha():
+            at = len(unit) - len(body) + len(core)
+            return self._word(unit[:at]) + self._word(unit[at:])
+        if unit.isascii():
+            return [i for word in _ASCII_PATTERN.findall(unit) for i in self._word(word)]
+        return self.tokenizer.encode(unit, add_special_tokens=False).ids
+
+    def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: np.ndarray, check: np.ndarray) -> None:
+        raw = data.tobytes()
+        ids = [self._unit(raw[a:b].decode()) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        new = np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))
+        if self.n_flat + len(new) > len(self.flat):
+            self.flat = np.concatenate([self.flat[: self.n_flat], np.zeros(self.n_flat + 2 * len(new), np.uint32)])
+        self.flat[self.n_flat : self.n_flat + len(new)] = new
+        self.table.add(key)
+        self.check = np.concatenate([self.check, check])
+        self.starts = np.concatenate([self.starts, self.n_flat + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.n_flat += len(new)
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each with its end id, and how many each has); text i is ``data[offsets[i]:offsets[i + 1]]``."""
+        if self.table.n > CACHE_UNITS or self.n_flat > CACHE_IDS:
+            self._forget()
+        if len(self.words) > CACHE_WORDS:
+            self.words = {}
+        begins = _unit_starts(data, offsets)
+        ends = np.append(begins[1:], len(data))[: len(begins)]
+        key, check = self._hashes(data, begins, ends)
+        at = self.table.find(key)
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            _, first = np.unique(key[missing], return_index=True)
+            some = missing[first]
+            self._learn(data, begins[some], ends[some], key[some], check[some])
+            at = self.table.find(key)
+        if (self.check[at] != check).any():  # two units of one 64-bit hash: hardly ever
+            raw = data.tobytes()
+            ids = [np.array(self._unit(raw[a:b].decode()), np.uint32) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
+            sizes, tokens = np.array([len(x) for x in ids], np.int64), np.concatenate(ids)
+        else:
+            sizes = self.sizes[at]
+            before = np.cumsum(sizes) - sizes
+            tokens = self.flat[np.repeat(self.starts[at] - before, sizes) + np.arange(int(sizes.sum()))]
+        n = len(offsets) - 1
+        of = np.searchsorted(offsets, begins, "right") - 1
+        counts = np.bincount(of, sizes, n).astype(np.int64) + 1
+        out = np.full(len(tokens) + n, END_ID, np.uint32)
+        out[np.arange(len(tokens)) + np.repeat(np.arange(n), counts - 1)] = tokens
+        return out, counts
+
+
+def _unit_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where units begin: at texts' starts and at spaces that a visible character follows; texts with odd spaces are one unit."""
+    n = len(data)
+    cut = np.zeros(n + 1, bool)
+    if n > 1:
+        cut[: n - 1] = (data[:-1] == 32) & _VISIBLE[data[1:]]
+    inner = offsets[(offsets > 0) & (offsets < n)]
+    cut[inner - 1] = False  # a space that ends a text has nothing behind it
+    lead = np.flatnonzero(_ODD_LEAD[data])
+    if len(lead):
+        after = np.append(data, np.zeros(2, np.uint8)).astype(np.int64)
+        odd = lead[np.isin(data[lead], _ODD_SINGLE) | np.isin(after[lead] << 8 | after[lead + 1], _ODD_PAIRS) | np.isin(after[lead] << 16 | after[lead + 1] << 8 | after[lead + 2], _ODD_TRIPLES)]
+        for text in np.unique(np.searchsorted(offsets, odd, "right") - 1).tolist():
+            cut[offsets[text] : offsets[text + 1]] = False
+    cut[offsets[:-1]] = True
+    return np.flatnonzero(cut[:n])
+
+
+def _kept_units(tokenizer_json: str) -> Units:
+    """This worker process's units: they outlive a task."""
+    home = sys.modules.setdefault("_token_units_of_this_worker", types.ModuleType("_token_units_of_this_worker"))
+    if getattr(home, "made_of", None) != tokenizer_json:
+        home.made_of, home.units = tokenizer_json, Units(tokenizer_json)
+    return home.units
 
 
 def _write(tokenizer_json, block_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, block, held, total = Units(tokenizer_json.value), 0, [], 0
+        units, block, held, total = _kept_units(tokenizer_json.value), 0, [], 0
 
         def row() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(raw for _, raw, _ in held), "<u4")
+            ids, sizes = (np.concatenate([x[k] for x in held]) for k in (0, 1))
+            doc_ids = pa.concat_arrays([x[2] for x in held])
             ranks, control, data = encode_block(ids)
-            values = {"part": held[0][2], "block": block, "doc_ids": [x[0] for x in held], "sizes": [len(x[1]) // 4 for x in held], "ranks": ranks, "control": control, "data": data}
-            kinds = {"part": pa.int32(), "block": pa.int32(), "doc_ids": pa.list_(pa.int64()), "sizes": pa.list_(pa.int64()), "ranks": pa.binary(), "control": pa.binary(), "data": pa.binary()}
-            return pa.RecordBatch.from_arrays([pa.array([values[k]], t) for k, t in kinds.items()], list(kinds))
+            listed = [pa.ListArray.from_arrays(pa.array([0, len(sizes)], pa.int32()), x) for x in (doc_ids, pa.array(sizes))]
+            return pa.RecordBatch.from_arrays([pa.array([held[0][3]], pa.int32()), pa.array([block], pa.int32()), *listed, *[pa.array([x], pa.binary()) for x in (ranks, control, data)]], ["part", "block", "doc_ids", "sizes", "ranks", "control", "data"])
 
-        end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
-            doc_ids, parts = batch.column("doc_id").to_pylist(), batch.column("part").to_pylist()
-            for i in range(0, len(doc_ids), 256):
-                for j, raw in enumerate(units.encode(batch.column("text").slice(i, 256).to_pylist()), i):
-                    held.append((doc_ids[j], raw + end, parts[j]))
-                    total += len(raw) // 4 + 1
-                    if total >= block_tokens:
-                        yield row()
-                        block, held, total = block + 1, [], 0
+            doc_ids = whole(batch.column("doc_id"))
+            for first, end, data, offsets in row_ranges(whole(batch.column("text"))):
+                ids, sizes = units.encode(data, offsets)
+                held.append((ids, sizes, doc_ids.slice(first, end - first), batch.column("part")[first].as_py()))
+                total += len(ids)
+                if total >= block_tokens:
+                    yield row()
+                    block, held, total = block + 1, [], 0
         if held:
             yield row()
 

@@ -11,7 +11,7 @@ _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
+def powers(base: np.uint64, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[0] = 1
     return np.multiply.accumulate(out)
@@ -38,14 +38,14 @@ class Words:
         """With ``prefixes`` (lengths in bytes) a word's hashes are a column: its own, then those of its first bytes (0 where it is shorter)."""
         self.inside = inside
         self.prefixes = prefixes
-        self.up = _powers(_MULTIPLIER, 1)
-        self.down = _powers(_INVERSE, 1)
+        self.up = powers(_MULTIPLIER, 1)
+        self.down = powers(_INVERSE, 1)
 
     def _run(self, data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts, ends and hashes of the words of ``data``; a word also ends at each of ``breaks``."""
         n = len(data)
         if len(self.up) < n + 1:
-            self.up, self.down = _powers(_MULTIPLIER, n + 1), _powers(_INVERSE, n + 1)
+            self.up, self.down = powers(_MULTIPLIER, n + 1), powers(_INVERSE, n + 1)
         inside = self.inside[data]
         first, last = inside.copy(), inside.copy()
         first[1:] &= ~inside[:-1]
