@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moneytrail.llm import decontaminate, mixing, personal_data, ppm, shuffle_shards, simhash, token_file, toxicity, warc_zip
+from moneytrail.llm import decontaminate, mixing, personal_data, ppm, shuffle_shards, simhash, spotsigs, token_file, toxicity, warc_zip
 from moneytrail.llm.common import crc_mod, table
 
 
+def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edit_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -60,5 +64,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.select("doc_id", shuffle_shards.record_size(F.col("text")).alias("size"), crc, F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_token_ids, op3_simhash_near_dedup, op4_benchmark_decontamination, op5_mixing_sources, op6_toxicity, op7_warc, op8_pii, op9_lm_scoring, op10_sharding)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_document_fingerprints, op2_token_ids, op3_simhash_near_dedup, op4_benchmark_decontamination, op5_mixing_sources, op6_toxicity, op7_warc, op8_pii, op9_lm_scoring, op10_sharding)}
 ORACLE: dict[str, str] = {"op5_mixing_sources": mixing.SQL}
