@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -107,6 +107,27 @@ def row_ranges(texts: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int,
         first = end
 
 
+def map_texts(docs: DataFrame, text: str, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], results: str, before: dict[str, Column] | None = None) -> DataFrame:
+    """``row`` (the other columns), ``text`` and what ``run`` adds to each batch of them.
+
+    ``run`` gets the columns row, text (nulls kept) and those of ``before``, and yields row, text and
+    ``results`` (a schema). Rows go to Python and back once, each text once.
+    """
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text]
+    rows = docs.select(F.struct(F.lit(0).alias("_"), *others).alias("row"), F.col(text).cast("string").alias("text"), *[v.alias(k) for k, v in (before or {}).items()])
+    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, text string, {results}")
+
+
+def input_columns(docs: DataFrame, text: str, without: Collection[str] = (), new_text: Column | None = None) -> list[Column]:
+    """The input's columns, in their order, from what ``map_texts`` gives."""
+    return [(F.col("text") if new_text is None else new_text).alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns if c not in without]
+
+
+def filled(texts: pa.Array | pa.ChunkedArray) -> pa.Array:
+    """One contiguous array in which nulls are empty texts."""
+    return whole(texts).fill_null("")
+
+
 def whole(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     """One contiguous array."""
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column

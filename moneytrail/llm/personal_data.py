@@ -24,7 +24,8 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from moneytrail.llm.common import filled, input_columns, map_texts
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -221,16 +222,13 @@ _SPAN = "struct<kind:string,start:bigint,end:bigint,plain:boolean>"
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("plain", pa.bool_())]))
     for batch in batches:
-        spans = [[{"kind": KINDS[k], "start": a, "end": b, "plain": p} for a, k, b, p in identifiers(t.as_py())] for t in batch.column("text")]
-        yield pa.RecordBatch.from_arrays([batch.column(c) for c in batch.schema.names] + [pa.array(spans, kind)], [*batch.schema.names, "spans"])
+        spans = [[{"kind": KINDS[k], "start": a, "end": b, "plain": p} for a, k, b, p in identifiers(t.as_py())] for t in filled(batch.column("text"))]
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.nulls(len(spans), pa.string()), pa.array(spans, kind)], ["row", "text", "spans"])
 
 
-def find(docs: DataFrame, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (all but the text unless given) and ``spans``, an array of kind, start, end and plain."""
-    keep = [c for c in (keep if keep is not None else docs.columns) if c not in ("spans", text)]
-    rows = docs.select(F.struct(F.lit(0).alias("_"), *[F.col(c) for c in keep]).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    found = rows.mapInArrow(_find, f"row {rows.schema['row'].dataType.simpleString()}, text string, spans array<{_SPAN}>")
-    return found.select(*[F.col(f"row.`{c}`") for c in keep], "spans")
+def find(docs: DataFrame, *, text: str = "text") -> DataFrame:
+    """The columns besides the text, and ``spans``, an array of kind, start, end and plain."""
+    return map_texts(docs, text, _find, f"spans array<{_SPAN}>").select(*input_columns(docs, text, ("spans", text)), "spans")
 
 
 def redact(docs: DataFrame, *, text: str = "text", kinds: tuple[str, ...] = KINDS) -> DataFrame:
@@ -246,8 +244,6 @@ def redact(docs: DataFrame, *, text: str = "text", kinds: tuple[str, ...] = KIND
                         parts += [value[at:a], f"<{KINDS[k]}>"]
                         at = b
                 out.append("".join(parts) + value[at:] if at else value)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.string())], ["row", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.string()), pa.nulls(len(out), pa.int32())], ["row", "text", "none"])
 
-    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
-    done = rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, text string")
-    return done.select(*[F.col("text").alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns])
+    return map_texts(docs, text, run, "none int").select(*input_columns(docs, text))

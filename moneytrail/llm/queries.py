@@ -50,8 +50,8 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_data.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["plain"])
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["plain"] & (s["kind"] == k))).cast("bigint").alias(f"n_{k}") for k in personal_data.KINDS]
-    return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    count = lambda k: F.size(F.filter("spans", lambda s: s["plain"] & (s["kind"] == k))).cast("bigint").alias(f"n_{k}")
+    return found.select("doc_id", *map(count, personal_data.KINDS), F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
