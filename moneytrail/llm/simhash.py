@@ -202,22 +202,21 @@ def links(distinct: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Da
 
 
 def groups(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
-    """row_key, doc_id, fp and component_id (the smallest doc_id of the row's group) of each row."""
+    """row_key, doc_id, fp, component_id (the smallest doc_id of the row's group) and group (its smallest fingerprint) of each row."""
     rows = cut(add_fingerprint(docs, text=text, doc_id=doc_id, shingle=shingle))
     distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     linked = components(links(distinct.select("fp"), radius, bucket)).join(distinct, F.col("node") == F.col("fp")).select("fp", "root", "first_id")
     named = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of = linked.join(named, "root").select(F.col("fp").alias("node"), "component_id")
-    each = distinct.join(of, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
-    return rows.join(cut(each), "fp").select("row_key", "doc_id", "fp", "component_id")
+    of = linked.join(named, "root").select(F.col("fp").alias("node"), "root", "component_id")
+    each = distinct.join(of, F.col("fp") == F.col("node"), "left")
+    each = each.select("fp", F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("root", "fp").alias("group"))
+    return rows.join(cut(each), "fp").select("row_key", "doc_id", "fp", "component_id", "group")
 
 
 def keep_one(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
     """The input rows, one of each group: that with the smallest doc_id (rows that tie: any one)."""
     found = groups(docs, text=text, doc_id=doc_id, **options)
-    # a group whose ids are all null is known by its fingerprint
-    name = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), F.col("fp").cast("string")))
-    first = found.groupBy(name.alias("name")).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("f")).select(F.col("f.row_key").alias("_kept"))
+    first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("f")).select(F.col("f.row_key").alias("_kept"))
     keyed = docs.select(F.struct("*").alias("row"), row_key(F.col(doc_id), F.col(text)).alias("_key"))
     kept = keyed.join(first, F.col("_key") == F.col("_kept"), "left_semi")
     return kept.dropDuplicates(["_key"]).select("row.*")
