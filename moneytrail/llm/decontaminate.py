@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moneytrail.llm.common import cut, row_ranges, whole
+from moneytrail.llm.common import cut, filled, input_columns, map_texts, row_ranges
 from moneytrail.llm.words import ALNUM, Words, mix
 
 WINDOW = 13
@@ -33,6 +33,7 @@ ONE_IN = 20
 BLOCK_BYTES = 16 << 20
 
 _FILTER_BITS = 22
+_RESULT = "n_words bigint, n_hit bigint, items array<string>, runs binary, spans array<struct<start:bigint,end:bigint>>"
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -82,7 +83,7 @@ def _scanner(index) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = Words(ALNUM)
         for batch in batches:
-            texts, before = whole(batch.column("text")), [(set(i), r) for i, r in zip(batch.column("items").to_pylist(), batch.column("runs").to_pylist(), strict=True)]
+            texts, before = filled(batch.column("text")), [(set(i), r) for i, r in zip(batch.column("items").to_pylist(), batch.column("runs").to_pylist(), strict=True)]
             n_words, n_hit, items, runs, spans = [], [], [], [], []
             for first, end, data, offsets in row_ranges(texts):
                 starts, ends, hashes, of = split.split(data, offsets)
@@ -108,7 +109,7 @@ def _scanner(index) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
                     spans.append([{"start": int(starts[head[i] + a] - offsets[i]), "end": int(ends[head[i] + b - 1] - offsets[i])} for a, b in run.tolist()])
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), texts, pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(runs, pa.binary()), pa.array(spans, kind)],
+                [batch.column("row"), batch.column("text"), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(runs, pa.binary()), pa.array(spans, kind)],
                 ["row", "text", "n_words", "n_hit", "items", "runs", "spans"],
             )
 
@@ -126,13 +127,15 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) ->
 
 
 def scan_documents(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``row`` (the input row), ``n_words``, ``n_hit``, ``items`` (found item ids) and ``spans``:
+    """``row`` and ``text`` (see ``map_texts``), ``n_words``, ``n_hit``, ``items`` (found item ids) and ``spans``:
     the hit runs as [start, end) offsets into the text's UTF-8 bytes."""
-    state = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.array().cast("array<string>").alias("items"), F.lit(b"").alias("runs"))
-    out = f"row {state.schema['row'].dataType.simpleString()}, text string, n_words bigint, n_hit bigint, items array<string>, runs binary, spans array<struct<start:bigint,end:bigint>>"
+    state = None
     for b, items in enumerate(_blocks(benchmark, item_id, item_text, block_bytes)):
-        index = docs.sparkSession.sparkContext.broadcast(Index(items, window))
-        state = (cut(state) if b else state).mapInArrow(_scanner(index), out)
+        scan = _scanner(docs.sparkSession.sparkContext.broadcast(Index(items, window)))
+        if state is None:
+            state = map_texts(docs, text, scan, _RESULT, {"items": F.array().cast("array<string>"), "runs": F.lit(b"")})
+        else:
+            state = cut(state).mapInArrow(scan, state.schema)
     return state
 
 
@@ -147,14 +150,13 @@ def judge(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
         "contaminated": (F.col("n_hit") > 0) & (F.col("n_hit") * ONE_IN >= F.col("n_words")),
         "hit_spans": F.col("spans"),
     }
-    kept = [F.col(f"row.`{c}`") for c in docs.columns if c not in result]
-    return found.select(*kept, *[v.alias(k) for k, v in result.items()])
+    return found.select(*input_columns(docs, options.get("text", "text"), result), *[v.alias(k) for k, v in result.items()])
 
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The input rows that are not contaminated."""
     found = scan_documents(docs, benchmark, **options)
-    return found.where(~((F.col("n_hit") > 0) & (F.col("n_hit") * ONE_IN >= F.col("n_words")))).select("row.*")
+    return found.where(~((F.col("n_hit") > 0) & (F.col("n_hit") * ONE_IN >= F.col("n_words")))).select(*input_columns(docs, options.get("text", "text")))
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", **options) -> DataFrame:
@@ -165,5 +167,5 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", *
     ends = F.concat(F.array(F.lit(0).cast("bigint")), F.transform("spans", lambda s: s["end"]))
     starts = F.concat(F.transform("spans", lambda s: s["start"]), F.array(F.octet_length("text").cast("bigint")))
     gaps = F.transform(F.arrays_zip(ends.alias("a"), starts.alias("b")), lambda g: F.substring(raw, (g["a"] + 1).cast("int"), (g["b"] - g["a"]).cast("int")).cast("string"))
-    cleaned = F.when(F.size("spans") > 0, F.array_join(gaps, "")).otherwise(F.col(f"row.`{text}`"))
-    return found.select(*[cleaned.alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns])
+    cleaned = F.when(F.size("spans") > 0, F.array_join(gaps, "")).otherwise(F.col("text"))
+    return found.select(*input_columns(docs, text, new_text=cleaned))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moneytrail.llm.common import row_ranges, whole
+from moneytrail.llm.common import filled, input_columns, map_texts, row_ranges
 from moneytrail.llm.words import ALNUM, Words
 
 SAMPLE_ROWS, SAMPLE_BYTES = 6_000, 48 << 20
@@ -37,6 +37,7 @@ BUCKETS, DIMENSIONS, FILTERS, WIDTHS = 1 << 19, 8, 8, (1, 2, 3)
 EPOCHS, BATCH, RATE = 3, 32, 0.02
 #: Toxic rows that a language needs in the kept-back part for a threshold of its own.
 LEAST_TOXIC = 8
+RESULTS = ("score", "threshold", "toxic")
 #: Words of which the filters' outputs are held at once.
 RUN_WORDS = 1 << 16
 
@@ -74,15 +75,20 @@ class Model:
 
     def pooled(self, ids: np.ndarray, heads: np.ndarray) -> np.ndarray:
         """The maximum of each filter over each text (``heads``: first words and the end)."""
-        n, top, widest = len(heads) - 1, np.zeros((len(heads) - 1, len(self.bias)), np.float32), max(WIDTHS) - 1
+        n, widest = len(heads) - 1, max(WIDTHS) - 1
+        top = np.full((n, len(self.bias)), -np.inf, np.float32)
         spaced, firsts = _spaced(ids, heads)
+        stops = firsts + np.diff(heads)
         for a in range(0, len(spaced), RUN_WORDS):
             b = min(len(spaced), a + RUN_WORDS)
-            found = self.responses(self.vectors(spaced[a : b + widest]), b - a)
-            i, j = int(np.searchsorted(firsts, a, "right")) - 1, int(np.searchsorted(firsts, b))
-            cuts = np.maximum(firsts[i:j] - a, 0)
-            top[i : min(j, n)] = np.maximum(top[i : min(j, n)], np.maximum.reduceat(found, cuts, axis=0)[: min(j, n) - i])
-        return np.maximum(top + self.bias, 0)
+            found = self.responses(self.vectors(spaced[a : b + widest]), b - a + 1)
+            i, j = int(np.searchsorted(stops, a, "right")), int(np.searchsorted(firsts, b))
+            mine = np.arange(i, j)
+            mine = mine[stops[mine] > firsts[mine]]
+            if len(mine):
+                bounds = np.stack([np.maximum(firsts[mine] - a, 0), np.minimum(stops[mine] - a, b - a)], 1)
+                top[mine] = np.maximum(top[mine], np.maximum.reduceat(found, bounds.ravel(), axis=0)[::2])
+        return np.maximum(np.where(np.isfinite(top), top, 0) + self.bias, 0)
 
     def logits(self, ids: np.ndarray, heads: np.ndarray) -> np.ndarray:
         return self.pooled(ids, heads) @ self.out + self.out_bias
@@ -99,7 +105,7 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def _spaced(ids: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Texts with rows of nothing behind each, so that no filter spans two, and where each begins."""
+    """Texts with rows of nothing behind each, so that no filter that starts in one reaches the next, and where each begins."""
     gap = max(WIDTHS) - 1 or 1
     n = len(heads) - 1
     out = np.zeros((len(ids) + gap * n, ids.shape[1]), ids.dtype)
@@ -113,7 +119,9 @@ def train(texts: list[bytes], toxic: np.ndarray, seed: int = 5) -> Model:
     rng = np.random.default_rng(seed)
     splitter = Words(ALNUM, PREFIXES)
     docs = [word_rows(splitter, np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0] for t in texts]
-    n, positive = len(docs), float(toxic.mean())
+    some = [i for i, d in enumerate(docs) if len(d)]  # a text without words teaches nothing
+    docs, toxic = [docs[i] for i in some], toxic[some]
+    n, positive = len(docs), float(np.clip(toxic.mean(), 1e-3, 1 - 1e-3)) if docs else 0.5
     embedding = rng.normal(0, 0.02, (BUCKETS, DIMENSIONS)).astype(np.float32)
     seen, seen_toxic = np.zeros(BUCKETS, np.int32), np.zeros(BUCKETS, np.int32)
     for ids, y in zip(docs, toxic, strict=True):
@@ -139,7 +147,7 @@ def train(texts: list[bytes], toxic: np.ndarray, seed: int = 5) -> Model:
             ids, firsts = _spaced(np.concatenate([docs[i] for i in some]), heads)
             x = model.vectors(ids)
             found = model.responses(x, len(x))
-            ends = np.append(firsts[1:], len(ids))
+            ends = firsts + np.diff(heads)
             where = np.stack([a + found[a:b].argmax(0) for a, b in zip(firsts.tolist(), ends.tolist(), strict=True)])
             pooled = np.maximum(np.take_along_axis(found, where, 0) + model.bias, 0)
             error = ((_sigmoid(pooled @ model.out + model.out_bias) - toxic[some]) * weight[some] / len(some)).astype(np.float32)
@@ -235,27 +243,26 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     return model
 
 
-def score(docs: DataFrame, model: Model, *, text: str = "text", lang: str | None = "lang") -> DataFrame:
-    """The input rows with score, threshold (of the row's language) and toxic (score >= threshold)."""
+def score(docs: DataFrame, model: Model, *, text: str = "text", lang: str | None = "lang", plain: bool = False) -> DataFrame:
+    """The input rows with score, threshold (of the row's language) and toxic (score >= threshold);
+    ``plain``: as they are, without the toxic ones."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by BUCKETS x DIMENSIONS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter, m = Words(ALNUM, PREFIXES), shared.value
         for batch in batches:
-            found = [m.scores(*word_rows(splitter, data, offsets)) for _, _, data, offsets in row_ranges(whole(batch.column("text")))]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(np.concatenate(found) if found else np.zeros(0))], ["row", "score"])
+            found = [m.scores(*word_rows(splitter, data, offsets)) for _, _, data, offsets in row_ranges(filled(batch.column("text")))]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("text"), pa.array(np.concatenate(found) if found else np.zeros(0))], ["row", "text", "score"])
 
-    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    done = rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, score double")
+    done = map_texts(docs, text, run, "score double")
     general = F.lit(model.threshold)
     if lang and model.thresholds:
         table = F.create_map(*[F.lit(x) for kv in model.thresholds.items() for x in kv])
         general = F.coalesce(table[F.col(f"row.`{lang}`")], general)
-    kept = [F.col(f"row.`{c}`") for c in docs.columns if c not in ("score", "threshold", "toxic")]
-    return done.select(*kept, "score", general.alias("threshold"), (F.col("score") >= general).alias("toxic"))
+    kept = input_columns(docs, text, () if plain else RESULTS)
+    return done.where(F.col("score") < general).select(*kept) if plain else done.select(*kept, "score", general.alias("threshold"), (F.col("score") >= general).alias("toxic"))
 
 
 def remove_toxic(docs: DataFrame, labels: DataFrame, *, text: str = "text", lang: str | None = "lang", **options) -> DataFrame:
     """The input rows that the classifier does not reject, as they are."""
-    whole_rows = docs.select(F.struct("*").alias("kept"), F.col(text).alias("text"), (F.col(lang) if lang else F.lit(None).cast("string")).alias("lang"))
-    return score(whole_rows, fit(docs, labels, text=text, lang=lang, **options)).where("not toxic").select("kept.*")
+    return score(docs, fit(docs, labels, text=text, lang=lang, **options), text=text, lang=lang, plain=True)
