@@ -12,8 +12,8 @@ class Table:
 
     def __init__(self, keys: np.ndarray = np.zeros(0, np.uint64)):  # noqa: B008 - never changed
         self.n = 0
-        self.keys = np.zeros(16, np.uint64)  # the last is never a key: an index of -1 reads it
-        self._room(16)
+        self.keys = np.zeros(1, np.uint64)  # the last is never a key: an index of -1 reads it
+        self._room(max(16, len(keys)))
         self.add(keys)
 
     def _room(self, wanted: int) -> None:
@@ -21,7 +21,7 @@ class Table:
         self.bits = max(6, int(wanted * 3).bit_length())
         self.index = np.full(1 << self.bits, -1, np.int32)
         if len(self.keys) <= wanted:
-            self.keys = np.concatenate([self.keys[: self.n], np.zeros(2 * wanted - self.n + 1, np.uint64)])
+            self.keys = np.concatenate([self.keys[: self.n], np.zeros(wanted - self.n + 1, np.uint64)])
         self._place(np.arange(self.n, dtype=np.int32))
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:

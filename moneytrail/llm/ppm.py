@@ -138,6 +138,22 @@ class Trie:
         return out
 
 
+class Shard:
+    """What is broadcast of a trie: its grams and counts. A worker process builds the trie once."""
+
+    def __init__(self, mine: np.ndarray, grams: np.ndarray, counts: np.ndarray, pairs: np.ndarray, pair_counts: np.ndarray):
+        small = np.uint32 if not len(counts) or counts.max() < 1 << 32 else np.uint64
+        self.mine, self.parts, self.built = mine, (grams, counts.astype(small), pairs, pair_counts), None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "built": None}
+
+    def trie(self) -> Trie:
+        if self.built is None:
+            self.built = Trie(*self.parts)
+        return self.built
+
+
 # --------------------------------------------------------------------------- chunks
 
 _CHUNK = "chunk bigint, doc_ids array<bigint>, keys array<bigint>, held array<boolean>, sizes array<bigint>, refs binary, hashes binary, counts binary, grams binary, gram_counts binary"
@@ -240,8 +256,8 @@ def shard_plan(entries: list[tuple[int, int]], limit: int) -> list[list[int]]:
     return plan
 
 
-def tries(grams: DataFrame, limit: int = SHARD_CONTEXTS) -> Iterator[tuple[np.ndarray, Trie]]:
-    """(which of the 65,536 last two context bytes, the trie of their contexts) shard by shard; unseen families go to the first."""
+def shards(grams: DataFrame, limit: int = SHARD_CONTEXTS) -> Iterator[Shard]:
+    """The trie in shards of some of the 65,536 last two context bytes; unseen ones go to the first."""
     last = _by_pair(grams, 0)
     pairs, pair_counts = np.array([p for p, _, _ in last], np.uint64), np.array([n for _, n, _ in last], np.int64)
     for i, families in enumerate(shard_plan([(p, e) for p, _, e in _by_pair(grams, 8)], limit)):
@@ -262,12 +278,12 @@ def tries(grams: DataFrame, limit: int = SHARD_CONTEXTS) -> Iterator[tuple[np.nd
             seen = np.zeros(1 << 16, bool)
             seen[[p for p, _, _ in _by_pair(grams, 8)]] = True
             mine = mine | ~seen
-        yield mine, Trie(keys[order].astype(np.uint64), counts[order], pairs, pair_counts)
+        yield Shard(mine, keys[order].astype(np.uint64), counts[order], pairs, pair_counts)
 
 
 def _scorer(shard):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine, trie = shard.value
+        mine, trie = shard.value.mine, shard.value.trie()
         every = mine.all()
         for batch in batches:
             out = []
@@ -318,7 +334,7 @@ def score(docs: DataFrame, held_out: Column, *, doc_id: str = "doc_id", text: st
     dealt = chunks.select("chunk", "grams", "gram_counts").mapInArrow(_dealt("grams", "gram_counts", bits), _DEALT)
     grams = written(dealt.groupBy("bucket").applyInArrow(_gram_totals, "grams binary, counts binary, size bigint"), "ppm-contexts")
     parts = None
-    for number, shard in enumerate(tries(grams, shard_contexts)):
+    for number, shard in enumerate(shards(grams, shard_contexts)):
         part = rows.select("key", "text").mapInArrow(_scorer(spark.sparkContext.broadcast(shard)), "key bigint, part double").withColumn("shard", F.lit(number))
         parts = part if parts is None else parts.union(part)
     scored = parts.dropDuplicates(["key", "shard"]).groupBy("key").agg(F.sum("part").alias("score"))
