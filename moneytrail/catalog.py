@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moneytrail.operators import angles, profile, quality, rank, reports, semantic
-from moneytrail.plans.session import fs_exists, scratch_path
+from moneytrail.plans.session import fs_exists
 from moneytrail.plans.store import Store
 from moneytrail.sources import files, interests
 from moneytrail.sources.fixture import CYCLE
+from moneytrail.sources.schemas import CSV_DATASETS, TABLE_OF_DATASET
 from moneytrail.sources.schemas import DATASETS as DATASETS_ORDER
-from moneytrail.sources.schemas import TABLE_OF_DATASET
 from moneytrail.streaming import refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -186,12 +186,13 @@ def _facts(s: Store) -> DataFrame:
 
 def search_terms(candidates: DataFrame) -> DataFrame:
     """Search terms derived from the candidate table: every CAND_ID (the id
-    form), the lower-cased last four characters of every name, and the
-    lower-cased first three characters of every name (broad, ambiguous)."""
-    ids = candidates.select(F.col("CAND_ID").alias("term"))
-    tails = candidates.select(F.lower(F.right(F.col("CAND_NAME"), F.lit(4))).alias("term"))
-    heads = candidates.select(F.lower(F.left(F.col("CAND_NAME"), F.lit(3))).alias("term"))
-    return ids.unionByName(tails).unionByName(heads).filter(F.col("term").isNotNull()).distinct()
+    form), the lower-cased last four and last two characters of every name, and
+    a term with a wildcard from the last characters of id and name."""
+    name, cid = F.col("CAND_NAME"), F.col("CAND_ID")
+    forms = [cid, F.lower(F.right(name, F.lit(4))), F.lower(F.right(name, F.lit(2))),
+             F.concat(F.right(cid, F.lit(1)), F.lit("_"), F.right(name, F.lit(1)))]
+    terms = candidates.select(F.explode(F.array(*forms)).alias("term"))
+    return terms.filter(F.col("term").isNotNull()).distinct()
 
 
 @register("resolve_candidates")
@@ -378,10 +379,10 @@ def _s12(spark, sf):
     docs = _with_committees(angles.angle_documents_nested(*_angle_inputs(s)), s)
     dirs = angles.canonical_dirname(s.candidates).withColumnRenamed("cand_id", "_dc")
     docs = docs.join(dirs, F.col("cand_id") == F.col("_dc")).drop("_dc")
-    out = scratch_path(spark, "angles", unique=True)
+    out = s.path("export", "angles", str(s.state["number"]))  # the same files for the same state
     files.write_angles(docs, out)
     # the document schema is known: no inference pass over the written files
-    back = spark.read.schema(docs.drop("dirname", "angle_id").schema).json(out)
+    back = files.read_angles(spark, out, docs.drop("dirname", "angle_id").schema)
     return back.select("dirname", "angle_id", F.col("candidate.cand_id").alias("cand_id"),
                        F.col("angle.metric_value").alias("metric_value"),
                        F.col("angle.featured").alias("featured"),
@@ -464,13 +465,12 @@ def _d4(spark, sf):
 
 @register("profile_staleness")
 def _d5(spark, sf):
-    """The profile stored at landing time against a fresh one."""
-    s = S(spark, sf)
-    path = s.path("profile")
-    if not fs_exists(spark, path):
-        quality.table_profile(s.curated_tables()).write.mode("overwrite").parquet(path)
-    return quality.profile_staleness(spark.read.parquet(path),
-                                     quality.table_profile(s.curated_tables()))
+    """The profile of an older snapshot (transactions filed later are not in it)
+    against a fresh one."""
+    now = S(spark, sf).curated_tables()
+    older = {t: df.filter(F.col("SUB_ID") % 10 != 3) if "SUB_ID" in df.columns else df
+             for t, df in now.items()}
+    return quality.profile_staleness(quality.table_profile(older), quality.table_profile(now))
 
 
 @register("raw_vs_curated_counts")
@@ -566,22 +566,33 @@ def _d18(spark, sf):
 # ------------------------------------------------------------------ sources (S)
 
 
+def _union(frames):
+    out = None
+    for f in frames:
+        out = f if out is None else out.unionByName(f)
+    return out
+
+
+def _bulk(s: Store, ds: str) -> str:
+    """A landed dataset in its bulk-file form, written once beside the version it shows."""
+    path = s.raw_path(ds) + ".bulk"
+    if not fs_exists(s.spark, path + "/_SUCCESS"):
+        (files.write_ie_csv if ds in CSV_DATASETS else files.write_pipe_text)(s.raw(ds), path)
+    return path
+
+
 @register("scan_pipe_raw")
 def _s1(spark, sf):
-    """Write the landed individual dataset in the bulk pipe form, read it back."""
+    """The five pipe datasets in bulk-file form, read back."""
     s = S(spark, sf)
-    path = scratch_path(spark, "pipe", unique=True)
-    files.write_pipe_text(s.raw("indiv"), path)
-    return files.scan_pipe_raw(spark, path, "indiv")
+    return _union(files.raw_lines(files.scan_pipe_raw(spark, _bulk(s, ds), ds), ds)
+                  for ds in DATASETS_ORDER if ds not in CSV_DATASETS)
 
 
 @register("scan_ie_csv")
 def _s2(spark, sf):
-    """Write the landed IE dataset as quoted CSV with a header, read it back."""
-    s = S(spark, sf)
-    path = scratch_path(spark, "iecsv", unique=True)
-    files.write_ie_csv(s.raw("ie"), path)
-    return files.scan_ie_csv(spark, path)
+    """The IE dataset as quoted CSV with a header, read back."""
+    return files.scan_ie_csv(spark, _bulk(S(spark, sf), "ie"))
 
 
 @register("land_raw_parquet")
@@ -593,16 +604,28 @@ def _s4(spark, sf):
 @register("scan_raw_parquet")
 def _s5(spark, sf):
     s = S(spark, sf)
-    return files.scan_raw_parquet(spark, s.raw_path("pas2"), "pas2")
+    return _union(files.raw_lines(files.scan_raw_parquet(spark, s.raw_path(ds), ds), ds)
+                  for ds in DATASETS_ORDER)
 
 
 @register("replace_curated")
 def _s6(spark, sf):
-    """Full replace, twice: the second write leaves the same table."""
+    """Every curated table replaced twice in one place: the second write leaves the
+    same table (rows per key)."""
     s = S(spark, sf)
-    path = scratch_path(spark, "replace", unique=True)
-    files.replace_curated(s.candidates, path)
-    return files.replace_curated(s.candidates, path)
+    keys = {"dim_candidates": "CAND_ID", "dim_committees": "CMTE_ID",
+            "bridge_candidate_committee": "CAND_ID", "fact_contributions": "TARGET_CAND_ID",
+            "fact_individual_contributions": "TARGET_CMTE_ID",
+            "fact_independent_expenditures": "SPENDER_CMTE_ID", "dim_group_mappings": "CMTE_ID"}
+
+    def twice(table, key):
+        path = s.path("export", "replaced", table)
+        files.replace_curated(s.table(table), path)
+        return (files.replace_curated(s.table(table), path).groupBy(F.col(key).alias("key"))
+                .agg(F.count(F.lit(1)).alias("rows"))
+                .select(F.lit(table).alias("table"), "key", "rows"))
+
+    return _union(twice(t, k) for t, k in keys.items())
 
 
 @register("scan_interest_dictionary")
@@ -616,24 +639,29 @@ def _s8(spark, sf):
     return interests.load_group_mappings(s.interest_entries(), s.committees)
 
 
+def _changes(s: Store) -> DataFrame:
+    """The landed datasets against the manifest of an older store: cm was filed without
+    its C1 committees (changed), ccl is not there (new), cn has gone since (missing)."""
+    raws = s.raws()
+    older = {ds: df for ds, df in raws.items() if ds != "ccl"}
+    older["cm"] = older["cm"].filter(~F.col("CMTE_ID").startswith("C1"))
+    now = {ds: df for ds, df in raws.items() if ds != "cn"}
+    return refresh.snapshot_changes(refresh.manifest(now, CYCLE), refresh.manifest(older, CYCLE))
+
+
 @register("snapshot_changes")
 def _s9(spark, sf):
-    s = S(spark, sf)
-    return refresh.snapshot_changes(refresh.manifest(s.raws(), CYCLE), s.manifest())
+    return _changes(S(spark, sf))
 
 
 @register("rebuild_set")
 def _s10(spark, sf):
-    s = S(spark, sf)
-    existing = spark.createDataFrame(
-        [(t,) for t in TABLE_OF_DATASET.values() if fs_exists(spark, s.table_path(t))],
-        "table string")
-    changes = refresh.snapshot_changes(refresh.manifest(s.raws(), CYCLE), s.manifest())
-    return refresh.rebuild_set(changes, existing, TABLE_OF_DATASET)
+    """The tables to build after those changes, the one of pas2 having been lost."""
+    existing = spark.createDataFrame([(t,) for ds, t in TABLE_OF_DATASET.items() if ds != "pas2"],
+                                     "table string")
+    return refresh.rebuild_set(_changes(S(spark, sf)), existing, TABLE_OF_DATASET)
 
 
 @register("single_cycle_guard")
 def _s11(spark, sf):
-    return refresh.single_cycle_guard(S(spark, sf).manifest(), CYCLE)
-
-
+    return refresh.single_cycle_guard(refresh.cycles_in_data(S(spark, sf).raws()), CYCLE)

@@ -2,23 +2,15 @@
 
 ``Window.partitionBy(signal).orderBy(value)`` would put a whole cohort (which
 grows with the candidate table) into a single task, and an unpartitioned
-``row_number()`` moves every row into one partition. The helpers here compute
-the same numbers with a range-partitioned prefix sum:
-
-1. range-partition the rows by (group, order) -- Spark samples the bounds, so
-   a large group is spread over many partitions -- and sort within partitions;
-2. checkpoint, so partition ids stay fixed (the executors may be lost; the
-   checkpoint lives in the shared checkpoint folder);
-3. per (partition, group) totals -> offsets of the earlier partitions (one row
-   per partition and group, a tiny table);
-4. a window per (partition, group) for the local running sum.
-
-Hot values never form a large window group: percentiles first collapse equal
-values (``groupBy(group, value).count()``, map-side combined).
-
-When the input is proven small (``max_rows_single_task``, checked with a
-bounded count), a plain window over a single group is cheaper than the
-sampling + checkpoint of the distributed path and gives the same numbers.
+``row_number()`` moves every row into one partition. ``running_before`` computes
+the same numbers by levels: the order is refined from coarse to fine keys, rows
+are counted per key (pre-aggregated before the shuffle), and at each level a
+window runs only over the keys that share the coarser one. The sum of what lies
+before at every level is the number of rows before. It is one plan for every
+size: nothing is sampled, counted or checkpointed while it is built.
+
+Hot values never form a large window group: percentiles collapse equal values
+first, and their join back is an inner join that adaptive execution may split.
 """
 
 from __future__ import annotations
@@ -26,73 +18,57 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from moneytrail.plans.joins import fits_broadcast, small
-from moneytrail.plans.session import checkpoint_dir
+#: Values are shares, mostly between 0 and 1: the coarse key has so many steps there.
+STEPS = 1024
+#: Leading characters of an id that make a key of their own.
+ID_PREFIX = 6
 
 
-def _cols(xs) -> list[Column]:
-    return [F.col(x) if isinstance(x, str) else x for x in xs]
+def _coarse(value: Column) -> Column:
+    """A key that grows with the value: STEPS steps from 0 to 1, the rest at its ends."""
+    return F.greatest(F.lit(-1), F.least(F.lit(STEPS), F.floor(value * STEPS))).cast("int")
 
 
-def exclusive_prefix_sum(df: DataFrame, part_cols: list[str], order: list,
-                         weight: str, out: str) -> DataFrame:
-    """Add ``out`` = sum of ``weight`` over rows of the same ``part_cols`` group
-    that come strictly earlier in ``order`` (which must be a total order within
-    the group). Order entries may be names or sort expressions (``desc()``)."""
-    checkpoint_dir(df.sparkSession)
-    order_cols = _cols(order)
-    parts = [F.col(c) for c in part_cols]
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    s = (df.repartitionByRange(n, *parts, *order_cols)
-           .sortWithinPartitions(*parts, *order_cols)
-           .withColumn("_pid", F.spark_partition_id()))
-    s = s.checkpoint(eager=True)
-    totals = s.groupBy("_pid", *part_cols).agg(F.sum(weight).alias("_t"))
-    w_off = (Window.partitionBy(*part_cols).orderBy("_pid")
-             .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select("_pid", *part_cols,
-                            F.coalesce(F.sum("_t").over(w_off), F.lit(0)).alias("_off"))
-    w_loc = (Window.partitionBy("_pid", *part_cols).orderBy(*order_cols)
+def running_before(df: DataFrame, part_cols: list[str], levels: list[tuple[str, Column, bool]],
+                   weight: str, out: str) -> DataFrame:
+    """Add ``out`` = sum of ``weight`` over the rows of the same group that come
+    strictly before in the order of ``levels``: (name, key, descending), each
+    refining the one before; the last level must be unique within the others."""
+    names = [n for n, _, _ in levels]
+    rows = df.select("*", *[k.alias(n) for n, k, _ in levels])
+    before: DataFrame | None = None
+    for i, (name, _, desc) in enumerate(levels):
+        keys = [*part_cols, *names[:i]]
+        w = (Window.partitionBy(*keys).orderBy(F.col(name).desc() if desc else F.col(name).asc())
              .rowsBetween(Window.unboundedPreceding, -1))
-    local = s.withColumn("_loc", F.coalesce(F.sum(weight).over(w_loc), F.lit(0)))
-    j = local.join(small(offsets), ["_pid", *part_cols])
-    return j.withColumn(out, F.col("_off") + F.col("_loc")).drop("_pid", "_off", "_loc")
-
-
-# Above this many rows a window group is not allowed to land in one task.
-SINGLE_TASK_MAX_ROWS = 1_000_000
-
-
-def _single_task_ok(df: DataFrame, max_rows: int | None, proven_rows: int | None = None) -> bool:
-    m = SINGLE_TASK_MAX_ROWS if max_rows is None else max_rows
-    if m <= 0:
-        return False
-    if proven_rows is not None:
-        return proven_rows <= m
-    return fits_broadcast(df, m)
+        here = F.coalesce(F.sum("_w").over(w), F.lit(0))
+        if i == len(levels) - 1:
+            found = rows.withColumn("_w", F.col(weight)).withColumn("_here", here).drop("_w")
+        else:
+            found = (rows.groupBy(*keys, name).agg(F.sum(weight).alias("_w"))
+                     .withColumn("_here", here).drop("_w"))
+        if before is None:
+            before = found.withColumnRenamed("_here", "_before")
+        else:
+            before = (found.join(before, keys)
+                      .withColumn("_before", F.col("_before") + F.col("_here")).drop("_here"))
+    return before.withColumnRenamed("_before", out).drop(*names)
 
 
 def count_strictly_below(df: DataFrame, part_cols: list[str], value: str,
-                         out: str = "below", max_rows_single_task: int | None = None,
-                         proven_rows: int | None = None) -> DataFrame:
+                         out: str = "below") -> DataFrame:
     """Add ``out`` = number of rows of the same group with a strictly smaller
-    ``value`` (equal values share the count, like ``rank() - 1``).
-    ``proven_rows`` is an upper bound of ``df``'s rows known to the caller."""
-    if _single_task_ok(df, max_rows_single_task, proven_rows):
-        w = Window.partitionBy(*part_cols).orderBy(F.col(value))
-        return df.withColumn(out, F.rank().over(w) - 1)
+    ``value`` (equal values share the count, like ``rank() - 1``)."""
     vc = df.groupBy(*part_cols, value).agg(F.count(F.lit(1)).alias("_m"))
-    ranked = exclusive_prefix_sum(vc, part_cols, [value], "_m", out).drop("_m")
+    levels = [("_l1", _coarse(F.col(value)), False), ("_l2", F.col(value), False)]
+    ranked = running_before(vc, part_cols, levels, "_m", out).drop("_m")
     return df.join(ranked, [*part_cols, value])
 
 
-def global_row_number(df: DataFrame, order: list, out: str = "rank",
-                      max_rows_single_task: int | None = None,
-                      proven_rows: int | None = None) -> DataFrame:
-    """Add ``out`` = 1-based position in ``order`` (a total order), computed
-    without collecting the rows into one partition unless they are proven few."""
-    if _single_task_ok(df, max_rows_single_task, proven_rows):
-        return df.withColumn(out, F.row_number().over(Window.orderBy(*_cols(order))).cast("long"))
-    ones = df.withColumn("_one", F.lit(1)).withColumn("_all", F.lit(0))
-    r = exclusive_prefix_sum(ones, ["_all"], order, "_one", "_before")
-    return r.withColumn(out, F.col("_before") + 1).drop("_one", "_all", "_before")
+def global_row_number(df: DataFrame, value: str, key: str, out: str = "rank") -> DataFrame:
+    """Add ``out`` = 1-based position by ``value`` descending, then by the
+    unique ``key`` ascending."""
+    levels = [("_l1", _coarse(F.col(value)), True), ("_l2", F.col(value), True),
+              ("_l3", F.substring(key, 1, ID_PREFIX), False), ("_l4", F.col(key), False)]
+    r = running_before(df.withColumn("_one", F.lit(1)), [], levels, "_one", "_before")
+    return r.withColumn(out, (F.col("_before") + 1).cast("long")).drop("_one", "_before")

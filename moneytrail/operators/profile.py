@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from moneytrail.functions.constants import HHI_CONCENTRATED, HHI_MODERATE
 from moneytrail.operators.views import as_rollup
-from moneytrail.plans.joins import fits_broadcast, join_small
+from moneytrail.plans.joins import join_small
 
 DBL = T.DoubleType()
 
@@ -77,62 +77,55 @@ def candidate_facts(money: DataFrame, candidates: DataFrame) -> DataFrame:
 GRAM = 3  # substring length of the name index
 
 
-def _grams(text: Column) -> Column:
-    """All substrings of length GRAM (empty for shorter text)."""
-    return F.when(F.length(text) >= GRAM, F.transform(
-        F.sequence(F.lit(1), F.length(text) - GRAM + 1),
-        lambda i: F.substring(text, i, GRAM))).otherwise(F.array().cast("array<string>"))
+def _grams(text: Column, size: int) -> Column:
+    """All substrings of ``size`` characters (empty for shorter text)."""
+    return F.when(F.length(text) >= size, F.transform(
+        F.sequence(F.lit(1), F.length(text) - size + 1),
+        lambda i: F.substring(text, i, size))).otherwise(F.array().cast("array<string>"))
 
 
-def resolve_candidates(candidates: DataFrame, terms: DataFrame,
-                       max_scan_terms: int = 100_000) -> DataFrame:
+def _literal(term: Column) -> Column:
+    """The longest part of a lower-cased term without ``%`` and ``_``."""
+    parts = F.split(term, "[%_]+")
+    return F.aggregate(parts, F.lit(""), lambda a, x: F.when(F.length(x) > F.length(a), x).otherwise(a))
+
+
+def resolve_candidates(candidates: DataFrame, terms: DataFrame) -> DataFrame:
     """M1: resolve search terms. A term that looks like an id (H/S/P, a digit,
     at least 8 long) matches CAND_ID exactly (upper-cased); any other term is
     a case-insensitive substring of CAND_NAME (its ``%``/``_`` act as
     wildcards, as in the reference). Returns every (term, cand_id) match with
     the number of distinct candidates the term matched (> 1 = ambiguous).
 
-    Scales without pairing every term with every name:
-    * id terms are an equi-join on CAND_ID;
-    * plain terms of 3+ characters use a 3-gram index of the lower-cased names:
-      each term is joined (equi-join) only to the names that contain its
-      rarest 3-gram, then verified with ``ilike`` -- exact, since every match
-      contains all of the term's 3-grams;
-    * the rest (shorter terms, terms with wildcards) is a broadcast nested-loop
-      join of a size-checked, small term list (refused above the bound).
+    No term is paired with every name: ids are an equi-join on CAND_ID, and names
+    are found through an index of their 1- to 3-grams. Each term is joined only to
+    the names that hold the rarest gram of its longest literal part (3-grams when it
+    is that long, else the part itself), then verified with ``ilike`` - exact, since
+    every match holds all literal parts. A term of wildcards alone has the empty
+    gram, which every name holds, as it may match every name.
     """
     t = terms.select(F.col("term")).filter(F.col("term").isNotNull()).distinct()
     looks_id = (F.substring("term", 1, 1).isin("H", "S", "P")
                 & F.substring("term", 2, 1).rlike("^[0-9]$") & (F.length("term") >= 8))
-    wild = F.col("term").contains("%") | F.col("term").contains("_")
-    kind = (F.when(looks_id, "id").when(~wild & (F.length("term") >= GRAM), "gram")
-             .otherwise("scan"))
-    t = t.withColumn("_kind", kind)
     c = candidates.select("CAND_ID", "CAND_NAME").dropDuplicates(["CAND_ID"])
 
-    by_id = (t.filter(F.col("_kind") == "id")
-             .join(c, F.col("CAND_ID") == F.upper(F.col("term"))))
+    by_id = t.filter(looks_id).join(c, F.col("CAND_ID") == F.upper(F.col("term")))
 
-    name_grams = (c.select("CAND_ID", F.explode(_grams(F.lower("CAND_NAME"))).alias("gram"))
-                  .distinct())
+    name = F.lower("CAND_NAME")
+    grams = F.concat(F.array(F.lit("")), *[_grams(name, n) for n in range(1, GRAM + 1)])
+    name_grams = c.select("CAND_ID", F.explode(F.array_distinct(grams)).alias("gram"))
     freq = name_grams.groupBy("gram").agg(F.count(F.lit(1)).alias("_df"))
-    tg = (t.filter(F.col("_kind") == "gram")
-          .select("term", F.explode(_grams(F.lower("term"))).alias("gram"))
-          .join(freq, "gram", "left"))
+    part = F.col("_part")
+    own = F.when(F.length(part) >= GRAM, _grams(part, GRAM)).otherwise(F.array(part))
+    tg = (t.filter(~looks_id).withColumn("_part", _literal(F.lower("term")))
+          .select("term", F.explode(own).alias("gram")).join(freq, "gram", "left"))
     rarest = tg.groupBy("term").agg(
         F.min_by("gram", F.struct(F.coalesce(F.col("_df"), F.lit(0)), F.col("gram"))).alias("gram"))
-    by_gram = (rarest.join(name_grams, "gram").join(c, "CAND_ID")
-               .filter(F.ilike(F.col("CAND_NAME"), F.concat(F.lit("%"), F.col("term"), F.lit("%"))))
-               .select("term", "CAND_ID", "CAND_NAME"))
-
-    rest = t.filter(F.col("_kind") == "scan").select("term")
-    if not fits_broadcast(rest, max_scan_terms):
-        raise ValueError(f"more than {max_scan_terms} short or wildcard search terms")
-    by_scan = c.join(F.broadcast(rest), F.ilike(
-        F.col("CAND_NAME"), F.concat(F.lit("%"), F.col("term"), F.lit("%"))))
+    by_name = (rarest.join(name_grams, "gram").join(c, "CAND_ID")
+               .filter(F.ilike(F.col("CAND_NAME"), F.concat(F.lit("%"), F.col("term"), F.lit("%")))))
 
     m = (by_id.select("term", "CAND_ID", "CAND_NAME")
-         .unionByName(by_gram).unionByName(by_scan.select("term", "CAND_ID", "CAND_NAME")))
+         .unionByName(by_name.select("term", "CAND_ID", "CAND_NAME")))
     n = m.groupBy(F.col("term").alias("_t")).agg(F.count(F.lit(1)).alias("n_matches"))
     return (m.join(n, F.col("term") == F.col("_t")).drop("_t")
             .select("term", F.col("CAND_ID").alias("cand_id"), "CAND_NAME", "n_matches"))

@@ -133,28 +133,39 @@ def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
                    for name, df in tables.items()])
 
 
+def _columns_present(tables: dict[str, DataFrame]) -> DataFrame:
+    """table, ordinal, column, rows and present (values that are not NULL) of every
+    column: one pass over each table."""
+    frames = []
+    for t, df in tables.items():
+        counts = df.agg(F.count(F.lit(1)).alias("rows"),
+                        *[F.count(F.col(c)).alias(f"_{i}") for i, c in enumerate(df.columns, 1)])
+        each = F.explode(F.array(*[
+            F.struct(F.lit(i).alias("ordinal"), F.lit(c).alias("column"),
+                     F.col(f"_{i}").alias("present")) for i, c in enumerate(df.columns, 1)])).alias("c")
+        frames.append(counts.select(F.lit(t).alias("table"), "rows", each)
+                      .select("table", "c.ordinal", "c.column", "rows", "c.present"))
+    return _union(frames)
+
+
 def column_dictionary(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
-    """Table, ordinal, column, type, description ('(undocumented)' when
-    the project documents nothing for the column). Schemas are metadata; the
-    descriptions join is a DataFrame join."""
-    rows = [(t, i, f.name, f.dataType.simpleString())
-            for t, df in tables.items() for i, f in enumerate(df.schema.fields, 1)]
-    live = spark.createDataFrame(rows, "table string, ordinal int, column string, type string")
-    docs = _docs_frame(spark)
-    j = live.join(docs, ["table", "column"], "left")
-    return j.select("table", "ordinal", "column", "type",
+    """Table, ordinal, column, rows, present and description
+    ('(undocumented)' when the project documents nothing for the column)."""
+    j = _columns_present(tables).join(_docs_frame(spark), ["table", "column"], "left")
+    return j.select("table", "ordinal", "column", "rows", "present",
                     F.coalesce("description", F.lit("(undocumented)")).alias("description"))
 
 
 def dictionary_drift(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
-    """D3: undocumented (live, not described) and stale (described, not live)
-    columns."""
-    rows = [(t, f.name) for t, df in tables.items() for f in df.schema.fields]
-    live = spark.createDataFrame(rows, "table string, column string")
-    docs = _docs_frame(spark).select("table", "column")
-    und = live.join(docs, ["table", "column"], "left_anti").withColumn("kind", F.lit("undocumented"))
-    stale = docs.join(live, ["table", "column"], "left_anti").withColumn("kind", F.lit("stale"))
-    return und.unionByName(stale)
+    """D3: undocumented (live, not described), empty (described, but no row has a
+    value) and stale (described, not live) columns, with their values present."""
+    live, docs = _columns_present(tables), _docs_frame(spark)
+    j = live.join(docs, ["table", "column"], "left")
+    kind = F.when(F.col("description").isNull(), "undocumented").when(F.col("present") == 0, "empty")
+    found = j.select("table", "column", kind.alias("kind"), "present").filter("kind IS NOT NULL")
+    stale = docs.join(live, ["table", "column"], "left_anti").select(
+        "table", "column", F.lit("stale").alias("kind"), F.lit(0).cast("long").alias("present"))
+    return found.unionByName(stale)
 
 
 def raw_profile(raws: dict[str, DataFrame]) -> DataFrame:

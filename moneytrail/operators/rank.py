@@ -7,7 +7,7 @@ The reference builds Python dicts, sorts lists and bisects. Here:
   are rows; members without the tag have share 0, which the percentile step
   counts arithmetically instead of materialising a member x tag product;
 * the percentile of v is (#cohort values strictly below v) / cohort size
-  (R3), computed by a range-partitioned prefix count (no single-task window);
+  (R3), computed by a prefix count in levels (no single-task window);
 * floors (R4), the headline pick (R5, a per-member window over at most
   4 + #tags rows) and the final numbering (R6, a distributed global rank).
 """
@@ -21,7 +21,6 @@ from pyspark.sql import types as T
 from moneytrail.functions.constants import (FLOOR_BLOC, NO_STANDOUT, SIGNALS,
                                             TAG_SIGNAL_ORDER)
 from moneytrail.functions.ranking import count_strictly_below, global_row_number
-from moneytrail.plans.session import checkpoint_dir
 
 DBL = T.DoubleType()
 
@@ -66,32 +65,31 @@ def rank_category_shares(signals: DataFrame, categories: DataFrame) -> DataFrame
 
 
 def _signals_long(signals: DataFrame, cat_shares: DataFrame) -> DataFrame:
-    parts = [signals.select("cand_id", F.lit(sid).alias("signal"), F.lit(label).alias("label"),
-                            F.lit(order).alias("signal_order"), F.lit(floor).alias("floor"),
-                            F.col(sid).alias("value"))
-             for sid, label, floor, order in SIGNALS]
+    """(cand_id, signal, label, signal_order, floor, value): the cohort's four
+    signals by one explode, and the tag shares."""
+    each = F.explode(F.array(*[
+        F.struct(F.lit(sid).alias("signal"), F.lit(label).alias("label"),
+                 F.lit(order).alias("signal_order"), F.lit(floor).alias("floor"),
+                 F.col(sid).alias("value"))
+        for sid, label, floor, order in SIGNALS])).alias("s")
     tags = cat_shares.select("cand_id", F.concat(F.lit("tag:"), F.col("tag")).alias("signal"),
                              F.col("tag").alias("label"),
                              F.lit(TAG_SIGNAL_ORDER).alias("signal_order"),
                              F.lit(FLOOR_BLOC).alias("floor"), F.col("share").alias("value"))
-    out = parts[0]
-    for p in parts[1:] + [tags]:
-        out = out.unionByName(p)
-    return out
+    return signals.select("cand_id", each).select("cand_id", "s.*").unionByName(tags)
 
 
-def rank_percentiles(signals: DataFrame, cat_shares: DataFrame,
-                     proven_rows: int | None = None) -> DataFrame:
+def rank_percentiles(signals: DataFrame, cat_shares: DataFrame) -> DataFrame:
     """Percentile of each (member, signal) value within the cohort:
     (#members whose value is strictly below) / cohort size. For tag signals the
     absent members count as zeros."""
     long = _signals_long(signals, cat_shares)
-    # per signal: rows present, and the cohort size (= rows of a base signal,
-    # which every member has); a table of 4 + #tags rows
+    # rows present per signal, and the cohort size (every member has the base
+    # signals): one row, which meets every signal's row by a constant key
     present = long.groupBy("signal").agg(F.count(F.lit(1)).alias("_present"))
-    stats = present.withColumn("_n", F.max(F.when(F.col("signal") == SIGNALS[0][0],
-                                                  F.col("_present"))).over(Window.partitionBy()))
-    below = count_strictly_below(long, ["signal"], "value", "_below", proven_rows=proven_rows)
+    cohort = signals.agg(F.count(F.lit(1)).alias("_n")).withColumn("_k", F.lit(1))
+    stats = (present.withColumn("_k", F.lit(1)).join(F.broadcast(cohort), "_k").drop("_k"))
+    below = count_strictly_below(long, ["signal"], "value", "_below")
     j = below.join(stats, "signal")
     zeros_below = F.when(F.col("value") > 0, F.col("_n") - F.col("_present")).otherwise(F.lit(0))
     pct = (F.col("_below") + zeros_below).cast(DBL) / F.col("_n").cast(DBL)
@@ -123,13 +121,10 @@ def rank_headline(eligible: DataFrame, signals: DataFrame) -> DataFrame:
         F.coalesce(F.col("headline_pctile"), F.lit(0.0)).alias("headline_pctile"))
 
 
-def funding_headline_ranking(headlines: DataFrame, limit: int = 0,
-                             proven_rows: int | None = None) -> DataFrame:
+def funding_headline_ranking(headlines: DataFrame, limit: int = 0) -> DataFrame:
     """Members by headline percentile (desc; ties by cand_id), numbered
     from 1; ``limit`` > 0 keeps the top N (a top-k report)."""
-    ranked = global_row_number(headlines, [F.col("headline_pctile").desc(),
-                                           F.col("cand_id").asc()], "rank",
-                               proven_rows=proven_rows)
+    ranked = global_row_number(headlines, "headline_pctile", "cand_id")
     if limit:
         ranked = ranked.filter(F.col("rank") <= limit)
     return ranked
@@ -147,57 +142,31 @@ def rank_display_fields(ranking: DataFrame) -> DataFrame:
 
 
 class CohortRanking:
-    """R1-R6 over one cohort, each stage built on first use."""
-
-    def __init__(self, base: DataFrame, categories: DataFrame, limit: int = 0,
-                 materialize: bool = True):
-        # The cohort table (one row per member, bounded by the candidate
-        # dimension) feeds every stage; checkpointing it (to the shared
-        # checkpoint folder) keeps later stages from re-reading the money fact.
-        if materialize:
-            checkpoint_dir(base.sparkSession)
-            base = base.checkpoint(eager=True)
-        self.base, self.categories, self.limit = base, categories, limit
-        self.materialize = materialize
-        # cohort size, counted once on the checkpointed cohort (cheap); with
-        # the (checkpointed) tag shares it bounds every later stage's rows
-        self.n_members = base.count() if materialize else None
-        self._memo: dict[str, DataFrame] = {}
+    """R1-R6 over one cohort: lazy frames, nothing runs while they are built."""
 
-    def _get(self, name, make):
-        if name not in self._memo:
-            self._memo[name] = make()
-        return self._memo[name]
+    def __init__(self, base: DataFrame, categories: DataFrame, limit: int = 0):
+        self.base, self.categories, self.limit = base, categories, limit
 
     @property
     def signals(self) -> DataFrame:
-        return self._get("signals", lambda: rank_signals(self.base))
+        return rank_signals(self.base)
 
     @property
     def category_shares(self) -> DataFrame:
-        def make():
-            c = rank_category_shares(self.signals, self.categories)
-            return c.checkpoint(eager=True) if self.materialize else c
-        return self._get("cats", make)
+        return rank_category_shares(self.signals, self.categories)
 
     @property
     def percentiles(self) -> DataFrame:
-        def make():
-            cats = self.category_shares
-            bound = (4 * self.n_members + cats.count()) if self.n_members is not None else None
-            return rank_percentiles(self.signals, cats, bound)
-        return self._get("pct", make)
+        return rank_percentiles(self.signals, self.category_shares)
 
     @property
     def eligible(self) -> DataFrame:
-        return self._get("elig", lambda: rank_floors(self.percentiles))
+        return rank_floors(self.percentiles)
 
     @property
     def headline(self) -> DataFrame:
-        return self._get("head", lambda: rank_headline(self.eligible, self.signals))
+        return rank_headline(self.eligible, self.signals)
 
     @property
     def ranking(self) -> DataFrame:
-        return self._get("rank", lambda: funding_headline_ranking(self.headline, self.limit,
-                                                                  self.n_members))
-
+        return funding_headline_ranking(self.headline, self.limit)

@@ -20,7 +20,7 @@ cbase AS (
         CASE (s.s_suppkey + s.s_suppkey % 7) % 3 WHEN 0 THEN 'DEM' WHEN 1 THEN 'REP' ELSE 'IND' END
             AS party,
         CASE WHEN s.s_suppkey % 9 < 3 THEN 'I' WHEN s.s_suppkey % 9 < 6 THEN 'C' ELSE 'O' END AS ici,
-        CASE WHEN s.s_suppkey % 13 = 0 THEN CAST(NULL AS VARCHAR) ELSE '2026' END AS yr
+        CASE s.s_suppkey % 13 WHEN 0 THEN CAST(NULL AS VARCHAR) WHEN 1 THEN '2024' ELSE '2026' END AS yr
     FROM supplier s JOIN nation nn ON nn.n_nationkey = s.s_nationkey
 ),
 raw_cn AS (
@@ -133,7 +133,9 @@ raw_indiv AS (
         'N' AS AMNDT_IND, 'Q1' AS RPT_TP, 'P2026' AS TRANSACTION_PGI,
         CAST(NULL AS VARCHAR) AS IMAGE_NUM, '15' AS TRANSACTION_TP,
         CASE WHEN l_partkey % 13 = 0 THEN 'ORG' ELSE 'IND' END AS ENTITY_TP,
-        c_name AS NAME, CAST(NULL AS VARCHAR) AS CITY,
+        CASE WHEN l_orderkey % 7 = 3 THEN 'JOSÉ "PEPE" ' || c_name
+             WHEN l_orderkey % 7 = 5 THEN 'A\B ' || c_name ELSE c_name END AS NAME,
+        CAST(NULL AS VARCHAR) AS CITY,
         CASE WHEN o_custkey % 17 = 0 THEN CAST(NULL AS VARCHAR)
              WHEN l_orderkey % 10 < l_suppkey % 10 THEN s_state
              ELSE c_state END AS STATE,
@@ -144,6 +146,7 @@ raw_indiv AS (
         CAST(CAST(CAST(
             CASE WHEN l_linenumber = 6 AND l_partkey % 50 = 0 THEN 0
                  WHEN l_returnflag = 'R' AND l_linenumber = 7 THEN -(cents % 100000)
+                 WHEN l_suppkey % 29 = 5 THEN cents % 50
                  WHEN l_suppkey % 4 = 1 THEN cents % 60000
                  ELSE cents % 400000 END
             AS DECIMAL(16,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(14,2)) AS VARCHAR)
@@ -180,7 +183,7 @@ raw_ie AS (
              AS DECIMAL(16,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(14,2)) AS VARCHAR) AS agg_amo,
         CASE e.event_type WHEN 'view' THEN 's' WHEN 'error' THEN 'o' WHEN 'click' THEN 'O'
              ELSE 'S' END AS sup_opp,
-        upper(e.event_type) AS pur, e.props AS pay,
+        CASE WHEN e.event_id % 5 = 1 THEN 'TV, "PRIME"' || chr(10) ELSE '' END || upper(e.event_type) AS pur, e.props AS pay,
         CAST(e.event_id // 10 AS VARCHAR) AS file_num,
         CASE WHEN e.event_id % 6 = 0 THEN 'A1' ELSE 'N' END AS amndt_ind,
         CAST(e.event_id AS VARCHAR) AS tran_id,
@@ -194,8 +197,12 @@ raw_ie AS (
 ),
 dict_entries AS (
     SELECT 'C1' || lpad(CAST(p_partkey AS VARCHAR), 7, '0') AS cmte_id, p_type AS category,
-           p_brand AS notes
+           CASE WHEN p_size = 3 THEN 'see "A",' || chr(10) || 'line two ' ELSE '' END || p_brand AS notes
     FROM part WHERE p_size <= 10
+    UNION ALL
+    SELECT 'C1' || lpad(CAST(p_partkey AS VARCHAR), 7, '0'), 'SECOND TAG', '' FROM part WHERE p_size = 7
+    UNION ALL
+    SELECT 'C8' || lpad(CAST(p_partkey AS VARCHAR), 7, '0'), p_type, '' FROM part WHERE p_size = 9
 ),
 dim_candidates AS (
     SELECT CAND_ID, CAND_NAME, CAND_PTY_AFFILIATION,

@@ -6,6 +6,7 @@ from __future__ import annotations
 from moneytrail.functions import constants as K
 from moneytrail.operators.quality import TABLE_DOCS
 from moneytrail.oracle.prefix import PREFIX
+from moneytrail.sources.schemas import RAW_COLUMNS
 
 ORACLE: dict[str, str] = {}
 
@@ -279,7 +280,8 @@ TERMS = """
     SELECT DISTINCT term FROM (
         SELECT CAND_ID AS term FROM dim_candidates
         UNION ALL SELECT lower(right(CAND_NAME, 4)) FROM dim_candidates
-        UNION ALL SELECT lower(left(CAND_NAME, 3)) FROM dim_candidates
+        UNION ALL SELECT lower(right(CAND_NAME, 2)) FROM dim_candidates
+        UNION ALL SELECT right(CAND_ID, 1) || '_' || right(CAND_NAME, 1) FROM dim_candidates
     ) WHERE term IS NOT NULL
 ),
 matches AS (
@@ -797,10 +799,16 @@ q("raw_profile", "\n" + " UNION ALL ".join(
     f"SELECT 'raw_{ds}.parquet' AS file, count(*) AS rows, CAST({n} AS BIGINT) AS cols "
     f"FROM raw_{ds}" for ds, n in RAWS))
 
-q("profile_staleness", """
-SELECT CAST(NULL AS VARCHAR) AS "table", CAST(NULL AS BIGINT) AS rows, CAST(NULL AS BIGINT) AS cols,
-       CAST(NULL AS VARCHAR) AS grain, CAST(NULL AS VARCHAR) AS side
-FROM dim_candidates WHERE false""")
+_LATER = {"fact_contributions": "SUB_ID % 10 <> 3",
+          "fact_individual_contributions": "SUB_ID % 10 <> 3"}
+_GRAINS = " UNION ALL ".join(f"""
+SELECT {lit(t)} AS "table", (SELECT count(*) FROM {t}) AS fresh,
+       (SELECT count(*) FROM {t} WHERE {_LATER.get(t, 'true')}) AS older,
+       CAST({n} AS BIGINT) AS cols, {lit(TABLE_DOCS[t]['grain'])} AS grain""" for t, n in CURATED)
+q("profile_staleness", f"""
+, p AS ({_GRAINS})
+SELECT "table", older AS rows, cols, grain, 'stored' AS side FROM p WHERE older <> fresh
+UNION ALL SELECT "table", fresh, cols, grain, 'fresh' FROM p WHERE older <> fresh""")
 
 _TABLE_OF = {"cn": "dim_candidates", "cm": "dim_committees", "ccl": "bridge_candidate_committee",
              "pas2": "fact_contributions", "indiv": "fact_individual_contributions",
@@ -912,18 +920,68 @@ SELECT '{ds}' AS dataset, '{c}' AS "column",
 FROM raw_{ds}""" for ds, c, k in _TYPED))
 
 # ------------------------------------------------------------------ sources (S)
-q("scan_pipe_raw", "SELECT * FROM raw_indiv")
+_COLUMNS = {ds: RAW_COLUMNS[ds] for ds, _ in RAWS}
+
+
+def _lines(ds: str) -> str:
+    nulls = " + ".join(f"({c} IS NULL)::INT" for c in _COLUMNS[ds])
+    fields = ", ".join(f"coalesce({c}, '')" for c in _COLUMNS[ds])
+    return f"SELECT '{ds}' AS dataset, {nulls} AS n_null, concat_ws('|', {fields}) AS line FROM raw_{ds}"
+
+
+q("scan_pipe_raw", "\n" + " UNION ALL ".join(_lines(ds) for ds in _COLUMNS if ds != "ie"))
 q("scan_ie_csv", "SELECT * FROM raw_ie")
 q("land_raw_parquet", "\n" + " UNION ALL ".join(
     f"SELECT '{ds}' AS dataset, count(*) AS rows, CAST({n} AS BIGINT) AS cols FROM raw_{ds}"
     for ds, n in RAWS))
-q("scan_raw_parquet", "SELECT * FROM raw_pas2")
-q("replace_curated", "SELECT * FROM dim_candidates")
+q("scan_raw_parquet", "\n" + " UNION ALL ".join(map(_lines, _COLUMNS)))
+CURATED_KEYS = {"dim_candidates": "CAND_ID", "dim_committees": "CMTE_ID",
+                "bridge_candidate_committee": "CAND_ID", "fact_contributions": "TARGET_CAND_ID",
+                "fact_individual_contributions": "TARGET_CMTE_ID",
+                "fact_independent_expenditures": "SPENDER_CMTE_ID", "dim_group_mappings": "CMTE_ID"}
+q("replace_curated", "\n" + " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", {k} AS key, count(*) AS rows FROM {t} GROUP BY {k}"
+    for t, k in CURATED_KEYS.items()))
 q("scan_interest_dictionary", "SELECT cmte_id, category, notes FROM dict_entries")
 q("load_group_mappings", "SELECT * FROM dim_group_mappings")
-q("single_cycle_guard", "\n" + "SELECT '2026' AS cycle, CAST(6 AS BIGINT) AS datasets, ("
-  + " + ".join(f"(SELECT count(*) FROM raw_{ds})" for ds, _ in RAWS)
-  + ") AS rows, true AS ok")
+
+# The fingerprints restated. The older manifest has no ccl (new now), knew a
+# dataset old that is gone (missing) and saw cm before its C1 committees were filed (changed).
+def _print(ds: str, where: str = "true") -> str:
+    fields = ", ".join(f"coalesce('v' || {c}, 'n')" for c in _COLUMNS[ds])
+    return f"""SELECT '{ds}' AS dataset, count(*) AS rows, count(*) || ':' ||
+    coalesce(CAST(sum(CAST(('0x' || substr(md5(concat_ws(chr(31), {fields})), 1, 15)) AS BIGINT)) AS VARCHAR), '0')
+    AS fp FROM raw_{ds} WHERE {where}"""
+
+
+_CHANGES = f"""
+, present AS ({" UNION ALL ".join(_print(ds) for ds in _COLUMNS if ds != "cn")}),
+stored AS ({" UNION ALL ".join(_print(ds, "CMTE_ID NOT LIKE 'C1%'" if ds == "cm" else "true")
+                               for ds in _COLUMNS if ds != "ccl")}),
+changes AS (
+    SELECT coalesce(c.dataset, s.dataset) AS dataset, c.rows, c.fp AS fingerprint,
+           CASE WHEN s.fp IS NULL THEN 'new' WHEN c.fp IS NULL THEN 'missing'
+                WHEN c.fp <> s.fp THEN 'changed' ELSE 'unchanged' END AS status
+    FROM present c FULL OUTER JOIN stored s ON s.dataset = c.dataset
+)"""
+q("snapshot_changes", _CHANGES + " SELECT dataset, rows, fingerprint, status FROM changes")
+# the table of pas2 is not there
+q("rebuild_set", _CHANGES + f"""
+, tables AS (SELECT * FROM (VALUES {", ".join(f"('{ds}', '{t}')" for ds, t in _TABLE_OF.items())}) AS v(dataset, "table"))
+SELECT t.dataset, t."table",
+       CASE WHEN c.status IN ('new', 'changed') THEN c.status ELSE 'table missing' END AS reason
+FROM tables t JOIN changes c ON c.dataset = t.dataset
+WHERE c.status IN ('new', 'changed') OR (c.status = 'unchanged' AND t.dataset = 'pas2')""")
+q("single_cycle_guard", """
+, found AS (
+    SELECT 'cn' AS dataset, CAND_ELECTION_YR AS cycle FROM raw_cn
+    UNION ALL SELECT 'ccl', FEC_ELECTION_YR FROM raw_ccl
+    UNION ALL SELECT 'pas2', right(TRANSACTION_PGI, 4) FROM raw_pas2
+    UNION ALL SELECT 'indiv', right(TRANSACTION_PGI, 4) FROM raw_indiv
+    UNION ALL SELECT 'ie', fec_election_yr FROM raw_ie
+)
+SELECT cycle, count(DISTINCT dataset) AS datasets, count(*) AS rows, cycle = '2026' AS ok
+FROM found WHERE cycle IS NOT NULL GROUP BY 1""")
 
 
 # The written documents' key fields (same docs as angle_documents)
@@ -936,19 +994,37 @@ FROM docs JOIN dirs ON dirs.cand_id = docs.cand_id
 WHERE docs.cand_id IN (SELECT lc FROM linked)""")
 
 
-# The live schemas come from DuckDB's DESCRIBE of each curated table,
-# with DuckDB type names spelled the way Spark prints them.
+# The columns of the curated tables, in order.
+CURATED_COLUMNS = {
+    "dim_candidates": ["CAND_ID", "CAND_NAME", "CAND_PTY_AFFILIATION", "CAND_ELECTION_YR",
+                       "CAND_OFFICE_ST", "CAND_OFFICE", "CAND_OFFICE_DISTRICT", "CAND_ICI",
+                       "CAND_STATUS", "CAND_PCC"],
+    "dim_committees": ["CMTE_ID", "CMTE_NM", "CMTE_TP", "CMTE_DSGN", "CMTE_PTY_AFFILIATION",
+                       "ORG_TP", "CONNECTED_ORG_NM", "AFFILIATED_CAND_ID"],
+    "bridge_candidate_committee": ["CAND_ID", "CMTE_ID", "FEC_ELECTION_YR", "CMTE_TP", "CMTE_DSGN",
+                                   "LINKAGE_ID"],
+    "fact_contributions": ["SUB_ID", "SOURCE_CMTE_ID", "TARGET_CAND_ID", "AMOUNT", "TRANSACTION_DT",
+                           "TRANSACTION_TP", "ENTITY_TP", "OTHER_ID", "IMAGE_NUM", "FILE_NUM",
+                           "TRAN_ID"],
+    "fact_individual_contributions": ["SUB_ID", "TARGET_CMTE_ID", "CONTRIBUTOR_NAME", "CITY", "STATE",
+                                      "ZIP_CODE", "EMPLOYER", "OCCUPATION", "AMOUNT",
+                                      "TRANSACTION_DT", "TRANSACTION_TP", "ENTITY_TP", "OTHER_ID",
+                                      "IMAGE_NUM", "FILE_NUM", "TRAN_ID", "MEMO_CD"],
+    "fact_independent_expenditures": ["IE_ID", "SPENDER_CMTE_ID", "TARGET_CAND_ID", "SUPPORT_OPPOSE",
+                                      "AMOUNT", "EXPENDITURE_DT", "AGGREGATE_AMOUNT", "PURPOSE",
+                                      "PAYEE", "SPENDER_NAME", "TARGET_CAND_NAME", "ELECTION_TYPE",
+                                      "DISSEMINATION_DT", "IMAGE_NUM", "FILE_NUM", "TRAN_ID",
+                                      "AMNDT_IND", "PREV_FILE_NUM"],
+    "dim_group_mappings": ["CMTE_ID", "custom_category", "notes"],
+}
+
+
+# Every column with how many of its values are there, from the tables themselves
 def _live_columns() -> str:
-    parts = []
-    for t, _ in CURATED:
-        parts.append(f"""
-SELECT '{t}' AS "table", CAST(row_number() OVER () AS INTEGER) AS ordinal,
-       column_name AS "column",
-       CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int'
-            WHEN 'BIGINT' THEN 'bigint' WHEN 'DATE' THEN 'date'
-            ELSE lower(column_type) END AS type
-FROM (DESCRIBE {PREFIX} SELECT * FROM {t})""")
-    return " UNION ALL ".join(parts)
+    return " UNION ALL ".join(f"""
+SELECT {lit(t)} AS "table", CAST({i} AS INTEGER) AS ordinal, {lit(c)} AS "column",
+       count(*) AS rows, count({c}) AS present
+FROM {t}""" for t, columns in CURATED_COLUMNS.items() for i, c in enumerate(columns, 1))
 
 
 def _docs_values() -> str:
@@ -957,20 +1033,22 @@ def _docs_values() -> str:
     return "SELECT * FROM (VALUES " + ", ".join(rows) + ') AS v("table", "column", description)'
 
 
-ORACLE["column_dictionary"] = f"""
-WITH live AS ({_live_columns()}),
+q("column_dictionary", f"""
+, live AS ({_live_columns()}),
 docs AS ({_docs_values()})
-SELECT l."table", l.ordinal, l."column", l.type,
+SELECT l."table", l.ordinal, l."column", l.rows, l.present,
        coalesce(d.description, '(undocumented)') AS description
 FROM live l LEFT JOIN docs d ON d."table" = l."table" AND d."column" = l."column"
-"""
+""")
 
-ORACLE["dictionary_drift"] = f"""
-WITH live AS ({_live_columns()}),
+q("dictionary_drift", f"""
+, live AS ({_live_columns()}),
 docs AS ({_docs_values()})
-SELECT l."table", l."column", 'undocumented' AS kind FROM live l
-WHERE NOT EXISTS (SELECT 1 FROM docs d WHERE d."table" = l."table" AND d."column" = l."column")
+SELECT l."table", l."column", CASE WHEN d."column" IS NULL THEN 'undocumented' ELSE 'empty' END AS kind,
+       l.present
+FROM live l LEFT JOIN docs d ON d."table" = l."table" AND d."column" = l."column"
+WHERE d."column" IS NULL OR l.present = 0
 UNION ALL
-SELECT d."table", d."column", 'stale' FROM docs d
+SELECT d."table", d."column", 'stale', 0 FROM docs d
 WHERE NOT EXISTS (SELECT 1 FROM live l WHERE l."table" = d."table" AND l."column" = d."column")
-"""
+""")

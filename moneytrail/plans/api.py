@@ -20,28 +20,44 @@ from moneytrail.sources import files
 
 
 class AmbiguousCandidate(ValueError):
-    pass
+    """A term that several candidates match; ``matches`` is a DataFrame of all of them."""
+
+    def __init__(self, query: str, n: int, matches: DataFrame):
+        super().__init__(f"{query!r} matches {n} candidates (see .matches)")
+        self.matches = matches
+
+
+def _store(spark: SparkSession, source: str | Store) -> Store:
+    """A store as it is, or the store of a folder of test tables."""
+    return source if isinstance(source, Store) else Store.open(spark, source)
+
+
+def matches(store: Store, query: str) -> DataFrame:
+    """(term, cand_id, CAND_NAME, n_matches) of every candidate that a search term matches, by name."""
+    terms = store.spark.createDataFrame([(query,)], "term string")
+    return profile.resolve_candidates(store.candidates, terms).orderBy("CAND_NAME", "cand_id")
 
 
 def resolve(store: Store, query: str) -> str:
     """The CAND_ID a search term resolves to; raises when nothing or more than
-    one candidate matches (the matches are in the message)."""
-    terms = store.spark.createDataFrame([(query,)], "term string")
-    m = profile.resolve_candidates(store.candidates, terms).orderBy("CAND_NAME").limit(51)
-    rows = m.collect()  # at most 51 rows: one term's matches, capped for the message
+    one candidate matches."""
+    found = matches(store, query)
+    rows = found.limit(2).collect()  # one is the answer, two are too many
     if not rows:
         raise LookupError(f"No candidate matches {query!r}.")
-    if len({r.cand_id for r in rows}) > 1:
-        shown = ", ".join(f"{r.cand_id} {r.CAND_NAME}" for r in rows[:50])
-        raise AmbiguousCandidate(f"{query!r} matches {rows[0].n_matches} candidates: {shown}")
+    if len(rows) > 1:
+        raise AmbiguousCandidate(query, rows[0].n_matches, found)
     return rows[0].cand_id
 
 
-def candidate_profile(spark: SparkSession, sf_dir: str, query: str) -> dict[str, DataFrame]:
-    """Every section of the one-candidate profile, as DataFrames filtered to it."""
-    s = Store.open(spark, sf_dir)
+def candidate_profile(spark: SparkSession, source: str | Store, query: str) -> dict[str, DataFrame]:
+    """Every section of the one-candidate profile, as DataFrames filtered to it.
+    A candidate without an attributable committee has no profile: LookupError."""
+    s = _store(spark, source)
     cid = resolve(s, query)
     one = F.col("cand_id") == cid
+    if not s.links.filter(F.col("CAND_ID") == cid).limit(1).collect():
+        raise LookupError(f"{cid} has no principal or authorized committee; nothing to attribute.")
     money = s.rollup.filter(one)
     cands = s.candidates.filter(F.col("CAND_ID") == cid)
     facts = profile.candidate_facts(money, cands)
@@ -62,21 +78,21 @@ def candidate_profile(spark: SparkSession, sf_dir: str, query: str) -> dict[str,
     }
 
 
-def cohort_ranking(spark: SparkSession, sf_dir: str, office: str | None = None,
+def cohort_ranking(spark: SparkSession, source: str | Store, office: str | None = None,
                    state: str | None = None, incumbents: bool = False,
                    min_individual: float = RANK_MIN_INDIVIDUAL, limit: int = 0) -> DataFrame:
     """The funding-headline ranking of a cohort with its display fields."""
-    s = Store.open(spark, sf_dir)
+    s = _store(spark, source)
     base = reports.rank_base(s.rollup, s.candidates, office, state, incumbents, min_individual)
     cr = rank.CohortRanking(base, reports.rank_interest_categories(s.rollup), limit)
     return rank.rank_display_fields(cr.ranking)
 
 
-def export_angles(spark: SparkSession, sf_dir: str, out_dir: str,
+def export_angles(spark: SparkSession, source: str | Store, out_dir: str,
                   query: str | None = None) -> DataFrame:
     """Write the chart documents (all candidates, or one) as JSON under
-    ``out_dir/<dirname>/<angle_id>``; returns the skipped angles with reasons."""
-    s = Store.open(spark, sf_dir)
+    ``out_dir/<dirname>/<angle_id>.json``; returns the skipped angles with reasons."""
+    s = _store(spark, source)
     money, cands = s.rollup, s.candidates
     if query is not None:
         cid = resolve(s, query)

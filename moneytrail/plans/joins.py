@@ -1,58 +1,18 @@
-"""Joins against small sides, with a checked size.
-
-A side is broadcast only after a bounded count proves it holds at most
-``max_rows`` rows (``limit(max_rows + 1).count()`` never reads more than that
-many rows past the filters). Above the bound the plain join is kept, so Spark
-plans a shuffle join and AQE may still split skewed partitions or switch to a
-broadcast at runtime from measured sizes.
+"""Joins of a large frame with a dimension.
+
+No side is forced into a broadcast: Spark broadcasts one when its *measured*
+size is within ``spark.sql.autoBroadcastJoinThreshold`` (file sizes when the
+plan is made, shuffle sizes when adaptive execution replans), and joins by a
+shuffle beyond it, where adaptive execution splits skewed partitions. A
+dimension that has grown since is measured anew by every query. Callers
+project a dimension to the few short columns that the join needs.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from moneytrail.plans.session import app_id
-
-# Dimension tables (candidates, committees, links, tags, cohorts) are a few
-# thousand to a few hundred thousand rows in the real filings. Callers project
-# a dimension to the 1-3 short columns the join needs before broadcasting, so a
-# million rows is a few tens of MB per executor.
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-
-_checked: dict[tuple[str, int, int], bool] = {}
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (memoised per plan)."""
-    key = (app_id(df.sparkSession), df.semanticHash(), max_rows)
-    hit = _checked.get(key)
-    if hit is None:
-        hit = df.limit(max_rows + 1).count() <= max_rows
-        _checked[key] = hit
-    return hit
-
-
-def small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-          bound: DataFrame | int | None = None) -> DataFrame:
-    """``broadcast(df)`` when its size is proven small, else ``df`` unchanged.
-
-    ``bound`` lets a caller prove the size through a cheaper frame: a
-    DataFrame that has at least as many rows as ``df`` by construction (e.g.
-    the candidate table for a one-row-per-candidate aggregate), or a known
-    row bound. Without it ``df`` itself is counted (up to ``max_rows + 1``).
-    """
-    if isinstance(bound, int):
-        ok = bound <= max_rows
-    elif bound is not None:
-        ok = fits_broadcast(bound, max_rows)
-    else:
-        ok = fits_broadcast(df, max_rows)
-    return F.broadcast(df) if ok else df
 
 
-def join_small(big: DataFrame, dim: DataFrame, on, how: str = "inner",
-               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-               bound: DataFrame | int | None = None) -> DataFrame:
-    """Join a large frame to a dimension, broadcasting the dimension if small."""
-    return big.join(small(dim, max_rows, bound), on, how)
+def join_small(big: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join a large frame to a (usually small) dimension."""
+    return big.join(dim, on, how)

@@ -1,11 +1,11 @@
 """Session settings and shared folders.
 
-Everything here is ordinary SparkSession configuration. The job never picks a
-machine-local folder on its own when running on a cluster: derived tables and
-checkpoints live under ``spark.checkpoint.dir`` (a shared folder the cluster
-names). Only when that setting is unset -- tests and local runs -- a private
-folder under the system temp dir is created and registered as the checkpoint
-dir for this session.
+Everything here is ordinary SparkSession configuration. Derived tables and
+checkpoints live under ``spark.checkpoint.dir``, a folder that all executors
+share. Where it is unset, a ``local[...]`` session (tests, one machine) gets a
+private folder under the system temp dir; on a cluster that folder would be a
+different one on every machine, so the library refuses to run there without
+the setting.
 """
 
 from __future__ import annotations
@@ -48,10 +48,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def prepare(spark: SparkSession) -> None:
     """Apply the runtime settings to a session someone else created."""
     for k, v in SESSION_CONF.items():
-        try:
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # static conf in a shared session: keep theirs
-            pass
     checkpoint_dir(spark)
 
 
@@ -59,45 +57,24 @@ _LOCAL_ROOT: dict[str, str] = {}
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and derived tables.
-
-    Read from ``spark.checkpoint.dir``; only when it is unset (tests, local
-    runs) a fresh private folder is made and set for this session.
-    """
-    sc = _context(spark)
-    conf = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
-    try:
-        conf = conf or spark.conf.get("spark.checkpoint.dir", None)
-    except Exception:
-        pass
-    if conf:
-        root = conf
-    else:
+    """The shared folder for checkpoints and derived tables:
+    ``spark.checkpoint.dir``, or a fresh private one for a ``local`` master."""
+    sc = spark.sparkContext
+    root = sc.getConf().get("spark.checkpoint.dir", None)
+    if root is None:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         app = app_id(spark)
         if app not in _LOCAL_ROOT:
             _LOCAL_ROOT[app] = tempfile.mkdtemp(prefix="moneytrail-")
         root = _LOCAL_ROOT[app]
-    if sc is not None and sc.getCheckpointDir() is None:
+    if sc._jsc.sc().getCheckpointDir().isEmpty():  # noqa: SLF001
         sc.setCheckpointDir(os.path.join(root, "checkpoints"))
     return root
 
 
-def _context(spark: SparkSession):
-    """The SparkContext of a classic session (None for a remote session)."""
-    try:
-        return spark.sparkContext
-    except Exception:
-        return None
-
-
 def app_id(spark: SparkSession) -> str:
-    sc = _context(spark)
-    if sc is not None:
-        return sc.applicationId
-    try:
-        return spark.conf.get("spark.app.id", "session")
-    except Exception:
-        return "session"
+    return spark.sparkContext.applicationId
 
 
 def scratch_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
@@ -109,9 +86,8 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
 
 
 # --------------------------------------------------------------- shared folder
-# Paths may live on any Hadoop-compatible file system (the cluster's shared
-# folder); these helpers ask the file system through the session and fall back
-# to the local OS only for a remote session.
+# Paths may live on any Hadoop-compatible file system, so the session's own
+# client is asked; an error of the file system is an error here, never "absent".
 def _fs(spark: SparkSession, path: str):
     jvm = spark._jvm  # noqa: SLF001 - classic sessions only
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -119,25 +95,34 @@ def _fs(spark: SparkSession, path: str):
 
 
 def fs_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        p, fs = _fs(spark, path)
-        return bool(fs.exists(p))
-    except Exception:
-        return os.path.exists(path)
+    p, fs = _fs(spark, path)
+    return bool(fs.exists(p))
 
 
 def fs_status(spark: SparkSession, path: str) -> tuple[int, int] | None:
     """(total length, latest modification time) of a file or directory tree."""
-    try:
-        p, fs = _fs(spark, path)
-        if not fs.exists(p):
-            return None
-        cs = fs.getContentSummary(p)
-        mtime = max(int(st.getModificationTime()) for st in fs.listStatus(p))
-        return int(cs.getLength()), mtime
-    except Exception:
-        try:
-            st = os.stat(path)
-            return st.st_size, int(st.st_mtime)
-        except OSError:
-            return None
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    cs = fs.getContentSummary(p)
+    mtime = max(int(st.getModificationTime()) for st in fs.listStatus(p))
+    return int(cs.getLength()), mtime
+
+
+def fs_list(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below ``path`` (none when it does not exist)."""
+    p, fs = _fs(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def fs_rename(spark: SparkSession, old: str, new: str) -> bool:
+    """Move a folder to a name that does not exist yet; False when it does."""
+    p, fs = _fs(spark, old)
+    q, _ = _fs(spark, new)
+    return not fs.exists(q) and bool(fs.rename(p, q))
+
+
+def fs_delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library made."""
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)

@@ -1,19 +1,23 @@
 """The landed store: raw text parquet -> curated typed parquet -> views.
 
-``Store.open(spark, sf_dir)`` lands the six raw datasets (derived from the test
-tables by :mod:`moneytrail.sources.fixture`) as zstd parquet, builds the curated
-tables from them (full replace), loads the interest tags, and then serves lazy
-DataFrames over those files. Reports read the files, so parquet column pruning
-and filter pushdown apply to every query.
-
-A store is keyed by a fingerprint of its input files (path, size, mtime): a
-second open of unchanged inputs reuses the landed files (the refresh with
-nothing new does no work), a changed input lands a new store.
+A store is a folder. Every dataset and derived table is written to a folder of
+its own version; a small state (one row of JSON) names the versions that belong
+together, and is written last, under the next number, by a rename. Readers take
+the newest state once and keep it, so they see one whole refresh or none of it;
+a job that dies leaves versions that no state names (``vacuum`` removes them).
+
+``Store.open(spark, sf_dir)`` serves the test tables (re-expressed as raw
+datasets by :mod:`moneytrail.sources.fixture`), ``Store.from_files`` lands real
+bulk files, ``Store.attach`` opens an existing store. ``refresh`` takes new
+snapshots; a dataset's fingerprint describes the raw version that its curated
+table was built from, since both change in the same state: a dataset whose
+build failed stays "changed" and is tried again.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import threading
 import uuid
@@ -23,13 +27,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moneytrail.operators import curate, views
-from moneytrail.plans.session import app_id, fs_exists, fs_status, prepare, scratch_path
+from moneytrail.plans.session import (app_id, fs_delete, fs_exists, fs_list, fs_rename, fs_status,
+                                      prepare, scratch_path)
 from moneytrail.sources import files, interests
 from moneytrail.sources.fixture import CYCLE, Fixture
-from moneytrail.streaming import refresh
-from moneytrail.sources.schemas import DATASETS, TABLE_OF_DATASET, raw_schema
+from moneytrail.sources.schemas import (DATASETS, INTEREST_DICTIONARY_SCHEMA, TABLE_OF_DATASET,
+                                         raw_schema)
+from moneytrail.streaming import landing, refresh
 
 INPUT_TABLES = ["nation", "supplier", "customer", "part", "orders", "lineitem", "events"]
+REPORT = "dataset string, status string, action string, error string"
 
 _lock = threading.Lock()
 _stores: dict[tuple[str, str], "Store"] = {}
@@ -38,8 +45,8 @@ _stores: dict[tuple[str, str], "Store"] = {}
 # Code that decides what is landed: a change to it lands a new store.
 _LANDING_MODULES = ["sources/fixture.py", "sources/schemas.py", "sources/interests.py",
                     "sources/files.py", "operators/curate.py", "functions/parse.py",
-                    "plans/store.py", "streaming/refresh.py", "operators/views.py",
-                    "plans/joins.py"]
+                    "functions/constants.py", "plans/store.py", "streaming/refresh.py",
+                    "operators/views.py", "plans/joins.py"]
 
 
 def _code_fingerprint() -> bytes:
@@ -65,57 +72,146 @@ def input_fingerprint(spark: SparkSession, sf_dir: str) -> str:
 
 
 class Store:
-    def __init__(self, spark: SparkSession, sf_dir: str, root: str):
+    def __init__(self, spark: SparkSession, root: str, cycle: str = CYCLE):
         self.spark = spark
-        self.sf_dir = sf_dir
         self.root = root
+        self.state: dict = {"number": 0, "cycle": refresh.check_cycle(cycle), "raw": {},
+                            "table": {}, "inbox": {}}
         self._frames: dict[str, DataFrame] = {}
 
-    # ---------------------------------------------------------------- build
+    # ---------------------------------------------------------------- open
     @classmethod
     def open(cls, spark: SparkSession, sf_dir: str) -> "Store":
+        """The store of a folder of test tables, landed once per content of its inputs."""
         prepare(spark)
-        key = (app_id(spark), sf_dir.rstrip("/"))
+        key = (app_id(spark), input_fingerprint(spark, sf_dir))
         with _lock:
             st = _stores.get(key)
             if st is None:
-                # Each landing goes to its own folder; a small marker next to
-                # them names the completed one. Two jobs landing the same inputs
-                # at once both finish into separate folders and readers always
-                # see a complete store (the marker is written last).
-                base = scratch_path(spark, "store", input_fingerprint(spark, sf_dir))
-                marker = os.path.join(base, "_landed")
-                landed = spark.read.json(marker) if fs_exists(spark, marker) else None
-                if landed is not None and "root" in landed.columns:
-                    st = cls(spark, sf_dir, landed.first()["root"])
+                # each landing has its own folder, so two jobs that land the same
+                # inputs at once don't touch each other; any finished one will do
+                base = scratch_path(spark, "store", key[1])
+                for name in fs_list(spark, base):
+                    found = cls(spark, os.path.join(base, name))
+                    if found.load():
+                        st = found
+                        break
                 else:
-                    st = cls(spark, sf_dir, os.path.join(base, uuid.uuid4().hex[:12]))
-                    st.land()
-                    (spark.createDataFrame([(st.root, sf_dir)], "root string, sf_dir string")
-                     .coalesce(1).write.mode("overwrite").json(marker))
+                    fx = Fixture(spark, sf_dir)
+                    st = cls(spark, os.path.join(base, uuid.uuid4().hex[:12]))
+                    st.land({ds: fx.raw(ds) for ds in DATASETS}, fx.interest_entries())
                 _stores[key] = st
         return st
 
+    @classmethod
+    def from_files(cls, spark: SparkSession, root: str, paths: dict[str, str],
+                   dictionary: str | None = None, cycle: str = CYCLE) -> "Store":
+        """Land bulk files (one path per dataset, all six) into ``root`` and open them.
+        Without a ``dictionary`` file the tag table is empty (P7)."""
+        prepare(spark)
+        missing = [ds for ds in DATASETS if ds not in paths]
+        if missing:
+            raise ValueError(f"no file for: {', '.join(missing)}")
+        st = cls(spark, root, cycle)
+        if st.load():
+            raise ValueError(f"{root} holds a store already; attach to it and refresh it")
+        entries = None
+        if dictionary is not None:
+            entries = interests.scan_interest_dictionary(spark, dictionary)
+        st.land({ds: files.scan_bulk(spark, paths[ds], ds) for ds in DATASETS}, entries)
+        return st
+
+    @classmethod
+    def attach(cls, spark: SparkSession, root: str) -> "Store":
+        """An existing store, as its newest state has it."""
+        prepare(spark)
+        st = cls(spark, root)
+        if not st.load():
+            raise LookupError(f"{root} holds no finished store")
+        return st
+
+    # ---------------------------------------------------------------- state
     def path(self, *parts: str) -> str:
         return os.path.join(self.root, *parts)
 
+    def _new(self, kind: str, name: str) -> str:
+        return self.path(kind, name, uuid.uuid4().hex[:12])
+
+    def load(self) -> bool:
+        """Take the newest finished state; False when there is none."""
+        done = [n for n in fs_list(self.spark, self.path("state")) if n.isdigit()]
+        if not done:
+            return False
+        line = self.spark.read.text(self.path("state", max(done, key=int))).first()["value"]
+        self.state = json.loads(line)
+        self._frames.clear()
+        return True
+
+    def _commit(self, state: dict) -> None:
+        """Write ``state`` under the next number and take it. Another refresh that
+        finished meanwhile is not overwritten: then this one fails."""
+        state = {**state, "number": self.state["number"] + 1}
+        staged = self._new("staging", "state")
+        (self.spark.createDataFrame([(json.dumps(state),)], "value string").coalesce(1)
+         .write.text(staged))
+        fs_list(self.spark, self.path("state")) or self._make_folder("state")
+        if not fs_rename(self.spark, staged, self.path("state", str(state["number"]))):
+            raise RuntimeError("another refresh of this store has finished meanwhile")
+        self.state = state
+        self._frames.clear()
+
+    def _make_folder(self, name: str) -> None:
+        jvm = self.spark._jvm  # noqa: SLF001
+        p = jvm.org.apache.hadoop.fs.Path(self.path(name))
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(p)  # noqa: SLF001
+
+    def vacuum(self) -> list[str]:
+        """Remove versions that the newest state does not name (replaced ones, and
+        those of jobs that died). Call it when no reader holds an older state."""
+        self.load()
+        named = json.dumps(self.state)
+        gone = []
+        for kind in ("raw", "curated", "derived", "dictionary", "staging"):
+            for name in fs_list(self.spark, self.path(kind)):
+                for version in fs_list(self.spark, self.path(kind, name)):
+                    p = self.path(kind, name, version)
+                    if p not in named:
+                        fs_delete(self.spark, p)
+                        gone.append(p)
+        for n in fs_list(self.spark, self.path("state")):
+            if n.isdigit() and int(n) < self.state["number"]:
+                fs_delete(self.spark, self.path("state", n))
+        return gone
+
     def raw_path(self, ds: str) -> str:
-        return self.path("raw", f"raw_{ds}.parquet")
+        return self.state["raw"][ds]
 
     def table_path(self, name: str) -> str:
-        return self.path("curated", name)
+        return self.state["table"][name]
+
+    def dictionary_path(self) -> str | None:
+        return self.state.get("dictionary")
+
+    def money_path(self) -> str:
+        return self.state["money"]
 
-    def manifest_path(self) -> str:
-        return self.path("manifest")
+    def rollup_path(self) -> str:
+        return self.state["rollup"]
 
     def manifest(self) -> DataFrame:
-        """The stored fingerprints of the landed raw datasets. They describe
-        the landed files, so they are computed on first use (one scan) rather
-        than during landing, and kept until a refresh replaces the data."""
-        if not fs_exists(self.spark, self.manifest_path()):
-            refresh.manifest(self.raws(), CYCLE).write.mode("overwrite").parquet(
-                self.manifest_path())
-        return self.spark.read.parquet(self.manifest_path())
+        """(dataset, cycle, rows, fingerprint) of the state's raw versions; computed on
+        first use and kept beside them, since a version never changes."""
+        out = None
+        for ds, path in self.state["raw"].items():
+            kept = path + ".fingerprint"
+            if not fs_exists(self.spark, kept + "/_SUCCESS"):
+                one = refresh.dataset_fingerprint(self.raw(ds), ds, self.state["cycle"])
+                one.coalesce(1).write.mode("overwrite").parquet(kept)
+            df = self.spark.read.parquet(kept)
+            out = df if out is None else out.unionByName(df)
+        if out is None:
+            return self.spark.createDataFrame([], refresh.MANIFEST_SCHEMA)
+        return out
 
     def curated_tables(self) -> dict[str, DataFrame]:
         names = [TABLE_OF_DATASET[ds] for ds in DATASETS] + ["dim_group_mappings"]
@@ -124,115 +220,139 @@ class Store:
     def raws(self) -> dict[str, DataFrame]:
         return {ds: self.raw(ds) for ds in DATASETS}
 
-    def dictionary_path(self) -> str:
-        return self.path("dictionary", "committee_interests.csv")
-
-    def land(self) -> None:
+    # ---------------------------------------------------------------- build
+    def _build(self, ds: str, rows: DataFrame) -> tuple[str, str]:
+        """Write a dataset and its curated table to new versions."""
+        raw_path, table_path = self._new("raw", ds), self._new("curated", TABLE_OF_DATASET[ds])
+        files.land_raw_parquet(rows, raw_path)
+        raw = files.scan_raw_parquet(self.spark, raw_path, ds)
+        files.replace_curated(curate.CURATE[ds](raw), table_path)
+        return raw_path, table_path
+
+    def _tags(self, state: dict) -> str:
+        """Write the tag table for the state's dictionary and committees."""
+        path = self._new("curated", "dim_group_mappings")
+        if state.get("dictionary") is None:
+            tags = curate.empty_group_mappings(self.spark)
+        else:
+            entries = interests.scan_interest_dictionary(self.spark, state["dictionary"])
+            committees = self.spark.read.parquet(state["table"]["dim_committees"])
+            tags = interests.load_group_mappings(entries, committees)
+        files.replace_curated(tags, path)
+        return path
+
+    def _derived(self, state: dict) -> dict:
+        """The state with its money fact and rollup, written to new versions."""
+        build = Store(self.spark, self.root, state["cycle"])
+        build.state = {**state, "money": self._new("derived", "candidate_money"),
+                       "rollup": self._new("derived", "money_rollup")}
+        build.materialize_money()
+        return build.state
+
+    def land(self, raws: dict[str, DataFrame], entries: DataFrame | None) -> None:
         """Land raw datasets, build curated tables, load the tag dictionary."""
-        fx = Fixture(self.spark, self.sf_dir)
-        _ = fx.n  # the one driver-side scalar, before the threads start
-
-        def land_one(ds: str) -> None:
-            files.land_raw_parquet(fx.raw(ds), self.raw_path(ds))
-            raw = files.scan_raw_parquet(self.spark, self.raw_path(ds), ds)
-            files.replace_curated(curate.CURATE[ds](raw), self.table_path(TABLE_OF_DATASET[ds]))
-
         # The six datasets are independent: their jobs are submitted
         # concurrently so small datasets do not leave the cluster idle while a
         # large one lands. Failures surface here (all must land).
         with ThreadPoolExecutor(max_workers=len(DATASETS)) as pool:
-            for f in [pool.submit(land_one, ds) for ds in DATASETS]:
-                f.result()
-        interests.write_interest_dictionary(fx.interest_entries(), self.dictionary_path())
-        entries = interests.scan_interest_dictionary(self.spark, self.dictionary_path())
-        committees = self.spark.read.parquet(self.table_path("dim_committees"))
-        files.replace_curated(interests.load_group_mappings(entries, committees),
-                              self.table_path("dim_group_mappings"))
-        self.materialize_money()
-
-    def refresh(self, snapshots: dict[str, DataFrame], cycle: str = CYCLE,
-                force: bool = False) -> DataFrame:
+            jobs = {ds: pool.submit(self._build, ds, raws[ds]) for ds in DATASETS}
+            built = {ds: job.result() for ds, job in jobs.items()}
+        state = {**self.state, "raw": {ds: r for ds, (r, _) in built.items()},
+                 "table": {TABLE_OF_DATASET[ds]: t for ds, (_, t) in built.items()}}
+        if entries is not None:
+            state["dictionary"] = self._new("dictionary", "committee_interests")
+            interests.write_interest_dictionary(entries, state["dictionary"])
+        state["table"]["dim_group_mappings"] = self._tags(state)
+        self._commit(self._derived(state))
+
+    def refresh(self, snapshots: dict[str, DataFrame], cycle: str | None = None,
+                force: bool = False, inbox: dict | None = None) -> DataFrame:
         """Refresh from new full snapshots of some datasets (S9-S11 end to end).
 
         The cycle must match the store's (one cycle per store). Each given
-        snapshot is fingerprinted and compared with the stored manifest; only
-        new or changed datasets are re-landed and their curated tables rebuilt
-        (all given ones with ``force``). A failing dataset is reported and does
-        not stop the others. The manifest, the tag load (when committees
-        changed) and the materialised money fact are redone once at the end.
-        Returns one row per given dataset: status, action, error.
+        snapshot is fingerprinted and compared with the manifest; new or changed
+        datasets are rebuilt (all given ones with ``force``), and so is any
+        landed dataset whose curated table is missing, from its raw version. A
+        failing dataset is reported, keeps its old versions and does not stop
+        the others. All that changed becomes visible at once, at the end.
+        Returns one row per dataset looked at: status, action, error.
         """
-        refresh.check_cycle(cycle)
+        cycle = refresh.check_cycle(cycle if cycle is not None else self.state["cycle"])
+        self.load()
         stored = self.manifest()
         refresh.assert_one_cycle(stored, cycle)
-        current = refresh.manifest(snapshots, cycle)
-        changes = refresh.snapshot_changes(
-            current, stored.filter(F.col("dataset").isin(list(snapshots))))
-        status = {r.dataset: r.status for r in changes.collect()}  # one row per dataset
-        results, rebuilt = [], []
-        for ds in snapshots:
-            st = status.get(ds, "new")
-            if not (force or st in ("new", "changed")):
+        status, results, sources = {}, [], {}
+        for ds, rows in snapshots.items():  # one by one: a snapshot that can't be read is its own failure
+            try:
+                changes = refresh.snapshot_changes(refresh.manifest({ds: rows}, cycle),
+                                                   stored.filter(F.col("dataset") == ds))
+                status[ds] = changes.first()["status"]
+                sources[ds] = rows
+            except Exception as e:  # noqa: BLE001 - reported; the others go on
+                results.append((ds, None, "failed", _said(e)))
+        gone = [ds for ds in self.state["raw"] if ds not in snapshots and not fs_exists(
+            self.spark, self.table_path(TABLE_OF_DATASET[ds]) + "/_SUCCESS")]
+        gone += [ds for ds in status if status[ds] == "unchanged" and not fs_exists(
+            self.spark, self.table_path(TABLE_OF_DATASET[ds]) + "/_SUCCESS")]
+        changes = self.spark.createDataFrame(
+            [*status.items(), *((ds, "unchanged") for ds in gone if ds not in status)],
+            "dataset string, status string")
+        tables = [(t,) for t in self.state["table"] if t not in {TABLE_OF_DATASET[d] for d in gone}]
+        rebuild = refresh.rebuild_set(changes, self.spark.createDataFrame(tables, "table string"),
+                                      TABLE_OF_DATASET, [*status, *gone], force)
+        reasons = {r["dataset"]: r["reason"] for r in rebuild.collect()}  # one row per dataset
+        state = {**self.state, "raw": dict(self.state["raw"]), "table": dict(self.state["table"]),
+                 "inbox": {**self.state.get("inbox", {}), **(inbox or {})}}
+        rebuilt = []
+        for ds in [*status, *(d for d in gone if d not in status)]:
+            st = status.get(ds, "table missing")
+            if ds not in reasons:
                 results.append((ds, st, "skipped", None))
                 continue
             try:
-                files.land_raw_parquet(snapshots[ds], self.raw_path(ds))
-                raw = files.scan_raw_parquet(self.spark, self.raw_path(ds), ds)
-                files.replace_curated(curate.CURATE[ds](raw),
-                                      self.table_path(TABLE_OF_DATASET[ds]))
+                rows = sources.get(ds) if ds in sources else self.raw(ds)
+                state["raw"][ds], state["table"][TABLE_OF_DATASET[ds]] = self._build(ds, rows)
                 results.append((ds, st, "rebuilt", None))
                 rebuilt.append(ds)
-            except Exception as e:  # noqa: BLE001 - report and go on with the others
-                results.append((ds, st, "failed", f"{type(e).__name__}: {str(e)[:300]}"))
+            except Exception as e:  # noqa: BLE001 - reported; the others go on
+                results.append((ds, st, "failed", _said(e)))
+        failed = any(r[2] == "failed" for r in results)
         if rebuilt:
-            self._frames.clear()
             if "cm" in rebuilt:
-                entries = interests.scan_interest_dictionary(self.spark, self.dictionary_path())
-                tags = interests.load_group_mappings(entries, self.committees)
-                tmp = self.path("staging", "dim_group_mappings")
-                files.replace_curated(tags, tmp)
-                files.replace_curated(self.spark.read.parquet(tmp),
-                                      self.table_path("dim_group_mappings"))
-            tmp = self.path("staging", "manifest")
-            refresh.manifest(self.raws(), cycle).write.mode("overwrite").parquet(tmp)
-            self.spark.read.parquet(tmp).write.mode("overwrite").parquet(self.manifest_path())
-            self._frames.clear()
-            self.materialize_money()
-            self._frames.clear()
-        return self.spark.createDataFrame(
-            results, "dataset string, status string, action string, error string")
-
-    def refresh_from_inbox(self, inbox: str, dataset: str, cycle: str = CYCLE) -> DataFrame:
-        """The scheduled refresh loop for one dataset: snapshot files dropped
-        into ``inbox`` are picked up by an availableNow file stream (only files
-        not seen before, tracked in the stream's checkpoint under the shared
-        folder), the newest one is staged as parquet, and ``refresh`` rebuilds
-        the dataset when its content changed. Nothing new: no batch, no work."""
-        from moneytrail.streaming import landing
-        staged = self.path("inbox", dataset, "staged")
-        batches = landing.land_new_snapshots(self.spark, inbox, dataset, staged,
-                                             self.path("inbox", dataset, "stream"))
-        if batches == 0:
-            return self.spark.createDataFrame(
-                [(dataset, None, "no new files", None)],
-                "dataset string, status string, action string, error string")
-        return self.refresh({dataset: self.spark.read.parquet(staged)}, cycle)
-
-    def rollup_path(self) -> str:
-        return self.path("derived", "money_rollup")
-
-    def money_path(self) -> str:
-        return self.path("derived", "candidate_money")
+                state["table"]["dim_group_mappings"] = self._tags(state)
+            state = self._derived(state)
+        if rebuilt or (inbox and not failed):
+            if failed:  # a snapshot from an inbox stays pending until it is built
+                state["inbox"] = self.state.get("inbox", {})
+            self._commit(state)
+        return self.spark.createDataFrame(results, REPORT)
+
+    def refresh_from_inbox(self, inbox: str, dataset: str, cycle: str | None = None) -> DataFrame:
+        """The scheduled refresh loop for one dataset: an availableNow file stream
+        lists what arrived in ``inbox``; the newest snapshot ever seen, unless it is
+        the one that was built last (the state says which), is read whole and given
+        to ``refresh``. A snapshot that could not be read or built stays pending and is
+        tried again by the next call, or gives way to a newer one."""
+        self.load()
+        seen = self.path("inbox", dataset, "seen")
+        landing.see_new_files(self.spark, inbox, seen, self.path("inbox", dataset, "stream"))
+        newest = landing.newest_snapshot(self.spark, seen)
+        mark = newest and [newest["snapshot"], str(newest["modified"])]
+        if newest is None or mark == self.state.get("inbox", {}).get(dataset):
+            return self.spark.createDataFrame([(dataset, None, "no new files", None)], REPORT)
+        rows = landing.read_snapshot(self.spark, inbox, seen, newest["snapshot"], dataset)
+        return self.refresh({dataset: rows}, cycle, inbox={dataset: mark})
 
     def materialize_money(self) -> None:
         """Parse once, join once: the unified money fact is written as zstd
         parquet, partitioned by channel, rows sorted by candidate inside each
-        task's file so row-group statistics prune a single-candidate filter.
+        file so row-group statistics prune a single-candidate filter (sorted by
+        channel first, which is the order that the partitioned write asks for).
         No shuffle: a candidate holding a third of all rows stays spread over
         the scan tasks it came from. Every report scans this compact, typed
         table instead of re-typing raw text and re-joining links and tags."""
         (self.money_view
-         .sortWithinPartitions("cand_id")
+         .sortWithinPartitions("channel", "cand_id")
          .write.mode("overwrite").option("compression", "zstd")
          .partitionBy("channel").parquet(self.money_path()))
         # The rollup by (candidate, channel, state, tag, size bucket) that the
@@ -289,7 +409,8 @@ class Store:
 
     def interest_entries(self) -> DataFrame:
         return self._memo("interest_entries", lambda: interests.scan_interest_dictionary(
-            self.spark, self.dictionary_path()))
+            self.spark, self.dictionary_path()) if self.dictionary_path() else
+            self.spark.createDataFrame([], INTEREST_DICTIONARY_SCHEMA))
 
     # views
     @property
@@ -352,9 +473,6 @@ class Store:
         self.money.createOrReplaceTempView("candidate_money")
 
 
-def open_store(spark: SparkSession, sf_dir: str) -> Store:
-    return Store.open(spark, sf_dir)
-
 
-def count_rows(df: DataFrame) -> int:
-    return df.select(F.count(F.lit(1))).first()[0]
+def _said(e: Exception) -> str:
+    return f"{type(e).__name__}: {str(e)[:300]}"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moneytrail.sources.schemas import raw_schema
+from moneytrail.sources.schemas import CSV_DATASETS, raw_schema
 
 
 # --------------------------------------------------------------------- S1 / S2
@@ -29,7 +29,8 @@ def scan_pipe_raw(spark: SparkSession, path: str, dataset: str) -> DataFrame:
 def scan_ie_csv(spark: SparkSession, path: str) -> DataFrame:
     """The IE file is real CSV: comma, double-quoted with doubled-quote
     escape, UTF-8, first line is a header that is dropped (names are pinned and
-    applied by position)."""
+    applied by position). A quoted field may hold line ends, so a file is one
+    task: a large dataset should come as many files."""
     return (spark.read.schema(raw_schema("ie"))
             .option("header", "true")
             .option("enforceSchema", "true")
@@ -43,10 +44,14 @@ def scan_ie_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_pipe_text(df: DataFrame, path: str) -> str:
-    """Write a raw dataset in the bulk-file form (one ``|``-joined line per row,
-    NULL as an empty field, no quoting, no header)."""
-    cols = [F.coalesce(F.col(c), F.lit("")) for c in df.columns]
-    df.select(F.concat_ws("|", *cols).alias("value")).write.mode("overwrite").text(path)
+    """Write a raw dataset in the bulk-file form: one ``|``-joined latin-1 line
+    per row, NULL as an empty field, no quoting, no header."""
+    (df.write.mode("overwrite")
+       .option("sep", "|").option("header", "false")
+       .option("quote", "").option("escape", "").option("quoteAll", "false")
+       .option("nullValue", "").option("emptyValue", "")
+       .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+       .option("encoding", "ISO-8859-1").csv(path))
     return path
 
 
@@ -59,6 +64,20 @@ def write_ie_csv(df: DataFrame, path: str) -> str:
     return path
 
 
+def scan_bulk(spark: SparkSession, path, dataset: str) -> DataFrame:
+    """S1 or S2, whichever form the dataset's bulk files have."""
+    return scan_ie_csv(spark, path) if dataset in CSV_DATASETS else scan_pipe_raw(spark, path, dataset)
+
+
+def raw_lines(df: DataFrame, dataset: str) -> DataFrame:
+    """Any raw dataset in one shape: its name, how many fields are NULL, and
+    the fields joined by ``|`` (NULL as nothing)."""
+    nulls = sum((F.col(c).isNull().cast("int") for c in df.columns), F.lit(0))
+    return df.select(F.lit(dataset).alias("dataset"), nulls.alias("n_null"),
+                     F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in df.columns])
+                     .alias("line"))
+
+
 # --------------------------------------------------------------------- S4-S6
 def land_raw_parquet(df: DataFrame, path: str) -> DataFrame:
     """Write the raw text columns losslessly as zstd parquet (full replace)."""
@@ -92,18 +111,55 @@ def landed_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 
 
 # --------------------------------------------------------------------- S12
+# A document's whole JSON object, NULL fields kept: a reader finds "state": null.
+JSON_OPTIONS = {"ignoreNullFields": "false"}
+
+
 def write_angles(docs: DataFrame, path: str, tasks: int | None = None) -> str:
-    """One JSON document per candidate x angle, in the canonical folder
-    layout ``<dirname>/<angle_id>``; each (dirname, angle_id) folder holds
-    exactly one document. The explicit task count keeps AQE from coalescing
-    the small document set into one task that would create every file in turn."""
+    """One JSON document per candidate x angle as ``<dirname>/<angle_id>.json``,
+    NULL fields written out.
+
+    Spark's writers name their own files, so each task writes its documents to
+    their final names through pyarrow's file systems (file, hdfs, s3, gs): first
+    under a name of its own, then moved, so a task that runs twice leaves one
+    whole file. The explicit task count keeps a small document set from being
+    written by one task."""
     spark = docs.sparkSession
-    if tasks is None:
-        try:
-            tasks = spark.sparkContext.defaultParallelism
-        except Exception:
-            tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (docs.repartition(max(1, tasks), "dirname", "angle_id")
-         .write.mode("overwrite").partitionBy("dirname", "angle_id").json(path))
+    tasks = tasks or spark.sparkContext.defaultParallelism
+    fields = [c for c in docs.columns if c not in ("dirname", "angle_id")]
+    rows = docs.select("dirname", "angle_id", F.to_json(F.struct(*fields), JSON_OPTIONS).alias("doc"))
+    written = rows.repartition(max(1, tasks), "dirname", "angle_id").mapInArrow(
+        _document_writer(path), "dirname string, angle_id string")
+    written.write.format("noop").mode("overwrite").save()
     return path
 
+
+def _document_writer(root: str):
+    def run(batches):
+        import uuid
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        store, base = (fs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:")
+                       else (fs.LocalFileSystem(), root))
+        for batch in batches:
+            for row in batch.to_pylist():
+                folder = f"{base}/{row['dirname']}"
+                store.create_dir(folder, recursive=True)
+                part = f"{folder}/.{row['angle_id']}.{uuid.uuid4().hex}"
+                with store.open_output_stream(part) as out:
+                    out.write(row["doc"].encode() + b"\n")
+                store.move(part, f"{folder}/{row['angle_id']}.json")
+            yield pa.RecordBatch.from_arrays([batch.column("dirname"), batch.column("angle_id")],
+                                             ["dirname", "angle_id"])
+
+    return run
+
+
+def read_angles(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The documents of ``write_angles`` with their folder and angle."""
+    parts = F.split(F.col("_metadata.file_path"), "/")
+    return (spark.read.schema(schema).option("recursiveFileLookup", "true").json(path)
+            .select("*", F.element_at(parts, -2).alias("dirname"),
+                    F.regexp_replace(F.element_at(parts, -1), r"\.json$", "").alias("angle_id")))

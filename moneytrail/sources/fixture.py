@@ -32,6 +32,7 @@ STR = T.StringType()
 # Fixed values of the mapping.
 OFFICES = "HSP"
 CYCLE = "2026"
+LAST_CYCLE = "2024"
 
 
 def load_tables(spark: SparkSession, sf_dir: str, names) -> dict[str, DataFrame]:
@@ -105,7 +106,8 @@ class Fixture:
                     F.element_at(F.array(F.lit("DEM"), F.lit("REP"), F.lit("IND")),
                                  ((k + k % 7) % 3).cast("int") + 1).alias("party"),
                     F.when(k % 9 < 3, "I").when(k % 9 < 6, "C").otherwise("O").alias("ici"),
-                    F.when(k % 13 == 0, _null()).otherwise(F.lit(CYCLE)).alias("year"),
+                    F.when(k % 13 == 0, _null()).when(k % 13 == 1, F.lit(LAST_CYCLE))
+                     .otherwise(F.lit(CYCLE)).alias("year"),
                 ))
 
     # ------------------------------------------------------------------ cn
@@ -257,16 +259,21 @@ class Fixture:
         c = _cents("l_extendedprice")
         cents = (F.when((ln == 6) & (pk % 50 == 0), F.lit(0).cast(T.LongType()))
                   .when((F.col("l_returnflag") == "R") & (ln == 7), -(c % 100000))
+                  .when(sk % 29 == 5, c % 50)  # a few candidates below every floor
                   .when(sk % 4 == 1, c % 60000)
                   .otherwise(c % 400000))
         memo = F.when(ln == 5, "X").when(ln == 4, "Y")
+        # accents, quotes and backslashes are data in the pipe files
+        name = (F.when(okey % 7 == 3, F.concat(F.lit("JOSÉ \"PEPE\" "), F.col("c_name")))
+                 .when(okey % 7 == 5, F.concat(F.lit("A\\B "), F.col("c_name")))
+                 .otherwise(F.col("c_name")))
         return _finish(j.select(
             cmte.alias("CMTE_ID"),
             F.lit("N").alias("AMNDT_IND"), F.lit("Q1").alias("RPT_TP"),
             F.lit("P" + CYCLE).alias("TRANSACTION_PGI"), _null().alias("IMAGE_NUM"),
             F.lit("15").alias("TRANSACTION_TP"),
             F.when(pk % 13 == 0, "ORG").otherwise("IND").alias("ENTITY_TP"),
-            F.col("c_name").alias("NAME"), _null().alias("CITY"), state.alias("STATE"),
+            name.alias("NAME"), _null().alias("CITY"), state.alias("STATE"),
             _null().alias("ZIP_CODE"), F.col("c_mktsegment").alias("EMPLOYER"),
             _null().alias("OCCUPATION"),
             F.when(okey % 19 == 0, _null())
@@ -319,7 +326,8 @@ class Fixture:
             date_txt.alias("exp_date"),
             amt.alias("agg_amo"),
             sup.alias("sup_opp"),
-            F.upper(et).alias("pur"),
+            F.when(eid % 5 == 1, F.concat(F.lit("TV, \"PRIME\"\n"), F.upper(et))).otherwise(F.upper(et))
+             .alias("pur"),
             F.col("props").alias("pay"),
             (eid / 10).cast(T.LongType()).cast(STR).alias("file_num"),
             F.when(eid % 6 == 0, "A1").otherwise("N").alias("amndt_ind"),
@@ -332,13 +340,21 @@ class Fixture:
 
     # ------------------------------------------------------------------ tags
     def interest_entries(self) -> DataFrame:
-        """Curated tag entries (cmte_id, category, notes) in file order."""
+        """Curated tag entries (cmte_id, category, notes). Some committees carry two
+        tags, some tagged ids are no committee, some notes need quoting."""
         p = self.t["part"]
-        return (p.filter(F.col("p_size") <= 10)
-                 .select(_id("C1", F.col("p_partkey")).alias("cmte_id"),
-                         F.col("p_type").alias("category"),
-                         F.col("p_brand").alias("notes"),
-                         F.col("p_partkey").alias("_order")))
+        notes = F.when(F.col("p_size") == 3, F.concat(F.lit("see \"A\",\nline two "), F.col("p_brand"))
+                       ).otherwise(F.col("p_brand"))
+        first = p.filter(F.col("p_size") <= 10).select(
+            _id("C1", F.col("p_partkey")).alias("cmte_id"), F.col("p_type").alias("category"),
+            notes.alias("notes"))
+        second = p.filter(F.col("p_size") == 7).select(
+            _id("C1", F.col("p_partkey")).alias("cmte_id"), F.lit("SECOND TAG").alias("category"),
+            F.lit("").alias("notes"))
+        unknown = p.filter(F.col("p_size") == 9).select(
+            _id("C8", F.col("p_partkey")).alias("cmte_id"), F.col("p_type").alias("category"),
+            F.lit("").alias("notes"))
+        return first.unionByName(second).unionByName(unknown)
 
     def raw(self, dataset: str) -> DataFrame:
         return getattr(self, f"raw_{dataset}")()

@@ -1,53 +1,70 @@
-"""Incremental landing of new snapshot files with Structured Streaming.
-
-The reference re-lands a dataset when its bulk file changed and skips it
-otherwise, on a cron. The Spark form of that loop is a file-source stream
-with ``trigger(availableNow=True)``: each run picks up only the files that
-arrived since the last run (the stream's checkpoint in the shared folder
-records what was processed), lands them, and stops. Because every file is a
-full snapshot, a micro-batch replaces the raw table with the newest snapshot
-it contains.
+"""Finding new snapshots in an inbox with Structured Streaming.
+
+A snapshot is a folder of part files directly below the inbox, or files directly in the
+inbox: one file, or all parts of one write (``part-NNNNN-<id>...``). A file-source stream
+with ``trigger(availableNow=True)`` lists what arrived since the last run (its checkpoint
+in the shared folder records what was seen) without reading any content; what it saw is
+kept as a table, one folder per micro-batch, so a batch that runs again overwrites itself.
+The newest snapshot is the one with the latest modification time (ties: the larger name), and
+it is read whole - all its files, with the same strict reader as any bulk file.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moneytrail.sources.schemas import CSV_DATASETS, raw_schema
+from moneytrail.plans.session import fs_exists
+from moneytrail.sources import files
+
+LISTED = "path string, modificationTime timestamp, length long, content binary"
+SEEN = "path string, snapshot string, modified timestamp"
+
 
+def snapshot_of(path: Column, inbox: str) -> Column:
+    """The folder a file lies in, or for files directly in the inbox the write they are parts of."""
+    below = F.regexp_extract(path, "(?:^|/)" + _quoted(inbox) + "/(.+)$", 1)
+    part = F.regexp_extract(below, r"^part-\d+-([^/.]*[0-9a-f])(?:-c\d+)?(?:\.[^/]*)?$", 1)
+    return (F.when(below.contains("/"), F.substring_index(below, "/", 1))
+             .when(part != "", part).otherwise(below))
 
-def snapshot_stream(spark: SparkSession, inbox: str, dataset: str) -> DataFrame:
-    """A streaming DataFrame over the snapshot files dropped into ``inbox``,
-    parsed with the pinned raw layout, tagged with the source file."""
-    r = spark.readStream.schema(raw_schema(dataset))
-    if dataset in CSV_DATASETS:
-        r = (r.option("header", "true").option("quote", '"').option("escape", '"')
-              .option("multiLine", "true"))
-    else:
-        r = (r.option("sep", "|").option("header", "false").option("quote", "")
-              .option("escape", "").option("encoding", "ISO-8859-1"))
-    return r.csv(inbox).withColumn("_file", F.input_file_name())
 
+def _quoted(inbox: str) -> str:
+    return "\\Q" + inbox.rstrip("/").rsplit("/", 1)[-1] + "\\E"
 
-def land_new_snapshots(spark: SparkSession, inbox: str, dataset: str, target: str,
-                       checkpoint: str) -> int:
-    """Land the newest snapshot among newly arrived files into ``target``
-    (zstd parquet, full replace). Returns the number of micro-batches run
-    (0 = nothing new, no work)."""
+
+def see_new_files(spark: SparkSession, inbox: str, seen: str, checkpoint: str) -> int:
+    """Add the files that arrived since the last call to the table ``seen``;
+    returns the number of micro-batches (0: nothing new)."""
     batches = []
 
-    def land(batch: DataFrame, epoch: int) -> None:
-        # the newest file of the batch is the current snapshot
-        latest = batch.agg(F.max("_file").alias("f"))
-        snap = batch.join(latest, batch["_file"] == latest["f"], "left_semi").drop("_file")
-        snap.write.mode("overwrite").option("compression", "zstd").parquet(target)
-        batches.append(epoch)
-
-    q = (snapshot_stream(spark, inbox, dataset).writeStream
-         .foreachBatch(land)
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True)
-         .start())
-    q.awaitTermination()
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{seen}/batch={number}")
+        batches.append(number)
+
+    found = (spark.readStream.format("binaryFile").schema(LISTED).option("recursiveFileLookup", "true")
+             .load(inbox).select("path", F.col("modificationTime").alias("modified")))
+    query = (found.select("path", snapshot_of(F.col("path"), inbox).alias("snapshot"), "modified")
+             .writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
     return len(batches)
+
+
+def newest_snapshot(spark: SparkSession, seen: str):
+    """(snapshot, modified) of the newest snapshot ever seen, or None."""
+    if not fs_exists(spark, seen):
+        return None
+    times = (spark.read.schema(SEEN).parquet(f"{seen}/batch=*")
+             .groupBy("snapshot").agg(F.max("modified").alias("modified")))
+    return times.orderBy(F.desc("modified"), F.desc("snapshot")).first()
+
+
+def read_snapshot(spark: SparkSession, inbox: str, seen: str, snapshot: str, dataset: str) -> DataFrame:
+    """All rows of a snapshot. A folder is read as it is now, parts that came later included."""
+    folder = f"{inbox.rstrip('/')}/{snapshot}"
+    rows = spark.read.schema(SEEN).parquet(f"{seen}/batch=*").filter(F.col("snapshot") == snapshot)
+    paths = sorted({r["path"] for r in rows.select("path").collect()})  # the parts of one snapshot
+    if any(f"/{snapshot}/" in p for p in paths):
+        return files.scan_bulk(spark, folder, dataset)
+    return files.scan_bulk(spark, paths, dataset)

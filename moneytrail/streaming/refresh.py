@@ -2,7 +2,7 @@
 
 The bulk files are full snapshots, not row deltas. The reference asks the web
 server whether a file changed; here the question is asked of the data itself:
-a dataset's fingerprint is its row count plus an order-free sum of 64-bit row
+a dataset's fingerprint is its row count plus an order-free sum of 60-bit row
 hashes (computed in parallel, one partial sum per task). A refresh compares
 the fingerprints of the newly landed rows with the stored manifest and
 rebuilds only the curated tables of changed datasets (or missing tables).
@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,10 +20,11 @@ MANIFEST_SCHEMA = "dataset string, cycle string, rows long, fingerprint string"
 
 
 def row_hash(df: DataFrame) -> Column:
-    """64-bit hash of a whole row. ``xxhash64`` skips NULL inputs, so a NULL
-    flag per column is hashed too: ('a', NULL) and (NULL, 'a') differ."""
-    cols = [F.col(c) for c in df.columns]
-    return F.xxhash64(*cols, *[c.isNull() for c in cols])
+    """60 bits of a whole row: the first 15 hex digits of the md5 of its fields,
+    each marked as a value or as NULL, so ('a', NULL) and (NULL, 'a') differ. Any
+    engine with md5 computes the same number."""
+    cols = [F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n")) for c in df.columns]
+    return F.conv(F.substring(F.md5(F.concat_ws("\x1f", *cols).cast("binary")), 1, 15), 16, 10)
 
 
 def dataset_fingerprint(df: DataFrame, dataset: str, cycle: str) -> DataFrame:
@@ -81,6 +82,23 @@ def check_cycle(cycle: str) -> str:
     return cycle
 
 
+# Where each dataset says which cycle its rows belong to (the last four characters).
+CYCLE_COLUMN = {"cn": "CAND_ELECTION_YR", "ccl": "FEC_ELECTION_YR", "pas2": "TRANSACTION_PGI",
+                "indiv": "TRANSACTION_PGI", "ie": "fec_election_yr"}
+
+
+def cycles_in_data(raws: dict[str, DataFrame]) -> DataFrame:
+    """(dataset, cycle, rows) as the rows themselves name their cycle (rows without one are left out)."""
+    out = None
+    for ds, column in CYCLE_COLUMN.items():
+        if ds in raws:
+            one = (raws[ds].select(F.right(F.col(column), F.lit(4)).alias("cycle")).filter("cycle IS NOT NULL")
+                   .groupBy("cycle").agg(F.count(F.lit(1)).alias("rows"))
+                   .select(F.lit(ds).alias("dataset"), "cycle", "rows"))
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
 def single_cycle_guard(stored: DataFrame, cycle: str) -> DataFrame:
     """The stored manifest's cycles against the requested one; a store
     holds one cycle, so any other cycle is refused (see ``assert_one_cycle``)."""
@@ -95,6 +113,3 @@ def assert_one_cycle(stored: DataFrame, cycle: str) -> None:
     if bad:
         raise ValueError(f"store is for cycle {bad[0]['cycle']}; refusing to mix cycle {cycle}")
 
-
-def empty_manifest(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], MANIFEST_SCHEMA)
