@@ -18,8 +18,20 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 PIECE_BYTES = 1 << 20
 
 
+#: Bytes of rows that go to a Python worker at once, where the session has Spark's default.
+BATCH_BYTES = 16 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Keep the batches of rows that Python workers get small: their copies add up in an executor."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == "67108864b":
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, whole."""
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -29,6 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
     Where it is unset, a temporary folder serves a ``local`` master; on a cluster that
     folder would be another one on each machine, so it is refused.
     """
+    bound_batches(spark)
     context = spark.sparkContext
     known = context.getConf().get("spark.checkpoint.dir", None)
     if known is None and context._jsc.sc().getCheckpointDir().isDefined():
@@ -113,6 +126,7 @@ def map_texts(docs: DataFrame, text: str, run: Callable[[Iterator[pa.RecordBatch
     ``run`` gets the columns row, text (nulls kept) and those of ``before``, and yields row, text and
     ``results`` (a schema). Rows go to Python and back once, each text once.
     """
+    bound_batches(docs.sparkSession)
     others = [F.col(f"`{c}`") for c in docs.columns if c != text]
     rows = docs.select(F.struct(F.lit(0).alias("_"), *others).alias("row"), F.col(text).cast("string").alias("text"), *[v.alias(k) for k, v in (before or {}).items()])
     return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, text string, {results}")
