@@ -264,7 +264,7 @@ def _m15(spark, sf):
 @register("candidate_profile")
 def _m16(spark, sf):
     s = S(spark, sf)
-    return profile.candidate_profile(_facts(s), s.links, _oos(s))
+    return profile.candidate_profile(profile.facts_with_pool(s.rollup, s.candidates), s.links)
 
 
 # ------------------------------------------------------------------ ranking (R)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moneytrail.functions.constants import HHI_CONCENTRATED, HHI_MODERATE
-from moneytrail.operators.views import as_rollup
+from moneytrail.operators.views import POSITIVE_BUCKETS, as_rollup
 from moneytrail.plans.joins import join_small
 
 DBL = T.DoubleType()
@@ -238,16 +238,61 @@ def oos_pool(oos_states: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ M16
-def candidate_profile(facts: DataFrame, links: DataFrame, oos: DataFrame) -> DataFrame:
+_FACTS = ["ind", "ind_count", "dpac_amt", "dpac_count", "ie_s", "ie_o", "raised", "backing",
+          "small_amt", "maxplus_amt", "maxplus_count"]
+
+
+def facts_with_pool(money: DataFrame, candidates: DataFrame) -> DataFrame:
+    """The facts and the out-of-state pool of every candidate, from one pass over the
+    money: summed per candidate and donor state first (pre-aggregated, so a candidate
+    with a third of all gifts is a few rows a task), then per candidate, where the
+    home state tells in-state from out-of-state sums."""
+    ch, amt, rows, bucket = F.col("channel"), F.col("amount"), F.col("n_rows"), F.col("size_bucket")
+    ind = ch == "individual"
+    states = as_rollup(money).groupBy(F.col("cand_id").alias("_cid"), "donor_state").agg(
+        _sum_if(ind).alias("ind"),
+        F.sum(F.when(ind, rows)).alias("ind_count"),
+        _sum_if(ch == "direct_pac").alias("dpac_amt"),
+        F.sum(F.when(ch == "direct_pac", rows)).alias("dpac_count"),
+        _sum_if(ch == "ie_support").alias("ie_s"),
+        _sum_if(ch == "ie_oppose").alias("ie_o"),
+        _sum_if(ch.isin("individual", "direct_pac")).alias("raised"),
+        _sum_if(ch != "ie_oppose").alias("backing"),
+        _sum_if(ind & (bucket == "1")).alias("small_amt"),
+        _sum_if(ind & (bucket == "4")).alias("maxplus_amt"),
+        F.sum(F.when(ind & (bucket == "4"), rows)).alias("maxplus_count"),
+        F.sum(F.when(ind & bucket.isin(*POSITIVE_BUCKETS), amt)).alias("_pos"))
+    who = ["CAND_ID", "CAND_NAME", "CAND_OFFICE", "CAND_OFFICE_ST", "CAND_OFFICE_DISTRICT",
+           "CAND_PTY_AFFILIATION", "CAND_ICI", "CAND_ELECTION_YR"]
+    j = candidates.select(*who).join(states, F.col("CAND_ID") == F.col("_cid"), "left")
+    state, home = F.col("donor_state"), F.col("CAND_OFFICE_ST")
+    away = F.when((state != home) & F.col("_pos").isNotNull(), F.col("_pos"))
+    exact = away.cast(T.DecimalType(18, 2))
+    top = F.min_by(F.struct(state.alias("s"), away.alias("a")),
+                   F.when(away.isNotNull(), F.struct(-away, state)))
+    agg = j.groupBy(*who).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _FACTS],
+        F.coalesce(F.sum(F.when(state == home, F.col("ind"))), F.lit(0)).alias("instate"),
+        F.sum(away).alias("oos_total"), F.count(away).alias("n_states"),
+        F.sum(exact * exact).alias("_sq"), top.alias("_top"))
+    total = dbl("oos_total")
+    hhi = F.when(total != 0, F.round(dbl("_sq") / (total * total), 12)).otherwise(F.lit(0.0))
+    return agg.select(
+        F.col("CAND_ID").alias("cand_id"), *who[1:], *_FACTS, "instate", "oos_total", "n_states",
+        F.col("_top.s").alias("top_state"),
+        F.when(total.isNotNull(), ratio(dbl("_top.a"), total, None)).alias("top_share"),
+        hhi.alias("hhi"),
+        F.when(hhi > HHI_CONCENTRATED, "concentrated").when(hhi > HHI_MODERATE, "moderate")
+         .otherwise("diffuse").alias("hhi_label"))
+
+
+def candidate_profile(pool: DataFrame, links: DataFrame) -> DataFrame:
     """M16 (flat): one row per candidate with at least one attributable
-    committee: totals, shares and the out-of-state pool summary."""
-    n = committee_count(links, facts.select(F.col("cand_id").alias("CAND_ID")))
-    n = n.filter(F.col("n_committees") > 0).withColumnRenamed("cand_id", "_nid")
-    o = oos.select(F.col("cand_id").alias("_oid"), "oos_total", "n_states", "top_state",
-                   "top_share", "hhi", "hhi_label")
-    p = (facts.select("*", *[c for c in share_columns()])
-         .join(n, F.col("cand_id") == F.col("_nid"))
-         .join(o, F.col("cand_id") == F.col("_oid"), "left"))
+    committee: totals, shares and the out-of-state pool summary (``pool``: see
+    ``facts_with_pool``)."""
+    n = links.groupBy(F.col("CAND_ID").alias("_nid")).agg(F.count(F.lit(1)).alias("n_committees"))
+    p = (pool.select("*", *[c for c in share_columns()])
+         .join(n, F.col("cand_id") == F.col("_nid")))
     return p.select(
         "cand_id", "CAND_NAME", "CAND_OFFICE", "CAND_OFFICE_ST", "CAND_OFFICE_DISTRICT",
         "CAND_PTY_AFFILIATION", "n_committees",
@@ -262,13 +307,13 @@ def candidate_profile(facts: DataFrame, links: DataFrame, oos: DataFrame) -> Dat
         F.coalesce(F.col("hhi_label"), F.lit("diffuse")).alias("hhi_label"))
 
 
-def candidate_profile_nested(facts: DataFrame, top_states: DataFrame, buckets: DataFrame,
+def candidate_profile_nested(pool: DataFrame, top_states: DataFrame, buckets: DataFrame,
                              blocs: DataFrame, top_pacs: DataFrame, top_ie: DataFrame,
-                             links: DataFrame, oos: DataFrame) -> DataFrame:
+                             links: DataFrame) -> DataFrame:
     """M16 (nested): the flat profile plus arrays of the small per-candidate
     lists (top states, buckets, blocs, top givers and spenders). Arrays are
     built only from already-limited rows (top-N or one row per bucket/tag)."""
-    flat = candidate_profile(facts, links, oos)
+    flat = candidate_profile(pool, links)
 
     def arr(df, name, order_cols, fields):
         return (df.groupBy(F.col("cand_id").alias("_k"))

@@ -85,7 +85,7 @@ def cohort_ranking(spark: SparkSession, source: str | Store, office: str | None
     s = _store(spark, source)
     base = reports.rank_base(s.rollup, s.candidates, office, state, incumbents, min_individual)
     cr = rank.CohortRanking(base, reports.rank_interest_categories(s.rollup), limit)
-    return rank.rank_display_fields(cr.ranking)
+    return rank.rank_display_fields(cr.ranking).orderBy("rank")
 
 
 def export_angles(spark: SparkSession, source: str | Store, out_dir: str,

@@ -31,27 +31,29 @@ def test_raw_and_curated_counts_agree(spark):
     assert df.filter(~F.col("equal")).count() == 0
 
 
-def test_refresh_with_nothing_new(spark):
-    st = {r.status for r in E.queries()["snapshot_changes"](spark, SF).collect()}
-    assert st == {"unchanged"}
-    assert E.queries()["rebuild_set"](spark, SF).count() == 0
-
-
-def test_profile_not_stale(spark):
-    assert E.queries()["profile_staleness"](spark, SF).count() == 0
+def test_nothing_new_nothing_to_do(spark):
+    from moneytrail.operators import quality
+    from moneytrail.plans.store import Store
+    from moneytrail.sources.schemas import TABLE_OF_DATASET
+    from moneytrail.streaming import refresh
+    s = Store.open(spark, SF)
+    changes = refresh.snapshot_changes(refresh.manifest(s.raws(), "2026"), s.manifest())
+    assert {r.status for r in changes.collect()} == {"unchanged"}
+    have = spark.createDataFrame([(t,) for t in TABLE_OF_DATASET.values()], "table string")
+    assert refresh.rebuild_set(changes, have, TABLE_OF_DATASET).count() == 0
+    now = quality.table_profile(s.curated_tables())
+    assert quality.profile_staleness(now, now).count() == 0
 
 
 def test_nested_profile_arrays_are_bounded(spark):
     from moneytrail.operators import profile, reports
     from moneytrail.plans.store import Store
     s = Store.open(spark, SF)
-    facts = profile.candidate_facts(s.rollup, s.candidates)
-    oos = profile.oos_pool(reports.candidate_oos_states(s.rollup, s.candidates))
     nested = profile.candidate_profile_nested(
-        facts, reports.candidate_top_states(s.rollup), reports.candidate_buckets(s.rollup),
+        profile.facts_with_pool(s.rollup, s.candidates), reports.candidate_top_states(s.rollup), reports.candidate_buckets(s.rollup),
         reports.candidate_interest_blocs(s.rollup),
         reports.candidate_top_direct_pac(s.contributions, s.committees),
-        reports.candidate_top_ie_spenders(s.clean_ie), s.links, oos)
+        reports.candidate_top_ie_spenders(s.clean_ie), s.links)
     flat = E.queries()["candidate_profile"](spark, SF)
     assert nested.count() == flat.count() > 0
     worst = nested.select(F.max(F.size("states")).alias("st"), F.max(F.size("buckets")).alias("b"),

@@ -3,8 +3,6 @@ import bisect
 import random
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
 from moneytrail.functions.ranking import count_strictly_below, global_row_number
 from moneytrail.operators import rank
 
@@ -32,23 +30,19 @@ def test_percentile_is_strictly_below_over_n(spark):
     assert got == {"0": 0, "1": 1, "2": 1, "3": 3}  # rank - 1, not percent_rank
 
 
-def test_distributed_prefix_path_matches_window(spark):
+def test_prefix_counts_match_windows(spark):
     rnd = random.Random(7)
-    rows = [(str(i), rnd.choice("ab"), float(rnd.randint(0, 40))) for i in range(500)]
+    # values in, below and above the steps of the coarse key, and one value that a third of the rows share
+    draw = [lambda: 0.25, rnd.random, lambda: rnd.uniform(-3, 3), lambda: float(rnd.randint(0, 40)), lambda: rnd.random() / 5000]
+    rows = [(f"H{i:08d}", rnd.choice("ab"), draw[i % 5 if i % 3 else 0]()) for i in range(600)]
     df = spark.createDataFrame(rows, "id string, signal string, value double")
-    a = {r.id: r.below for r in count_strictly_below(df, ["signal"], "value").collect()}
-    b = {r.id: r.below for r in count_strictly_below(df, ["signal"], "value", "below",
-                                                     max_rows_single_task=0).collect()}
-    assert a == b
+    below = {r.id: r.below for r in count_strictly_below(df, ["signal"], "value").collect()}
     for sig in "ab":
         vs = sorted(v for _, s, v in rows if s == sig)
-        for i, s, v in rows:
-            if s == sig:
-                assert a[i] == bisect.bisect_left(vs, v)
-    order = [F.col("value").desc(), F.col("id")]
-    r1 = {r.id: r.rank for r in global_row_number(df, order).collect()}
-    r2 = {r.id: r.rank for r in global_row_number(df, order, max_rows_single_task=0).collect()}
-    assert r1 == r2 and sorted(r1.values()) == list(range(1, 501))
+        assert all(below[i] == bisect.bisect_left(vs, v) for i, s, v in rows if s == sig)
+    rank_of = {r.id: r["rank"] for r in global_row_number(df, "value", "id").collect()}
+    ordered = sorted(rows, key=lambda r: (-r[2], r[0]))
+    assert [rank_of[r[0]] for r in ordered] == list(range(1, 601))
 
 
 def reference_headlines(members, cats):
@@ -95,7 +89,7 @@ def test_headlines_match_restatement(spark):
     cats = [(m[0], rnd.choice(["A", "B", "C"]), rnd.randint(-5, 40) * 1000)
             for m in members if rnd.random() < .5]
     cats = list({(c, t): (c, t, a) for c, t, a in cats}.values())
-    cr = rank.CohortRanking(base_frame(spark, members), cats_frame(spark, cats), materialize=False)
+    cr = rank.CohortRanking(base_frame(spark, members), cats_frame(spark, cats))
     got = {r.cand_id: (r.headline, r.headline_pctile) for r in cr.headline.collect()}
     exp = reference_headlines(members, cats)
     assert got.keys() == exp.keys()
@@ -106,7 +100,7 @@ def test_headlines_match_restatement(spark):
 
 def test_cohort_of_one_and_ties(spark):
     cr = rank.CohortRanking(base_frame(spark, [("H1", 100000, 0, 0, 0, 0)]),
-                            cats_frame(spark, []), materialize=False)
+                            cats_frame(spark, []))
     r = cr.ranking.collect()
     assert len(r) == 1 and r[0]["rank"] == 1
     # alone: every percentile is 0; out-of-state (1.0 >= .40) wins the tie by order
@@ -116,11 +110,11 @@ def test_cohort_of_one_and_ties(spark):
 def test_no_standout(spark):
     cr = rank.CohortRanking(base_frame(spark, [("H1", 100000, 100000, 50000, 0, 0),
                                                ("H2", 100000, 100000, 60000, 0, 0)]),
-                            cats_frame(spark, []), materialize=False)
+                            cats_frame(spark, []))
     heads = {r.cand_id: r.headline for r in cr.headline.collect()}
     assert heads == {"H1": "(balanced / no standout)", "H2": "(balanced / no standout)"}
 
 
 def test_empty_cohort(spark):
-    cr = rank.CohortRanking(base_frame(spark, []), cats_frame(spark, []), materialize=False)
+    cr = rank.CohortRanking(base_frame(spark, []), cats_frame(spark, []))
     assert cr.ranking.count() == 0 and cr.percentiles.count() == 0
