@@ -12,10 +12,11 @@ committer writes the files, so lost or repeated tasks leave no halves, and each
 
 Tokenising gives what the tokenizers library gives for the whole text, at a fraction of its time: the
 byte-level vocabulary's pattern never lets a token cross the place before a space that a visible character
-follows, so texts are cut there (in numpy), and each distinct unit (known by 128 bits of hashes) is encoded
-by the library once per worker process and kept, up to ``CACHE_UNITS``. The pre-tokens of ASCII units and of
-letters with end signs go to the library's BPE model directly; all other units through its whole encoder,
-and so does, in one piece, a text with white space other than space, tab and line ends.
+follows, between an ASCII letter and a sign, or before a line end, so texts are cut there (in numpy), and each
+distinct unit (known by 128 bits of hashes) is encoded by the library once per worker process and kept, up to
+``CACHE_UNITS``. The pre-tokens of words and of ASCII units go to the library's BPE model directly; all other
+units through its whole encoder, and so does, in one piece, a text with white space other than space, tab and
+line ends.
 
 Defined cases: a null or empty text is its end id alone; null doc_ids come first; rows of one doc_id are
 ordered by a hash of their texts; an empty table gives no files' rows; other columns are not written.
@@ -28,6 +29,7 @@ import sys
 import types
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +44,7 @@ END_ID = 0
 BLOCK_TOKENS = 1 << 20
 #: Bytes of text in one file, on average.
 FILE_BYTES = 24 << 20
-CACHE_UNITS, CACHE_IDS, CACHE_WORDS = 1_200_000, 12_000_000, 150_000
+CACHE_UNITS, CACHE_IDS = 1_500_000, 16_000_000
 #: Up to so many blocks their offsets are broadcast (24 bytes each), beyond it they are joined by a shuffle.
 BROADCAST_BLOCKS = 100_000
 
@@ -50,6 +52,9 @@ FILE = "part int, block int, doc_ids array<bigint>, sizes array<bigint>, ranks b
 
 #: Bytes that may follow a space at which a text is cut (white space may not).
 _VISIBLE = np.array([b > 32 and b != 127 for b in range(256)])
+_LETTER = np.array([65 <= b < 91 or 97 <= b < 123 for b in range(256)])
+_SIGN = np.array([33 <= b < 48 or 58 <= b < 65 or 91 <= b < 97 or 123 <= b < 127 for b in range(256)])
+_LINE_END = np.array([9 <= b < 14 for b in range(256)])
 # UTF-8 forms of white space (and of format signs that some classes count as such) beyond tab, line ends and space
 _ODD_SINGLE = np.arange(0x1C, 0x20)
 _ODD_PAIRS = np.array([0xC285, 0xC2A0])
@@ -118,7 +123,6 @@ class Units:
 
     def _forget(self) -> None:
         self.table, self.check = Table(), np.zeros(0, np.uint64)
-        self.words: dict[str, tuple[int, ...]] = {}
         self.starts, self.sizes, self.flat, self.n_flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1 << 16, np.uint32), 0
 
     def _hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
@@ -132,31 +136,23 @@ class Units:
             out.append(mix((total[ends] - total[starts]) * self.down[k][starts]))
         return out
 
-    def _word(self, word: str) -> tuple[int, ...]:
-        """Ids of one pre-token (a space or none, then letters only or signs only)."""
-        ids = self.words.get(word)
-        if ids is None:
-            mapped = word.replace(" ", "Ġ") if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(_BYTE_NAMES)
-            ids = self.words[word] = tuple(t.id for t in self.tokenizer.model.tokenize(mapped))
-        return ids
-
-    def _unit(self, unit: str) -> tuple[int, ...] | list[int]:
-        body = unit[1:] if unit[0] == " " else unit
-        if body.isalpha():
-            return self._word(unit)
-        core = body.rstrip(".,;:!?")
-        if core.isalpha():
-            at = len(unit) - len(body) + len(core)
-            return self._word(unit[:at]) + self._word(unit[at:])
+    def _bpe(self, word: str) -> list[int]:
+        """Ids of one pre-token."""
+        mapped = word.replace(" ", "Ġ") if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(_BYTE_NAMES)
+        return [t.id for t in self.tokenizer.model.tokenize(mapped)]
+
+    def _unit(self, unit: str) -> list[int]:
+        if unit.isalpha() or unit[0] == " " and unit[1:].isalpha():
+            return self._bpe(unit)
         if unit.isascii():
-            return [i for word in _ASCII_PATTERN.findall(unit) for i in self._word(word)]
+            return [i for word in _ASCII_PATTERN.findall(unit) for i in self._bpe(word)]
         return self.tokenizer.encode(unit, add_special_tokens=False).ids
 
     def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: np.ndarray, check: np.ndarray) -> None:
         raw = data.tobytes()
         ids = [self._unit(raw[a:b].decode()) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        new = np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))
+        new = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
         if self.n_flat + len(new) > len(self.flat):
             self.flat = np.concatenate([self.flat[: self.n_flat], np.zeros(self.n_flat + 2 * len(new), np.uint32)])
         self.flat[self.n_flat : self.n_flat + len(new)] = new
@@ -170,8 +166,6 @@ class Units:
         """(ids of all texts, each with its end id, and how many each has); text i is ``data[offsets[i]:offsets[i + 1]]``."""
         if self.table.n > CACHE_UNITS or self.n_flat > CACHE_IDS:
             self._forget()
-        if len(self.words) > CACHE_WORDS:
-            self.words = {}
         begins = _unit_starts(data, offsets)
         ends = np.append(begins[1:], len(data))[: len(begins)]
         key, check = self._hashes(data, begins, ends)
@@ -199,11 +193,13 @@ class Units:
 
 
 def _unit_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where units begin: at texts' starts and at spaces that a visible character follows; texts with odd spaces are one unit."""
+    """Where units begin: at texts' starts, at spaces that a visible character follows, at signs after
+    ASCII letters and at line ends and tabs after visible characters; texts with odd spaces are one unit."""
     n = len(data)
     cut = np.zeros(n + 1, bool)
     if n > 1:
         cut[: n - 1] = (data[:-1] == 32) & _VISIBLE[data[1:]]
+        cut[1:n] |= _LETTER[data[:-1]] & _SIGN[data[1:]] | _VISIBLE[data[:-1]] & _LINE_END[data[1:]]
     inner = offsets[(offsets > 0) & (offsets < n)]
     cut[inner - 1] = False  # a space that ends a text has nothing behind it
     lead = np.flatnonzero(_ODD_LEAD[data])
