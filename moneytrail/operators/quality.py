@@ -213,6 +213,13 @@ def dictionary_tag_report(entries: DataFrame, committees: DataFrame) -> DataFram
         F.count(F.when(~known, 1)).alias("unknown"))
 
 
+def unknown_dictionary_ids(entries: DataFrame, committees: DataFrame) -> DataFrame:
+    """The dictionary rows (cmte_id, category, notes) whose committee is not known:
+    what the load leaves out."""
+    ids = committees.select(F.col("CMTE_ID").alias("_id"))
+    return entries.join(ids, F.col("cmte_id") == F.col("_id"), "left_anti")
+
+
 def tag_conflicts(entries: DataFrame) -> DataFrame:
     """Committees listed under more than one category."""
     return (entries.groupBy("cmte_id")

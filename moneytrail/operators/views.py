@@ -159,7 +159,7 @@ def as_rollup(money: DataFrame, small_max=None, near_max=None) -> DataFrame:
     if "n_rows" in money.columns:
         if small_max is not None or near_max is not None:
             from moneytrail.functions.constants import NEAR_MAX, SMALL_MAX
-            if (small_max or SMALL_MAX) != SMALL_MAX or (near_max or NEAR_MAX) != NEAR_MAX:
+            if (SMALL_MAX if small_max is None else small_max) != SMALL_MAX or (NEAR_MAX if near_max is None else near_max) != NEAR_MAX:
                 raise ValueError("non-default bucket bounds need the row-level money fact")
         return money
     return money.select("cand_id", "channel", "donor_state", "interest_category",

@@ -75,3 +75,21 @@ def test_cohort_filters_restrict_rank_base(spark):
     state = s.candidates.first().CAND_OFFICE_ST
     st = reports.rank_base(s.rollup, s.candidates, state=state.lower(), min_individual=0)
     assert {r.CAND_OFFICE_ST for r in st.collect()} <= {state}
+
+
+def test_unknown_dictionary_ids_are_listed(spark):
+    from moneytrail.operators import quality
+    from moneytrail.plans.store import Store
+    s = Store.open(spark, SF)
+    rows = quality.unknown_dictionary_ids(s.interest_entries(), s.committees).collect()
+    report = E.queries()["dictionary_tag_report"](spark, SF).collect()
+    assert len(rows) == sum(r.unknown for r in report) > 0
+    assert {r.cmte_id[:2] for r in rows} == {"C8"}
+
+
+def test_a_bound_of_zero_is_a_bound(spark):
+    from moneytrail.operators import reports
+    from moneytrail.plans.store import Store
+    s = Store.open(spark, SF)
+    codes = {r.bucket[:1] for r in reports.candidate_buckets(s.money, small_max=0).collect()}
+    assert "1" not in codes and codes
