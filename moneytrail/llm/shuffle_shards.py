@@ -35,9 +35,9 @@ def shuffled(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", sha
     total, n_rows = docs.agg(F.sum(record_size(F.col(text))), F.count("*")).first()
     n_buckets = max(1, -(-(total or 0) // bucket_bytes))
     mark = F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text))
-    keyed = docs.select(F.pmod(mark, F.lit(n_buckets)).alias("bucket"), F.struct(F.xxhash64(F.lit(seed + 1), F.col(doc_id), F.col(text)).alias("order"), F.struct("*").alias("row")).alias("record"))
+    keyed = docs.select(F.pmod(mark, F.lit(n_buckets)).cast("int").alias("bucket"), F.struct(F.xxhash64(F.lit(seed + 1), F.col(doc_id), F.col(text)).alias("order"), F.struct("*").alias("row")).alias("record"))
     offsets = cut(offsets_before(keyed.groupBy("bucket").agg(F.count("*").alias("n")), "bucket"))
-    dealt = keyed.repartition(n_buckets, "bucket").groupBy("bucket").agg(F.sort_array(F.collect_list("record")).alias("records"))
+    dealt = keyed.repartitionById(n_buckets, "bucket").groupBy("bucket").agg(F.sort_array(F.collect_list("record")).alias("records"))
     dealt = dealt.sortWithinPartitions("bucket").select("bucket", F.shuffle("records", seed).alias("records"))
     placed = dealt.join(F.broadcast(offsets) if n_buckets <= BROADCAST_BUCKETS else offsets, "bucket").select("offset", F.posexplode("records").alias("pos", "record"))
     n = max(1, n_rows)
