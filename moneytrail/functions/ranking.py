@@ -29,46 +29,55 @@ def _coarse(value: Column) -> Column:
     return F.greatest(F.lit(-1), F.least(F.lit(STEPS), F.floor(value * STEPS))).cast("int")
 
 
-def running_before(df: DataFrame, part_cols: list[str], levels: list[tuple[str, Column, bool]],
-                   weight: str, out: str) -> DataFrame:
+Key = tuple[str, Column, bool]  # name, value, descending
+
+
+def running_before(df: DataFrame, part_cols: list[str], levels: list[list[Key]],
+                   weight: str, out: str, total: str | None = None) -> DataFrame:
     """Add ``out`` = sum of ``weight`` over the rows of the same group that come
-    strictly before in the order of ``levels``: (name, key, descending), each
-    refining the one before; the last level must be unique within the others."""
-    names = [n for n, _, _ in levels]
-    rows = df.select("*", *[k.alias(n) for n, k, _ in levels])
+    strictly before in the order of ``levels``, and, as ``total``, the sum over the
+    group. Each level is a list of keys that refines the levels before it; the last
+    must be unique within the others."""
+    rows = df.select("*", *[k.alias(n) for level in levels for n, k, _ in level])
     before: DataFrame | None = None
-    for i, (name, _, desc) in enumerate(levels):
-        keys = [*part_cols, *names[:i]]
-        w = (Window.partitionBy(*keys).orderBy(F.col(name).desc() if desc else F.col(name).asc())
-             .rowsBetween(Window.unboundedPreceding, -1))
+    keys = list(part_cols)
+    for i, level in enumerate(levels):
+        names = [n for n, _, _ in level]
+        order = [F.col(n).desc() if desc else F.col(n).asc() for n, _, desc in level]
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         here = F.coalesce(F.sum("_w").over(w), F.lit(0))
         if i == len(levels) - 1:
-            found = rows.withColumn("_w", F.col(weight)).withColumn("_here", here).drop("_w")
+            found = rows.withColumn("_w", F.col(weight))
         else:
-            found = (rows.groupBy(*keys, name).agg(F.sum(weight).alias("_w"))
-                     .withColumn("_here", here).drop("_w"))
+            found = rows.groupBy(*keys, *names).agg(F.sum(weight).alias("_w"))
+        if i == 0 and total is not None:
+            found = found.withColumn(total, F.sum("_w").over(Window.partitionBy(*keys)))
+        found = found.withColumn("_here", here).drop("_w")
         if before is None:
             before = found.withColumnRenamed("_here", "_before")
         else:
             before = (found.join(before, keys)
                       .withColumn("_before", F.col("_before") + F.col("_here")).drop("_here"))
-    return before.withColumnRenamed("_before", out).drop(*names)
+        keys += names
+    return before.withColumnRenamed("_before", out).drop(*[n for level in levels for n, _, _ in level])
 
 
 def count_strictly_below(df: DataFrame, part_cols: list[str], value: str,
-                         out: str = "below") -> DataFrame:
+                         out: str = "below", present: str | None = None) -> DataFrame:
     """Add ``out`` = number of rows of the same group with a strictly smaller
-    ``value`` (equal values share the count, like ``rank() - 1``)."""
+    ``value`` (equal values share the count, like ``rank() - 1``), and, as
+    ``present``, the number of rows of the group."""
     vc = df.groupBy(*part_cols, value).agg(F.count(F.lit(1)).alias("_m"))
-    levels = [("_l1", _coarse(F.col(value)), False), ("_l2", F.col(value), False)]
-    ranked = running_before(vc, part_cols, levels, "_m", out).drop("_m")
-    return df.join(ranked, [*part_cols, value])
+    levels = [[("_l1", _coarse(F.col(value)), False)], [("_l2", F.col(value), False)]]
+    ranked = running_before(vc, part_cols, levels, "_m", out, present)
+    return df.join(ranked.drop("_m"), [*part_cols, value])
 
 
 def global_row_number(df: DataFrame, value: str, key: str, out: str = "rank") -> DataFrame:
     """Add ``out`` = 1-based position by ``value`` descending, then by the
     unique ``key`` ascending."""
-    levels = [("_l1", _coarse(F.col(value)), True), ("_l2", F.col(value), True),
-              ("_l3", F.substring(key, 1, ID_PREFIX), False), ("_l4", F.col(key), False)]
+    levels = [[("_l1", _coarse(F.col(value)), True)],
+              [("_l2", F.col(value), True), ("_l3", F.substring(key, 1, ID_PREFIX), False)],
+              [("_l4", F.col(key), False)]]
     r = running_before(df.withColumn("_one", F.lit(1)), [], levels, "_one", "_before")
     return r.withColumn(out, (F.col("_before") + 1).cast("long")).drop("_one", "_before")

@@ -242,6 +242,10 @@ _FACTS = ["ind", "ind_count", "dpac_amt", "dpac_count", "ie_s", "ie_o", "raised"
           "small_amt", "maxplus_amt", "maxplus_count"]
 
 
+def _dollars(cents: str) -> Column:
+    return (F.col(cents).cast(T.DecimalType(20, 0)) * F.lit(0.01).cast(T.DecimalType(3, 2))).cast(T.DecimalType(24, 2))
+
+
 def facts_with_pool(money: DataFrame, candidates: DataFrame) -> DataFrame:
     """The facts and the out-of-state pool of every candidate, from one pass over the
     money: summed per candidate and donor state first (pre-aggregated, so a candidate
@@ -249,7 +253,9 @@ def facts_with_pool(money: DataFrame, candidates: DataFrame) -> DataFrame:
     home state tells in-state from out-of-state sums."""
     ch, amt, rows, bucket = F.col("channel"), F.col("amount"), F.col("n_rows"), F.col("size_bucket")
     ind = ch == "individual"
-    states = as_rollup(money).groupBy(F.col("cand_id").alias("_cid"), "donor_state").agg(
+    # whole cents add up exactly as longs, several times faster than wide decimals
+    cents = as_rollup(money).withColumn("amount", (amt * 100).cast("bigint"))
+    states = cents.groupBy(F.col("cand_id").alias("_cid"), "donor_state").agg(
         _sum_if(ind).alias("ind"),
         F.sum(F.when(ind, rows)).alias("ind_count"),
         _sum_if(ch == "direct_pac").alias("dpac_amt"),
@@ -267,7 +273,7 @@ def facts_with_pool(money: DataFrame, candidates: DataFrame) -> DataFrame:
     j = candidates.select(*who).join(states, F.col("CAND_ID") == F.col("_cid"), "left")
     state, home = F.col("donor_state"), F.col("CAND_OFFICE_ST")
     away = F.when((state != home) & F.col("_pos").isNotNull(), F.col("_pos"))
-    exact = away.cast(T.DecimalType(18, 2))
+    exact = away.cast(T.DecimalType(18, 0))
     top = F.min_by(F.struct(state.alias("s"), away.alias("a")),
                    F.when(away.isNotNull(), F.struct(-away, state)))
     agg = j.groupBy(*who).agg(
@@ -275,12 +281,15 @@ def facts_with_pool(money: DataFrame, candidates: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.when(state == home, F.col("ind"))), F.lit(0)).alias("instate"),
         F.sum(away).alias("oos_total"), F.count(away).alias("n_states"),
         F.sum(exact * exact).alias("_sq"), top.alias("_top"))
-    total = dbl("oos_total")
-    hhi = F.when(total != 0, F.round(dbl("_sq") / (total * total), 12)).otherwise(F.lit(0.0))
+    total = _dollars("oos_total").cast(DBL)
+    squares = (F.col("_sq").cast(T.DecimalType(33, 0)) * F.lit(0.0001).cast(T.DecimalType(4, 4))).cast(DBL)
+    hhi = F.when(total != 0, F.round(squares / (total * total), 12)).otherwise(F.lit(0.0))
+    facts = [F.col(c) if c.endswith("_count") else _dollars(c).alias(c) for c in _FACTS]
     return agg.select(
-        F.col("CAND_ID").alias("cand_id"), *who[1:], *_FACTS, "instate", "oos_total", "n_states",
+        F.col("CAND_ID").alias("cand_id"), *who[1:], *facts, _dollars("instate").alias("instate"),
+        _dollars("oos_total").alias("oos_total"), "n_states",
         F.col("_top.s").alias("top_state"),
-        F.when(total.isNotNull(), ratio(dbl("_top.a"), total, None)).alias("top_share"),
+        F.when(total.isNotNull(), ratio(_dollars("_top.a").cast(DBL), total, None)).alias("top_share"),
         hhi.alias("hhi"),
         F.when(hhi > HHI_CONCENTRATED, "concentrated").when(hhi > HHI_MODERATE, "moderate")
          .otherwise("diffuse").alias("hhi_label"))

@@ -54,43 +54,46 @@ def rank_signals(base: DataFrame) -> DataFrame:
     )
 
 
-def rank_category_shares(signals: DataFrame, categories: DataFrame) -> DataFrame:
-    """R2 (sparse): share of backing per (member, tag) for every tag the member
+def members(signals: DataFrame, categories: DataFrame) -> DataFrame:
+    """The signals with ``tags``: an array of (tag, share) for every tag the member
     has money in. Members absent for a tag have share 0 for it (implicit)."""
-    s = signals.select(F.col("cand_id").alias("_cid"), "backing")
-    j = categories.join(s, F.col("cand_id") == F.col("_cid"))
-    amount = F.coalesce(F.col("amount"), F.lit(0)).cast(DBL)  # float(amt or 0)
-    share = F.when(F.col("backing") != 0, amount / F.col("backing")).otherwise(F.lit(0.0))
-    return j.select("cand_id", F.col("interest_category").alias("tag"), share.alias("share"))
+    own = categories.groupBy(F.col("cand_id").alias("_cid")).agg(
+        F.collect_list(F.struct(F.col("interest_category").alias("tag"), "amount")).alias("_tags"))
+    amount = lambda t: F.coalesce(t["amount"], F.lit(0)).cast(DBL)  # noqa: E731  float(amt or 0)
+    share = lambda t: F.when(F.col("backing") != 0, amount(t) / F.col("backing")).otherwise(0.0)
+    tags = F.transform("_tags", lambda t: F.struct(t["tag"].alias("tag"), share(t).alias("share")))
+    j = signals.join(own, F.col("cand_id") == F.col("_cid"), "left")
+    return j.select(*signals.columns, F.coalesce(tags, F.array()).alias("tags"))
+
+
+def rank_category_shares(members: DataFrame) -> DataFrame:
+    """R2 (sparse): share of backing per (member, tag) for every tag the member
+    has money in."""
+    return members.select("cand_id", F.explode("tags").alias("t")).select("cand_id", "t.tag", "t.share")
 
 
-def _signals_long(signals: DataFrame, cat_shares: DataFrame) -> DataFrame:
+def _signals_long(members: DataFrame) -> DataFrame:
     """(cand_id, signal, label, signal_order, floor, value): the cohort's four
-    signals by one explode, and the tag shares."""
-    each = F.explode(F.array(*[
-        F.struct(F.lit(sid).alias("signal"), F.lit(label).alias("label"),
-                 F.lit(order).alias("signal_order"), F.lit(floor).alias("floor"),
-                 F.col(sid).alias("value"))
-        for sid, label, floor, order in SIGNALS])).alias("s")
-    tags = cat_shares.select("cand_id", F.concat(F.lit("tag:"), F.col("tag")).alias("signal"),
-                             F.col("tag").alias("label"),
-                             F.lit(TAG_SIGNAL_ORDER).alias("signal_order"),
-                             F.lit(FLOOR_BLOC).alias("floor"), F.col("share").alias("value"))
-    return signals.select("cand_id", each).select("cand_id", "s.*").unionByName(tags)
-
-
-def rank_percentiles(signals: DataFrame, cat_shares: DataFrame) -> DataFrame:
+    signals and its tag shares, by one explode."""
+    def row(signal, label, order, floor, value):
+        return F.struct(signal.alias("signal"), label.alias("label"), F.lit(order).alias("signal_order"),
+                        F.lit(floor).alias("floor"), value.alias("value"))
+
+    base = F.array(*[row(F.lit(sid), F.lit(label), order, floor, F.col(sid))
+                     for sid, label, floor, order in SIGNALS])
+    tags = F.transform("tags", lambda t: row(F.concat(F.lit("tag:"), t["tag"]), t["tag"],
+                                             TAG_SIGNAL_ORDER, FLOOR_BLOC, t["share"]))
+    return members.select("cand_id", F.explode(F.concat(base, tags)).alias("s")).select("cand_id", "s.*")
+
+
+def rank_percentiles(members: DataFrame) -> DataFrame:
     """Percentile of each (member, signal) value within the cohort:
     (#members whose value is strictly below) / cohort size. For tag signals the
     absent members count as zeros."""
-    long = _signals_long(signals, cat_shares)
-    # rows present per signal, and the cohort size (every member has the base
-    # signals): one row, which meets every signal's row by a constant key
-    present = long.groupBy("signal").agg(F.count(F.lit(1)).alias("_present"))
-    cohort = signals.agg(F.count(F.lit(1)).alias("_n")).withColumn("_k", F.lit(1))
-    stats = (present.withColumn("_k", F.lit(1)).join(F.broadcast(cohort), "_k").drop("_k"))
-    below = count_strictly_below(long, ["signal"], "value", "_below")
-    j = below.join(stats, "signal")
+    # the cohort's size is one row, which meets every row by a constant key
+    cohort = members.agg(F.count(F.lit(1)).alias("_n")).withColumn("_k", F.lit(1))
+    below = count_strictly_below(_signals_long(members), ["signal"], "value", "_below", "_present")
+    j = below.withColumn("_k", F.lit(1)).join(F.broadcast(cohort), "_k")
     zeros_below = F.when(F.col("value") > 0, F.col("_n") - F.col("_present")).otherwise(F.lit(0))
     pct = (F.col("_below") + zeros_below).cast(DBL) / F.col("_n").cast(DBL)
     return j.select("cand_id", "signal", "label", "signal_order", "floor", "value",
@@ -142,22 +145,25 @@ def rank_display_fields(ranking: DataFrame) -> DataFrame:
 
 
 class CohortRanking:
-    """R1-R6 over one cohort: lazy frames, nothing runs while they are built."""
+    """R1-R6 over one cohort. Frames are lazy: nothing runs while they are built. The
+    members (a row each) feed several branches, so Spark is asked to keep them once
+    they are computed; what a lost executor takes with it is computed again."""
 
     def __init__(self, base: DataFrame, categories: DataFrame, limit: int = 0):
-        self.base, self.categories, self.limit = base, categories, limit
+        self.limit = limit
+        self.members = members(rank_signals(base), categories).persist()
 
     @property
     def signals(self) -> DataFrame:
-        return rank_signals(self.base)
+        return self.members.drop("tags")
 
     @property
     def category_shares(self) -> DataFrame:
-        return rank_category_shares(self.signals, self.categories)
+        return rank_category_shares(self.members)
 
     @property
     def percentiles(self) -> DataFrame:
-        return rank_percentiles(self.signals, self.category_shares)
+        return rank_percentiles(self.members)
 
     @property
     def eligible(self) -> DataFrame:
