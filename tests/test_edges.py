@@ -51,9 +51,22 @@ def test_candidate_without_committee(spark):
     n = {r.cand_id: r.n_committees for r in profile.committee_count(links, c).collect()}
     assert n == {"H1": 1, "H2": 0}
     m = money(spark, [("H1", "individual", "10", "NM")])
-    facts = profile.candidate_facts(m, c)
-    oos = profile.oos_pool(reports.candidate_oos_states(m, c))
-    assert [r.cand_id for r in profile.candidate_profile(facts, links, oos).collect()] == ["H1"]
+    pool = profile.facts_with_pool(m, c)
+    assert [r.cand_id for r in profile.candidate_profile(pool, links).collect()] == ["H1"]
+
+
+def test_one_pass_facts_equal_the_separate_ones(spark):
+    rows = [("H1", "individual", "0.1", "NM"), ("H1", "individual", "250.55", "TX"), ("H1", "individual", "-3", "TX"),
+            ("H1", "individual", "7", "CA"), ("H1", "direct_pac", "12.34", None), ("H2", "ie_oppose", "5", None)]
+    m, c = money(spark, rows), cands(spark, [("H1", "NM"), ("H2", "TX"), ("H3", "TX")])
+    one = {r.cand_id: r.asDict() for r in profile.facts_with_pool(m, c).collect()}
+    for r in profile.candidate_facts(m, c).collect():
+        own = one[r.cand_id]
+        assert {k: v for k, v in r.asDict().items() if k in own} == {k: own[k] for k in r.asDict() if k in own}
+    for r in profile.oos_pool(reports.candidate_oos_states(m, c)).collect():
+        own = one[r.cand_id]
+        assert (r.oos_total, r.n_states, r.top_state, r.top_share, r.hhi, r.hhi_label) == (
+            own["oos_total"], own["n_states"], own["top_state"], own["top_share"], own["hhi"], own["hhi_label"])
 
 
 def test_unknown_tag_ids_are_reported(spark):
