@@ -68,7 +68,7 @@ def context_runs(stream: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         part = stream[low:b].astype(np.uint64)
         grams = part[a - low :].copy()
         for j in range(1, ORDER + 1):
-            before = part[max(0, a - low - j) : b - low - j]
+            before = part[max(0, a - low - j) : max(0, b - low - j)]
             grams[len(grams) - len(before) :] |= before << np.uint64(8 * j)
         at = np.flatnonzero(stream[a:b] != PAD)
         yield at + a, grams[at]
@@ -125,7 +125,8 @@ class Trie:
             own = grams[rest] & np.uint64((1 << 8 * (k + 1)) - 1)
             context = self.contexts[k].find(own >> np.uint64(8))
             seen = context >= 0
-            stats = np.where(seen[:, None], self.stats[k][context] if len(self.stats[k]) else 0.0, 0.0)
+            stats = np.zeros((len(rest), 3))
+            stats[seen] = self.stats[k][context[seen]]
             total, distinct = stats[:, 0] - excluded[:, 0], stats[:, 1] - excluded[:, 1]
             symbol = self.symbols[k].find(own)
             hit = symbol >= 0
