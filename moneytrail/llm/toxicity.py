@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from moneytrail.llm.common import filled, input_columns, map_texts, row_ranges
 from moneytrail.llm.words import ALNUM, Words
 
-SAMPLE_ROWS, SAMPLE_BYTES = 6_000, 48 << 20
+SAMPLE_ROWS, SAMPLE_BYTES = 6_000, 24 << 20
 PREFIXES = (3, 4, 5, 6)
 BUCKETS, DIMENSIONS, FILTERS, WIDTHS = 1 << 19, 8, 8, (1, 2, 3)
 EPOCHS, BATCH, RATE = 3, 32, 0.02
