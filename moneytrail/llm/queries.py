@@ -65,4 +65,34 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_document_fingerprints, op2_token_ids, op3_simhash_near_dedup, op4_benchmark_decontamination, op5_mixing_sources, op6_toxicity, op7_warc, op8_pii, op9_lm_scoring, op10_sharding)}
-ORACLE: dict[str, str] = {"op5_mixing_sources": mixing.SQL}
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+#: The same results in DuckDB, by a join of all windows (op4) and a window over equal texts (op7).
+ORACLE: dict[str, str] = {
+    "op4_benchmark_decontamination": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+item_windows AS (
+    SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS g
+    FROM (SELECT item_id, w, least(13, len(w)) AS k, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+doc_windows AS (
+    SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS g
+    FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d JOIN (SELECT DISTINCT k FROM item_windows) ON len(w) >= k)),
+hits AS (SELECT doc_id, i, k, item_id FROM doc_windows JOIN item_windows USING (k, g)),
+words AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY 1),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    "op5_mixing_sources": mixing.SQL,
+    "op7_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+f AS (SELECT *, strlen(html) AS n, min(page_id) OVER (PARTITION BY html) AS first_id FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest,
+       CASE WHEN n >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM f
+""",
+}
