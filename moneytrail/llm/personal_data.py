@@ -8,7 +8,7 @@ runs of spelled digits (English, German, French, Spanish) become digits; spelled
 become signs. The same detectors run on the result, and each hit is mapped back to the source characters it
 came from. Hits that lie inside a plain identifier of their kind add nothing.
 
-Every text is read whole; a text in which no transducer has anything to do is left at its plain hits.
+Every text is read whole; a text in which no transducer's rule matches is left at its plain hits.
 Plain matching takes time in proportion to the text (an email is matched outwards from its ``@``).
 
 Defined cases: a null or empty text has no spans; offsets are code points, end exclusive; equal rows are each
@@ -119,27 +119,9 @@ _FOLD = _Fold()
 _WORD = "|".join(sorted(_VALUE, key=len, reverse=True))
 _SIGN_DOT, _SIGN_AT = "dot|punkt|punto", "at|arroba|arobase"
 _TOP = "|".join(sorted(_TOP_DOMAINS, key=len, reverse=True))
-# What the later transducers need to see; each look is as cheap as it can be.
-_SIGN_WORDS = ("dot", "punkt", "punto", "arroba", "arobase", "plus")
-_SIGN_WORD = re.compile(rf"\b(?:{'|'.join(_SIGN_WORDS)})\b")
-_BRACKETED = re.compile(rf"[\[({{<]\s{{0,2}}(?:{_SIGN_AT}|{_SIGN_DOT}|@|\.)\s{{0,2}}[\])}}>]")
-_SPACED = re.compile(r"\s@|@\s")
-_MIXED = re.compile(r"[0-9][OolI]+[0-9]")
-_VALUES = frozenset(_VALUE)
 _DIGIT_RUN = re.compile(rf"\b(?:{_WORD})(?:[\s-]{{1,2}}(?:{_WORD}))+\b", re.I)
-
-
-def _disguised(text: str, digits: bool) -> bool:
-    low = text.lower()
-    return (
-        any(w in low for w in _SIGN_WORDS) and _SIGN_WORD.search(low) is not None
-        or any(c in text for c in "[({<") and _BRACKETED.search(low) is not None
-        or "@" in text and _SPACED.search(text) is not None
-        or digits and _MIXED.search(text) is not None
-        or not _VALUES.isdisjoint(low.replace("-", " ").split()) and _DIGIT_RUN.search(low) is not None
-    )
-
-
+#: Two spelled digits in lower case: each match of the rule above holds them, and this is found faster.
+_TWO_DIGITS = re.compile(rf"(?:{_WORD})[\s-]{{1,2}}(?:{_WORD})")
 _DOT_DIGIT = re.compile(rf"(?<=[0-9])\s{{1,2}}(?:{_SIGN_DOT}|point)\s{{1,2}}({_WORD})\b", re.I)
 _ONE_WORD = re.compile(_WORD, re.I)
 _LETTER_DIGIT = re.compile(r"(?<=[0-9])[OolI]+(?=[0-9])")
@@ -154,6 +136,26 @@ _SIGNS = (
     (re.compile(r"(?<=@)([A-Za-z0-9-]{1,63})\s{1,2}\.\s{0,2}" rf"(?={_TOP}\b)", re.I), None),
     (re.compile(r"\bplus\s{0,2}(?=[0-9])", re.I), "+"),
 )
+_DOTS = (*_SIGN_DOT.split("|"), "point")
+#: The rules besides runs of digits, each with letters or signs of which every match holds one (in lower case): most texts need no search.
+_RULES = (
+    (_DOTS, _DOT_DIGIT),
+    (tuple("0123456789"), _LETTER_DIGIT),
+    *zip((*[tuple("[({<")] * 2, _DOTS, ("@",), _DOTS, ("point",), ("@",), ("plus",)), (rule for rule, _ in _SIGNS), strict=True),
+)
+
+
+def _lower(text: str) -> str:
+    """The text in lower case as the rules see it: they take the dotted capital I for an i."""
+    return text.replace("\u0130", "i").lower()
+
+
+def _disguised(text: str) -> bool:
+    """Whether any rule matches; without a match none changes the text, so no later one does either."""
+    low = _lower(text)
+    if _TWO_DIGITS.search(low) and _DIGIT_RUN.search(text):
+        return True
+    return any(any(n in low for n in needs) and rule.search(text) for needs, rule in _RULES)
 
 
 class Tape:
@@ -186,14 +188,19 @@ class Tape:
 def normalise(text: str) -> Tape | None:
     """The text behind its disguises, or None where there are none."""
     folded = text if text.isascii() else text.translate(_FOLD)
-    if folded == text and not _disguised(text, _DIGIT.search(text) is not None):
+    if folded == text and not _disguised(text):
         return None
+    return rewritten(text)
+
+
+def rewritten(text: str) -> Tape:
+    """The text after all rules."""
     tape = Tape(text)
-    if folded != text:
+    if not text.isascii():
         tape.fold()
-    tape.rewrite(_DIGIT_RUN, lambda m: "".join(_VALUE[w.lower()] for w in _ONE_WORD.findall(m[0])))
+    tape.rewrite(_DIGIT_RUN, lambda m: "".join(_VALUE[_lower(w)] for w in _ONE_WORD.findall(m[0])))
     for _ in range(3):  # one spelled digit between spelled dots
-        tape.rewrite(_DOT_DIGIT, lambda m: "." + _VALUE[m[1].lower()])
+        tape.rewrite(_DOT_DIGIT, lambda m: "." + _VALUE[_lower(m[1])])
     tape.rewrite(_LETTER_DIGIT, lambda m: "".join("0" if c in "Oo" else "1" for c in m[0]))
     for pattern, sign in _SIGNS:
         tape.rewrite(pattern, lambda m, s=sign: s if s else m[1] + ".")

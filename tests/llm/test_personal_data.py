@@ -82,3 +82,27 @@ def test_odd_rows(odd, odd_rows, none, spark):
 def test_long_runs_take_linear_time():
     for text in ("a" * 400_000, "1" * 400_000, "a@" * 100_000, "1." * 100_000, "+1" + " " * 200_000):
         assert personal_data.plain(text) == [] or len(text) > 0
+
+
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ("192 point 168 point 1 point 10", [("ip", "192 point 168 point 1 point 10")]),
+        ("jane@example .com", [("email", "jane@example .com")]),
+        ("(192.168.1.one two)", [("ip", "192.168.1.one two")]),
+        ("e\u0130ns zwei", []),
+    ],
+)
+def test_every_rule_alone_is_enough(text, found):
+    assert [(personal_data.KINDS[k], text[a:b]) for a, k, b, _ in personal_data.identifiers(text)] == found
+
+
+DISGUISED = ["192", "168", "1", "1l1", "one", "ZWEI", "n\u0130ne", "zéro", "jane", "example", "com", "fr", "it", "at", "arobase", "dot", "Point", "plus", "@", ".", "[at]", "( dot )", "<", "this", ",", "(", ")", "+1 202 555", "é", "\u200b", "4111 1111 1111 1111"]
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(DISGUISED), st.sampled_from(["", " ", "  ", "-", "\n"])), max_size=14).map(lambda x: "".join(a + b for a, b in x)))
+def test_gate_against_no_gate(text):
+    tape, free = personal_data.normalise(text), personal_data.rewritten(text)
+    assert (tape.text if tape else text) == free.text
+    assert tape is None or (tape.starts, tape.ends) == (free.starts, free.ends)
