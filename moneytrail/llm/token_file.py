@@ -16,7 +16,7 @@ follows, between an ASCII letter and a sign, or before a line end, so texts are
 distinct unit (known by 128 bits of hashes) is encoded by the library once per worker process and kept, up to
 ``CACHE_UNITS``. The pre-tokens of words and of ASCII units go to the library's BPE model directly; all other
 units through its whole encoder, and so does, in one piece, a text with white space other than space, tab and
-line ends.
+line ends, or with an added token of the vocabulary (such as ``<|endoftext|>``, which is one id there as by the library's default).
 
 Defined cases: a null or empty text is its end id alone; null doc_ids come first; rows of one doc_id are
 ordered by a hash of their texts; an empty table gives no files' rows; other columns are not written.
@@ -24,11 +24,12 @@ ordered by a hash of their texts; an empty table gives no files' rows; other col
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 import types
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -110,13 +111,18 @@ def decode_block(ranks: bytes, control: bytes, data: bytes, n: int) -> np.ndarra
 
 
 class Units:
-    """Ids of texts, unit by unit; what was learned is kept between calls."""
+    """Ids of texts, unit by unit; what was learned is kept between calls.
 
-    def __init__(self, tokenizer_json: str):
+    With ``added_tokens`` the vocabulary's added tokens are known in texts, as they are by the library's default; without, they are plain text.
+    """
+
+    def __init__(self, tokenizer_json: str, *, added_tokens: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added_tokens
+        self.added = [t["content"] for t in json.loads(tokenizer_json).get("added_tokens") or () if t["content"]] if added_tokens else []
+        self.added_bytes = [t.encode() for t in self.added]
         self.up = [np.ones(1, np.uint64)] * 2
         self.down = [np.ones(1, np.uint64)] * 2
         self._forget()
@@ -142,6 +148,8 @@ class Units:
         return [t.id for t in self.tokenizer.model.tokenize(mapped)]
 
     def _unit(self, unit: str) -> list[int]:
+        if any(t in unit for t in self.added):
+            return self.tokenizer.encode(unit, add_special_tokens=False).ids
         if unit.isalpha() or unit[0] == " " and unit[1:].isalpha():
             return self._bpe(unit)
         if unit.isascii():
@@ -166,7 +174,7 @@ class Units:
         """(ids of all texts, each with its end id, and how many each has); text i is ``data[offsets[i]:offsets[i + 1]]``."""
         if self.table.n > CACHE_UNITS or self.n_flat > CACHE_IDS:
             self._forget()
-        begins = _unit_starts(data, offsets)
+        begins = _unit_starts(data, offsets, self.added_bytes)
         ends = np.append(begins[1:], len(data))[: len(begins)]
         key, check = self._hashes(data, begins, ends)
         at = self.table.find(key)
@@ -192,9 +200,9 @@ class Units:
         return out, counts
 
 
-def _unit_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def _unit_starts(data: np.ndarray, offsets: np.ndarray, added: Sequence[bytes] = ()) -> np.ndarray:
     """Where units begin: at texts' starts, at spaces that a visible character follows, at signs after
-    ASCII letters and at line ends and tabs after visible characters; texts with odd spaces are one unit."""
+    ASCII letters and at line ends and tabs after visible characters; texts with odd spaces or added tokens are one unit."""
     n = len(data)
     cut = np.zeros(n + 1, bool)
     if n > 1:
@@ -208,6 +216,13 @@ def _unit_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         odd = lead[np.isin(data[lead], _ODD_SINGLE) | np.isin(after[lead] << 8 | after[lead + 1], _ODD_PAIRS) | np.isin(after[lead] << 16 | after[lead + 1] << 8 | after[lead + 2], _ODD_TRIPLES)]
         for text in np.unique(np.searchsorted(offsets, odd, "right") - 1).tolist():
             cut[offsets[text] : offsets[text + 1]] = False
+    raw = data.tobytes() if added else b""
+    for token in added:
+        at = raw.find(token)
+        while at >= 0:
+            text = int(np.searchsorted(offsets, at, "right")) - 1
+            cut[offsets[text] : offsets[text + 1]] = False
+            at = raw.find(token, max(at + 1, int(offsets[text + 1]) - len(token) + 1))  # on, in the next text or across its start
     cut[offsets[:-1]] = True
     return np.flatnonzero(cut[:n])
 
@@ -216,7 +231,7 @@ def _kept_units(tokenizer_json: str) -> Units:
     """This worker process's units: they outlive a task."""
     home = sys.modules.setdefault("_token_units_of_this_worker", types.ModuleType("_token_units_of_this_worker"))
     if getattr(home, "made_of", None) != tokenizer_json:
-        home.made_of, home.units = tokenizer_json, Units(tokenizer_json)
+        home.made_of, home.units = tokenizer_json, Units(tokenizer_json, added_tokens=True)
     return home.units
 
 

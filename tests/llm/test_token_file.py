@@ -70,3 +70,32 @@ def test_cache_begins_anew(monkeypatch):
     for text in ("one two three four five", "six seven one two", "one"):
         raw = text.encode()
         assert units.encode(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0].tolist() == ids_of(text)
+
+
+DEFAULT = Tokenizer.from_str(JSON)
+KNOWING = token_file.Units(JSON, added_tokens=True)
+END = "<|endoftext|>"
+
+
+def default_ids(text):
+    return DEFAULT.encode(text or "", add_special_tokens=False).ids + [0]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*"aé漢 \n.'1\u2003<|>", "  ", " the", END, END, "<|endof", "text|>"]), max_size=20).map("".join), max_size=5))
+def test_added_tokens_as_by_the_librarys_default(texts):
+    raw = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+    ids, sizes = KNOWING.encode(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    assert ids.tolist() == [i for t in texts for i in default_ids(t)] and sizes.tolist() == [len(default_ids(t)) for t in texts]
+
+
+def test_files_with_added_tokens(spark):
+    texts = ["a <|endoftext|> b", "plain", "<|endof", "text|> x", END * 3, f"two words  {END}{END} \n it's", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = sorted(token_file.round_trip(docs, digest=False).collect())
+    assert rows[0].ids == [64, 220, 50256, 275, 0]
+    start = 0
+    for r, text in zip(rows, texts, strict=True):
+        assert (r.start, r.ids) == (start, default_ids(text))
+        start += r.n_tokens
