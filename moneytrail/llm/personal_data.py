@@ -7,6 +7,7 @@ span) sequences into others: homoglyphs, wide forms and foreign digits become AS
 runs of spelled digits (English, German, French, Spanish) become digits; spelled or bracketed at, dot and plus
 become signs. The same detectors run on the result, and each hit is mapped back to the source characters it
 came from. Hits that lie inside a plain identifier of their kind add nothing.
+Behind a spelled or spaced sign a domain may have any end, with the exceptions for prose that stand beside the rules.
 
 Every text is read whole; a text in which no transducer's rule matches is left at its plain hits.
 Plain matching takes time in proportion to the text (an email is matched outwards from its ``@``).
@@ -89,7 +90,7 @@ _SPELLED = (
     ("French", "zéro un deux trois quatre cinq six sept huit neuf"),
     ("Spanish", "cero uno dos tres cuatro cinco seis siete ocho nueve"),
 )
-# Ends of domains that are accepted after spelled signs.
+# Ends of domains that are accepted after any spelled signs.
 _TOP_DOMAINS = "com org net edu gov mil int info biz dev app io ai eu uk de fr es nl ch pl ru se cz pt br mx jp cn example test".split()
 _LOOK = {ord(a): b for _, x, y in _LOOKALIKES for a, b in zip(x, y, strict=True)}
 _VALUE = {w: str(i) for _, words in _SPELLED for i, w in enumerate(words.split())}
@@ -125,24 +126,40 @@ _TWO_DIGITS = re.compile(rf"(?:{_WORD})[\s-]{{1,2}}(?:{_WORD})")
 _DOT_DIGIT = re.compile(rf"(?<=[0-9])\s{{1,2}}(?:{_SIGN_DOT}|point)\s{{1,2}}({_WORD})\b", re.I)
 _ONE_WORD = re.compile(_WORD, re.I)
 _LETTER_DIGIT = re.compile(r"(?<=[0-9])[OolI]+(?=[0-9])")
+_DOTS = (*_SIGN_DOT.split("|"), "point")
+# Words behind a plain 'at' that begin prose, not a domain, and two-letter words that end it.
+_PROSE = "a|an|the|this|that|these|those|some|any|one|each|every|no|which|what|my|your|his|her|its|our|their|here|there"
+_SHORT = "am|an|as|at|be|by|do|go|he|if|in|is|it|me|my|no|of|on|or|so|to|up|us|we"
+_LABEL, _END = "[A-Za-z0-9-]{1,63}", r"[A-Za-z]{2,63}\b"
+_SPELLED_DOT, _ANY_DOT = rf"\s{{1,2}}(?:{_SIGN_DOT})\s{{1,2}}", rf"\s{{1,2}}(?:{_SIGN_DOT}|point)\s{{1,2}}"
+_ADDRESS_DOT = re.compile(rf"{_ANY_DOT}|\s{{1,2}}\.", re.I)
+_BRACKETS = tuple("[({<")
+#: Letters or signs of which every match holds one (in lower case: most texts need no search), the rule, and what it gives.
 _SIGNS = (
-    (re.compile(rf"\s{{0,2}}[\[({{<]\s{{0,2}}(?:{_SIGN_AT}|@)\s{{0,2}}[\])}}>]\s{{0,2}}", re.I), "@"),
-    (re.compile(rf"\s{{0,2}}[\[({{<]\s{{0,2}}(?:{_SIGN_DOT}|\.)\s{{0,2}}[\])}}>]\s{{0,2}}", re.I), "."),
+    (_BRACKETS, re.compile(rf"\s{{0,2}}[\[({{<]\s{{0,2}}(?:{_SIGN_AT}|@)\s{{0,2}}[\])}}>]\s{{0,2}}", re.I), "@"),
+    (_BRACKETS, re.compile(rf"\s{{0,2}}[\[({{<]\s{{0,2}}(?:{_SIGN_DOT}|point|\.)\s{{0,2}}[\])}}>]\s{{0,2}}", re.I), "."),
     # a spelled or spaced sign needs a whole domain behind it
-    (re.compile(rf"(?<=[A-Za-z0-9])\s{{1,2}}(?:{_SIGN_AT})\s{{1,2}}(?=[A-Za-z0-9-]{{1,63}}(?:(?:\.|\s{{1,2}}(?:{_SIGN_DOT})\s{{1,2}})[A-Za-z0-9-]{{1,63}}){{0,6}}(?:\s{{1,2}}(?:{_SIGN_DOT})\s{{1,2}})(?:{_TOP})\b)", re.I), "@"),
-    (re.compile(rf"(?<=[A-Za-z0-9])(?:\s{{1,2}}@\s{{0,2}}|\s{{0,2}}@\s{{1,2}})(?=[A-Za-z0-9-]{{1,63}}(?:(?:\s{{0,2}}\.\s{{0,2}}|\s{{1,2}}(?:{_SIGN_DOT})\s{{1,2}})[A-Za-z0-9-]{{1,63}}){{0,6}}(?:\s{{0,2}}\.\s{{0,2}}|\s{{1,2}}(?:{_SIGN_DOT})\s{{1,2}})(?:{_TOP})\b)", re.I), "@"),
-    (re.compile(rf"(?<=[A-Za-z0-9])\s{{1,2}}(?:{_SIGN_DOT})\s{{1,2}}(?=[A-Za-z0-9])", re.I), "."),
-    (re.compile(r"(?<=[0-9])\s{1,2}point\s{1,2}(?=[0-9])", re.I), "."),
-    (re.compile(r"(?<=@)([A-Za-z0-9-]{1,63})\s{1,2}\.\s{0,2}" rf"(?={_TOP}\b)", re.I), None),
-    (re.compile(r"\bplus\s{0,2}(?=[0-9])", re.I), "+"),
+    (_DOTS, re.compile(rf"(?<=[A-Za-z0-9])\s{{1,2}}(?:{_SIGN_AT})\s{{1,2}}(?=[A-Za-z0-9-]{{1,63}}(?:(?:\.|\s{{1,2}}(?:{_SIGN_DOT})\s{{1,2}})[A-Za-z0-9-]{{1,63}}){{0,6}}(?:\s{{1,2}}(?:{_SIGN_DOT})\s{{1,2}})(?:{_TOP})\b)", re.I), "@"),
+    (("@",), re.compile(rf"(?<=[A-Za-z0-9])(?:\s{{1,2}}@\s{{0,2}}|\s{{0,2}}@\s{{1,2}})(?=[A-Za-z0-9-]{{1,63}}(?:(?:\s{{0,2}}\.\s{{0,2}}|\s{{1,2}}(?:{_SIGN_DOT})\s{{1,2}})[A-Za-z0-9-]{{1,63}}){{0,6}}(?:\s{{0,2}}\.\s{{0,2}}|\s{{1,2}}(?:{_SIGN_DOT})\s{{1,2}})(?:{_TOP})\b)", re.I), "@"),
+    # domains of any end: behind a plain 'at' with spelled dots and no word of prose, behind other signs as they come
+    (_DOTS, re.compile(rf"(?<=[A-Za-z0-9])\s{{1,2}}at\s{{1,2}}(?!(?:{_PROSE})\b)(?={_LABEL}(?:(?:\.|{_SPELLED_DOT}){_LABEL}){{0,6}}{_SPELLED_DOT}{_END})", re.I), "@"),
+    # ('at some point in', 'at boiling point it': an 'at' with 'point' needs a listed end or one of two letters that is no word)
+    (("point",), re.compile(rf"(?<=[A-Za-z0-9])\s{{1,2}}at\s{{1,2}}(?!(?:{_PROSE})\b)(?={_LABEL}(?:(?:\.|{_ANY_DOT}){_LABEL}){{0,6}}{_ANY_DOT}(?:{_TOP}|(?!(?:{_SHORT})\b)[A-Za-z]{{2}})\b)", re.I), "@"),
+    (("point",), re.compile(rf"(?<=[A-Za-z0-9])(?<!\b(?:ce|le|un|au))\s{{1,2}}point\s{{1,2}}(?=[A-Za-z0-9_%+-]{{1,63}}(?:\s{{1,2}}point\s{{1,2}}[A-Za-z0-9_%+-]{{1,63}}){{0,3}}\s{{1,2}}(?:arroba|arobase)\s{{1,2}}{_LABEL}(?:\.|{_ANY_DOT}))", re.I), "."),
+    (("arroba", "arobase"), re.compile(rf"(?<=[A-Za-z0-9])\s{{1,2}}(?:arroba|arobase)\s{{1,2}}(?={_LABEL}(?:(?:\.|{_ANY_DOT}){_LABEL}){{0,6}}(?:\.|{_ANY_DOT}){_END})", re.I), "@"),
+    (("@",), re.compile(rf"(?<=[A-Za-z0-9])\s{{0,2}}@\s{{1,2}}(?={_LABEL}(?:(?:\s{{0,2}}\.|{_ANY_DOT}){_LABEL}){{0,6}}(?:(?:\s{{0,2}}\.|{_ANY_DOT}){_END}|\s{{1,2}}\.\s{{1,2}}(?!(?:{_SHORT})\b)[A-Za-z]{{2}}\b))", re.I), "@"),
+    # a name behind a space and '@' may be a handle ('thanks @jane.doe')
+    (("@",), re.compile(rf"(?<=[A-Za-z0-9])\s{{1,2}}@(?={_LABEL}(?:(?:\s{{0,2}}\.|{_ANY_DOT}){_LABEL}){{0,6}}(?:\s{{0,2}}\.[A-Za-z]{{2}}\b|{_ANY_DOT}{_END}))", re.I), "@"),
+    # spelled dots and dots behind a space, unless the domain is whole before them ('jane@example.com point final')
+    (("@",), re.compile(rf"@{_LABEL}(?:(?:\.(?!(?:{_TOP}|[A-Za-z]{{2}})\s)|\s{{1,2}}\.|{_ANY_DOT}){_LABEL}){{0,6}}(?:\s{{1,2}}\.|{_ANY_DOT}){_END}", re.I), lambda m: _ADDRESS_DOT.sub(".", m[0])),
+    (_DOTS, re.compile(rf"(?<=[A-Za-z0-9])\s{{1,2}}(?:{_SIGN_DOT})\s{{1,2}}(?=[A-Za-z0-9])", re.I), "."),
+    (("point",), re.compile(r"(?<=[0-9])\s{1,2}point\s{1,2}(?=[0-9])", re.I), "."),
+    (("@",), re.compile(r"(?<=@)([A-Za-z0-9-]{1,63})\s{1,2}\.\s{0,2}" rf"(?={_TOP}\b)", re.I), lambda m: m[1] + "."),
+    (("@",), re.compile(rf"(?<=@)({_LABEL})\s{{1,2}}\.\s{{1,2}}(?=(?!(?:{_SHORT})\b)[A-Za-z]{{2}}\b)", re.I), lambda m: m[1] + "."),
+    (("plus",), re.compile(r"\bplus\s{0,2}(?=[0-9])", re.I), "+"),
 )
-_DOTS = (*_SIGN_DOT.split("|"), "point")
-#: The rules besides runs of digits, each with letters or signs of which every match holds one (in lower case): most texts need no search.
-_RULES = (
-    (_DOTS, _DOT_DIGIT),
-    (tuple("0123456789"), _LETTER_DIGIT),
-    *zip((*[tuple("[({<")] * 2, _DOTS, ("@",), _DOTS, ("point",), ("@",), ("plus",)), (rule for rule, _ in _SIGNS), strict=True),
-)
+#: The rules besides runs of digits.
+_RULES = ((_DOTS, _DOT_DIGIT), (tuple("0123456789"), _LETTER_DIGIT), *((needs, rule) for needs, rule, _ in _SIGNS))
 
 
 def _lower(text: str) -> str:
@@ -202,8 +219,8 @@ def rewritten(text: str) -> Tape:
     for _ in range(3):  # one spelled digit between spelled dots
         tape.rewrite(_DOT_DIGIT, lambda m: "." + _VALUE[_lower(m[1])])
     tape.rewrite(_LETTER_DIGIT, lambda m: "".join("0" if c in "Oo" else "1" for c in m[0]))
-    for pattern, sign in _SIGNS:
-        tape.rewrite(pattern, lambda m, s=sign: s if s else m[1] + ".")
+    for _, pattern, sign in _SIGNS:
+        tape.rewrite(pattern, sign if callable(sign) else lambda m, s=sign: s)
     return tape
 
 

@@ -106,3 +106,29 @@ def test_gate_against_no_gate(text):
     tape, free = personal_data.normalise(text), personal_data.rewritten(text)
     assert (tape.text if tape else text) == free.text
     assert tape is None or (tape.starts, tape.ends) == (free.starts, free.ends)
+
+
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ("to jane at example dot it now", ["jane at example dot it"]),
+        ("jane at mail dot example dot online", ["jane at mail dot example dot online"]),
+        ("jane at example dot ca, bob at example dot co.", ["jane at example dot ca", "bob at example dot co"]),
+        ("jane @ example.it", ["jane @ example.it"]),
+        ("jane@ example.online, jane @example.it", ["jane@ example.online", "jane @example.it"]),
+        ("jane@example .it or jane @ mail .example .it", ["jane@example .it", "jane @ mail .example .it"]),
+        ("jane @ example . it", []),
+        ("jane @ example . ca", ["jane @ example . ca"]),
+        ("jean arobase exemple point fr", ["jean arobase exemple point fr"]),
+        ("jean point dupont arobase mail point exemple point paris", ["jean point dupont arobase mail point exemple point paris"]),
+        ("jean (arobase) exemple (point) fr", ["jean (arobase) exemple (point) fr"]),
+        ("jean at exemple point fr, jean at exemple point ca", ["jean at exemple point fr", "jean at exemple point ca"]),
+        ("jean@exemple point fr", ["jean@exemple point fr"]),
+        ("juan arroba ejemplo punto pe, juan arroba ejemplo.pe", ["juan arroba ejemplo punto pe", "juan arroba ejemplo.pe"]),
+        ("we met at some point in May, at boiling point it steams, look at the dot on it", []),
+        ("thanks @jane.doe and see you @ noon. Then we go", []),
+        ("jane@example.com point final, bob@example.com . Then", ["jane@example.com", "bob@example.com"]),
+    ],
+)
+def test_addresses_of_any_end(text, found):
+    assert [text[a:b] for a, _, b, _ in personal_data.identifiers(text)] == found
