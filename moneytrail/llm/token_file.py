@@ -24,12 +24,11 @@ ordered by a hash of their texts; an empty table gives no files' rows; other col
 
 from __future__ import annotations
 
-import json
 import re
 import sys
 import types
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -121,8 +120,8 @@ class Units:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = not added_tokens
-        self.added = [t["content"] for t in json.loads(tokenizer_json).get("added_tokens") or () if t["content"]] if added_tokens else []
-        self.added_bytes = [t.encode() for t in self.added]
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content] if added_tokens else []
+        self.added_pattern = re.compile(b"|".join(re.escape(t.encode()) for t in self.added)) if self.added else None
         self.up = [np.ones(1, np.uint64)] * 2
         self.down = [np.ones(1, np.uint64)] * 2
         self._forget()
@@ -174,7 +173,7 @@ class Units:
         """(ids of all texts, each with its end id, and how many each has); text i is ``data[offsets[i]:offsets[i + 1]]``."""
         if self.table.n > CACHE_UNITS or self.n_flat > CACHE_IDS:
             self._forget()
-        begins = _unit_starts(data, offsets, self.added_bytes)
+        begins = _unit_starts(data, offsets, self.added_pattern)
         ends = np.append(begins[1:], len(data))[: len(begins)]
         key, check = self._hashes(data, begins, ends)
         at = self.table.find(key)
@@ -200,7 +199,7 @@ class Units:
         return out, counts
 
 
-def _unit_starts(data: np.ndarray, offsets: np.ndarray, added: Sequence[bytes] = ()) -> np.ndarray:
+def _unit_starts(data: np.ndarray, offsets: np.ndarray, added: re.Pattern[bytes] | None = None) -> np.ndarray:
     """Where units begin: at texts' starts, at spaces that a visible character follows, at signs after
     ASCII letters and at line ends and tabs after visible characters; texts with odd spaces or added tokens are one unit."""
     n = len(data)
@@ -216,13 +215,13 @@ def _unit_starts(data: np.ndarray, offsets: np.ndarray, added: Sequence[bytes] =
         odd = lead[np.isin(data[lead], _ODD_SINGLE) | np.isin(after[lead] << 8 | after[lead + 1], _ODD_PAIRS) | np.isin(after[lead] << 16 | after[lead + 1] << 8 | after[lead + 2], _ODD_TRIPLES)]
         for text in np.unique(np.searchsorted(offsets, odd, "right") - 1).tolist():
             cut[offsets[text] : offsets[text + 1]] = False
-    raw = data.tobytes() if added else b""
-    for token in added:
-        at = raw.find(token)
-        while at >= 0:
-            text = int(np.searchsorted(offsets, at, "right")) - 1
+    if added is not None and n:
+        buffer = memoryview(np.ascontiguousarray(data))  # searched in place
+        found = added.search(buffer)
+        while found:
+            text = int(np.searchsorted(offsets, found.start(), "right")) - 1
             cut[offsets[text] : offsets[text + 1]] = False
-            at = raw.find(token, max(at + 1, int(offsets[text + 1]) - len(token) + 1))  # on, in the next text or across its start
+            found = added.search(buffer, int(offsets[text + 1]))
     cut[offsets[:-1]] = True
     return np.flatnonzero(cut[:n])
 
