@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moneytrail.llm import conversation, decontaminate, mixing, packing, personal_data, ppm, shuffle_shards, simhash, spotsigs, token_file, toxicity, warc_zip
+from moneytrail.llm import alignment, conversation, decontaminate, mixing, packing, personal_data, ppm, shuffle_shards, simhash, spotsigs, token_file, toxicity, warc_zip
 from moneytrail.llm.common import crc_mod, table
 
 
@@ -68,13 +68,17 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), digest=True).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     found = conversation.report(conversation.damage(rows), rows.select("conv_id"))
     return found.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_document_fingerprints, op2_token_ids, op3_simhash_near_dedup, op4_benchmark_decontamination, op5_mixing_sources, op6_toxicity, op7_warc, op8_pii, op9_lm_scoring, op10_sharding, op11_best_fit_packing, op13_conversation_repair)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_document_fingerprints, op2_token_ids, op3_simhash_near_dedup, op4_benchmark_decontamination, op5_mixing_sources, op6_toxicity, op7_warc, op8_pii, op9_lm_scoring, op10_sharding, op11_best_fit_packing, op12_tokenizer_alignment, op13_conversation_repair)}
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 #: The same results in DuckDB, by a join of all windows (op4) and a window over equal texts (op7).
