@@ -95,7 +95,8 @@ class Aligner:
         a = np.array(found.ids, np.int64)
         if b"".join(map(self.a_bytes.__getitem__, found.ids)) != raw:
             return None
-        to_byte = np.concatenate([[0], np.cumsum([len(c.encode()) for c in full])]) if len(raw) != len(full) else np.arange(len(raw) + 1)
+        points = np.frombuffer(full.encode("utf-32-le"), np.uint32)
+        to_byte = np.concatenate([[0], np.cumsum(1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF))])
         spans = np.array(found.offsets, np.int64).reshape(-1, 2)
         shared = np.append(spans[1:, 0] != spans[:-1, 1], False)
         a_ends = self._ends(to_byte[spans[:, 1]], shared, self.a_sizes[a])
