@@ -26,7 +26,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
+import types
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -97,12 +100,12 @@ class Aligner:
             return None
         points = np.frombuffer(full.encode("utf-32-le"), np.uint32)
         to_byte = np.concatenate([[0], np.cumsum(1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF))])
-        spans = np.array(found.offsets, np.int64).reshape(-1, 2)
+        spans = _pairs(found.offsets, 2)
         shared = np.append(spans[1:, 0] != spans[:-1, 1], False)
         a_ends = self._ends(to_byte[spans[:, 1]], shared, self.a_sizes[a])
         pieces = self.b.encode(full[1:], return_type="proto").pieces
         rows = [(p.id, p.begin, p.end) for p in pieces]
-        b, begin, end = np.array(rows, np.int64).reshape(-1, 3).T
+        b, begin, end = _pairs(rows, 3).T
         if b"".join([self.b_bytes[r[0]] for r in rows]) != raw:
             return None
         b_ends = self._ends(end + 1, (begin == end) | np.append(begin[1:] != end[:-1], False), self.b_sizes[b])
@@ -186,6 +189,18 @@ class Aligner:
         return good, numbers, groups, *_summed(np.repeat(text, size), self.pairs[at], self.links[at] * np.repeat(times, size))
 
 
+def _pairs(rows: list[tuple], width: int) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(rows), np.int64, width * len(rows)).reshape(-1, width)
+
+
+def _kept_aligner(vocabulary: str, model: bytes) -> Aligner:
+    """This worker process's aligner: what it learned outlives a task."""
+    home = sys.modules.setdefault("_aligner_of_this_worker", types.ModuleType("_aligner_of_this_worker"))
+    if getattr(home, "made_of", None) != (vocabulary, model):
+        home.made_of, home.aligner = (vocabulary, model), Aligner(vocabulary, model)
+    return home.aligner
+
+
 def _summed(text: np.ndarray, pairs: np.ndarray, links: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Links summed per text and pair, in that order."""
     order = np.lexsort((pairs, text))
@@ -257,7 +272,7 @@ def _long(aligner: Aligner, text: str) -> tuple[bool, np.ndarray, str, np.ndarra
 
 def _aligned(vocabulary, model, chunk_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, schema = Aligner(vocabulary.value, model.value), _schema(_ROW)
+        aligner, schema = _kept_aligner(vocabulary.value, model.value), _schema(_ROW)
         chunk, size, seen = None, 0, []
         empty = np.zeros(0, np.int64)
 
