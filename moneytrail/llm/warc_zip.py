@@ -42,6 +42,8 @@ MIN_REVISIT = 100
 ARCHIVE_BYTES = 256 << 20
 #: Bytes that a reading task fetches at once (one record at least).
 RANGE_BYTES = 1 << 20
+#: Bytes of archives that one task reads, on average.
+READ_BYTES = 16 << 20
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 DATE = "2024-01-01T00:00:00Z"
 
@@ -96,16 +98,19 @@ class _Archive:
         self.zip.writestr(INDEX, "".join(self.lines))
         self.zip.close()
         self.stream.close()
-        return {"path": self.path, "records": len(self.lines)}
+        return {"path": self.path, "records": len(self.lines), "bytes": self.size}
 
 
 def write_archives(pages: DataFrame, folder: str, *, page_id: str = "page_id", url: str = "url", html: str = "html", archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """Write every row as a record; returns the manifest (path, records) of the archives."""
+    """Write every row as a record; returns the manifest (path, records, bytes) of the archives."""
     payload = F.coalesce(F.col(html), F.lit("")).cast("binary")
     rows = pages.select(F.col(page_id).cast("bigint").alias("page_id"), F.col(url).cast("string").alias("url"), payload.alias("payload"), F.sha2(payload, 256).alias("digest"))
     first = rows.where(F.octet_length("payload") >= MIN_REVISIT).groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n")
     refers = F.when(F.coalesce(F.col("page_id") != F.col("first_id"), F.col("first_id").isNotNull()), F.col("first_id"))
-    ready = rows.join(first, "digest", "left").select("page_id", "url", "payload", "digest", refers.alias("refers_to"))
+    long = F.octet_length("payload") >= MIN_REVISIT
+    joined = rows.where(long).join(first, "digest", "left")  # shorter ones are never revisits
+    short = rows.where(~long).withColumn("first_id", F.lit(None).cast("bigint"))
+    ready = joined.unionByName(short).select("page_id", "url", "payload", "digest", refers.alias("refers_to"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         archive, done = None, []
@@ -119,9 +124,9 @@ def write_archives(pages: DataFrame, folder: str, *, page_id: str = "page_id", u
                     archive = None
         if archive:
             done.append(archive.close())
-        yield pa.RecordBatch.from_pylist(done, pa.schema([("path", pa.string()), ("records", pa.int64())]))
+        yield pa.RecordBatch.from_pylist(done, pa.schema([("path", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())]))
 
-    return written(ready.mapInArrow(run, "path string, records bigint"), "warc-manifest")
+    return written(ready.mapInArrow(run, "path string, records bigint, bytes bigint"), "warc-manifest")
 
 
 # --------------------------------------------------------------------------- reading
@@ -237,10 +242,20 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pylist(out, schema)
 
 
-def read_archives(manifest: DataFrame, *, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """The records of the archives that column ``path`` names, one row each."""
-    ranges = manifest.select("path").repartition("path").mapInArrow(_directories(range_bytes), "path string, offset bigint, lengths array<bigint>")
-    return ranges.repartition("path", "offset").mapInArrow(_records, RECORD)
+def reading_tasks(manifest: DataFrame, read_bytes: int = READ_BYTES) -> tuple[int, int]:
+    """(tasks that read directories, tasks that read records), from the archives' number and bytes."""
+    n, size = manifest.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    return max(1, n), max(1, -(-size // read_bytes))
+
+
+def read_archives(manifest: DataFrame, *, range_bytes: int = RANGE_BYTES, read_bytes: int = READ_BYTES) -> DataFrame:
+    """The records of the archives that a manifest names, one row each.
+
+    Only small descriptors of ranges are shuffled, so their size says nothing of the work: the numbers of tasks are given.
+    """
+    archives, tasks = reading_tasks(manifest, read_bytes)
+    ranges = manifest.select("path").repartition(archives, "path").mapInArrow(_directories(range_bytes), "path string, offset bigint, lengths array<bigint>")
+    return ranges.repartition(tasks, "path", "offset").mapInArrow(_records, RECORD)
 
 
 def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:

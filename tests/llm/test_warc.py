@@ -77,3 +77,13 @@ def test_foreign_files():
         warc_zip.stored_range(lambda o, n: raw[o : o + n], members["a"])
     with pytest.raises(ValueError, match="not a ZIP"):
         warc_zip.zip_members(lambda o, n: b"x" * n, 100)
+
+
+def test_reading_tasks_grow_with_the_bytes(spark):
+    pages = spark.createDataFrame([(i, f"http://a/{i}", f"{i} " + "".join(chr(97 + (i * j * j + j) % 26) for j in range(4000))) for i in range(60)], "page_id bigint, url string, html string")
+    manifest = warc_zip.write_archives(pages, fresh_path(spark, "warc"))
+    size = manifest.agg({"bytes": "sum"}).first()[0]
+    records = warc_zip.read_archives(manifest, range_bytes=2000, read_bytes=size // 8)
+    assert warc_zip.reading_tasks(manifest, size // 8)[1] == records.rdd.getNumPartitions() >= 8
+    assert records.count() == 60
+    assert warc_zip.reading_tasks(manifest, size // 16)[1] >= 16
