@@ -118,6 +118,57 @@ def money_ie_oppose(clean: DataFrame, tags: DataFrame) -> DataFrame:
     return _money_ie(clean, tags, "O", "ie_oppose")
 
 
+# --------------------------------------------------------- money without its tags
+# The stored fact names the paying committee instead of its tag, so that new tags
+# rewrite nothing: they join it when it is read.
+FACT_COLUMNS = ["cand_id", "channel", "amount", "donor_state", "contributor_name", "employer", "cmte_id"]
+PAID_BY_COMMITTEES = ["direct_pac", "ie_support", "ie_oppose"]
+
+
+def fact_individual(clean_ind: DataFrame, links: DataFrame) -> DataFrame:
+    """V4a as the stored fact has it."""
+    return money_individual(clean_ind, links).withColumn("cmte_id", _null()).select(*FACT_COLUMNS)
+
+
+def _paid(rows: DataFrame, channel: str, payer: str) -> DataFrame:
+    return rows.select(
+        F.col("TARGET_CAND_ID").alias("cand_id"), F.lit(channel).alias("channel"),
+        F.col("AMOUNT").alias("amount"), _null().alias("donor_state"),
+        _null().alias("contributor_name"), _null().alias("employer"), F.col(payer).alias("cmte_id"))
+
+
+def fact_direct_pac(fact_contrib: DataFrame) -> DataFrame:
+    """V4b before its tags."""
+    return _paid(fact_contrib.filter(~F.col("TRANSACTION_TP").isin(NON_DIRECT_TYPES)), "direct_pac", "SOURCE_CMTE_ID")
+
+
+def fact_ie(clean: DataFrame, channel: str) -> DataFrame:
+    """V4c or V4d before its tags."""
+    code = {"ie_support": "S", "ie_oppose": "O"}[channel]
+    return _paid(clean.filter(F.col("SUPPORT_OPPOSE") == code), channel, "SPENDER_CMTE_ID")
+
+
+def with_tags(fact: DataFrame, tags: DataFrame) -> DataFrame:
+    """Fact rows (or groups of them) with the tags of their committees; a committee of two tags
+    fans out, one without keeps its rows."""
+    return (_tagged(fact, "cmte_id", tags).drop("_tag_id", "cmte_id")
+            .withColumnRenamed("custom_category", "interest_category"))
+
+
+def committee_rollup(fact: DataFrame) -> DataFrame:
+    """One channel of the fact pre-aggregated by candidate, state, size bucket and paying committee."""
+    return (fact.groupBy("cand_id", "channel", "donor_state", "cmte_id",
+                         size_bucket(F.col("amount")).alias("size_bucket"))
+            .agg(F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("n_rows")))
+
+
+def tagged_rollup(rollup: DataFrame, tags: DataFrame) -> DataFrame:
+    """The report rollup from the rollup by committee: exact sums add up."""
+    return (with_tags(rollup, tags).groupBy(*ROLLUP_KEYS)
+            .agg(F.sum("amount").cast(rollup.schema["amount"].dataType).alias("amount"),
+                 F.sum("n_rows").alias("n_rows")))
+
+
 def candidate_money(ind: DataFrame, pac: DataFrame, sup: DataFrame, opp: DataFrame) -> DataFrame:
     """V4: UNION ALL of the four arms (no dedup)."""
     return (ind.select(*MONEY_COLUMNS).unionByName(pac.select(*MONEY_COLUMNS))

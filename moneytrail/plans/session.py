@@ -14,6 +14,7 @@ import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Settings the library relies on (UTC for timestamp_ntz formatting, AQE for
@@ -115,11 +116,69 @@ def fs_list(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
 
 
-def fs_rename(spark: SparkSession, old: str, new: str) -> bool:
-    """Move a folder to a name that does not exist yet; False when it does."""
-    p, fs = _fs(spark, old)
-    q, _ = _fs(spark, new)
-    return not fs.exists(q) and bool(fs.rename(p, q))
+def fs_modified(spark: SparkSession, path: str) -> int:
+    """When a file or folder was last changed (milliseconds)."""
+    p, fs = _fs(spark, path)
+    return int(fs.getFileStatus(p).getModificationTime())
+
+
+def fs_listing(spark: SparkSession, path: str) -> dict[str, tuple[int, int, bool]]:
+    """name -> (length, modification time, is a folder) of what lies directly below ``path``."""
+    p, fs = _fs(spark, path)
+    return {st.getPath().getName(): (int(st.getLen()), int(st.getModificationTime()), bool(st.isDirectory()))
+            for st in fs.listStatus(p)} if fs.exists(p) else {}
+
+
+def fs_read(spark: SparkSession, path: str) -> str:
+    """A small text file, whole."""
+    p, fs = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def fs_write(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file, replacing it."""
+    p, fs = _fs(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+
+
+def fs_create(spark: SparkSession, staged: str, path: str, text: str) -> bool:
+    """Make ``path`` a file that holds ``text``, whole at once; False when it exists already.
+
+    The text is written to ``staged``, which then becomes ``path`` in one step that fails where
+    another writer was first: a hard link on a local disk, else a rename that never replaces."""
+    jvm = spark._jvm  # noqa: SLF001 - classic sessions only
+    p, fs = _fs(spark, staged)
+    out = fs.create(p, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    q, _ = _fs(spark, path)
+    fs.mkdirs(q.getParent())
+    local = fs.getUri().getScheme() == "file"
+    try:
+        if local:
+            paths = jvm.java.nio.file.Paths
+            uri = lambda x: jvm.java.net.URI("file://" + fs.makeQualified(x).toUri().getPath())
+            jvm.java.nio.file.Files.createLink(paths.get(uri(q)), paths.get(uri(p)))
+            fs.delete(p, False)
+        else:
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+                fs.getUri(), spark._jsc.hadoopConfiguration())  # noqa: SLF001
+            options = jvm.org.apache.hadoop.fs.Options
+            none = spark.sparkContext._gateway.new_array(getattr(options, "Rename"), 1)  # noqa: SLF001
+            none[0] = getattr(options, "Rename").NONE
+            context.rename(p, q, none)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in str(e.java_exception.getClass().getName()):
+            fs.delete(p, False)
+            return False
+        raise
+    return True
 
 
 def fs_delete(spark: SparkSession, path: str) -> None:

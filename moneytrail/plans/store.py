@@ -2,14 +2,20 @@
 
 A store is a folder. Every dataset and derived table is written to a folder of
 its own version; a small state (one row of JSON) names the versions that belong
-together, and is written last, under the next number, by a rename. Readers take
-the newest state once and keep it, so they see one whole refresh or none of it;
-a job that dies leaves versions that no state names (``vacuum`` removes them).
+together, and is written last, under the next number, in one step that fails where that
+number is taken: of two refreshes that end at once one is first, and the other is laid on top of
+it, or refused where both changed the same dataset. Readers take the newest state once and keep
+it, so they see one whole refresh or none of it; a job that dies leaves versions that no state
+names (``vacuum`` removes them).
+
+The money fact has a version per channel and names the paying committee, not its tag. A refresh
+rebuilds the channels that read a changed dataset (only ``indiv`` and ``ccl`` touch individual
+gifts); new tags rewrite no fact, they are joined to a rollup by committee.
 
 ``Store.open(spark, sf_dir)`` serves the test tables (re-expressed as raw
 datasets by :mod:`moneytrail.sources.fixture`), ``Store.from_files`` lands real
 bulk files, ``Store.attach`` opens an existing store. ``refresh`` takes new
-snapshots; a dataset's fingerprint describes the raw version that its curated
+snapshots and reads each once: the landing write takes its fingerprint. A dataset's fingerprint describes the raw version that its curated
 table was built from, since both change in the same state: a dataset whose
 build failed stays "changed" and is tried again.
 """
@@ -27,8 +33,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moneytrail.operators import curate, views
-from moneytrail.plans.session import (app_id, fs_delete, fs_exists, fs_list, fs_rename, fs_status,
-                                      prepare, scratch_path)
+from moneytrail.plans.session import (app_id, fs_create, fs_delete, fs_exists, fs_list, fs_modified,
+                                      fs_status, prepare, scratch_path)
 from moneytrail.sources import files, interests
 from moneytrail.sources.fixture import CYCLE, Fixture
 from moneytrail.sources.schemas import (DATASETS, INTEREST_DICTIONARY_SCHEMA, TABLE_OF_DATASET,
@@ -37,6 +43,10 @@ from moneytrail.streaming import landing, refresh
 
 INPUT_TABLES = ["nation", "supplier", "customer", "part", "orders", "lineitem", "events"]
 REPORT = "dataset string, status string, action string, error string"
+FORMAT = 2
+#: The channels of the money fact that read a dataset, directly or through its curated table.
+CHANNELS_OF = {"cn": [], "cm": ["ie_support", "ie_oppose"], "ccl": ["individual"], "pas2": ["direct_pac"],
+               "indiv": ["individual"], "ie": ["ie_support", "ie_oppose"]}
 
 _lock = threading.Lock()
 _stores: dict[tuple[str, str], "Store"] = {}
@@ -75,8 +85,8 @@ class Store:
     def __init__(self, spark: SparkSession, root: str, cycle: str = CYCLE):
         self.spark = spark
         self.root = root
-        self.state: dict = {"number": 0, "cycle": refresh.check_cycle(cycle), "raw": {},
-                            "table": {}, "inbox": {}}
+        self.state: dict = {"format": FORMAT, "number": 0, "cycle": refresh.check_cycle(cycle), "raw": {},
+                            "table": {}, "prints": {}, "fact": {}, "paid": {}, "rollup": {}, "inbox": {}}
         self._frames: dict[str, DataFrame] = {}
 
     # ---------------------------------------------------------------- open
@@ -143,39 +153,63 @@ class Store:
         if not done:
             return False
         line = self.spark.read.text(self.path("state", max(done, key=int))).first()["value"]
-        self.state = json.loads(line)
+        state = json.loads(line)
+        if state.get("format") != FORMAT:
+            raise ValueError(f"{self.root} was landed by an earlier version: land it again")
+        self.state = state
         self._frames.clear()
         return True
 
-    def _commit(self, state: dict) -> None:
-        """Write ``state`` under the next number and take it. Another refresh that
-        finished meanwhile is not overwritten: then this one fails."""
+    def _commit(self, state: dict) -> bool:
+        """Write ``state`` under the next number and take it; False when another refresh
+        has taken that number."""
         state = {**state, "number": self.state["number"] + 1}
-        staged = self._new("staging", "state")
-        (self.spark.createDataFrame([(json.dumps(state),)], "value string").coalesce(1)
-         .write.text(staged))
-        fs_list(self.spark, self.path("state")) or self._make_folder("state")
-        if not fs_rename(self.spark, staged, self.path("state", str(state["number"]))):
-            raise RuntimeError("another refresh of this store has finished meanwhile")
+        if not fs_create(self.spark, self._new("staging", "state"),
+                         self.path("state", str(state["number"])), json.dumps(state)):
+            return False
         self.state = state
         self._frames.clear()
+        return True
 
-    def _make_folder(self, name: str) -> None:
-        jvm = self.spark._jvm  # noqa: SLF001
-        p = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(p)  # noqa: SLF001
-
-    def vacuum(self) -> list[str]:
-        """Remove versions that the newest state does not name (replaced ones, and
-        those of jobs that died). Call it when no reader holds an older state."""
+    def _publish(self, change: dict) -> None:
+        """Commit new versions (``raw``, ``table`` and ``prints`` by dataset or table, ``dictionary``,
+        ``inbox``) with all that derives from them. Where another refresh was first, the change is laid
+        on its state, unless both changed the same dataset, or both the tags."""
+        while True:
+            state = {**self.state, **{k: {**self.state.get(k, {}), **change.get(k, {})}
+                                      for k in ("raw", "table", "prints", "inbox")}}
+            if "dictionary" in change:
+                state["dictionary"] = change["dictionary"]
+            tags = "dictionary" in change or "cm" in change["built"] or "dim_group_mappings" not in state["table"]
+            if tags:
+                state["table"]["dim_group_mappings"] = self._tags(state)
+            channels = {c for ds in change["built"] for c in CHANNELS_OF[ds]}
+            if change["built"] or tags:
+                state = self._derived(state, channels, tags)
+            if self._commit(state):
+                return
+            before = self.state
+            self.load()
+            both = [ds for ds in change["built"] if self.state["raw"].get(ds) != before["raw"].get(ds)
+                    or self.state["table"].get(TABLE_OF_DATASET[ds]) != before["table"].get(TABLE_OF_DATASET[ds])]
+            if "dictionary" in change and self.state.get("dictionary") != before.get("dictionary"):
+                both.append("tags")
+            if both:
+                raise RuntimeError(f"another refresh has changed {', '.join(both)} meanwhile")
+
+    def vacuum(self, keep_seconds: float = 0) -> list[str]:
+        """Remove versions that the newest state does not name: replaced ones, and those of jobs
+        that died. Versions made after the newest state, or within ``keep_seconds`` before it, stay: a
+        refresh may still be writing them. Call it when no reader holds an older state."""
         self.load()
-        named = json.dumps(self.state)
+        named = set(_paths(self.state))
+        bound = fs_modified(self.spark, self.path("state", str(self.state["number"]))) - 1000 * keep_seconds
         gone = []
-        for kind in ("raw", "curated", "derived", "dictionary", "staging"):
+        for kind in ("raw", "curated", "derived", "rollups", "dictionary", "staging"):
             for name in fs_list(self.spark, self.path(kind)):
                 for version in fs_list(self.spark, self.path(kind, name)):
                     p = self.path(kind, name, version)
-                    if p not in named:
+                    if p not in named and fs_modified(self.spark, p) <= bound:
                         fs_delete(self.spark, p)
                         gone.append(p)
         for n in fs_list(self.spark, self.path("state")):
@@ -193,25 +227,13 @@ class Store:
         return self.state.get("dictionary")
 
     def money_path(self) -> str:
-        return self.state["money"]
-
-    def rollup_path(self) -> str:
-        return self.state["rollup"]
+        """The folder of the money fact's channels and their versions."""
+        return self.path("derived")
 
     def manifest(self) -> DataFrame:
-        """(dataset, cycle, rows, fingerprint) of the state's raw versions; computed on
-        first use and kept beside them, since a version never changes."""
-        out = None
-        for ds, path in self.state["raw"].items():
-            kept = path + ".fingerprint"
-            if not fs_exists(self.spark, kept + "/_SUCCESS"):
-                one = refresh.dataset_fingerprint(self.raw(ds), ds, self.state["cycle"])
-                one.coalesce(1).write.mode("overwrite").parquet(kept)
-            df = self.spark.read.parquet(kept)
-            out = df if out is None else out.unionByName(df)
-        if out is None:
-            return self.spark.createDataFrame([], refresh.MANIFEST_SCHEMA)
-        return out
+        """(dataset, cycle, rows, fingerprint) of the state's raw versions, as they were landed."""
+        rows = [(ds, self.state["cycle"], n, print_) for ds, (n, print_) in sorted(self.state["prints"].items())]
+        return self.spark.createDataFrame(rows, refresh.MANIFEST_SCHEMA)
 
     def curated_tables(self) -> dict[str, DataFrame]:
         names = [TABLE_OF_DATASET[ds] for ds in DATASETS] + ["dim_group_mappings"]
@@ -221,13 +243,20 @@ class Store:
         return {ds: self.raw(ds) for ds in DATASETS}
 
     # ---------------------------------------------------------------- build
-    def _build(self, ds: str, rows: DataFrame) -> tuple[str, str]:
-        """Write a dataset and its curated table to new versions."""
-        raw_path, table_path = self._new("raw", ds), self._new("curated", TABLE_OF_DATASET[ds])
-        files.land_raw_parquet(rows, raw_path)
-        raw = files.scan_raw_parquet(self.spark, raw_path, ds)
-        files.replace_curated(curate.CURATE[ds](raw), table_path)
-        return raw_path, table_path
+    def _land_raw(self, ds: str, rows: DataFrame) -> tuple[str, list]:
+        """Write a dataset to a new version; its rows and fingerprint are taken by the same pass."""
+        path = self._new("raw", ds)
+        return path, list(refresh.landed_fingerprint(rows, lambda df: files.land_raw_parquet(df, path)))
+
+    def _build(self, ds: str, raw_path: str) -> str:
+        """Write the curated table of a landed dataset to a new version."""
+        path = self._new("curated", TABLE_OF_DATASET[ds])
+        files.replace_curated(curate.CURATE[ds](files.scan_raw_parquet(self.spark, raw_path, ds)), path)
+        return path
+
+    def _land(self, ds: str, rows: DataFrame) -> tuple[str, str, list]:
+        raw_path, prints = self._land_raw(ds, rows)
+        return raw_path, self._build(ds, raw_path), prints
 
     def _tags(self, state: dict) -> str:
         """Write the tag table for the state's dictionary and committees."""
@@ -241,12 +270,16 @@ class Store:
         files.replace_curated(tags, path)
         return path
 
-    def _derived(self, state: dict) -> dict:
-        """The state with its money fact and rollup, written to new versions."""
+    def _derived(self, state: dict, channels, tags: bool) -> dict:
+        """The state with new versions of the fact's ``channels`` and of all rollups that they, or new
+        ``tags``, change."""
         build = Store(self.spark, self.root, state["cycle"])
-        build.state = {**state, "money": self._new("derived", "candidate_money"),
-                       "rollup": self._new("derived", "money_rollup")}
-        build.materialize_money()
+        build.state = {**state, **{k: dict(state.get(k, {})) for k in ("fact", "paid", "rollup")}}
+        channels = set(channels) | {c for c in views.CHANNELS if c not in build.state["fact"]}
+        with ThreadPoolExecutor(max_workers=len(views.CHANNELS)) as pool:  # channels share nothing
+            list(pool.map(build._materialize, [c for c in views.CHANNELS if c in channels]))
+            again = channels | set(views.PAID_BY_COMMITTEES if tags else [])
+            list(pool.map(build._tag_rollup, [c for c in views.CHANNELS if c in again]))
         return build.state
 
     def land(self, raws: dict[str, DataFrame], entries: DataFrame | None) -> None:
@@ -255,15 +288,34 @@ class Store:
         # concurrently so small datasets do not leave the cluster idle while a
         # large one lands. Failures surface here (all must land).
         with ThreadPoolExecutor(max_workers=len(DATASETS)) as pool:
-            jobs = {ds: pool.submit(self._build, ds, raws[ds]) for ds in DATASETS}
+            jobs = {ds: pool.submit(self._land, ds, raws[ds]) for ds in DATASETS}
             built = {ds: job.result() for ds, job in jobs.items()}
-        state = {**self.state, "raw": {ds: r for ds, (r, _) in built.items()},
-                 "table": {TABLE_OF_DATASET[ds]: t for ds, (_, t) in built.items()}}
+        change = {"raw": {ds: r for ds, (r, _, _) in built.items()},
+                  "table": {TABLE_OF_DATASET[ds]: t for ds, (_, t, _) in built.items()},
+                  "prints": {ds: f for ds, (_, _, f) in built.items()}, "built": list(built)}
         if entries is not None:
-            state["dictionary"] = self._new("dictionary", "committee_interests")
-            interests.write_interest_dictionary(entries, state["dictionary"])
-        state["table"]["dim_group_mappings"] = self._tags(state)
-        self._commit(self._derived(state))
+            change["dictionary"] = self._new("dictionary", "committee_interests")
+            interests.write_interest_dictionary(entries, change["dictionary"])
+        self._publish(change)
+
+    def load_tags(self, path: str, dry_run: bool = False) -> DataFrame:
+        """Replace the tags by those of a tag file: (category, entries, matched, unknown) of the file.
+
+        Only the tag table and the small rollups that carry tags are written; no fact is. A file
+        without the required columns is refused, ids that are no committee are counted as unknown and left
+        out. With ``dry_run`` nothing is written."""
+        self.load()
+        entries = interests.scan_interest_dictionary(self.spark, path)
+        ids = self.committees.select(F.col("CMTE_ID").alias("_id")).distinct()
+        known = entries.join(ids, F.col("cmte_id") == F.col("_id"), "left")
+        report = known.groupBy("category").agg(
+            F.count(F.lit(1)).alias("entries"), F.count("_id").alias("matched"),
+            F.count(F.when(F.col("_id").isNull(), 1)).alias("unknown"))
+        if not dry_run:
+            kept = self._new("dictionary", "committee_interests")
+            interests.write_interest_dictionary(entries, kept)
+            self._publish({"dictionary": kept, "built": []})
+        return report
 
     def refresh(self, snapshots: dict[str, DataFrame], cycle: str | None = None,
                 force: bool = False, inbox: dict | None = None) -> DataFrame:
@@ -281,19 +333,17 @@ class Store:
         self.load()
         stored = self.manifest()
         refresh.assert_one_cycle(stored, cycle)
-        status, results, sources = {}, [], {}
+        status, results, landed, prints = {}, [], {}, dict(self.state["prints"])
         for ds, rows in snapshots.items():  # one by one: a snapshot that can't be read is its own failure
             try:
-                changes = refresh.snapshot_changes(refresh.manifest({ds: rows}, cycle),
-                                                   stored.filter(F.col("dataset") == ds))
-                status[ds] = changes.first()["status"]
-                sources[ds] = rows
+                landed[ds] = self._land_raw(ds, rows)
+                known = prints.get(ds)
+                status[ds] = "new" if known is None else "unchanged" if known[1] == landed[ds][1][1] else "changed"
             except Exception as e:  # noqa: BLE001 - reported; the others go on
                 results.append((ds, None, "failed", _said(e)))
-        gone = [ds for ds in self.state["raw"] if ds not in snapshots and not fs_exists(
-            self.spark, self.table_path(TABLE_OF_DATASET[ds]) + "/_SUCCESS")]
-        gone += [ds for ds in status if status[ds] == "unchanged" and not fs_exists(
-            self.spark, self.table_path(TABLE_OF_DATASET[ds]) + "/_SUCCESS")]
+        have = {ds for ds in self.state["raw"]
+                if fs_exists(self.spark, self.table_path(TABLE_OF_DATASET[ds]) + "/_SUCCESS")}
+        gone = [ds for ds in self.state["raw"] if ds not in have and status.get(ds, "unchanged") == "unchanged"]
         changes = self.spark.createDataFrame(
             [*status.items(), *((ds, "unchanged") for ds in gone if ds not in status)],
             "dataset string, status string")
@@ -301,30 +351,26 @@ class Store:
         rebuild = refresh.rebuild_set(changes, self.spark.createDataFrame(tables, "table string"),
                                       TABLE_OF_DATASET, [*status, *gone], force)
         reasons = {r["dataset"]: r["reason"] for r in rebuild.collect()}  # one row per dataset
-        state = {**self.state, "raw": dict(self.state["raw"]), "table": dict(self.state["table"]),
-                 "inbox": {**self.state.get("inbox", {}), **(inbox or {})}}
-        rebuilt = []
+        change: dict = {"raw": {}, "table": {}, "prints": {}, "built": []}
         for ds in [*status, *(d for d in gone if d not in status)]:
             st = status.get(ds, "table missing")
             if ds not in reasons:
                 results.append((ds, st, "skipped", None))
+                fs_delete(self.spark, landed[ds][0])  # the same rows as the version that is kept
                 continue
             try:
-                rows = sources.get(ds) if ds in sources else self.raw(ds)
-                state["raw"][ds], state["table"][TABLE_OF_DATASET[ds]] = self._build(ds, rows)
+                raw_path, print_ = landed.get(ds) or (self.raw_path(ds), prints[ds])
+                change["table"][TABLE_OF_DATASET[ds]] = self._build(ds, raw_path)
+                change["raw"][ds], change["prints"][ds] = raw_path, print_
+                change["built"].append(ds)
                 results.append((ds, st, "rebuilt", None))
-                rebuilt.append(ds)
             except Exception as e:  # noqa: BLE001 - reported; the others go on
                 results.append((ds, st, "failed", _said(e)))
         failed = any(r[2] == "failed" for r in results)
-        if rebuilt:
-            if "cm" in rebuilt:
-                state["table"]["dim_group_mappings"] = self._tags(state)
-            state = self._derived(state)
-        if rebuilt or (inbox and not failed):
-            if failed:  # a snapshot from an inbox stays pending until it is built
-                state["inbox"] = self.state.get("inbox", {})
-            self._commit(state)
+        if inbox and not failed:  # a snapshot from an inbox stays pending until it is built
+            change["inbox"] = inbox
+        if change["built"] or change.get("inbox"):
+            self._publish(change)
         return self.spark.createDataFrame(results, REPORT)
 
     def refresh_from_inbox(self, inbox: str, dataset: str, cycle: str | None = None) -> DataFrame:
@@ -332,7 +378,8 @@ class Store:
         lists what arrived in ``inbox``; the newest snapshot ever seen, unless it is
         the one that was built last (the state says which), is read whole and given
         to ``refresh``. A snapshot that could not be read or built stays pending and is
-        tried again by the next call, or gives way to a newer one."""
+        tried again by the next call, or gives way to a newer one. One that may still be
+        arriving (see ``landing.is_complete``) is "incomplete": nothing is read or published."""
         self.load()
         seen = self.path("inbox", dataset, "seen")
         landing.see_new_files(self.spark, inbox, seen, self.path("inbox", dataset, "stream"))
@@ -340,29 +387,36 @@ class Store:
         mark = newest and [newest["snapshot"], str(newest["modified"])]
         if newest is None or mark == self.state.get("inbox", {}).get(dataset):
             return self.spark.createDataFrame([(dataset, None, "no new files", None)], REPORT)
+        if not landing.is_complete(self.spark, inbox, newest["snapshot"], self.path("inbox", dataset, "listing")):
+            return self.spark.createDataFrame([(dataset, None, "incomplete", None)], REPORT)
         rows = landing.read_snapshot(self.spark, inbox, seen, newest["snapshot"], dataset)
         return self.refresh({dataset: rows}, cycle, inbox={dataset: mark})
 
-    def materialize_money(self) -> None:
-        """Parse once, join once: the unified money fact is written as zstd
-        parquet, partitioned by channel, rows sorted by candidate inside each
-        file so row-group statistics prune a single-candidate filter (sorted by
-        channel first, which is the order that the partitioned write asks for).
-        No shuffle: a candidate holding a third of all rows stays spread over
-        the scan tasks it came from. Every report scans this compact, typed
-        table instead of re-typing raw text and re-joining links and tags."""
-        (self.money_view
-         .sortWithinPartitions("channel", "cand_id")
-         .write.mode("overwrite").option("compression", "zstd")
-         .partitionBy("channel").parquet(self.money_path()))
-        # The rollup by (candidate, channel, state, tag, size bucket) that the
-        # reports read: bounded by candidates x states x tags x 7 buckets, not
-        # by the number of gifts. Range-partitioned and sorted by candidate, so
-        # files and row groups cover disjoint candidate ranges and a
-        # one-candidate filter reads one of them (a candidate has at most a few
-        # hundred rollup rows, so the range shuffle cannot be skewed).
-        (views.money_rollup(self.money).orderBy("cand_id")
-         .write.mode("overwrite").option("compression", "zstd").parquet(self.rollup_path()))
+    def _materialize(self, channel: str) -> None:
+        """Parse once, join once: one channel of the money fact is written as zstd parquet, rows
+        sorted by candidate inside each file so row-group statistics prune a single-candidate filter. No
+        shuffle: a candidate holding a third of all rows stays spread over the scan tasks it came
+        from. Then its rollup by paying committee (individual gifts: by state), which is bounded by
+        candidates x states x committees x 7 buckets, not by the number of gifts."""
+        rows = (views.fact_individual(self.clean_individual, self.links) if channel == "individual" else
+                views.fact_direct_pac(self.contributions) if channel == "direct_pac" else
+                views.fact_ie(self.clean_ie, channel))
+        fact, paid = self._new("derived", f"fact_{channel}"), self._new("rollups", f"paid_{channel}")
+        (rows.sortWithinPartitions("cand_id").write.option("compression", "zstd").parquet(fact))
+        (views.committee_rollup(self.spark.read.parquet(fact))
+         .write.option("compression", "zstd").parquet(paid))
+        self.state["fact"][channel], self.state["paid"][channel] = fact, paid
+
+    def _tag_rollup(self, channel: str) -> None:
+        """The rollup that reports read: one channel's by candidate, state, tag and size bucket.
+        Range-partitioned and sorted by candidate, so files and row groups cover disjoint candidate
+        ranges and a one-candidate filter reads one of them (a candidate has at most a few hundred
+        rollup rows, so the range shuffle cannot be skewed)."""
+        path = self._new("rollups", f"rollup_{channel}")
+        paid = self.spark.read.parquet(self.state["paid"][channel])
+        (views.tagged_rollup(paid, self.tags).orderBy("cand_id")
+         .write.option("compression", "zstd").parquet(path))
+        self.state["rollup"][channel] = path
 
     # ---------------------------------------------------------------- frames
     def _memo(self, name, make) -> DataFrame:
@@ -452,14 +506,21 @@ class Store:
 
     @property
     def money(self) -> DataFrame:
-        """candidate_money as materialised at landing (same rows as V4)."""
-        return self._memo("m_money", lambda: self.spark.read.parquet(self.money_path())
-                          .select(*views.MONEY_COLUMNS))
+        """candidate_money as materialised at landing, with the tags as they are now (same rows as V4)."""
+        def read() -> DataFrame:
+            at = self.state["fact"]
+            own = self.spark.read.parquet(at["individual"]).withColumn("interest_category", F.lit(None).cast("string"))
+            paid = self.spark.read.parquet(*[at[c] for c in views.PAID_BY_COMMITTEES])
+            return own.select(*views.MONEY_COLUMNS).unionByName(
+                views.with_tags(paid, self.tags).select(*views.MONEY_COLUMNS))
+
+        return self._memo("m_money", read)
 
     @property
     def rollup(self) -> DataFrame:
         """candidate_money pre-aggregated (see ``views.money_rollup``)."""
-        return self._memo("m_rollup", lambda: self.spark.read.parquet(self.rollup_path()))
+        return self._memo("m_rollup", lambda: self.spark.read.parquet(
+            *[self.state["rollup"][c] for c in views.CHANNELS]))
 
     def register_views(self) -> None:
         """Expose tables and views to ``spark.sql`` under their canonical names."""
@@ -474,5 +535,14 @@ class Store:
 
 
 
+def _paths(state) -> list[str]:
+    """Every text in a state: the versions that it names are among them."""
+    if isinstance(state, dict):
+        return [p for v in state.values() for p in _paths(v)]
+    if isinstance(state, list):
+        return [p for v in state for p in _paths(v)]
+    return [state] if isinstance(state, str) else []
+
+
 def _said(e: Exception) -> str:
     return f"{type(e).__name__}: {str(e)[:300]}"

@@ -6,19 +6,26 @@ with ``trigger(availableNow=True)`` lists what arrived since the last run (its c
 in the shared folder records what was seen) without reading any content; what it saw is
 kept as a table, one folder per micro-batch, so a batch that runs again overwrites itself.
 The newest snapshot is the one with the latest modification time (ties: the larger name), and
-it is read whole - all its files, with the same strict reader as any bulk file.
+it is read whole - all its files, with the same strict reader as any bulk file - once it is complete:
+files named ``*.part``, ``*.tmp`` or ``*.crdownload`` are still being written and are no part of any snapshot.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moneytrail.plans.session import fs_exists
+from moneytrail.plans.session import fs_exists, fs_listing, fs_read, fs_write
 from moneytrail.sources import files
 
 LISTED = "path string, modificationTime timestamp, length long, content binary"
 SEEN = "path string, snapshot string, modified timestamp"
+#: Names of files that a writer has not finished.
+UNFINISHED = (".part", ".tmp", ".crdownload")
+#: A folder's file that lists its parts, one name per line.
+PARTS = "_PARTS"
 
 
 def snapshot_of(path: Column, inbox: str) -> Column:
@@ -43,7 +50,8 @@ def see_new_files(spark: SparkSession, inbox: str, seen: str, checkpoint: str) -
         batches.append(number)
 
     found = (spark.readStream.format("binaryFile").schema(LISTED).option("recursiveFileLookup", "true")
-             .load(inbox).select("path", F.col("modificationTime").alias("modified")))
+             .load(inbox).select("path", F.col("modificationTime").alias("modified"))
+             .filter(~F.col("path").rlike(r"\.(part|tmp|crdownload)$")))
     query = (found.select("path", snapshot_of(F.col("path"), inbox).alias("snapshot"), "modified")
              .writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
@@ -60,6 +68,34 @@ def newest_snapshot(spark: SparkSession, seen: str):
     return times.orderBy(F.desc("modified"), F.desc("snapshot")).first()
 
 
+def is_complete(spark: SparkSession, inbox: str, snapshot: str, kept: str) -> bool:
+    """Whether all of a snapshot has arrived.
+
+    A file directly in the inbox is complete under its final name. A folder is complete with a
+    ``_SUCCESS`` marker, or when all names that its ``_PARTS`` file lists are there; without either,
+    and for parts that lie directly in the inbox, the files must be the same, with the same lengths and
+    times, as at the last look, which ``kept`` remembers. A file of an unfinished name keeps
+    its folder incomplete."""
+    base = inbox.rstrip("/")
+    whole = fs_listing(spark, base)
+    if snapshot in whole and not whole[snapshot][2]:
+        return True
+    folder = snapshot in whole
+    names = fs_listing(spark, f"{base}/{snapshot}") if folder else {
+        n: v for n, v in whole.items() if n.startswith("part-") and snapshot in n}
+    if any(n.endswith(UNFINISHED) for n in names):
+        return False
+    if folder and "_SUCCESS" in names:
+        return True
+    if folder and PARTS in names:
+        listed = fs_read(spark, f"{base}/{snapshot}/{PARTS}").split()
+        return all(n in names for n in listed)
+    now = {"snapshot": snapshot, "files": {n: list(v[:2]) for n, v in sorted(names.items())}}
+    before = json.loads(fs_read(spark, kept)) if fs_exists(spark, kept) else None
+    fs_write(spark, kept, json.dumps(now))
+    return before == now
+
+
 def read_snapshot(spark: SparkSession, inbox: str, seen: str, snapshot: str, dataset: str) -> DataFrame:
     """All rows of a snapshot. A folder is read as it is now, parts that came later included."""
     folder = f"{inbox.rstrip('/')}/{snapshot}"

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +36,15 @@ def dataset_fingerprint(df: DataFrame, dataset: str, cycle: str) -> DataFrame:
                     F.coalesce(F.col("_h").cast("string"), F.lit("0"))).alias("fingerprint"))
 
 
+def landed_fingerprint(df: DataFrame, write) -> tuple[int, str]:
+    """(rows, fingerprint) of ``df``, taken while ``write`` writes it: its rows are read once."""
+    seen = Observation()
+    h = row_hash(df).cast(T.DecimalType(38, 0))
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(h).alias("h")))
+    rows, total = seen.get["rows"], seen.get["h"]
+    return rows, f"{rows}:{total if total is not None else 0}"
+
+
 def manifest(raws: dict[str, DataFrame], cycle: str) -> DataFrame:
     out = None
     for ds, df in raws.items():
