@@ -8,8 +8,8 @@ byte offset follows from the character's. Tokens that share a character (parts o
 pieces and the lone leading space in B) have no offset of their own there; theirs is counted from the last cut by the bytes that the tokens
 decode to. The decoded bytes must join to the space and the text, else the text has no tokens.
 
-Speed. No token of either vocabulary crosses the place before a single space that a letter, digit or ASCII sign follows, so texts are cut there into
-units; the distinct units that a worker has not met are laid end to end, aligned as one text, and kept, up to ``CACHE_UNITS``. Units
+Speed. No token of either vocabulary crosses the place before a single space that a letter, digit or ASCII sign follows, nor that between an ASCII letter and
+such a sign of ``SIGNS`` as follows a letter in no entry of both vocabularies, so texts are cut there into units; the distinct units that a worker has not met are laid end to end, aligned as one text, and kept, up to ``CACHE_UNITS``. Units
 with other space around them are aligned alone. Tests hold this against the alignment of whole texts.
 
 Counts. A task's documents form chunks of about ``CHUNK_BYTES`` of text (one document at least). A chunk's distinct id pairs, with the number of its documents that
@@ -41,12 +41,16 @@ from moneytrail.llm.common import bound_batches, written
 #: Text of one chunk, in characters; a document is never split.
 CHUNK_BYTES = 8 << 20
 RUN_CHARS = 1 << 20
-CACHE_UNITS, CACHE_PAIRS = 400_000, 4_000_000
+CACHE_UNITS, CACHE_PAIRS = 1_000_000, 6_000_000
 #: Groups of more links than this are counted by distinct ids, not link by link.
 WIDE = 4096
 #: Ids of B in a pair's code.
 _B_BITS = 24
 
+#: Signs at which a text may be cut behind a letter; each is looked for in the vocabularies first.
+SIGNS = ".,!?;:"
+#: A unit of one token of either, before units that begin with a sign.
+_FILLER = " a"
 _CUT = re.compile(r"(?<=[^ ])(?= (?:[!-~]|\w))")
 _PLAIN = re.compile(r" (?:[!-~]|\w)")
 #: Names of the 256 bytes in a byte-level vocabulary: visible Latin-1 characters are themselves, the others follow from 256 on.
@@ -70,6 +74,9 @@ class Aligner:
             self.a_bytes[i] = bytes(_BYTES[c] for c in name) if all(c in _BYTES for c in name) else name.encode()
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        behind = {x for t in chain(self.a_bytes, self.b_bytes) for x in re.findall(rb"(?<=[A-Za-z])[^A-Za-z]", t)}
+        self.signs = "".join(c for c in SIGNS if c.encode() not in behind)
+        self.cut = re.compile(f"{_CUT.pattern}|(?<=[A-Za-z])(?=[{re.escape(self.signs)}])") if self.signs else _CUT
         self.a_sizes, self.b_sizes = (np.array([len(x) for x in y], np.int64) for y in (self.a_bytes, self.b_bytes))
         self._forget()
 
@@ -119,14 +126,21 @@ class Aligner:
     def _learn(self, units: list[str]) -> None:
         """Align units that are not known yet."""
         plain = [u for u in units if _PLAIN.match(u) and u[-1] != " "]
-        other = [u for u in units if not (_PLAIN.match(u) and u[-1] != " ")]
-        if plain and not self._add(plain):
-            other += plain
+        signed = [u for u in units if u and u[0] in self.signs and u[-1] != " "]
+        other = [u for u in units if not u or u[-1] == " " or not (_PLAIN.match(u) or u[0] in self.signs)]
+        for some in (plain, signed):
+            if some and not self._add(some):
+                other += some
         for unit in other:
             unit and self._add([unit]) or self._record([unit], [False], [""], np.zeros((1, 4), np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
 
     def _add(self, units: list[str]) -> bool:
-        """Align units laid end to end; False where they can't be told apart or bytes differ."""
+        """Align units laid end to end; False where they can't be told apart or bytes differ.
+
+        Units that begin with a sign (then all do) each stand behind a filler, whose results are left out."""
+        own, filled = units, units[0][0] in self.signs
+        if filled:
+            units = [x for u in own for x in (_FILLER, u)]
         found = self.align("".join(units))
         if found is None:
             return False
@@ -144,8 +158,11 @@ class Aligner:
         joined = [";".join(strings[i : j + 1]) for i, j in zip(first.tolist(), last.tolist(), strict=True)]
         totals = np.stack([np.bincount(unit_of, w, len(units)) for w in (n_a, n_b, np.ones(len(cuts)), n_a * n_b)], 1).astype(np.int64)
         unit, pairs, links = _links(a, b, n_a, n_b, unit_of)
+        if filled:
+            kept = unit % 2 == 1
+            unit, pairs, links, joined, totals = unit[kept] // 2, pairs[kept], links[kept], joined[1::2], totals[1::2]
         order = np.argsort(unit, kind="stable")
-        self._record(units, [True] * len(units), joined, totals, np.bincount(unit, minlength=len(units)), pairs[order], links[order])
+        self._record(own, [True] * len(own), joined, totals, np.bincount(unit, minlength=len(own)), pairs[order], links[order])
         return True
 
     def _record(self, units, good, joined, totals, sizes, pairs, links) -> None:
@@ -170,7 +187,7 @@ class Aligner:
         """
         if len(self.index) > CACHE_UNITS or self.n_pairs > CACHE_PAIRS:
             self._forget()
-        split = [_CUT.split(t) for t in texts]
+        split = [self.cut.split(t) for t in texts]
         missing = list(dict.fromkeys(u for units in split for u in units if u not in self.index))
         if missing:
             self._learn(missing)
