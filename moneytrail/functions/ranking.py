@@ -62,15 +62,27 @@ def running_before(df: DataFrame, part_cols: list[str], levels: list[list[Key]],
     return before.withColumnRenamed("_before", out).drop(*[n for level in levels for n, _, _ in level])
 
 
+def value_counts(df: DataFrame, part_cols: list[str], value: str, out: str = "_m") -> DataFrame:
+    """One row per group and distinct ``value`` with its number of rows: what hot values
+    collapse to. Plans that read it several times share its shuffle."""
+    return df.groupBy(*part_cols, value).agg(F.count(F.lit(1)).alias(out))
+
+
+def below_per_value(counts: DataFrame, part_cols: list[str], value: str,
+                    out: str = "below", present: str | None = None) -> DataFrame:
+    """From ``value_counts``: per group and value the number of rows with a strictly smaller
+    value, and, as ``present``, the number of rows of the group."""
+    levels = [[("_l1", _coarse(F.col(value)), False)], [("_l2", F.col(value), False)]]
+    return running_before(counts, part_cols, levels, "_m", out, present).drop("_m")
+
+
 def count_strictly_below(df: DataFrame, part_cols: list[str], value: str,
                          out: str = "below", present: str | None = None) -> DataFrame:
     """Add ``out`` = number of rows of the same group with a strictly smaller
     ``value`` (equal values share the count, like ``rank() - 1``), and, as
     ``present``, the number of rows of the group."""
-    vc = df.groupBy(*part_cols, value).agg(F.count(F.lit(1)).alias("_m"))
-    levels = [[("_l1", _coarse(F.col(value)), False)], [("_l2", F.col(value), False)]]
-    ranked = running_before(vc, part_cols, levels, "_m", out, present)
-    return df.join(ranked.drop("_m"), [*part_cols, value])
+    ranked = below_per_value(value_counts(df, part_cols, value), part_cols, value, out, present)
+    return df.join(ranked, [*part_cols, value])
 
 
 def global_row_number(df: DataFrame, value: str, key: str, out: str = "rank") -> DataFrame:

@@ -8,19 +8,23 @@ The reference builds Python dicts, sorts lists and bisects. Here:
   counts arithmetically instead of materialising a member x tag product;
 * the percentile of v is (#cohort values strictly below v) / cohort size
   (R3), computed by a prefix count in levels (no single-task window);
-* floors (R4), the headline pick (R5, a per-member window over at most
+* floors (R4), the headline pick (R5, one minimum per member over at most
   4 + #tags rows) and the final numbering (R6, a distributed global rank).
+
+The ranking computes the cohort three times: for the counts per value, for the picks and for
+the names. Nothing is cached: the levels of both counts read the same shuffles, which Spark
+reuses, because what they aggregate is one column that no level can prune differently.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moneytrail.functions.constants import (FLOOR_BLOC, NO_STANDOUT, SIGNALS,
                                             TAG_SIGNAL_ORDER)
-from moneytrail.functions.ranking import count_strictly_below, global_row_number
+from moneytrail.functions.ranking import below_per_value, global_row_number, value_counts
 
 DBL = T.DoubleType()
 
@@ -90,14 +94,19 @@ def rank_percentiles(members: DataFrame) -> DataFrame:
     """Percentile of each (member, signal) value within the cohort:
     (#members whose value is strictly below) / cohort size. For tag signals the
     absent members count as zeros."""
-    # the cohort's size is one row, which meets every row by a constant key
-    cohort = members.agg(F.count(F.lit(1)).alias("_n")).withColumn("_k", F.lit(1))
-    below = count_strictly_below(_signals_long(members), ["signal"], "value", "_below", "_present")
-    j = below.withColumn("_k", F.lit(1)).join(F.broadcast(cohort), "_k")
+    long = _signals_long(members)
+    counts = value_counts(long, ["signal"], "value")
+    # every member has the first signal, so its rows are the cohort's size: one row, which
+    # meets the values by a constant key
+    cohort = counts.agg(F.sum(F.when(F.col("signal") == SIGNALS[0][0], F.col("_m"))).alias("_n"))
+    below = below_per_value(counts, ["signal"], "value", "_below", "_present")
     zeros_below = F.when(F.col("value") > 0, F.col("_n") - F.col("_present")).otherwise(F.lit(0))
     pct = (F.col("_below") + zeros_below).cast(DBL) / F.col("_n").cast(DBL)
-    return j.select("cand_id", "signal", "label", "signal_order", "floor", "value",
-                    pct.alias("pctile"))
+    per_value = (below.withColumn("_k", F.lit(1))
+                 .join(F.broadcast(cohort.withColumn("_k", F.lit(1))), "_k")
+                 .select("signal", "value", pct.alias("pctile")))
+    return long.join(per_value, ["signal", "value"]).select(
+        "cand_id", "signal", "label", "signal_order", "floor", "value", "pctile")
 
 
 def rank_floors(pctiles: DataFrame) -> DataFrame:
@@ -105,32 +114,34 @@ def rank_floors(pctiles: DataFrame) -> DataFrame:
     return pctiles.filter(F.col("value") >= F.col("floor"))
 
 
-def rank_headline(eligible: DataFrame, signals: DataFrame) -> DataFrame:
-    """Per member the eligible signal with the highest percentile; ties go
-    to out-of-state, PAC, outside, concentration, then tags by name. Members
-    with none get ``(balanced / no standout)``, 0, 0."""
-    w = Window.partitionBy("cand_id").orderBy(F.col("pctile").desc(), F.col("signal_order"),
-                                              F.col("label"))
-    best = (eligible.withColumn("_r", F.row_number().over(w)).filter("_r = 1")
-            .select(F.col("cand_id").alias("_hid"), F.col("label").alias("headline"),
-                    F.col("value").alias("headline_value"),
-                    F.col("pctile").alias("headline_pctile"),
-                    F.col("signal_order").alias("_order")))
-    j = signals.join(best, F.col("cand_id") == F.col("_hid"), "left").drop("_hid")
-    return j.select(
-        "cand_id", "name", "seat", "party", "indiv", "raised", "backing",
-        F.coalesce(F.col("headline"), F.lit(NO_STANDOUT)).alias("headline"),
-        F.coalesce(F.col("headline_value"), F.lit(0.0)).alias("headline_value"),
-        F.coalesce(F.col("headline_pctile"), F.lit(0.0)).alias("headline_pctile"))
-
-
-def funding_headline_ranking(headlines: DataFrame, limit: int = 0) -> DataFrame:
+def rank_picks(pctiles: DataFrame) -> DataFrame:
+    """Per member the eligible signal with the highest percentile; ties go to out-of-state,
+    PAC, outside, concentration, then tags by name. Members with none get
+    ``(balanced / no standout)``, 0, 0. One minimum of one struct, pre-aggregated."""
+    ok = F.col("value") >= F.col("floor")
+    first = F.min(F.struct((~ok).alias("none"), (-F.col("pctile")).alias("down"), "signal_order",
+                           "label", "value", "pctile"))
+    none = F.col("_p.none")
+    return pctiles.groupBy("cand_id").agg(first.alias("_p")).select(
+        "cand_id",
+        F.when(none, F.lit(NO_STANDOUT)).otherwise(F.col("_p.label")).alias("headline"),
+        F.when(none, F.lit(0.0)).otherwise(F.col("_p.value")).alias("headline_value"),
+        F.when(none, F.lit(0.0)).otherwise(F.col("_p.pctile")).alias("headline_pctile"))
+
+
+def rank_headline(picks: DataFrame, signals: DataFrame) -> DataFrame:
+    """Every member with its pick (and what else ``picks`` holds)."""
+    return signals.select("cand_id", "name", "seat", "party", "indiv", "raised", "backing").join(
+        picks, "cand_id")
+
+
+def funding_headline_ranking(picks: DataFrame, signals: DataFrame, limit: int = 0) -> DataFrame:
     """Members by headline percentile (desc; ties by cand_id), numbered
     from 1; ``limit`` > 0 keeps the top N (a top-k report)."""
-    ranked = global_row_number(headlines, "headline_pctile", "cand_id")
+    ranked = global_row_number(picks, "headline_pctile", "cand_id")
     if limit:
         ranked = ranked.filter(F.col("rank") <= limit)
-    return ranked
+    return rank_headline(ranked, signals)
 
 
 def rank_display_fields(ranking: DataFrame) -> DataFrame:
@@ -145,17 +156,13 @@ def rank_display_fields(ranking: DataFrame) -> DataFrame:
 
 
 class CohortRanking:
-    """R1-R6 over one cohort. Frames are lazy: nothing runs while they are built. The
-    members (a row each) feed several branches, so Spark is asked to keep them once
-    they are computed; what a lost executor takes with it is computed again."""
+    """R1-R6 over one cohort. Frames are lazy: nothing runs while they are built, and
+    nothing stays in the executors after they ran."""
 
     def __init__(self, base: DataFrame, categories: DataFrame, limit: int = 0):
         self.limit = limit
-        self.members = members(rank_signals(base), categories).persist()
-
-    @property
-    def signals(self) -> DataFrame:
-        return self.members.drop("tags")
+        self.signals = rank_signals(base)
+        self.members = members(self.signals, categories)
 
     @property
     def category_shares(self) -> DataFrame:
@@ -169,10 +176,14 @@ class CohortRanking:
     def eligible(self) -> DataFrame:
         return rank_floors(self.percentiles)
 
+    @property
+    def picks(self) -> DataFrame:
+        return rank_picks(self.percentiles)
+
     @property
     def headline(self) -> DataFrame:
-        return rank_headline(self.eligible, self.signals)
+        return rank_headline(self.picks, self.signals)
 
     @property
     def ranking(self) -> DataFrame:
-        return funding_headline_ranking(self.headline, self.limit)
+        return funding_headline_ranking(self.picks, self.signals, self.limit)
