@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moneytrail.functions.constants import RANK_MIN_INDIVIDUAL
+from moneytrail.functions.constants import ANGLE_DONOR_SIZE, ANGLE_GEOGRAPHY, RANK_MIN_INDIVIDUAL
 from moneytrail.operators import angles, profile, rank, reports
 from moneytrail.plans.store import Store
 from moneytrail.sources import files
@@ -89,9 +89,11 @@ def cohort_ranking(spark: SparkSession, source: str | Store, office: str | None
 
 
 def export_angles(spark: SparkSession, source: str | Store, out_dir: str,
-                  query: str | None = None) -> DataFrame:
-    """Write the chart documents (all candidates, or one) as JSON under
-    ``out_dir/<dirname>/<angle_id>.json``; returns the skipped angles with reasons."""
+                  query: str | None = None, region_note: str | None = None) -> DataFrame:
+    """Write the chart documents as JSON under ``out_dir/<dirname>/<angle_id>.json``; returns
+    the skipped angles with reasons. An export of all candidates replaces what an earlier one
+    left in ``out_dir``; one of a single candidate (``query``) touches that candidate's
+    documents only. ``region_note`` goes into every document's candidate card."""
     s = _store(spark, source)
     money, cands = s.rollup, s.candidates
     if query is not None:
@@ -102,9 +104,13 @@ def export_angles(spark: SparkSession, source: str | Store, out_dir: str,
     buckets = reports.candidate_buckets(money)
     facts = profile.candidate_facts(money, cands)
     docs = angles.angle_documents_nested(buckets, facts, reports.candidate_top_states(money),
-                                         angles.candidate_card(cands))
+                                         angles.candidate_card(cands, region_note))
     docs = docs.join(linked, F.col("cand_id") == F.col("_lc"), "left_semi")
     dirs = angles.canonical_dirname(cands).withColumnRenamed("cand_id", "_dc")
-    files.write_angles(docs.join(dirs, F.col("cand_id") == F.col("_dc")).drop("_dc"), out_dir)
+    docs = docs.join(dirs, F.col("cand_id") == F.col("_dc")).drop("_dc")
+    if query is None:
+        files.write_angles(docs, out_dir)
+    else:
+        files.write_folder(docs, out_dir, dirs.first()["dirname"], (ANGLE_DONOR_SIZE, ANGLE_GEOGRAPHY))
     return angles.angles_skipped(buckets, facts).join(
         linked, F.col("cand_id") == F.col("_lc"), "left_semi")

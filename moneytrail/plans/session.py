@@ -181,6 +181,35 @@ def fs_create(spark: SparkSession, staged: str, path: str, text: str) -> bool:
     return True
 
 
+def fs_qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme that Spark itself resolves it to (``fs.defaultFS`` where it
+    names none), so that executors' own clients write where Spark would."""
+    p, fs = _fs(spark, path)
+    full = fs.makeQualified(p)
+    uri = full.toUri()
+    return f"file://{uri.getPath()}" if uri.getScheme() == "file" else full.toString()
+
+
+def fs_mkdirs(spark: SparkSession, path: str) -> None:
+    """Make a folder and its parents."""
+    p, fs = _fs(spark, path)
+    fs.mkdirs(p)
+
+
+def fs_move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a file or folder; an error where ``to`` exists (a plain rename would move a
+    folder INTO an existing one)."""
+    p, fs = _fs(spark, fs_qualified(spark, path))
+    q, _ = _fs(spark, fs_qualified(spark, to))
+    jvm = spark._jvm  # noqa: SLF001 - classic sessions only
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.getUri(), spark._jsc.hadoopConfiguration())  # noqa: SLF001
+    rename = getattr(jvm.org.apache.hadoop.fs.Options, "Rename")
+    none = spark.sparkContext._gateway.new_array(rename, 1)  # noqa: SLF001
+    none[0] = rename.NONE
+    context.rename(p, q, none)
+
+
 def fs_delete(spark: SparkSession, path: str) -> None:
     """Remove a folder that this library made."""
     p, fs = _fs(spark, path)

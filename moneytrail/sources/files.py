@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from moneytrail.plans import session
 from moneytrail.sources.schemas import CSV_DATASETS, raw_schema
 
 
@@ -115,23 +118,87 @@ def landed_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 JSON_OPTIONS = {"ignoreNullFields": "false"}
 
 
+#: Marks a folder as an export's own: the next export replaces it whole.
+EXPORT_MARKER = "_EXPORT"
+
+
 def write_angles(docs: DataFrame, path: str, tasks: int | None = None) -> str:
     """One JSON document per candidate x angle as ``<dirname>/<angle_id>.json``,
-    NULL fields written out.
+    NULL fields written out; documents of an earlier export that are no longer among
+    ``docs`` are gone.
+
+    Tasks stage the documents in a folder beside ``path``; when all are written, the driver
+    puts that folder in the place of ``path``. A failed export leaves ``path`` as it was. An
+    existing folder is replaced only when an export made it (or it is empty): a folder that
+    holds anything else is refused before a document is written. One export at a time."""
+    spark = docs.sparkSession
+    path = session.fs_qualified(spark, path)
+    held = session.fs_list(spark, path)
+    if held and EXPORT_MARKER not in held:
+        raise ValueError(f"{path} holds files that no export wrote; name another folder")
+    staged = _beside(path, "staged")
+    stage_documents(docs, staged, tasks)
+    session.fs_write(spark, f"{staged}/{EXPORT_MARKER}", "")
+    before = _beside(path, "before")
+    if session.fs_exists(spark, path):
+        session.fs_move(spark, path, before)
+    try:
+        session.fs_move(spark, staged, path)
+    except Exception:
+        if session.fs_exists(spark, before) and not session.fs_exists(spark, path):
+            session.fs_move(spark, before, path)
+        raise
+    if session.fs_exists(spark, before):
+        session.fs_delete(spark, before)
+    return path
+
+
+def write_folder(docs: DataFrame, path: str, folder: str, angle_ids: tuple[str, ...]) -> str:
+    """The documents of one candidate as ``path/<folder>/<angle_id>.json``, whatever else
+    ``path`` holds. Documents of ``angle_ids`` that the candidate no longer has are removed
+    from its folder, other files stay."""
+    spark = docs.sparkSession
+    path = session.fs_qualified(spark, path)
+    staged = _beside(path, "staged")
+    stage_documents(docs, staged, 1)
+    for angle in angle_ids:
+        new, old = f"{staged}/{folder}/{angle}.json", f"{path}/{folder}/{angle}.json"
+        if session.fs_exists(spark, old):
+            session.fs_delete(spark, old)
+        if session.fs_exists(spark, new):
+            session.fs_mkdirs(spark, f"{path}/{folder}")
+            session.fs_move(spark, new, old)
+    session.fs_delete(spark, staged)
+    return path
+
+
+def _beside(path: str, what: str) -> str:
+    """A new name in the folder that holds ``path`` (the same file system: a rename)."""
+    head, _, name = path.rstrip("/").rpartition("/")
+    return f"{head}/.{name}-{what}-{uuid.uuid4().hex[:12]}"
+
+
+def stage_documents(docs: DataFrame, path: str, tasks: int | None = None) -> None:
+    """Write every document below the new folder ``path``.
 
     Spark's writers name their own files, so each task writes its documents to
     their final names through pyarrow's file systems (file, hdfs, s3, gs): first
-    under a name of its own, then moved, so a task that runs twice leaves one
-    whole file. The explicit task count keeps a small document set from being
-    written by one task."""
+    under a name of its own in ``_parts``, then moved, so a task that runs twice leaves one
+    whole file; what lost tasks leave in ``_parts`` is removed. The explicit task count keeps a
+    small document set from being written by one task."""
     spark = docs.sparkSession
     tasks = tasks or spark.sparkContext.defaultParallelism
     fields = [c for c in docs.columns if c not in ("dirname", "angle_id")]
     rows = docs.select("dirname", "angle_id", F.to_json(F.struct(*fields), JSON_OPTIONS).alias("doc"))
+    session.fs_mkdirs(spark, f"{path}/_parts")
     written = rows.repartition(max(1, tasks), "dirname", "angle_id").mapInArrow(
         _document_writer(path), "dirname string, angle_id string")
-    written.write.format("noop").mode("overwrite").save()
-    return path
+    try:
+        written.write.format("noop").mode("overwrite").save()
+    except Exception:
+        session.fs_delete(spark, path)
+        raise
+    session.fs_delete(spark, f"{path}/_parts")
 
 
 def _document_writer(root: str):
@@ -141,13 +208,13 @@ def _document_writer(root: str):
         import pyarrow as pa
         from pyarrow import fs
 
-        store, base = (fs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:")
-                       else (fs.LocalFileSystem(), root))
+        store, base = ((fs.LocalFileSystem(), root.removeprefix("file://")) if root.startswith("file://")
+                       else fs.FileSystem.from_uri(root))
         for batch in batches:
             for row in batch.to_pylist():
                 folder = f"{base}/{row['dirname']}"
                 store.create_dir(folder, recursive=True)
-                part = f"{folder}/.{row['angle_id']}.{uuid.uuid4().hex}"
+                part = f"{base}/_parts/{uuid.uuid4().hex}"
                 with store.open_output_stream(part) as out:
                     out.write(row["doc"].encode() + b"\n")
                 store.move(part, f"{folder}/{row['angle_id']}.json")

@@ -3,7 +3,11 @@ import json
 import os
 import tempfile
 
+import pytest
+from pyspark.sql import functions as F
+
 from moneytrail.plans import api
+from moneytrail.sources import files
 
 SF = "/root/testdata/sf0.001"
 TOP_KEYS = {"candidate", "angle", "headline", "subhead", "chart", "footnotes", "source"}
@@ -41,3 +45,62 @@ def test_export_layout_keys_and_determinism(spark):
         if doc["angle"]["id"] == "donor-size":
             assert abs(total - den) <= 1
         assert doc == db[folder][0]  # deterministic
+
+
+def small_docs(spark, names, amount=1.0):
+    return spark.createDataFrame([(n, "geography", amount) for n in names], "dirname string, angle_id string, amount double")
+
+
+def test_a_new_export_drops_stale_documents(spark):
+    home = tempfile.mkdtemp(prefix="mt-exp-")
+    out = os.path.join(home, "angles")
+    files.write_angles(small_docs(spark, ["a", "b", "c"]), out)
+    files.write_angles(small_docs(spark, ["b", "d"], 2.0), out)
+    docs = read_docs(out)
+    assert sorted(docs) == ["b/geography.json", "d/geography.json"]
+    assert docs["b/geography.json"][0]["amount"] == 2.0
+    assert os.listdir(home) == ["angles"]  # neither staged nor replaced folders stay
+    files.write_angles(small_docs(spark, []), out)  # nobody qualifies
+    assert not read_docs(out) and os.path.isdir(out)
+
+
+def test_a_failed_export_changes_nothing(spark):
+    home = tempfile.mkdtemp(prefix="mt-exp-")
+    out = os.path.join(home, "angles")
+    files.write_angles(small_docs(spark, ["a"]), out)
+    bad = small_docs(spark, ["a", "b"], 3.0).withColumn(
+        "amount", F.when(F.col("dirname") == "b", F.raise_error(F.lit("lost")).cast("double")).otherwise(F.col("amount")))
+    with pytest.raises(Exception, match="lost"):
+        files.write_angles(bad, out)
+    assert read_docs(out) == {"a/geography.json": [{"amount": 1.0}]}
+    assert os.listdir(home) == ["angles"]
+
+
+def test_a_folder_of_other_files_is_refused(spark):
+    out = tempfile.mkdtemp(prefix="mt-exp-")
+    with open(os.path.join(out, "notes.txt"), "w") as f:
+        f.write("mine")
+    with pytest.raises(ValueError, match="no export wrote"):
+        files.write_angles(small_docs(spark, ["a"]), out)
+    assert os.listdir(out) == ["notes.txt"]
+
+
+def test_one_candidate_into_a_given_folder(spark):
+    out = os.path.join(tempfile.mkdtemp(prefix="mt-exp-"), "angles")
+    api.export_angles(spark, SF, out)
+    whole = read_docs(out)
+    cid = next(iter(whole.values()))[0]["candidate"]["cand_id"]
+    own = {k for k, v in whole.items() if v[0]["candidate"]["cand_id"] == cid}
+    folder = next(iter(own)).split(os.sep)[0]
+    with open(os.path.join(out, folder, "mine.txt"), "w") as f:
+        f.write("stays")
+    api.export_angles(spark, SF, out, query=cid, region_note="northern half")
+    again = read_docs(out)
+    assert again.keys() == whole.keys()
+    for k, v in again.items():
+        assert (v == whole[k]) == (k not in own)
+        assert (v[0]["candidate"]["region_note"] == "northern half") == (k in own)
+    assert os.path.exists(os.path.join(out, folder, "mine.txt"))
+    # a candidate without documents any more: its old ones go, the rest stays
+    files.write_folder(small_docs(spark, []), out, folder, ("donor-size", "geography"))
+    assert read_docs(out).keys() == whole.keys() - own
