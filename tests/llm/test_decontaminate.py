@@ -1,4 +1,6 @@
 import hashlib
+import pickle
+import random
 import re
 
 from moneytrail.llm import decontaminate, queries
@@ -50,6 +52,25 @@ def test_odd_rows(spark, odd, odd_rows, none):
     assert not any(r.contaminated or r.n_items for r in decontaminate.judge(odd, bench.limit(0)).collect())
 
 
+def test_index_is_bounded_by_the_text():
+    rnd = random.Random(3)
+    known = ["".join(rnd.choices("abcdefghijklmno", k=rnd.randint(2, 9))) for _ in range(20_000)]
+    items = [(str(i), " ".join(rnd.choices(known, k=400)).encode()) for i in range(500)]
+    index = decontaminate.Index(items, 13)
+    assert len(pickle.dumps(index)) <= 3 * sum(len(t) for _, t in items)
+
+
+def test_windows_of_several_items_and_one_hash(spark, monkeypatch):
+    # all windows have one hash: only the comparison of words tells them apart
+    monkeypatch.setattr(decontaminate, "mix", lambda h: h * 0)
+    shared = " ".join(f"w{i}" for i in range(13))
+    index = decontaminate.Index([("a", f"x {shared} y".encode()), ("b", b""), ("c", shared.upper().encode()), ("c", f"{shared} {shared}".encode()), ("d", b"w1 w2")], 13)
+    windows = index.sizes[13]
+    find = lambda t: sorted(set(index.found(windows, (t + " ").encode(), 0, len(windows.at))))
+    assert find(shared) == ["a", "c"] and find("x " + shared[:-4]) == ["a"] and find(shared[:-1]) == []
+    assert sorted(index.sizes) == [2, 13] and len(windows.at) == 3 + 12
+
+
 def test_removal(spark, odd, odd_rows):
     items = items_of(odd_rows)
     bench = spark.createDataFrame(items, "item_id bigint, text string")
