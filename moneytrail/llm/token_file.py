@@ -1,12 +1,13 @@
 """Token ids in files of frequency-ranked, byte-aligned variable-length codes.
 
-Documents are laid out in ascending doc_id order, tokenised, and cut into blocks of about
+Documents are laid out in ascending doc_id order (or, as an option, in the order of the Parquet files that
+they are read from, so that a shuffle before holds), tokenised, and cut into blocks of about
 ``BLOCK_TOKENS`` ids (whole documents). A block ranks its ids by frequency (ties by id): rank 0 is the
 most frequent, so most ranks fit into one byte. A rank takes 1 to 4 data bytes, little-endian; its
 length minus one is two bits of a separate control byte, which holds four of them. Decoding looks the
 control bytes up in a table of lengths and scatters the data bytes by it, all in numpy.
 
-A block is one row of a Parquet file: part, block (both count upwards with doc_id), doc_ids, sizes (ids
+A block is one row of a Parquet file: part, block (both count upwards in that order), doc_ids, sizes (ids
 per document with its end id), ranks (the ids by rank, 32 bits each), control and data. Spark's
 committer writes the files, so lost or repeated tasks leave no halves, and each block decodes alone.
 
@@ -19,7 +20,7 @@ units through its whole encoder, and so does, in one piece, a text with white sp
 line ends, or with an added token of the vocabulary (such as ``<|endoftext|>``, which is one id there as by the library's default).
 
 Defined cases: a null or empty text is its end id alone; null doc_ids come first; rows of one doc_id are
-ordered by a hash of their texts; an empty table gives no files' rows; other columns are not written.
+ordered by a hash of their texts; a very long text is one document of one block; an empty table gives no files' rows; other columns are not written.
 """
 
 from __future__ import annotations
@@ -33,10 +34,11 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moneytrail.llm.common import fresh_path, offsets_before, row_ranges, whole
+from moneytrail.llm.common import fresh_path, offsets_before, row_ranges, whole, written
 from moneytrail.llm.lookup import Table
 from moneytrail.llm.words import powers, mix
 
@@ -260,8 +262,19 @@ def _write(tokenizer_json, block_tokens: int):
     return run
 
 
-def write_tokens(docs: DataFrame, path: str, *, tokenizer: str | None = None, doc_id: str = "doc_id", text: str = "text", block_tokens: int = BLOCK_TOKENS, file_bytes: int = FILE_BYTES) -> None:
-    """Write the ids of all documents, in ascending doc_id order, below ``path``."""
+def _given_order(docs: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """Documents and their place in the Parquet files of one write; what is no plain read of files is written first."""
+    try:
+        place = docs.metadataColumn("_metadata")
+    except AnalysisException:
+        docs = written(docs, "tokens-given")
+        place = docs.metadataColumn("_metadata")
+    name = place["file_name"]  # part-<number>-...: a longer name has a higher number
+    return docs, [F.length(name), name, place["row_index"]]
+
+
+def write_tokens(docs: DataFrame, path: str, *, tokenizer: str | None = None, doc_id: str = "doc_id", text: str = "text", given_order: bool = False, block_tokens: int = BLOCK_TOKENS, file_bytes: int = FILE_BYTES) -> None:
+    """Write the ids of all documents below ``path``, in ascending doc_id order or, with ``given_order``, in that of their files."""
     spark = docs.sparkSession
     if tokenizer is None:
         import public_tokenizers
@@ -269,10 +282,11 @@ def write_tokens(docs: DataFrame, path: str, *, tokenizer: str | None = None, do
         tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     with open(tokenizer, encoding="utf-8") as f:
         vocabulary = spark.sparkContext.broadcast(f.read())  # a vocabulary: a few MB
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    docs, order = _given_order(docs) if given_order else (docs, [F.col(doc_id).cast("bigint"), F.xxhash64(F.coalesce(F.col(text), F.lit("")))])
+    places = [f"place_{i}" for i in range(len(order))]
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), *[c.alias(n) for c, n in zip(order, places, strict=True)])
     total = rows.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
-    order = ["doc_id", F.xxhash64("text")]
-    laid = rows.repartitionByRange(max(1, -(-total // file_bytes)), *order).sortWithinPartitions(*order)
+    laid = rows.repartitionByRange(max(1, -(-total // file_bytes)), *places).sortWithinPartitions(*places)
     laid.select("doc_id", "text", F.spark_partition_id().alias("part")).mapInArrow(_write(vocabulary, block_tokens), FILE).write.option("compression", "zstd").parquet(path)
 
 

@@ -57,12 +57,17 @@ def test_mixing_repeats_rows(stages):
 
 def test_token_files(stages):
     before, after = stages[4]
+    place = before.metadataColumn("_metadata")
+    mixed = before.select("doc_id", "text", place["file_name"].alias("f"), place["row_index"].alias("i")).collect()
     start, want = 0, []
-    for r in sorted(before.collect(), key=lambda r: r.doc_id):
+    for r in sorted(mixed, key=lambda r: (len(r.f), r.f, r.i)):  # the mixing stage's order
         ids = ids_of(r.text)
         want.append((r.doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     assert sorted(map(tuple, after.collect()), key=lambda r: r[1]) == want
+    ids = [r[0] for r in want]
+    assert ids != sorted(ids)  # copies are spread
+    assert sum(a == b for a, b in zip(ids, ids[1:])) < len(ids) / 20
 
 
 def test_empty_and_odd_rows(spark, odd, none):
@@ -76,4 +81,4 @@ def test_empty_and_odd_rows(spark, odd, none):
 
 
 def test_every_operator_has_a_query():
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
