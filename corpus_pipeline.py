@@ -39,8 +39,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of the token files, as read back."""
-    return token_file.round_trip(docs)
+    """The documents of the token files, laid out in the mixing stage's order, as read back."""
+    return token_file.round_trip(docs, given_order=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
