@@ -46,7 +46,7 @@ END_ID = 0
 BLOCK_TOKENS = 1 << 20
 #: Bytes of text in one file, on average.
 FILE_BYTES = 24 << 20
-CACHE_UNITS, CACHE_IDS = 1_500_000, 16_000_000
+CACHE_UNITS, CACHE_IDS = 700_000, 8_000_000
 #: Up to so many blocks their offsets are broadcast (24 bytes each), beyond it they are joined by a shuffle.
 BROADCAST_BLOCKS = 100_000
 
