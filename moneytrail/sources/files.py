@@ -118,8 +118,10 @@ def landed_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 JSON_OPTIONS = {"ignoreNullFields": "false"}
 
 
-#: Marks a folder as an export's own: the next export replaces it whole.
-EXPORT_MARKER = "_EXPORT"
+def _marker(path: str) -> str:
+    """The file beside an export's folder that marks it as its own: the next export replaces it whole."""
+    head, _, name = path.rstrip("/").rpartition("/")
+    return f"{head}/.{name}-export"
 
 
 def write_angles(docs: DataFrame, path: str, tasks: int | None = None) -> str:
@@ -133,12 +135,10 @@ def write_angles(docs: DataFrame, path: str, tasks: int | None = None) -> str:
     holds anything else is refused before a document is written. One export at a time."""
     spark = docs.sparkSession
     path = session.fs_qualified(spark, path)
-    held = session.fs_list(spark, path)
-    if held and EXPORT_MARKER not in held:
+    if session.fs_list(spark, path) and not session.fs_exists(spark, _marker(path)):
         raise ValueError(f"{path} holds files that no export wrote; name another folder")
     staged = _beside(path, "staged")
     stage_documents(docs, staged, tasks)
-    session.fs_write(spark, f"{staged}/{EXPORT_MARKER}", "")
     before = _beside(path, "before")
     if session.fs_exists(spark, path):
         session.fs_move(spark, path, before)
@@ -148,6 +148,7 @@ def write_angles(docs: DataFrame, path: str, tasks: int | None = None) -> str:
         if session.fs_exists(spark, before) and not session.fs_exists(spark, path):
             session.fs_move(spark, before, path)
         raise
+    session.fs_write(spark, _marker(path), "")
     if session.fs_exists(spark, before):
         session.fs_delete(spark, before)
     return path
