@@ -8,13 +8,28 @@ from pyspark.sql import functions as F
 from moneytrail.llm.common import cut
 
 
+#: Parts that the rows of one key are dealt into where its minimum goes back to them.
+PARTS = 256
+
+
+def with_least(rows: DataFrame, key: str, value: str, by: str, least: str) -> DataFrame:
+    """``rows`` and the smallest ``value`` of all rows of their key (no null keys), as column ``least``.
+
+    A key that holds most rows is no single task's load: its rows are dealt into parts by the hash of ``by``, each
+    part gives one minimum, and the key's minimum goes back part by part. There are never more parts than rows.
+    """
+    dealt = rows.withColumn("_part", F.pmod(F.xxhash64(by), F.lit(PARTS)).cast("int"))
+    parts = dealt.groupBy(key, "_part").agg(F.min(value).alias(least))
+    back = parts.select(key, "_part").join(parts.groupBy(key).agg(F.min(least).alias(least)), key)
+    return dealt.join(back, [key, "_part"]).drop("_part")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (columns a, b); root is the smallest node of its component.
 
     Each round hangs every node's larger neighbours, then its smaller ones, below the smallest node
-    it knows; rounds end when nothing moves (some log of the longest path). Minima are pre-aggregated
-    before they are shuffled, so a node with very many links is one row there, and the joins that
-    give them back are inner joins that adaptive execution splits. Each round ends in a checkpoint.
+    it knows; rounds end when nothing moves (some log of the longest path). A node with very many links
+    has them dealt into parts (``with_least``). Each round ends in a checkpoint.
     Links with a null end and links of a node to itself are left out; an empty table has no nodes.
     """
     ends = [F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")]
@@ -22,11 +37,9 @@ def components(links: DataFrame) -> DataFrame:
     mark = _mark(now)
     while mark[0]:
         both = now.union(now.select("v", "u"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = cut(small.union(least).distinct())
+        large = with_least(both, "u", "v", "v", "m").where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+        small = with_least(large, "u", "v", "v", "m").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        now = cut(small.distinct())
         before, mark = mark, _mark(now)
         if mark == before:
             break

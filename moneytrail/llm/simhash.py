@@ -26,12 +26,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moneytrail.llm.common import cut, whole
-from moneytrail.llm.components import components
+from moneytrail.llm.components import components, with_least
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
 #: Members of one bucket that are compared in one task.
@@ -61,6 +60,8 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def _shingle_hashes(words: list[bytes], shingle: int) -> np.ndarray:
+    import xxhash
+
     joined = b" ".join(words)
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(sizes + 1) - 1
@@ -206,8 +207,7 @@ def groups(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shing
     rows = cut(add_fingerprint(docs, text=text, doc_id=doc_id, shingle=shingle))
     distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     linked = components(links(distinct.select("fp"), radius, bucket)).join(distinct, F.col("node") == F.col("fp")).select("fp", "root", "first_id")
-    named = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of = linked.join(named, "root").select(F.col("fp").alias("node"), "root", "component_id")
+    of = with_least(linked, "root", "first_id", "fp", "component_id").select(F.col("fp").alias("node"), "root", "component_id")
     each = distinct.join(of, F.col("fp") == F.col("node"), "left")
     each = each.select("fp", F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("root", "fp").alias("group"))
     return rows.join(cut(each), "fp").select("row_key", "doc_id", "fp", "component_id", "group")

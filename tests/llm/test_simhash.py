@@ -4,6 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from moneytrail.llm import queries, simhash
+from moneytrail.llm import components as linked
 from moneytrail.llm.components import components
 
 from .conftest import SF
@@ -93,6 +94,16 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
 
 
+def test_least_of_a_hot_key(spark, monkeypatch):
+    rows = [(0, 5000 - i, i) for i in range(5000)] + [(k, k * 7, k) for k in range(1, 300)] + [(1, None, 9)]
+    df = spark.createDataFrame(rows, "k bigint, v bigint, by bigint")
+    for parts in (1, 256):
+        monkeypatch.setattr(linked, "PARTS", parts)
+        found = linked.with_least(df, "k", "v", "by", "least")
+        least = {0: 1, **{k: k * 7 for k in range(1, 300)}}
+        assert sorted(((r.k, r.v, r.by, r.least) for r in found.collect()), key=str) == sorted(((k, v, b, least[k]) for k, v, b in rows), key=str)
+
+
 def test_odd_rows(odd, odd_rows, none):
     found = simhash.groups(odd).collect()
     fps = [brute_fingerprint(t) for _, t, *_ in odd_rows]
