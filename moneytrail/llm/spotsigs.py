@@ -11,7 +11,7 @@ each set (a set's prefix), are pruned by their lengths once more, and only then
 
 ``with_next`` gives each row the row that follows it in descending id without one global sort: ids fall into
 buckets of ``SPAN`` consecutive values (so a bucket has at most that many different ids), each bucket looks one
-row ahead in a window, and only its last row takes the head of the next bucket that has rows.
+row ahead in a window, and only its last row takes the head of the next bucket that has rows (``successors``).
 
 Defined cases: a null text is an empty one; null ids follow all others, ordered by a hash of their texts; rows of one id
 are ordered by that hash too; a single row is its own next; an empty table gives an empty result; other columns are
@@ -93,16 +93,18 @@ def _placed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 def successors(buckets: DataFrame) -> DataFrame:
     """(late, bucket, next_late, next_bucket) for the buckets that have rows; the last one's next is the first.
 
-    In two levels: inside runs of 1024 bucket numbers, then over the first buckets of the runs.
+    Buckets are dealt by range, in order. A range looks one bucket ahead in a window of its own; its last bucket takes
+    the head of the next range. Only these heads, one a partition, are ordered by one task, however the ids lie.
     """
-    rows = buckets.withColumn("run", F.floor(F.col("bucket") / 1024))
-    inside = Window.partitionBy("late", "run").orderBy(F.desc("bucket"))
-    after = F.lead(F.struct("late", "bucket")).over(inside)
-    all_runs = Window.orderBy("late", F.desc("run"))
-    top = rows.groupBy("late", "run").agg(F.max("bucket").alias("bucket"))
-    first = F.first(F.struct("late", "bucket")).over(all_runs.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    top = top.select("late", "run", F.coalesce(F.lead(F.struct("late", "bucket")).over(all_runs), first).alias("head"))
-    found = rows.withColumn("after", after).join(top, ["late", "run"]).withColumn("next", F.coalesce("after", "head"))
+    this = F.struct("late", "bucket")
+    dealt = buckets.repartitionByRange("late", F.desc("bucket")).withColumn("range", F.spark_partition_id())
+    rows = cut(dealt)  # the ranges of a second sampling could differ
+    inside = Window.partitionBy("range").orderBy("late", F.desc("bucket"))
+    all_ranges = Window.orderBy("range")
+    top = rows.groupBy("range").agg(F.min_by(this, F.struct("late", -F.col("bucket"))).alias("head"))
+    first = F.first("head").over(all_ranges.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    top = top.select("range", F.coalesce(F.lead("head").over(all_ranges), first).alias("head"))
+    found = rows.withColumn("after", F.lead(this).over(inside)).join(top, "range").withColumn("next", F.coalesce("after", "head"))
     return found.select("late", "bucket", F.col("next.late").alias("next_late"), F.col("next.bucket").alias("next_bucket"))
 
 

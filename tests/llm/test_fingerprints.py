@@ -53,6 +53,18 @@ def test_buckets_far_apart(spark):
     assert found == expected(rows)
 
 
+def test_next_of_hashed_ids(spark):
+    """Ids all over 64 bits: each is a bucket of its own, and ranges of buckets meet at their ends."""
+    ids = sorted({hash((i, "id")) for i in range(600)})
+    df = spark.createDataFrame([(i, f"the text {i}") for i in ids], "doc_id bigint, text string").repartition(5)
+    found = {r.doc_id: r.next_text for r in spotsigs.with_next(df).collect()}
+    assert found == {i: f"the text {ids[n - 1]}" for n, i in enumerate(ids)}
+    spread = df.groupBy((F.col("doc_id") / 512).cast("bigint").alias("bucket")).count().select(F.lit(False).alias("late"), "bucket")
+    after = {r.bucket: r.next_bucket for r in spotsigs.successors(spread).collect()}
+    order = sorted(after)
+    assert after == {b: order[n - 1] for n, b in enumerate(order)}
+
+
 def test_odd_rows(odd, odd_rows, none):
     found = spotsigs.edit_report(odd).collect()
     assert len(found) == len(odd_rows)
