@@ -20,7 +20,8 @@ units through its whole encoder, and so does, in one piece, a text with white sp
 line ends, or with an added token of the vocabulary (such as ``<|endoftext|>``, which is one id there as by the library's default).
 
 Defined cases: a null or empty text is its end id alone; null doc_ids come first; rows of one doc_id are
-ordered by a hash of their texts; a very long text is one document of one block; an empty table gives no files' rows; other columns are not written.
+ordered by a hash of their texts; a very long text is one document of one block, read in runs
+of ``RUN_BYTES``; an empty table gives no files' rows; other columns are not written.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ import sys
 import types
 import zlib
 from collections.abc import Iterator
+from hashlib import blake2b
 from itertools import chain
 
 import numpy as np
@@ -47,6 +49,8 @@ BLOCK_TOKENS = 1 << 20
 #: Bytes of text in one file, on average.
 FILE_BYTES = 24 << 20
 CACHE_UNITS, CACHE_IDS = 700_000, 8_000_000
+#: Bytes of units that are looked up at once; a longer unit is a run of its own.
+RUN_BYTES = 1 << 17
 #: Up to so many blocks their offsets are broadcast (24 bytes each), beyond it they are joined by a shuffle.
 BROADCAST_BLOCKS = 100_000
 
@@ -133,11 +137,14 @@ class Units:
         self.starts, self.sizes, self.flat, self.n_flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1 << 16, np.uint32), 0
 
     def _hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
-        """Two independent 64-bit hashes of each stretch of bytes."""
+        """Two independent 64-bit hashes of each stretch of the bytes, which are at most ``RUN_BYTES`` or one stretch."""
         n, out = len(data), []
+        if n > RUN_BYTES:
+            digest = np.frombuffer(blake2b(data.tobytes(), digest_size=16).digest(), "<u8").astype(np.uint64)
+            return [digest[:1], digest[1:]]
         for k, base in enumerate(_BASES):
             if len(self.up[k]) <= n:
-                self.up[k], self.down[k] = (powers(np.uint64(x), 2 * n + 1) for x in (base, pow(base, -1, 1 << 64)))
+                self.up[k], self.down[k] = (powers(np.uint64(x), RUN_BYTES + 1) for x in (base, pow(base, -1, 1 << 64)))
             total = np.zeros(n + 1, np.uint64)
             np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[k][:n], out=total[1:])
             out.append(mix((total[ends] - total[starts]) * self.down[k][starts]))
@@ -171,12 +178,10 @@ class Units:
         self.sizes = np.concatenate([self.sizes, sizes])
         self.n_flat += len(new)
 
-    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, each with its end id, and how many each has); text i is ``data[offsets[i]:offsets[i + 1]]``."""
+    def _ids(self, data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many each unit has) of the units of one run of bytes."""
         if self.table.n > CACHE_UNITS or self.n_flat > CACHE_IDS:
             self._forget()
-        begins = _unit_starts(data, offsets, self.added_pattern)
-        ends = np.append(begins[1:], len(data))[: len(begins)]
         key, check = self._hashes(data, begins, ends)
         at = self.table.find(key)
         missing = np.flatnonzero(at < 0)
@@ -188,16 +193,33 @@ class Units:
         if (self.check[at] != check).any():  # two units of one 64-bit hash: hardly ever
             raw = data.tobytes()
             ids = [np.array(self._unit(raw[a:b].decode()), np.uint32) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
-            sizes, tokens = np.array([len(x) for x in ids], np.int64), np.concatenate(ids)
-        else:
-            sizes = self.sizes[at]
-            before = np.cumsum(sizes) - sizes
-            tokens = self.flat[np.repeat(self.starts[at] - before, sizes) + np.arange(int(sizes.sum()))]
-        n = len(offsets) - 1
-        of = np.searchsorted(offsets, begins, "right") - 1
-        counts = np.bincount(of, sizes, n).astype(np.int64) + 1
-        out = np.full(len(tokens) + n, END_ID, np.uint32)
-        out[np.arange(len(tokens)) + np.repeat(np.arange(n), counts - 1)] = tokens
+            return np.concatenate(ids), np.array([len(x) for x in ids], np.int64)
+        sizes = self.sizes[at]
+        before = np.cumsum(sizes) - sizes
+        return self.flat[np.repeat(self.starts[at] - before, sizes) + np.arange(int(sizes.sum()))], sizes
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each with its end id, and how many each has); text i is ``data[offsets[i]:offsets[i + 1]]``.
+
+        Works on runs of ``RUN_BYTES`` (whole units), so that beside the ids little is held for a long text.
+        """
+        begins = _unit_starts(data, offsets, self.added_pattern)
+        ends = np.append(begins[1:], len(data))[: len(begins)]
+        n, first, tokens = len(offsets) - 1, 0, [np.zeros(0, np.uint32)]
+        counts = np.ones(n, np.int64)
+        while first < len(begins):
+            start = int(begins[first])
+            last = max(first + 1, int(np.searchsorted(ends, start + RUN_BYTES, "right")))
+            mine = begins[first:last]
+            ids, sizes = self._ids(data[start : int(ends[last - 1])], mine - start, ends[first:last] - start)
+            tokens.append(ids)
+            of = np.searchsorted(offsets, mine, "right") - 1
+            counts[of[0] : of[-1] + 1] += np.bincount(of - of[0], sizes).astype(np.int64)
+            first = last
+        out = np.full(int(counts.sum()), END_ID, np.uint32)
+        inner = np.ones(len(out), bool)
+        inner[np.cumsum(counts) - 1] = False
+        out[inner] = np.concatenate(tokens)
         return out, counts
 
 
@@ -213,8 +235,9 @@ def _unit_starts(data: np.ndarray, offsets: np.ndarray, added: re.Pattern[bytes]
     cut[inner - 1] = False  # a space that ends a text has nothing behind it
     lead = np.flatnonzero(_ODD_LEAD[data])
     if len(lead):
-        after = np.append(data, np.zeros(2, np.uint8)).astype(np.int64)
-        odd = lead[np.isin(data[lead], _ODD_SINGLE) | np.isin(after[lead] << 8 | after[lead + 1], _ODD_PAIRS) | np.isin(after[lead] << 16 | after[lead + 1] << 8 | after[lead + 2], _ODD_TRIPLES)]
+        after = np.append(data, np.zeros(2, np.uint8))
+        one, two, three = (after[lead + k].astype(np.int32) for k in range(3))
+        odd = lead[np.isin(one, _ODD_SINGLE) | np.isin(one << 8 | two, _ODD_PAIRS) | np.isin(one << 16 | two << 8 | three, _ODD_TRIPLES)]
         for text in np.unique(np.searchsorted(offsets, odd, "right") - 1).tolist():
             cut[offsets[text] : offsets[text + 1]] = False
     if added is not None and n:

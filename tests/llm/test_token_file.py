@@ -1,7 +1,9 @@
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -99,3 +101,28 @@ def test_files_with_added_tokens(spark):
     for r, text in zip(rows, texts, strict=True):
         assert (r.start, r.ids) == (start, default_ids(text))
         start += r.n_tokens
+
+
+@pytest.mark.parametrize("run_bytes", [1, 7, 64, 1000])
+def test_runs_of_any_size(monkeypatch, run_bytes):
+    monkeypatch.setattr(token_file, "RUN_BYTES", run_bytes)
+    units = token_file.Units(JSON, added_tokens=True)
+    texts = ["", "one two  three", " ", "a b long text with odd white space " * 9, "x" * 300, "", "it's <|endoftext|> here", "é漢🙂 end. " * 40, ""]
+    raw = [t.encode() for t in texts]
+    offsets = np.cumsum([0, *map(len, raw)])
+    ids, sizes = units.encode(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    want = [DEFAULT.encode(t, add_special_tokens=False).ids + [0] for t in texts]
+    assert sizes.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+
+
+def test_memory_of_a_long_text():
+    """Beside its ids a long text needs some bytes a character, not tables as long as it."""
+    rng = np.random.default_rng(3)
+    raw = np.frombuffer(b" ".join([b"word%d" % i for i in rng.integers(0, 5000, 1_500_000)]), np.uint8)
+    units = token_file.Units(JSON)
+    units.encode(raw[:100_000], np.array([0, 100_000]))
+    tracemalloc.start()
+    ids, _ = units.encode(raw, np.array([0, len(raw)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert ids[-1] == 0 and peak < 12 * len(raw)
