@@ -172,10 +172,11 @@ class Units:
         if self.n_flat + len(new) > len(self.flat):
             self.flat = np.concatenate([self.flat[: self.n_flat], np.zeros(self.n_flat + 2 * len(new), np.uint32)])
         self.flat[self.n_flat : self.n_flat + len(new)] = new
+        here = slice(self.table.n, self.table.n + len(key))
         self.table.add(key)
-        self.check = np.concatenate([self.check, check])
-        self.starts = np.concatenate([self.starts, self.n_flat + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
+        if here.stop > len(self.check):  # room for as many again
+            self.check, self.starts, self.sizes = (np.concatenate([x, np.zeros(here.stop, x.dtype)]) for x in (self.check, self.starts, self.sizes))
+        self.check[here], self.starts[here], self.sizes[here] = check, self.n_flat + np.cumsum(sizes) - sizes, sizes
         self.n_flat += len(new)
 
     def _ids(self, data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
