@@ -27,22 +27,35 @@ def row_hash(df: DataFrame) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("\x1f", *cols).cast("binary")), 1, 15), 16, 10)
 
 
+# A sum of 60-bit hashes is kept as three sums of 20 bits each, in longs (exact up to 2 ** 43 rows).
+# The hash is a column before it is summed: an aggregate evaluates what it sums more than once a row.
+BITS = 20
+
+
+def _hashed(df: DataFrame) -> DataFrame:
+    return df.withColumn("_h", row_hash(df).cast("long"))
+
+
+def _sums() -> list[Column]:
+    return [F.sum(F.shiftright("_h", BITS * i).bitwiseAND((1 << BITS) - 1)).alias(f"h{i}") for i in range(3)]
+
+
 def dataset_fingerprint(df: DataFrame, dataset: str, cycle: str) -> DataFrame:
     """(dataset, cycle, rows, fingerprint) of one landed dataset."""
-    h = row_hash(df).cast(T.DecimalType(38, 0))
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(h).alias("_h")).select(
+    total = sum((F.col(f"h{i}").cast(T.DecimalType(38, 0)) * F.lit(1 << (BITS * i)) for i in (1, 2)),
+                F.col("h0").cast(T.DecimalType(38, 0))).cast(T.DecimalType(38, 0))
+    return _hashed(df).select("_h").agg(F.count(F.lit(1)).alias("rows"), *_sums()).select(
         F.lit(dataset).alias("dataset"), F.lit(cycle).alias("cycle"), "rows",
         F.concat_ws(":", F.col("rows").cast("string"),
-                    F.coalesce(F.col("_h").cast("string"), F.lit("0"))).alias("fingerprint"))
+                    F.coalesce(total.cast("string"), F.lit("0"))).alias("fingerprint"))
 
 
 def landed_fingerprint(df: DataFrame, write) -> tuple[int, str]:
     """(rows, fingerprint) of ``df``, taken while ``write`` writes it: its rows are read once."""
     seen = Observation()
-    h = row_hash(df).cast(T.DecimalType(38, 0))
-    write(df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(h).alias("h")))
-    rows, total = seen.get["rows"], seen.get["h"]
-    return rows, f"{rows}:{total if total is not None else 0}"
+    write(_hashed(df).observe(seen, F.count(F.lit(1)).alias("rows"), *_sums()).drop("_h"))
+    rows, total = seen.get["rows"], sum((seen.get[f"h{i}"] or 0) << (BITS * i) for i in range(3))
+    return rows, f"{rows}:{total}"
 
 
 def manifest(raws: dict[str, DataFrame], cycle: str) -> DataFrame:
