@@ -598,13 +598,13 @@ def _s2(spark, sf):
 @register("land_raw_parquet")
 def _s4(spark, sf):
     s = S(spark, sf)
-    return files.landed_counts(spark, {ds: s.raw_path(ds) for ds in DATASETS_ORDER})
+    return files.landed_counts(spark, s.raw_paths())
 
 
 @register("scan_raw_parquet")
 def _s5(spark, sf):
-    s = S(spark, sf)
-    return _union(files.raw_lines(files.scan_raw_parquet(spark, s.raw_path(ds), ds), ds)
+    at = S(spark, sf).raw_paths()
+    return _union(files.raw_lines(files.scan_raw_parquet(spark, at[ds], ds), ds)
                   for ds in DATASETS_ORDER)
 
 

@@ -13,8 +13,8 @@ rebuilds the channels that read a changed dataset (only ``indiv`` and ``ccl`` to
 gifts); new tags rewrite no fact, they are joined to a rollup by committee.
 
 ``Store.open(spark, sf_dir)`` serves the test tables (re-expressed as raw
-datasets by :mod:`moneytrail.sources.fixture`), ``Store.from_files`` lands real
-bulk files, ``Store.attach`` opens an existing store. ``refresh`` takes new
+datasets by :mod:`moneytrail.sources.fixture`) and lands each dataset and table when it is first
+read, ``Store.from_files`` lands real bulk files whole, ``Store.attach`` opens an existing store. ``refresh`` takes new
 snapshots and reads each once: the landing write takes its fingerprint. A dataset's fingerprint describes the raw version that its curated
 table was built from, since both change in the same state: a dataset whose
 build failed stays "changed" and is tried again.
@@ -22,6 +22,7 @@ build failed stays "changed" and is tried again.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import os
@@ -88,18 +89,21 @@ class Store:
         self.state: dict = {"format": FORMAT, "number": 0, "cycle": refresh.check_cycle(cycle), "raw": {},
                             "table": {}, "prints": {}, "fact": {}, "paid": {}, "rollup": {}, "inbox": {}}
         self._frames: dict[str, DataFrame] = {}
+        self._source = None  # makes the Fixture that missing parts are landed from; None: the store is whole
+        self._landing, self._adding = threading.RLock(), threading.Lock()
 
     # ---------------------------------------------------------------- open
     @classmethod
     def open(cls, spark: SparkSession, sf_dir: str) -> "Store":
-        """The store of a folder of test tables, landed once per content of its inputs."""
+        """The store of a folder of test tables. Each part is landed when it is first read, once per
+        content of the inputs."""
         prepare(spark)
         key = (app_id(spark), input_fingerprint(spark, sf_dir))
         with _lock:
             st = _stores.get(key)
             if st is None:
                 # each landing has its own folder, so two jobs that land the same
-                # inputs at once don't touch each other; any finished one will do
+                # inputs at once don't touch each other; any with a finished part will do
                 base = scratch_path(spark, "store", key[1])
                 for name in fs_list(spark, base):
                     found = cls(spark, os.path.join(base, name))
@@ -107,9 +111,8 @@ class Store:
                         st = found
                         break
                 else:
-                    fx = Fixture(spark, sf_dir)
                     st = cls(spark, os.path.join(base, uuid.uuid4().hex[:12]))
-                    st.land({ds: fx.raw(ds) for ds in DATASETS}, fx.interest_entries())
+                st._source = functools.cache(lambda: Fixture(spark, sf_dir))
                 _stores[key] = st
         return st
 
@@ -197,11 +200,92 @@ class Store:
             if both:
                 raise RuntimeError(f"another refresh has changed {', '.join(both)} meanwhile")
 
+    # ---------------------------------------------------------------- landing on demand
+    def _add(self, parts: dict, made_from: dict) -> None:
+        """Commit landed ``parts`` (kind -> name -> version) beside what the store has; what it has got
+        meanwhile stays. Parts whose sources (``made_from``) a refresh has replaced are left out: they are
+        still missing then, and made again."""
+        with self._adding:
+            while all(self.state[kind].get(name) == v for kind, of in made_from.items() for name, v in of.items()):
+                state, frames = dict(self.state), dict(self._frames)
+                for k, new in parts.items():
+                    state[k] = {**new, **self.state[k]} if isinstance(new, dict) else self.state.get(k, new)
+                if state == self.state:
+                    return
+                if self._commit(state):
+                    self._frames.update(frames)  # nothing that was there has changed
+                    return
+                self.load()
+
+    def _add_dataset(self, ds: str, table: bool) -> None:
+        """Land a dataset, and its curated table where one is asked for."""
+        if ds not in self.state["raw"]:
+            path, prints = self._land_raw(ds, self._source().raw(ds))
+            self._add({"raw": {ds: path}, "prints": {ds: prints}}, {})
+        name, path = TABLE_OF_DATASET[ds], self.state["raw"][ds]
+        if table and name not in self.state["table"]:
+            self._add({"table": {name: self._build(ds, path)}}, {"raw": {ds: path}})
+
+    def _add_dictionary(self) -> None:
+        path = self._new("dictionary", "committee_interests")
+        interests.write_interest_dictionary(self._source().interest_entries(), path)
+        self._add({"dictionary": path}, {})
+
+    def _need(self, raws=(), tables=(), dictionary: bool = False, money: bool = False) -> None:
+        """Land what is missing of these raw datasets, curated tables (the tag table among them), the tag
+        dictionary and the money fact with its rollups, and what they are made from. Datasets are landed
+        at once; those that nothing asked for are left alone."""
+        if self._source is None:
+            return
+        tables, raws = set(tables), set(raws)
+        if money:  # individual gifts are read from their raw rows
+            raws.add("indiv")
+            tables |= {TABLE_OF_DATASET[ds] for ds in ("cm", "ccl", "pas2", "ie")} | {"dim_group_mappings"}
+        tags = "dim_group_mappings" in tables
+        if tags:
+            tables.add("dim_committees")
+        built = {ds for ds in DATASETS if TABLE_OF_DATASET[ds] in tables}
+
+        def lacking() -> list:
+            raw, table = self.state["raw"], self.state["table"]
+            jobs = [functools.partial(self._add_dataset, ds, ds in built) for ds in DATASETS
+                    if ds in raws | built and ds not in raw or ds in built and TABLE_OF_DATASET[ds] not in table]
+            if (dictionary or tags) and "dictionary" not in self.state:
+                jobs.append(self._add_dictionary)
+            return jobs
+
+        with self._landing:
+            if lacking():
+                self.load()  # another job may have landed it
+            while True:
+                jobs = lacking()
+                if jobs:
+                    self._source()
+                    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:  # they share nothing
+                        list(pool.map(lambda job: job(), jobs))
+                    continue
+                state = self.state
+                if tags and "dim_group_mappings" not in state["table"]:
+                    self._add({"table": {"dim_group_mappings": self._tags(state)}},
+                              {"table": {"dim_committees": state["table"]["dim_committees"]}})
+                elif money and set(views.CHANNELS) - set(state["rollup"]):
+                    done = self._derived(state, [], True)
+                    self._add({k: done[k] for k in ("fact", "paid", "rollup")},
+                              {"raw": {"indiv": state["raw"]["indiv"]}, "table": {t: state["table"][t] for t in tables}})
+                else:
+                    return
+
+    def complete(self) -> "Store":
+        """Land every part that is missing."""
+        self._need(tables=[*TABLE_OF_DATASET.values(), "dim_group_mappings"], money=True)
+        return self
+
     def vacuum(self, keep_seconds: float = 0) -> list[str]:
         """Remove versions that the newest state does not name: replaced ones, and those of jobs
         that died. Versions made after the newest state, or within ``keep_seconds`` before it, stay: a
         refresh may still be writing them. Call it when no reader holds an older state."""
         self.load()
+        self.complete()
         named = set(_paths(self.state))
         bound = fs_modified(self.spark, self.path("state", str(self.state["number"]))) - 1000 * keep_seconds
         gone = []
@@ -218,28 +302,40 @@ class Store:
         return gone
 
     def raw_path(self, ds: str) -> str:
+        self._need(raws=[ds])
         return self.state["raw"][ds]
 
+    def raw_paths(self) -> dict[str, str]:
+        """Where each raw dataset is; missing ones are landed at once."""
+        self._need(raws=DATASETS)
+        return {ds: self.state["raw"][ds] for ds in DATASETS}
+
     def table_path(self, name: str) -> str:
+        self._need(tables=[name])
         return self.state["table"][name]
 
     def dictionary_path(self) -> str | None:
+        self._need(dictionary=True)
         return self.state.get("dictionary")
 
     def money_path(self) -> str:
         """The folder of the money fact's channels and their versions."""
+        self._need(money=True)
         return self.path("derived")
 
     def manifest(self) -> DataFrame:
         """(dataset, cycle, rows, fingerprint) of the state's raw versions, as they were landed."""
+        self._need(raws=DATASETS)
         rows = [(ds, self.state["cycle"], n, print_) for ds, (n, print_) in sorted(self.state["prints"].items())]
         return self.spark.createDataFrame(rows, refresh.MANIFEST_SCHEMA)
 
     def curated_tables(self) -> dict[str, DataFrame]:
         names = [TABLE_OF_DATASET[ds] for ds in DATASETS] + ["dim_group_mappings"]
+        self._need(tables=names)
         return {n: self.table(n) for n in names}
 
     def raws(self) -> dict[str, DataFrame]:
+        self._need(raws=DATASETS)
         return {ds: self.raw(ds) for ds in DATASETS}
 
     # ---------------------------------------------------------------- build
@@ -305,6 +401,7 @@ class Store:
         without the required columns is refused, ids that are no committee are counted as unknown and left
         out. With ``dry_run`` nothing is written."""
         self.load()
+        self.complete()
         entries = interests.scan_interest_dictionary(self.spark, path)
         ids = self.committees.select(F.col("CMTE_ID").alias("_id")).distinct()
         known = entries.join(ids, F.col("cmte_id") == F.col("_id"), "left")
@@ -331,6 +428,7 @@ class Store:
         """
         cycle = refresh.check_cycle(cycle if cycle is not None else self.state["cycle"])
         self.load()
+        self.complete()
         stored = self.manifest()
         refresh.assert_one_cycle(stored, cycle)
         status, results, landed, prints = {}, [], {}, dict(self.state["prints"])
@@ -508,6 +606,7 @@ class Store:
     def money(self) -> DataFrame:
         """candidate_money as materialised at landing, with the tags as they are now (same rows as V4)."""
         def read() -> DataFrame:
+            self._need(money=True)
             at = self.state["fact"]
             own = self.spark.read.parquet(at["individual"]).withColumn("interest_category", F.lit(None).cast("string"))
             paid = self.spark.read.parquet(*[at[c] for c in views.PAID_BY_COMMITTEES])
@@ -519,8 +618,11 @@ class Store:
     @property
     def rollup(self) -> DataFrame:
         """candidate_money pre-aggregated (see ``views.money_rollup``)."""
-        return self._memo("m_rollup", lambda: self.spark.read.parquet(
-            *[self.state["rollup"][c] for c in views.CHANNELS]))
+        def read() -> DataFrame:
+            self._need(money=True)
+            return self.spark.read.parquet(*[self.state["rollup"][c] for c in views.CHANNELS])
+
+        return self._memo("m_rollup", read)
 
     def register_views(self) -> None:
         """Expose tables and views to ``spark.sql`` under their canonical names."""
