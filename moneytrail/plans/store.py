@@ -155,6 +155,8 @@ class Store:
         done = [n for n in fs_list(self.spark, self.path("state")) if n.isdigit()]
         if not done:
             return False
+        if int(max(done, key=int)) == self.state["number"]:
+            return True
         line = self.spark.read.text(self.path("state", max(done, key=int))).first()["value"]
         state = json.loads(line)
         if state.get("format") != FORMAT:
