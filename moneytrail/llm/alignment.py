@@ -9,9 +9,12 @@ pieces and the lone leading space in B) have no offset of their own there; their
 decode to. The decoded bytes must join to the space and the text, else the text has no tokens.
 
 Speed. No token of either vocabulary crosses the place before a single space that a letter, digit or ASCII sign follows, nor that between an ASCII letter and
-such a sign of ``SIGNS`` as follows a letter in no entry of both vocabularies, so texts are cut there into units; the distinct units that a worker has not met are laid end to end, aligned as one text, and kept, up to ``CACHE_UNITS``. Units
+such a sign of ``SIGNS`` as follows a letter in no entry of both vocabularies, so texts are cut there into units; the distinct units that a worker has not met are laid end to end, aligned as one text, and kept. Units
 with other space around them are aligned alone. Tests hold this against the alignment of whole texts.
 
+Memory. A worker reads runs of ``RUN_CHARS`` and keeps at most about ``CACHE_UNITS`` units, ``CACHE_PAIRS`` pairs and ``CACHE_BYTES`` of text, as columns as
+narrow as their numbers allow. Beyond that it goes on with units that it met again, up to half of the units, or with none where these hold over half of the pairs or text.
+
 Counts. A task's documents form chunks of about ``CHUNK_BYTES`` of text (one document at least). A chunk's distinct id pairs, with the number of its documents that
 have them linked, are summed per pair over all chunks by Spark, and each A id's highest count is found. The counts go back to
 the chunks that hold the pair by a join of one row per chunk and pair, and the chunk's documents stream past them. So a pair that all
@@ -29,10 +32,11 @@ import re
 import sys
 import types
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,8 +44,12 @@ from moneytrail.llm.common import bound_batches, written
 
 #: Text of one chunk, in characters; a document is never split.
 CHUNK_BYTES = 8 << 20
-RUN_CHARS = 1 << 20
-CACHE_UNITS, CACHE_PAIRS = 1_000_000, 6_000_000
+#: Characters that are read, aligned and given back at once; a longer document is read in such runs.
+RUN_CHARS = 1 << 17
+#: What a worker keeps: a dict of up to 699,050 units takes half of what the next one would need.
+CACHE_UNITS, CACHE_PAIRS, CACHE_BYTES = 650_000, 4_000_000, 32 << 20
+#: So many pairs at least are held before they are summed.
+SUM_PAIRS = 1 << 18
 #: Groups of more links than this are counted by distinct ids, not link by link.
 WIDE = 4096
 #: Ids of B in a pair's code.
@@ -58,6 +66,55 @@ _VISIBLE = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <=
 _BYTES = {chr(b): b for b in _VISIBLE} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 
 
+class _Column:
+    """Whole numbers from 0 on, appended to, as wide as the largest needs; room that is not used yet takes no memory."""
+
+    def __init__(self):
+        self.n, self.room = 0, np.empty(1 << 12, np.uint8)
+
+    def add(self, new: np.ndarray) -> None:
+        if not len(new):
+            return
+        kind = np.promote_types(self.room.dtype, np.min_scalar_type(int(new.max())))
+        end = self.n + len(new)
+        if end > len(self.room) or kind != self.room.dtype:
+            room = np.empty(max(len(self.room), 2 * end if end > len(self.room) else 0), kind)
+            room[: self.n] = self.room[: self.n]
+            self.room = room
+        self.room[self.n : end] = new
+        self.n = end
+
+    def at(self, where: np.ndarray) -> np.ndarray:
+        return self.room[where].astype(np.int64)
+
+    def keep(self, flags: np.ndarray) -> None:
+        kept = self.room[: self.n][flags]
+        self.n, self.room = 0, np.empty(max(1 << 12, len(kept)), self.room.dtype)
+        self.add(kept)
+
+
+class _Sums:
+    """Numbers summed per pair, in parts."""
+
+    def __init__(self):
+        self.pairs = self.n = np.zeros(0, np.int64)
+        self.held, self.waiting = [], 0
+
+    def add(self, pairs: np.ndarray, n: np.ndarray) -> None:
+        self.held.append((pairs, n))
+        self.waiting += len(pairs)
+        if self.waiting > max(SUM_PAIRS, len(self.pairs)):
+            self.sums()
+
+    def sums(self) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs, ascending, and their sums."""
+        if self.held:
+            pairs, n = (np.concatenate(x) for x in zip((self.pairs, self.n), *self.held, strict=True))
+            _, self.pairs, self.n = _summed(np.zeros(len(pairs), np.int64), pairs, n)
+            self.held, self.waiting = [], 0
+        return self.pairs, self.n
+
+
 class Aligner:
     """Aligns texts; what it learned of units is kept between calls."""
 
@@ -82,12 +139,36 @@ class Aligner:
 
     def _forget(self) -> None:
         self.index: dict[str, int] = {}
-        self.joined: list[str] = []  # a unit's groups
-        self.good: list[bool] = []
-        self.numbers: list[np.ndarray] = []  # n_a, n_b, n_groups, n_links of units, in stretches
-        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.pairs, self.links, self.n_pairs = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), 0
-        self.table = np.zeros((0, 4), np.int64)
+        self.chars = 0
+        self.good, self.met = _Column(), _Column()  # met: again since it was learned, or since the last time room was made
+        self.numbers = [_Column() for _ in range(4)]  # n_a, n_b, n_groups, n_links of units
+        self.joined_starts, self.joined_sizes, self.joined = _Column(), _Column(), _Column()  # a unit's groups, each ended by a semicolon
+        self.starts, self.sizes, self.pairs, self.links = _Column(), _Column(), _Column(), _Column()
+
+    def _full(self, parts: int) -> bool:
+        """Whether more is kept than one of so many parts of the room."""
+        return max(len(self.index) / CACHE_UNITS, self.pairs.n / CACHE_PAIRS, (self.chars + self.joined.n) / CACHE_BYTES) * parts > 1
+
+    def _make_room(self) -> None:
+        """Go on with the units that were met again."""
+        kept = np.flatnonzero(self.met.room[: self.met.n])[: CACHE_UNITS // 2]
+        flags = np.zeros(self.met.n, bool)
+        flags[kept] = True
+        self.index = {u: i for i, u in enumerate(compress(self.index, flags.tolist()))}
+        self.chars = sum(map(len, self.index))
+        for starts, sizes, stretches in ((self.joined_starts, self.joined_sizes, (self.joined,)), (self.starts, self.sizes, (self.pairs, self.links))):
+            inside = np.repeat(flags, sizes.room[: sizes.n])
+            for column in stretches:
+                column.keep(inside)
+            sizes.keep(flags)
+            length = sizes.room[: sizes.n].astype(np.int64)
+            starts.n = 0
+            starts.add(np.cumsum(length) - length)
+        for column in (self.good, self.met, *self.numbers):
+            column.keep(flags)
+        self.met.room[: self.met.n] = 0
+        if self._full(2):
+            self._forget()
 
     # ----------------------------------------------------------------- offsets
     def _ends(self, coarse: np.ndarray, shared: np.ndarray, sizes: np.ndarray) -> np.ndarray | None:
@@ -132,7 +213,7 @@ class Aligner:
             if some and not self._add(some):
                 other += some
         for unit in other:
-            unit and self._add([unit]) or self._record([unit], [False], [""], np.zeros((1, 4), np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+            unit and self._add([unit]) or self._record([unit], False, [""], np.zeros((1, 4), np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
 
     def _add(self, units: list[str]) -> bool:
         """Align units laid end to end; False where they can't be told apart or bytes differ.
@@ -162,48 +243,53 @@ class Aligner:
             kept = unit % 2 == 1
             unit, pairs, links, joined, totals = unit[kept] // 2, pairs[kept], links[kept], joined[1::2], totals[1::2]
         order = np.argsort(unit, kind="stable")
-        self._record(own, [True] * len(own), joined, totals, np.bincount(unit, minlength=len(own)), pairs[order], links[order])
+        self._record(own, True, joined, totals, np.bincount(unit, minlength=len(own)), pairs[order], links[order])
         return True
 
     def _record(self, units, good, joined, totals, sizes, pairs, links) -> None:
-        for unit in units:
-            self.index[unit] = len(self.index)
-        self.good += good
-        self.joined += joined
-        self.numbers.append(totals)
-        if self.n_pairs + len(pairs) > len(self.pairs):
-            room = np.zeros(self.n_pairs + 2 * len(pairs), np.int64)
-            self.pairs, self.links = np.concatenate([self.pairs[: self.n_pairs], room]), np.concatenate([self.links[: self.n_pairs], room])
-        self.pairs[self.n_pairs : self.n_pairs + len(pairs)] = pairs
-        self.links[self.n_pairs : self.n_pairs + len(pairs)] = links
-        self.starts = np.concatenate([self.starts, self.n_pairs + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.n_pairs += len(pairs)
+        self.index.update(zip(units, range(len(self.index), len(self.index) + len(units)), strict=True))
+        self.chars += sum(map(len, units))
+        self.good.add(np.full(len(units), good, np.uint8))
+        self.met.add(np.zeros(len(units), np.uint8))
+        for column, n in zip(self.numbers, totals.T, strict=True):
+            column.add(n)
+        length = np.array([len(x) + 1 for x in joined], np.int64)
+        self.joined_starts.add(self.joined.n + np.cumsum(length) - length)
+        self.joined_sizes.add(length)
+        self.joined.add(np.frombuffer(";".join([*joined, ""]).encode(), np.uint8))
+        self.starts.add(self.pairs.n + np.cumsum(sizes) - sizes)
+        self.sizes.add(sizes)
+        self.pairs.add(pairs)
+        self.links.add(links)
 
     def read(self, texts: list[str]) -> tuple[list[bool], np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
         """(good, numbers, groups, text number, pair, links) of texts that begin with a space; pairs once per text, texts ascending.
 
         Numbers are n_a, n_b, n_groups, n_links; they and the pairs of a text that is not good mean nothing.
         """
-        if len(self.index) > CACHE_UNITS or self.n_pairs > CACHE_PAIRS:
-            self._forget()
+        if self._full(1):
+            self._make_room()
         split = [self.cut.split(t) for t in texts]
+        known = len(self.index)
         missing = list(dict.fromkeys(u for units in split for u in units if u not in self.index))
         if missing:
             self._learn(missing)
-        if self.numbers:
-            self.table, self.numbers = np.concatenate([self.table, *self.numbers]), []
-        codes = [list(map(self.index.__getitem__, units)) for units in split]
-        groups = [";".join(map(self.joined.__getitem__, c)) for c in codes]
-        good = [all(map(self.good.__getitem__, c)) for c in codes]
-        flat = np.array([x for c in codes for x in c], np.int64)
-        text = np.repeat(np.arange(len(texts)), [len(c) for c in codes])
-        numbers = np.stack([np.bincount(text, self.table[flat, k], len(texts)) for k in range(4)], 1).astype(np.int64)
+        n = len(texts)
+        text = np.repeat(np.arange(n), [len(units) for units in split])
+        flat = np.fromiter(map(self.index.__getitem__, chain.from_iterable(split)), np.int64, len(text))
+        good = (np.bincount(text, self.good.room[flat] == 0, n) == 0).tolist()
+        numbers = np.stack([np.bincount(text, column.room[flat], n) for column in self.numbers], 1).astype(np.int64)
+        size = self.joined_sizes.at(flat)
+        start, joined = self.joined_starts.at(flat), memoryview(self.joined.room)
+        raw = b"".join([joined[i:j] for i, j in zip(start.tolist(), (start + size).tolist(), strict=True)]).decode()
+        ends = np.cumsum(np.bincount(text, size, n).astype(np.int64)).tolist()
+        groups = [raw[i : j - 1] for i, j in zip([0, *ends], ends, strict=False)]
         key, times = np.unique(text << 32 | flat, return_counts=True)
         text, unit = key >> 32, key & 0xFFFFFFFF
-        size = self.sizes[unit]
-        at = np.repeat(self.starts[unit] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-        return good, numbers, groups, *_summed(np.repeat(text, size), self.pairs[at], self.links[at] * np.repeat(times, size))
+        self.met.room[unit[unit < known]] = 1
+        size = self.sizes.at(unit)
+        at = np.repeat(self.starts.at(unit) - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        return good, numbers, groups, *_summed(np.repeat(text, size), self.pairs.at(at), self.links.at(at) * np.repeat(times, size))
 
 
 def _pairs(rows: list[tuple], width: int) -> np.ndarray:
@@ -276,21 +362,21 @@ def runs(text: str, size: int = RUN_CHARS) -> Iterator[str]:
 def _long(aligner: Aligner, text: str) -> tuple[bool, np.ndarray, str, np.ndarray, np.ndarray]:
     """What ``Aligner.read`` gives for one text, run by run, with the digest of its groups."""
     digest, numbers, first = hashlib.sha256(), np.zeros(4, np.int64), True
-    pairs, links = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    linked, empty = _Sums(), np.zeros(0, np.int64)
     for run in runs(text):
         good, n, groups, _, p, m = aligner.read([run])
         if not good[0]:
-            return False, numbers, "", pairs[:0], links[:0]
+            return False, numbers, "", empty, empty
         digest.update(("" if first else ";").encode() + groups[0].encode())
         numbers, first = numbers + n[0], False
-        _, pairs, links = _summed(np.zeros(len(pairs) + len(p), np.int64), np.concatenate([pairs, p]), np.concatenate([links, m]))
-    return True, numbers, digest.hexdigest(), pairs, links
+        linked.add(p, m)
+    return True, numbers, digest.hexdigest(), *linked.sums()
 
 
 def _aligned(vocabulary, model, chunk_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, schema = _kept_aligner(vocabulary.value, model.value), _schema(_ROW)
-        chunk, size, seen = None, 0, []
+        chunk, size, seen = None, 0, _Sums()
         empty = np.zeros(0, np.int64)
 
         def documents(ids, texts) -> pa.RecordBatch:
@@ -311,30 +397,30 @@ def _aligned(vocabulary, model, chunk_bytes: int):
                 n = n.tolist() if g else [0] * 4
                 out.append((chunk, 1, i, *n, d if g else "", p if g else empty, m if g else empty))
                 if g:
-                    seen.append(p)
+                    seen.add(p, np.ones(len(p), np.int64))
             return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
         def counts() -> pa.RecordBatch:
-            pairs, n = np.unique(np.concatenate(seen), return_counts=True) if seen else (empty, empty)
+            pairs, n = seen.sums()
             return pa.RecordBatch.from_arrays([pa.array([x], t.type) for x, t in zip((chunk, 0, *[None] * 6, pairs, n), schema, strict=True)], schema=schema)
 
         for batch in batches:
-            parts = batch.column("part").to_pylist()
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            ids, texts = batch.column("doc_id"), batch.column("text")
+            lengths = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
             first = 0
             while first < len(ids):
                 if chunk is None:
-                    chunk = parts[first] << 32
+                    chunk = batch.column("part")[first].as_py() << 32
                 end, held = first, 0
-                while end < len(ids) and (end == first or held + len(texts[end] or "") <= RUN_CHARS):
-                    held += len(texts[end] or "")
+                while end < len(ids) and (end == first or held + lengths[end] <= RUN_CHARS):
+                    held += lengths[end]
                     end += 1
-                yield documents(ids[first:end], texts[first:end])
+                yield documents(ids[first:end].to_pylist(), texts[first:end].to_pylist())
                 first, size = end, size + held
                 if size >= chunk_bytes:
                     yield counts()
-                    chunk, size, seen = chunk + 1, 0, []
-        if seen:
+                    chunk, size, seen = chunk + 1, 0, _Sums()
+        if len(seen.sums()[0]):
             yield counts()
 
     return run

@@ -1,6 +1,10 @@
 import collections
 import hashlib
+import random
+import tracemalloc
+import types
 
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -135,3 +139,89 @@ def test_long_text_in_runs(aligner, monkeypatch):
     assert good and digest == hashlib.sha256(";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in want).encode()).hexdigest()
     assert links.sum() == numbers[3] == sum(len(x) * len(y) for x, y in want)
     assert not alignment._long(aligner, "a▁b " * 40)[0]
+
+
+def equals_whole_texts(read, texts):
+    good, numbers, groups, text, pairs, links = read
+    for k, want in enumerate(map(groups_of, texts)):
+        assert good[k] == bool(want)
+        if want:
+            assert groups[k] == ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in want)
+            assert dict(zip(pairs[text == k].tolist(), links[text == k].tolist(), strict=True)) == collections.Counter((a << 24) + b for x, y in want for a in x for b in y)
+            assert numbers[k].tolist() == [sum(len(x) for x, _ in want), sum(len(y) for _, y in want), len(want), sum(len(x) * len(y) for x, y in want)]
+
+
+def test_full_worker_goes_on_with_units_met_again(aligner, monkeypatch):
+    aligner._forget()
+    monkeypatch.setattr(alignment, "CACHE_UNITS", 40)
+    words = random.Random(3)
+    for k in range(60):
+        texts = ["the same words, é漢 and a▁b" if k % 7 == 0 else "the same words, é漢", f"{'x' * 300} {k}  {words.random()} 🙂 ͸{k}." + " ͸" * k]
+        known = len(aligner.index)
+        equals_whole_texts(aligner.read([" " + t for t in texts]), texts)
+        assert len(aligner.index) <= 40 + 100
+        if known > 40:  # room was made
+            assert " same" in aligner.index and len(aligner.index) < known + 10
+            assert aligner.index[" same"] < 20 and list(aligner.index.values()) == list(range(len(aligner.index)))
+
+
+@pytest.mark.parametrize("name, size", [("CACHE_PAIRS", lambda x: x.pairs.n), ("CACHE_BYTES", lambda x: x.chars + x.joined.n)])
+def test_kept_pairs_and_text_are_bounded(aligner, monkeypatch, name, size):
+    aligner._forget()
+    monkeypatch.setattr(alignment, name, 3000)
+    most = 0
+    for k in range(30):
+        texts = [f"stay {'漢é' * 150}{k} stay", "stay" if k % 3 else "𝒳é漢͸" * 40]
+        equals_whole_texts(aligner.read([" " + t for t in texts]), texts)
+        most = max(most, size(aligner))
+    assert 3000 < most < 12_000
+    aligner._forget()
+
+
+def test_long_text_of_several_runs(aligner):
+    text = " ".join(f"word{i % 977} é漢 and  more{i % 31}." for i in range(15_000))
+    assert len(list(alignment.runs(text))) >= 3
+    good, numbers, digest, pairs, links = alignment._long(aligner, text)
+    want = groups_of(text)
+    assert good and digest == hashlib.sha256(";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in want).encode()).hexdigest()
+    assert dict(zip(pairs.tolist(), links.tolist(), strict=True)) == collections.Counter((a << 24) + b for x, y in want for a in x for b in y)
+
+
+def test_columns_widen():
+    column = alignment._Column()
+    parts = [[1, 255], [], [256], [1 << 31, 7], [1 << 40]]
+    for part in parts:
+        column.add(alignment.np.array(part, alignment.np.int64))
+    every = [x for part in parts for x in part]
+    assert column.at(alignment.np.arange(column.n)).tolist() == every
+    column.keep(alignment.np.array(every) > 6)
+    assert column.at(alignment.np.arange(column.n)).tolist() == [x for x in every if x > 6]
+
+
+def test_sums_in_parts(monkeypatch):
+    monkeypatch.setattr(alignment, "SUM_PAIRS", 5)
+    sums, want, words = alignment._Sums(), collections.Counter(), random.Random(5)
+    for _ in range(50):
+        part = [words.randrange(40) for _ in range(words.randrange(8))]
+        sums.add(alignment.np.array(part, alignment.np.int64), alignment.np.ones(len(part), alignment.np.int64))
+        want.update(part)
+    pairs, n = sums.sums()
+    assert dict(zip(pairs.tolist(), n.tolist(), strict=True)) == want and pairs.tolist() == sorted(want)
+
+
+def test_memory_of_a_batch_follows_runs():
+    """A megabyte of words that are all new: it was aligned at once, in 195 MB of Python objects and arrays."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f, open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as g:
+        made_of = [types.SimpleNamespace(value=x.read()) for x in (f, g)]
+    aligner = alignment._kept_aligner(*(x.value for x in made_of))
+    words = random.Random(1)
+    texts = [" ".join("".join(words.choices("etaoinshrdlu", k=words.randint(3, 9))) for _ in range(1000)) for _ in range(150)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(150)), "text": texts, "part": [0] * 150})
+    tracemalloc.start()
+    try:
+        rows = sum(len(x) for x in alignment._aligned(*made_of, alignment.CHUNK_BYTES)(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == 151 and len(aligner.index) > 100_000 and peak < 100e6
+    aligner._forget()
