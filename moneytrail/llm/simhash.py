@@ -192,14 +192,14 @@ def _linker(radius: int):
 
 
 def links(distinct: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
-    """Links (a, b) that join all fingerprints (column fp, each once) within the radius of one another."""
+    """Links (a, b) that join all fingerprints (column fp, each once) within the radius of one another, some repeated."""
     keyed = distinct.select("fp", F.explode(bucket_keys(F.col("fp"), radius)).alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     parts = F.ceil(F.col("n") / F.lit(bucket)).cast("int")
     part = F.pmod(F.xxhash64("fp", F.lit(1)), parts).cast("int")
     met = F.explode(F.transform(F.sequence(F.lit(0), parts - 1), lambda j: F.struct(F.least(part, j).alias("i"), F.greatest(part, j).alias("j")))).alias("m")
-    grouped = keyed.join(shared, "key").select("key", "fp", met).groupBy("key", "m").agg(F.collect_list("fp").alias("members"))
-    return grouped.where(F.size("members") > 1).select("members").mapInArrow(_linker(radius), "a bigint, b bigint").distinct()
+    grouped = keyed.join(shared, "key").select("key", "fp", met).groupBy("key", "m").agg(F.sort_array(F.collect_list("fp")).alias("members"))  # in order: links lead to the smallest
+    return grouped.where(F.size("members") > 1).select("members").mapInArrow(_linker(radius), "a bigint, b bigint")
 
 
 def groups(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:

@@ -117,3 +117,31 @@ def test_odd_rows(odd, odd_rows, none):
     rows = kept.collect()
     assert len(rows) == len(set(comps)) and {r.doc_id for r in rows if r.doc_id is not None} == {x for x in least.values() if x is not None}
     assert simhash.groups(none).collect() == [] == simhash.keep_one(none).collect()
+
+
+def test_rounds_broadcast_nothing(spark):
+    """A round's joins collect no side on the driver."""
+    df = spark.createDataFrame([(k % 7, k) for k in range(100)], "u bigint, v bigint")
+    found = linked.with_least(df, "u", "v", "v", "m")
+    assert {r.m - r.u for r in found.collect()} == {0}
+    plan = found._jdf.queryExecution().executedPlan().toString()  # as it ran
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan.partition("Initial Plan")[0]
+
+
+def test_jobs_of_a_round(spark):
+    """Each job of a round has as many tasks as the table has partitions, and the driver keeps a record of each."""
+    spark.sparkContext.setJobGroup("rounds", "rounds")
+    found = components(spark.createDataFrame([(100 + i, 100) for i in range(1, 300)], "a bigint, b bigint"))
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("rounds"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 12  # the first checkpoint, and the round in which nothing moves
+    assert {r.root for r in found.collect()} == {100}
+
+
+def test_links_lead_to_the_smallest(spark):
+    """So that the rounds begin with the stars that they end with."""
+    rng = np.random.default_rng(2)
+    fps = {0x0123456789ABCDEF ^ sum(1 << int(b) for b in rng.integers(0, 64, 2)) for _ in range(200)}
+    df = spark.createDataFrame([(f - 2**64 if f >> 63 else f,) for f in fps], "fp bigint")
+    found = simhash.links(df).collect()
+    assert found and all(r.b < r.a for r in found)
