@@ -1,8 +1,9 @@
 """Canonical views (V1-V4): the unified money fact ``candidate_money``.
 
-Only the individual arm is large. It meets the (small) candidate-committee link
-table through a broadcast hash join, so the big side is never shuffled before
-the first aggregation; committees and tags are broadcast the same way.
+Only the individual arm is large. It meets the candidate-committee link table through
+a broadcast hash join while that table is small, so the big side is not shuffled before
+the first aggregation; committees and tags are broadcast the same way. Beyond that they
+meet by a shuffle (``plans/joins.py``).
 """
 
 from __future__ import annotations

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moneytrail.operators import curate, views
+from moneytrail.plans.joins import sized
 from moneytrail.plans.session import (app_id, fs_create, fs_delete, fs_exists, fs_list, fs_modified,
                                       fs_status, prepare, scratch_path)
 from moneytrail.sources import files, interests
@@ -48,6 +49,8 @@ FORMAT = 2
 #: The channels of the money fact that read a dataset, directly or through its curated table.
 CHANNELS_OF = {"cn": [], "cm": ["ie_support", "ie_oppose"], "ccl": ["individual"], "pas2": ["direct_pac"],
                "indiv": ["individual"], "ie": ["ie_support", "ie_oppose"]}
+#: The dimensions that have a row, or less, per row of their dataset.
+DIMENSIONS = {TABLE_OF_DATASET[ds]: ds for ds in ("cn", "cm", "ccl")}
 
 _lock = threading.Lock()
 _stores: dict[tuple[str, str], "Store"] = {}
@@ -87,7 +90,8 @@ class Store:
         self.spark = spark
         self.root = root
         self.state: dict = {"format": FORMAT, "number": 0, "cycle": refresh.check_cycle(cycle), "raw": {},
-                            "table": {}, "prints": {}, "fact": {}, "paid": {}, "rollup": {}, "inbox": {}}
+                            "table": {}, "prints": {}, "rows": {}, "fact": {}, "paid": {}, "rollup": {},
+                            "inbox": {}}
         self._frames: dict[str, DataFrame] = {}
         self._source = None  # makes the Fixture that missing parts are landed from; None: the store is whole
         self._landing, self._adding = threading.RLock(), threading.Lock()
@@ -161,7 +165,7 @@ class Store:
         state = json.loads(line)
         if state.get("format") != FORMAT:
             raise ValueError(f"{self.root} was landed by an earlier version: land it again")
-        self.state = state
+        self.state = {"rows": {}, **state}
         self._frames.clear()
         return True
 
@@ -182,12 +186,12 @@ class Store:
         on its state, unless both changed the same dataset, or both the tags."""
         while True:
             state = {**self.state, **{k: {**self.state.get(k, {}), **change.get(k, {})}
-                                      for k in ("raw", "table", "prints", "inbox")}}
+                                      for k in ("raw", "table", "prints", "rows", "inbox")}}
             if "dictionary" in change:
                 state["dictionary"] = change["dictionary"]
             tags = "dictionary" in change or "cm" in change["built"] or "dim_group_mappings" not in state["table"]
             if tags:
-                state["table"]["dim_group_mappings"] = self._tags(state)
+                state["table"]["dim_group_mappings"], state["rows"]["dim_group_mappings"] = self._tags(state)
             channels = {c for ds in change["built"] for c in CHANNELS_OF[ds]}
             if change["built"] or tags:
                 state = self._derived(state, channels, tags)
@@ -268,7 +272,8 @@ class Store:
                     continue
                 state = self.state
                 if tags and "dim_group_mappings" not in state["table"]:
-                    self._add({"table": {"dim_group_mappings": self._tags(state)}},
+                    path, rows = self._tags(state)
+                    self._add({"table": {"dim_group_mappings": path}, "rows": {"dim_group_mappings": rows}},
                               {"table": {"dim_committees": state["table"]["dim_committees"]}})
                 elif money and set(views.CHANNELS) - set(state["rollup"]):
                     done = self._derived(state, [], True)
@@ -356,17 +361,16 @@ class Store:
         raw_path, prints = self._land_raw(ds, rows)
         return raw_path, self._build(ds, raw_path), prints
 
-    def _tags(self, state: dict) -> str:
-        """Write the tag table for the state's dictionary and committees."""
+    def _tags(self, state: dict) -> tuple[str, int]:
+        """Write the tag table for the state's dictionary and committees; its version and rows."""
         path = self._new("curated", "dim_group_mappings")
         if state.get("dictionary") is None:
             tags = curate.empty_group_mappings(self.spark)
         else:
             entries = interests.scan_interest_dictionary(self.spark, state["dictionary"])
             committees = self.spark.read.parquet(state["table"]["dim_committees"])
-            tags = interests.load_group_mappings(entries, committees)
-        files.replace_curated(tags, path)
-        return path
+            tags = interests.load_group_mappings(entries, sized(committees, _rows(state, "dim_committees")))
+        return path, files.replace_curated(tags, path).count()
 
     def _derived(self, state: dict, channels, tags: bool) -> dict:
         """The state with new versions of the fact's ``channels`` and of all rollups that they, or new
@@ -531,7 +535,11 @@ class Store:
                           .parquet(self.raw_path(ds)))
 
     def table(self, name: str) -> DataFrame:
-        return self._memo(name, lambda: self.spark.read.parquet(self.table_path(name)))
+        def read() -> DataFrame:
+            at = self.table_path(name)
+            return sized(self.spark.read.parquet(at), _rows(self.state, name))
+
+        return self._memo(name, read)
 
     @property
     def candidates(self) -> DataFrame:
@@ -638,6 +646,12 @@ class Store:
         self.money.createOrReplaceTempView("candidate_money")
 
 
+def _rows(state: dict, table: str) -> int | None:
+    """The rows of a dimension, as far as the state tells: joins with it depend on them."""
+    if table in DIMENSIONS:
+        return state["prints"].get(DIMENSIONS[table], [None])[0]
+    return state["rows"].get(table)
+
 
 def _paths(state) -> list[str]:
     """Every text in a state: the versions that it names are among them."""

@@ -15,7 +15,7 @@ the DuckDB oracle repeats independently. The mapping:
 * interest tags from parts with ``p_size <= 10``.
 
 Every frame here is a lazy plan over the given tables; nothing goes through the
-driver except the supplier count (one scalar).
+driver except the row counts of dimensions (one scalar each).
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moneytrail.plans.joins import join_small
+from moneytrail.plans.joins import join_small, sized
 from moneytrail.sources.schemas import RAW_COLUMNS
 
 STR = T.StringType()
@@ -78,14 +78,18 @@ class Fixture:
         self.sf_dir = sf_dir
         self.t = load_tables(spark, sf_dir, ["nation", "supplier", "customer", "part",
                                              "orders", "lineitem", "events"])
-        self._n = None
+        self._rows: dict[str, int] = {}
 
-    # number of candidates (= suppliers); one scalar from a metadata-sized count
+    def rows(self, table: str) -> int:
+        """Rows of a given table; one scalar from a metadata-sized count."""
+        if table not in self._rows:
+            self._rows[table] = self.t[table].count()
+        return self._rows[table]
+
+    # number of candidates (= suppliers)
     @property
     def n(self) -> int:
-        if self._n is None:
-            self._n = self.t["supplier"].count()
-        return self._n
+        return self.rows("supplier")
 
     def candidate_base(self) -> DataFrame:
         """(k, office, cand_id, name, state, district, party, ici, year)."""
@@ -243,10 +247,11 @@ class Fixture:
             nat.withColumnRenamed("n_name", "s_state"),
             F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "s_state")
         # lineitem x orders is the one large join of the mapping (shuffle on the
-        # order key); customers and suppliers are dimension joins.
-        j = li.join(o, li.l_orderkey == o.o_orderkey)
-        j = join_small(j, cust, F.col("o_custkey") == F.col("c_custkey"))
-        j = join_small(j, supp, F.col("l_suppkey") == F.col("s_suppkey"))
+        # order key); customers and suppliers are dimension joins. Customers meet the
+        # orders first: where that takes a shuffle, no line crosses it.
+        o = join_small(o, sized(cust, self.rows("customer")), F.col("o_custkey") == F.col("c_custkey"))
+        j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+        j = join_small(j, sized(supp, self.n), F.col("l_suppkey") == F.col("s_suppkey"))
         sk, pk, okey, ln = (F.col("l_suppkey"), F.col("l_partkey"), F.col("l_orderkey"),
                             F.col("l_linenumber"))
         prefix = (F.when(pk % 11 == 0, "C5")
@@ -295,8 +300,8 @@ class Fixture:
         e = e.withColumn("k", eid % F.lit(self.n))
         cand = self.candidate_base().select(
             F.col("k").alias("ck"), "cand_id", "name", "state", "district", "office", "party")
-        e = join_small(e, cand, F.col("k") == F.col("ck"), "left")
-        parts = self.t["part"].select("p_partkey", "p_name")
+        e = join_small(e, sized(cand, self.n), F.col("k") == F.col("ck"), "left")
+        parts = sized(self.t["part"].select("p_partkey", "p_name"), self.rows("part"))
         e = join_small(e, parts, F.col("user_id") == F.col("p_partkey"), "left")
         k = F.col("k")
         unknown = eid % 20 == 0
