@@ -127,7 +127,8 @@ def _marker(path: str) -> str:
 def write_angles(docs: DataFrame, path: str, tasks: int | None = None) -> str:
     """One JSON document per candidate x angle as ``<dirname>/<angle_id>.json``,
     NULL fields written out; documents of an earlier export that are no longer among
-    ``docs`` are gone.
+    ``docs`` are gone. Namesakes who run for one seat share a folder: their documents, in the order
+    of their text, are ``<angle_id>.json``, ``<angle_id>.2.json`` and so on.
 
     Tasks stage the documents in a folder beside ``path``; when all are written, the driver
     puts that folder in the place of ``path``. A failed export leaves ``path`` as it was. An
@@ -135,7 +136,7 @@ def write_angles(docs: DataFrame, path: str, tasks: int | None = None) -> str:
     holds anything else is refused before a document is written. One export at a time."""
     spark = docs.sparkSession
     path = session.fs_qualified(spark, path)
-    if session.fs_list(spark, path) and not session.fs_exists(spark, _marker(path)):
+    if not session.fs_exists(spark, _marker(path)) and session.fs_list(spark, path):
         raise ValueError(f"{path} holds files that no export wrote; name another folder")
     staged = _beside(path, "staged")
     stage_documents(docs, staged, tasks)
@@ -185,15 +186,16 @@ def stage_documents(docs: DataFrame, path: str, tasks: int | None = None) -> Non
     Spark's writers name their own files, so each task writes its documents to
     their final names through pyarrow's file systems (file, hdfs, s3, gs): first
     under a name of its own in ``_parts``, then moved, so a task that runs twice leaves one
-    whole file; what lost tasks leave in ``_parts`` is removed. The explicit task count keeps a
+    whole file; what lost tasks leave in ``_parts`` is removed. Documents of one name lie in one task, sorted,
+    so each has its number and none replaces another. The explicit task count keeps a
     small document set from being written by one task."""
     spark = docs.sparkSession
     tasks = tasks or spark.sparkContext.defaultParallelism
     fields = [c for c in docs.columns if c not in ("dirname", "angle_id")]
     rows = docs.select("dirname", "angle_id", F.to_json(F.struct(*fields), JSON_OPTIONS).alias("doc"))
     session.fs_mkdirs(spark, f"{path}/_parts")
-    written = rows.repartition(max(1, tasks), "dirname", "angle_id").mapInArrow(
-        _document_writer(path), "dirname string, angle_id string")
+    laid = rows.repartition(max(1, tasks), "dirname", "angle_id").sortWithinPartitions("dirname", "angle_id", "doc")
+    written = laid.mapInArrow(_document_writer(path), "dirname string, angle_id string")
     try:
         written.write.format("noop").mode("overwrite").save()
     except Exception:
@@ -202,32 +204,105 @@ def stage_documents(docs: DataFrame, path: str, tasks: int | None = None) -> Non
     session.fs_delete(spark, f"{path}/_parts")
 
 
+def _opener(root: str):
+    """For tasks: the file system of ``root`` and its path there."""
+    def opened():
+        from pyarrow import fs
+
+        return ((fs.LocalFileSystem(), root.removeprefix("file://")) if root.startswith("file://")
+                else fs.FileSystem.from_uri(root))
+
+    return opened
+
+
 def _document_writer(root: str):
+    opened = _opener(root)
+
     def run(batches):
         import uuid
 
         import pyarrow as pa
-        from pyarrow import fs
 
-        store, base = ((fs.LocalFileSystem(), root.removeprefix("file://")) if root.startswith("file://")
-                       else fs.FileSystem.from_uri(root))
+        store, base = opened()
+        name, n = None, 0
         for batch in batches:
             for row in batch.to_pylist():
+                n = n + 1 if name == (row["dirname"], row["angle_id"]) else 1
+                name = row["dirname"], row["angle_id"]
                 folder = f"{base}/{row['dirname']}"
                 store.create_dir(folder, recursive=True)
                 part = f"{base}/_parts/{uuid.uuid4().hex}"
                 with store.open_output_stream(part) as out:
                     out.write(row["doc"].encode() + b"\n")
-                store.move(part, f"{folder}/{row['angle_id']}.json")
+                store.move(part, f"{folder}/{row['angle_id']}{f'.{n}' if n > 1 else ''}.json")
             yield pa.RecordBatch.from_arrays([batch.column("dirname"), batch.column("angle_id")],
                                              ["dirname", "angle_id"])
 
     return run
 
 
-def read_angles(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The documents of ``write_angles`` with their folder and angle."""
-    parts = F.split(F.col("_metadata.file_path"), "/")
-    return (spark.read.schema(schema).option("recursiveFileLookup", "true").json(path)
-            .select("*", F.element_at(parts, -2).alias("dirname"),
-                    F.regexp_replace(F.element_at(parts, -1), r"\.json$", "").alias("angle_id")))
+def read_angles(spark: SparkSession, path: str, schema, tasks: int | None = None) -> DataFrame:
+    """The documents of ``write_angles`` with their folder and angle.
+
+    Spark's file sources list every file on the driver and keep what they find; here one task
+    names the folders and tasks that share them list and read each. As there, names that begin
+    with ``_`` or ``.`` are left out, a line is a record, and one that is no JSON has NULL fields."""
+    path = session.fs_qualified(spark, path)
+    tasks = tasks or spark.sparkContext.defaultParallelism
+    folders = spark.range(1, numPartitions=1).mapInArrow(_folder_lister(path), "folder string")
+    docs = folders.repartition(max(1, tasks), "folder").mapInArrow(
+        _document_reader(path), "dirname string, angle_id string, doc string")
+    return (docs.select(F.from_json("doc", schema).alias("_doc"), "dirname", "angle_id")
+            .select("_doc.*", "dirname", "angle_id"))
+
+
+def _folder_lister(root: str, size: int = 10_000):
+    opened = _opener(root)
+
+    def run(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        store, base = opened()
+        for _ in batches:
+            found = store.get_file_info(fs.FileSelector(base))
+            names = [f.base_name for f in found if f.type == fs.FileType.Directory and f.base_name[0] not in "_."]
+            for i in range(0, len(names), size):
+                yield pa.RecordBatch.from_pydict({"folder": pa.array(names[i:i + size], pa.string())})
+
+    return run
+
+
+def _document_reader(root: str, size: int = 1_000):
+    opened = _opener(root)
+
+    def run(batches):
+        import re
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        store, base = opened()
+
+        def lines():
+            for batch in batches:
+                for folder in batch.column(0).to_pylist():
+                    for f in store.get_file_info(fs.FileSelector(f"{base}/{folder}", recursive=True)):
+                        inside = f.path[len(base):].strip("/").split("/")
+                        if f.type != fs.FileType.File or any(name[0] in "_." for name in inside):
+                            continue
+                        with store.open_input_stream(f.path) as stream:
+                            text = stream.read().decode()
+                        for line in filter(str.strip, text.split("\n")):
+                            yield inside[-2], re.sub(r"(\.[0-9]+)?\.json$", "", inside[-1]), line
+
+        names, kept = ("dirname", "angle_id", "doc"), []
+        for row in lines():
+            kept.append(row)
+            if len(kept) == size:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*kept)], names)
+                kept = []
+        if kept:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*kept)], names)
+
+    return run

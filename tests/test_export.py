@@ -85,6 +85,57 @@ def test_a_folder_of_other_files_is_refused(spark):
     assert os.listdir(out) == ["notes.txt"]
 
 
+def test_namesakes_keep_their_documents(spark):
+    out = os.path.join(tempfile.mkdtemp(prefix="mt-exp-"), "angles")
+    one, two = small_docs(spark, ["a", "b"], 1.0), small_docs(spark, ["a"], 2.0)
+    files.write_angles(two.unionByName(one), out)
+    docs = read_docs(out)
+    assert docs == {"a/geography.json": [{"amount": 1.0}], "a/geography.2.json": [{"amount": 2.0}],
+                    "b/geography.json": [{"amount": 1.0}]}
+    back = files.read_angles(spark, out, one.select("amount").schema)
+    assert sorted(map(tuple, back.collect())) == [(1.0, "a", "geography"), (1.0, "b", "geography"), (2.0, "a", "geography")]
+    files.write_angles(one, out)
+    assert sorted(read_docs(out)) == ["a/geography.json", "b/geography.json"]
+
+
+def test_documents_are_listed_and_read_by_tasks(spark):
+    out = os.path.join(tempfile.mkdtemp(prefix="mt-exp-"), "angles")
+    docs = small_docs(spark, [f"d {i}%" for i in range(40)])
+    files.write_angles(docs, out)
+    with open(os.path.join(out, "d 0%", "_hidden.json"), "w") as f:
+        f.write('{"amount": 9.0}')
+    with open(os.path.join(out, "d 1%", "geography.json"), "w") as f:
+        f.write("no json")
+    back = files.read_angles(spark, out, docs.select("amount").schema)
+    assert back.inputFiles() == []  # the driver keeps no list of them
+    assert sorted(map(str, back.collect())) == sorted(
+        str(r) for r in docs.select(F.when(F.col("dirname") != "d 1%", F.col("amount")).alias("amount"), "dirname", "angle_id").collect())
+    files.write_angles(small_docs(spark, []), out)
+    assert files.read_angles(spark, out, docs.select("amount").schema).count() == 0
+
+
+def test_written_documents_of_repeated_names_are_those_of_the_query(spark, tmp_path):
+    """Candidates of other ids with the names, states and districts of the first ones."""
+    import duckdb
+
+    import __spark_entry__ as entry
+    from moneytrail.oracle.sql import ORACLE
+    shift = {"supplier": {"s_suppkey": 600}, "lineitem": {"l_suppkey": 600, "l_orderkey": 600_000},
+             "orders": {"o_orderkey": 600_000}}
+    for t in ("nation", "supplier", "customer", "part", "orders", "lineitem", "events"):
+        df = spark.read.parquet(f"{SF}/{t}.parquet")
+        if t in shift:
+            df = df.unionByName(df.withColumns({c: (F.col(c) + n).cast(df.schema[c].dataType) for c, n in shift[t].items()}))
+        df.write.parquet(str(tmp_path / f"{t}.parquet"))
+    rows = [tuple(r) for r in entry.queries()["write_angles"](spark, str(tmp_path)).collect()]
+    con = duckdb.connect()
+    for t in ("nation", "supplier", "customer", "part", "orders", "lineitem", "events"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    expected = con.execute(ORACLE["write_angles"]).fetchall()
+    assert sorted(rows) == sorted(expected)
+    assert len({r[:2] for r in rows}) < len(rows)  # some share a name
+
+
 def test_one_candidate_into_a_given_folder(spark):
     out = os.path.join(tempfile.mkdtemp(prefix="mt-exp-"), "angles")
     api.export_angles(spark, SF, out)
