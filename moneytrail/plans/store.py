@@ -627,10 +627,12 @@ class Store:
 
     @property
     def rollup(self) -> DataFrame:
-        """candidate_money pre-aggregated (see ``views.money_rollup``)."""
+        """candidate_money pre-aggregated (see ``views.money_rollup``). What is grouped from it has a row or
+        more per candidate, so it is joined as a table of so many rows."""
         def read() -> DataFrame:
             self._need(money=True)
-            return self.spark.read.parquet(*[self.state["rollup"][c] for c in views.CHANNELS])
+            rows = self.spark.read.parquet(*[self.state["rollup"][c] for c in views.CHANNELS])
+            return sized(rows, _rows(self.state, "dim_candidates"))
 
         return self._memo("m_rollup", read)
 

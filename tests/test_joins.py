@@ -4,7 +4,7 @@ import contextlib
 import pytest
 from pyspark.sql import functions as F
 
-from moneytrail.operators import views
+from moneytrail.operators import angles, profile, reports, views
 from moneytrail.plans import joins
 from moneytrail.plans.store import Store
 from moneytrail.sources.fixture import Fixture
@@ -69,3 +69,37 @@ def test_raw_rows_do_not_depend_on_how_dimensions_are_joined(spark):
             df = Fixture(spark, SF).raw(ds)
             assert "SortMergeJoin" in plan(df)
             assert sorted(map(str, df.collect())) == rows
+
+
+def test_geography_of_many_candidates_is_broadcast_nowhere(spark):
+    """100 candidates are more than 4,000 bytes of a hash table, their file's columns less."""
+    sf = "/root/testdata/sf0.01"
+    root = Store.open(spark, sf).complete().root
+
+    def geography():
+        s = Store.attach(spark, root)
+        df = angles.angle_geography(profile.candidate_facts(s.rollup, s.candidates), reports.candidate_top_states(s.rollup))
+        links = s.links.select(F.col("CAND_ID").alias("_lc")).distinct()
+        return df.join(links, F.col("cand_id") == F.col("_lc"), "left_semi")
+
+    rows = sorted(map(str, geography().collect()))
+    with threshold(spark, "4k"):
+        df = geography()
+        assert "BroadcastHashJoin" not in plan(df)
+        assert sorted(map(str, df.collect())) == rows
+
+
+def test_what_is_grouped_from_the_rollup_is_joined_by_the_number_of_candidates(spark, tmp_path):
+    at = str(tmp_path / "rollup")
+    spark.range(1000, numPartitions=1).select(
+        F.lit("H00000001").alias("cand_id"), *[F.lit("x").alias(c) for c in views.ROLLUP_KEYS[1:]],
+        F.lit(1).cast("decimal(24,2)").alias("amount"), F.lit(1).cast("long").alias("n_rows")).write.parquet(at)
+
+    def joined(candidates):
+        s = Store(spark, str(tmp_path))
+        s.state |= {"prints": {"cn": [candidates, ""]}, "rollup": {c: at for c in views.CHANNELS}}
+        per = s.rollup.groupBy("cand_id").agg(F.sum("n_rows").alias("n"))
+        return spark.range(1_000_000).select(F.col("id").cast("string").alias("c")).join(per, F.col("c") == F.col("cand_id"))
+
+    assert "BroadcastHashJoin" in plan(joined(1))  # by the size of its files
+    assert "BroadcastHashJoin" not in plan(joined(300_000)) and "SortMergeJoin" in plan(joined(300_000))
